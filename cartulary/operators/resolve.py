@@ -190,7 +190,8 @@ def candidate_index(canon: DataFrame, aliases: DataFrame, ident: str, family: st
     first = F.coalesce(F.get("g", F.lit(0)), F.lit(""))
     heads = F.concat(F.array(F.lit("")), F.when(first != "", F.transform(
         F.sequence(F.lit(1), F.length(first)), lambda n: F.substring(first, F.lit(1), n))).otherwise(F.array().cast("array<string>")))
-    surname = named.select(ident, F.concat(F.lit("s|"), F.col("st"), F.lit("|"), F.explode(heads)).alias("ckey"))
+    surname = named.select(ident, "st", F.explode(heads).alias("h")).select(
+        ident, F.concat(F.lit("s|"), F.col("st"), F.lit("|"), F.col("h")).alias("ckey"))
     parts = [
         aliases.select(ident, F.concat(F.lit("a|"), F.col("normalized_alias")).alias("ckey")),
         aliases.select(ident, F.concat(F.lit("k|"), token_sort_key("alias")).alias("ckey")),

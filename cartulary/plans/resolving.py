@@ -483,7 +483,7 @@ def career_index(t):
     return lines, spans
 
 
-TOKENS = "array_to_string(list_sort(list_filter(string_split(replace({c}, ',', ''), ' '), x -> x <> '')), ' ')"
+TOKENS = "array_to_string(list_sort(list_filter(string_split(replace({c}, ',', ''), ' '), lambda x: x <> '')), ' ')"
 RESOLVE = f"""{PEOPLE}, ob AS (SELECT o_orderkey, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS m, o_orderpriority AS club, o_orderkey % 7 AS v, fam, pat, giv, fst,
    CASE o_orderkey % 7 WHEN 0 THEN fam || ', ' || giv WHEN 1 THEN giv || ' ' || fam WHEN 2 THEN pat || ', ' || giv WHEN 3 THEN pat || ', ' || fst[1]
      WHEN 4 THEN fam || ', ' || giv[1:length(giv) - 1] WHEN 5 THEN pat ELSE fam || ', ' || giv || ' ab' END AS a, o_custkey
