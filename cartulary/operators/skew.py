@@ -83,3 +83,16 @@ def attach_totals(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> Data
 def day_counts(df: DataFrame, keys: Keys, day: str, aggs: Mapping[str, Column]) -> DataFrame:
     """One row per key and day: the grain every date-tolerance join works on."""
     return df.groupBy(*keys, day).agg(*[a.alias(n) for n, a in aggs.items()])
+
+
+def fill_down(df: DataFrame, keys: Keys, bucket: Column, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Last known value carried down each key in `order`, bucket by bucket like `running`."""
+    base = df.withColumn("__b", bucket)
+    last = base.where(F.col(value).isNotNull()).groupBy(*keys, "__b").agg(F.max_by(value, F.struct(*order)).alias("__last"))
+    spine = base.select(*keys, "__b").distinct()
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = null_safe(spine, last, [*keys, "__b"]).select(
+        *keys, "__b", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    inside = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (null_safe(base, carry, [*keys, "__b"])
+            .withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(inside), "__carry")).drop("__b", "__carry"))
