@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import NGram
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,16 +85,11 @@ def mentions(texts: DataFrame, ident: str, text: str, names: DataFrame, name: st
     meet the names in an equi join, so the cost does not grow with texts x names.
     """
     words = F.filter(F.split(search_fold(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-
-    def groups(n):
-        last = F.size("__w") - n + 1
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-                                             lambda i: F.array_join(F.slice("__w", i, F.lit(n)), " "))).otherwise(
-            F.array().cast("array<string>"))
-
-    # one size at a time: each is deduplicated inside the row before it is exploded
-    grams = (texts.select(ident, words.alias("__w"))
-             .select(ident, F.explode(F.array_distinct(F.concat(*[groups(n) for n in range(1, most_words + 1)]))).alias("__g")))
+    rows = texts.select(ident, words.alias("__w1"))
+    for n in range(2, most_words + 1):
+        rows = NGram(n=n, inputCol="__w1", outputCol=f"__w{n}").transform(rows)
+    groups = F.array_distinct(F.concat(*[F.col(f"__w{n}") for n in range(1, most_words + 1)]))
+    grams = rows.select(ident, F.explode(groups).alias("__g"))
     known = names.select(F.array_join(F.filter(F.split(search_fold(name), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " ").alias("__g"),
                          F.col(name_id).alias("entity_id")).where("__g <> ''").groupBy("__g").agg(F.min("entity_id").alias("entity_id"))
     hits = grams.join(known, "__g")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import city_token, repair_mojibake, strip_accents
+from ..session import written
 from .skew import null_safe
 
 
@@ -123,7 +124,7 @@ def fold_cross_source(df: DataFrame, ident: str, period: str, team: str, stats:
     rows (unnamed, same franchise, any), whatever the group size.
     """
     columns = df.columns
-    row = df.withColumns({"__city": city_token(team), "__fr": F.coalesce(franchise, F.lit(""))})
+    row = written(df.withColumns({"__city": city_token(team), "__fr": F.coalesce(franchise, F.lit(""))}))
     base = row.where(F.col(source) != second)
     extra = row.where(F.col(source) == second)
     key = [ident, period, "__city"]
@@ -139,7 +140,7 @@ def fold_cross_source(df: DataFrame, ident: str, period: str, team: str, stats:
         return out.withColumn(how, F.when(F.col("__fr") == "", F.col("__any")).otherwise(
             F.least("__bare", "__twin"))).drop("__any", "__bare", "__twin")
 
-    same = compatible([*key, *stats], "__same")
+    same = written(compatible([*key, *stats], "__same"))
     merged = same.where(F.col("__same").isNotNull())
     left = same.where(F.col("__same").isNull()).drop("__same")
     extra = left

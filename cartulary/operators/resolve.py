@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_name, squish, token_sort_key
 from .joins import date_tolerance, family_build, family_probe, near_club_check, span_corroboration
 from .reconcile import Folded, fold_cross_source
+from ..session import written
 from .skew import null_safe, numbered, top_k
 
 
@@ -77,13 +78,14 @@ def enrich_mint_review(second: DataFrame, canon: DataFrame, row_id: str, ident:
     years when a date is missing) > new id when nothing collides > review.
     """
     s = second.withColumn("__sid", F.col(row_id))
+    canon = written(canon)
     if bridge is not None:
         s = null_safe(s, bridge.select("name_key", "birth_date", F.col("target").alias("__bridge")), ["name_key", "birth_date"])
     else:
         s = s.withColumn("__bridge", F.lit(None).cast("string"))
     by_year = canon.groupBy("name_key", "birth_year").agg(F.min(ident).alias("__e1"))
     by_name = canon.groupBy("name_key").agg(F.min(ident).alias("__e2"))
-    s = s.join(by_year, ["name_key", "birth_year"], "left").join(by_name, "name_key", "left")
+    s = written(s.join(by_year, ["name_key", "birth_year"], "left").join(by_name, "name_key", "left"))
     exact = F.when(F.col("birth_year").isNull(), F.col("__e2")).otherwise(F.col("__e1"))
 
     probe = family_probe(s, ["__sid", "birth_date", "birth_year"])
@@ -113,6 +115,7 @@ def enrich_mint_review(second: DataFrame, canon: DataFrame, row_id: str, ident:
                                                .when(F.col("tier") == "exact", exact)
                                                .when(F.col("tier") == "family_shape", by_shape))
     cols = [*second.columns, "tier", ident]
+    s = written(s.select(*cols))
     order = [F.col("name_key"), F.col("birth_date").asc_nulls_first(), F.col(row_id)]
     minted = numbered(s.where(F.col("tier") == "mint").select(*cols), [], F.substring("name_key", 1, 3), order, "__no")
     minted = minted.withColumn(ident, F.lit(mint_base) + F.col("__no")).select(*cols)
@@ -217,17 +220,31 @@ def resolve_observations(obs: DataFrame, index: DataFrame, spans: DataFrame, car
 
     spans: (id, lo, hi). career: (id, period, club). titles: (name_key, period).
     """
-    # at most seven keys per observation; the tier order decides later
-    def key(tag, c):
-        return F.when(F.col(c).isNotNull(), F.struct(F.lit(tag).alias("tag"), F.concat(F.lit(tag[0] + "|"), F.col(c)).alias("ckey")))
-
-    keys = F.array_compact(F.array(key("override", "alias_key"), key("alias", "alias_key"), key("key", "name_key"),
-                                   F.when(F.col("clip_alias").isNotNull(), F.struct(F.lit("clip_a").alias("tag"), F.concat(F.lit("a|"), F.col("clip_alias")).alias("ckey"))),
-                                   F.when(F.col("clip_name").isNotNull(), F.struct(F.lit("clip_k").alias("tag"), F.concat(F.lit("k|"), F.col("clip_name")).alias("ckey"))),
-                                   key("trunc", "trunc_key"), key("surname", "surname_key")))
-    asked = obs.select(row_id, period, club, F.explode(keys).alias("k")).select(row_id, period, club, "k.tag", "k.ckey")
-    sizes = index.groupBy("ckey").agg(F.count("*").alias("n_cands"), F.min(ident).alias("only_id"))
-    asked = asked.join(sizes, "ckey")
+    obs, index = written(obs), written(index)
+    sizes = written(index.groupBy("ckey").agg(F.count("*").alias("n_cands"), F.min(ident).alias("only_id")))
+
+    # the first of override, alias and token key that names anybody is the candidate set
+    out, kinds = obs, (("o", "alias_key"), ("a", "alias_key"), ("k", "name_key"))
+    for tag, column in kinds:
+        known = sizes.where(F.col("ckey").startswith(tag + "|")).select(
+            F.col("ckey").alias(f"__{tag}"), F.col("n_cands").alias(f"__n_{tag}"), F.col("only_id").alias(f"__id_{tag}"))
+        out = out.join(known, F.concat(F.lit(tag + "|"), F.col(column)) == F.col(f"__{tag}"), "left")
+    out = out.select(*obs.columns, F.coalesce("__o", "__a", "__k").alias("ckey"),
+                     F.coalesce("__n_o", "__n_a", "__n_k").alias("m_n_cands"),
+                     F.coalesce("__id_o", "__id_a", "__id_k").alias("m_only_id"))
+    out = written(out)
+
+    # only observations nobody answers to go on to the weaker keys, at most four each
+    def key(tag, kind, column):
+        return F.when(F.col(column).isNotNull(), F.struct(
+            F.lit(tag).alias("tag"), F.concat(F.lit(kind + "|"), F.col(column)).alias("ckey")))
+
+    weaker = F.array_compact(F.array(key("clip_a", "a", "clip_alias"), key("clip_k", "k", "clip_name"),
+                                     key("trunc", "t", "trunc_key"), key("surname", "s", "surname_key")))
+    rest = (out.where(F.col("ckey").isNull()).select(row_id, period, club, F.explode(weaker).alias("k"))
+            .select(row_id, period, club, "k.tag", "k.ckey").join(sizes.select("ckey"), "ckey", "left_semi"))
+    asked = (out.where(F.col("ckey").isNotNull()).select(row_id, period, club, F.lit("main").alias("tag"), "ckey")
+             .unionByName(rest))
     spanned = index.join(spans, ident).select("ckey", ident, "lo", "hi")
     asked = span_corroboration(asked, spanned, "ckey", period, ident, "lo", "hi")
     near = (career.where(F.col(club).isNotNull()).select(ident, club, F.explode(F.sequence(F.col(period) - 1, F.col(period) + 1)).alias(period))
@@ -235,22 +252,17 @@ def resolve_observations(obs: DataFrame, index: DataFrame, spans: DataFrame, car
             .agg(F.count("*").alias("n_club"), F.min(ident).alias("club_id")))
     asked = asked.join(near, ["ckey", period, club], "left")
 
-    def of(tag, c):
-        return F.max(F.when(F.col("tag") == tag, F.col(c)))
-
-    tags = ("override", "alias", "key", "clip_a", "clip_k", "trunc", "surname")
-    stats = ("n_cands", "only_id", "n_in_span", "survivor_id", "n_club", "club_id")
-    flat = asked.groupBy(row_id).agg(*[of(t, c).alias(f"{t}__{c}") for t in tags for c in stats])
-    out = obs.join(flat, row_id, "left")
-
-    def first(c, names):
-        pick = F.lit(None)
-        for t in reversed(names):
-            pick = F.when(F.col(f"{t}__n_cands") > 0, F.col(f"{t}__{c}")).otherwise(pick)
-        return pick
-
-    out = out.withColumns({f"m_{c}": first(c, ("override", "alias", "key")) for c in stats})
-    out = out.withColumns({f"c_{c}": first(c, ("clip_a", "clip_k")) for c in ("n_in_span", "survivor_id")})
+    def of(tag, c, name):
+        return F.max(F.when(F.col("tag") == tag, F.col(c))).alias(name)
+
+    span, by_club = ("n_in_span", "survivor_id"), ("n_club", "club_id")
+    flat = asked.groupBy(row_id).agg(
+        *[of("main", c, f"m_{c}") for c in (*span, *by_club)], *[of("clip_a", c, f"a_{c}") for c in span],
+        *[of("clip_k", c, f"k_{c}") for c in span], *[of("trunc", c, f"trunc__{c}") for c in span],
+        *[of("surname", c, f"surname__{c}") for c in by_club])
+    out = out.join(flat, row_id, "left")
+    # a clipped name falls back to its token key only where no alias has it
+    out = out.withColumns({f"c_{c}": F.when(F.col("a_n_in_span").isNotNull(), F.col(f"a_{c}")).otherwise(F.col(f"k_{c}")) for c in span})
     attested = titles.select("name_key", period).distinct().withColumn("__title", F.lit(True))
     out = out.join(attested, ["name_key", period], "left")
     n, corr = F.coalesce("m_n_cands", F.lit(0)), F.coalesce("m_n_in_span", F.lit(0))
@@ -272,9 +284,9 @@ def resolve_observations(obs: DataFrame, index: DataFrame, spans: DataFrame, car
         found = F.when(cond, F.col(src) if src else F.lit(None)).otherwise(found)
     out = out.withColumn("outcome", method).withColumn(ident, found.cast("long")).withColumn("n_candidates", n)
     out = out.select(*obs.columns, "outcome", ident, "n_candidates")
-    mapped = near_club_check(out.where(F.col(ident).isNotNull()), career.select(ident, period, club), ident, period, club)
-    review = out.where(F.col(ident).isNull()).withColumn("club_check", F.lit(None).cast("string"))
-    return ResolvedObservations(mapped.unionByName(review), mapped, review)
+    checked = near_club_check(out, career.select(ident, period, club), ident, period, club)
+    decided = checked.withColumn("club_check", F.when(F.col(ident).isNotNull(), F.col("club_check")))
+    return ResolvedObservations(decided, decided.where(F.col(ident).isNotNull()), decided.where(F.col(ident).isNull()))
 
 
 def match_tiers(obs: DataFrame, canon: DataFrame, row_id: str, ident: str, prior: DataFrame | None = None) -> DataFrame:

@@ -37,17 +37,20 @@ def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int = 1, rank_c
 
 
 def running(df: DataFrame, keys: Keys, bucket: Column, order: Sequence[Column],
-            sums: Mapping[str, Column], offsets: Mapping[str, Column] | None = None) -> DataFrame:
+            sums: Mapping[str, Column], overall: Mapping[str, str] | None = None) -> DataFrame:
     """Running totals per key in `order`, computed bucket by bucket.
 
     `bucket` must not decrease along `order`; rows of one key spread over its
-    buckets, and only the per-bucket totals are ordered per key.
+    buckets, and only the per-bucket totals are ordered per key. `overall` names
+    columns for the key's whole total of a sum, which the bucket totals give for free.
     """
     base = df.withColumn("__b", bucket)
     totals = base.groupBy(*keys, "__b").agg(*[F.sum(v).alias(f"__t_{n}") for n, v in sums.items()])
     before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(*keys, "__b", *[
-        F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__s_{n}") for n in sums])
+    whole = Window.partitionBy(*keys)
+    starts = totals.select(
+        *keys, "__b", *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__s_{n}") for n in sums],
+        *[F.sum(f"__t_{n}").over(whole).alias(name) for name, n in (overall or {}).items()])
     inside = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = null_safe(base, starts, [*keys, "__b"])
     for n, v in sums.items():
@@ -55,9 +58,10 @@ def running(df: DataFrame, keys: Keys, bucket: Column, order: Sequence[Column],
     return out.drop("__b", *[f"__s_{n}" for n in sums])
 
 
-def numbered(df: DataFrame, keys: Keys, bucket: Column, order: Sequence[Column], name: str = "ordinal") -> DataFrame:
-    """Position 1..n of each row in its key (or, with no keys, in the table)."""
-    return running(df, keys, bucket, order, {name: F.lit(1).cast("long")})
+def numbered(df: DataFrame, keys: Keys, bucket: Column, order: Sequence[Column], name: str = "ordinal",
+             total: str | None = None) -> DataFrame:
+    """Position 1..n of each row in its key (or, with no keys, in the table), and n when `total` names it."""
+    return running(df, keys, bucket, order, {name: F.lit(1).cast("long")}, {total: name} if total else None)
 
 
 def attach_totals(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> DataFrame:
@@ -68,7 +72,7 @@ def attach_totals(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> Data
     hash instead of meeting in one task.
     """
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *[a.alias(n) for n, a in aggs.items()])
-    total = per_key.agg(F.sum("__rows").alias("all")).scalar()
+    total = df.agg(F.count(F.lit(1)).alias("all")).scalar()
     is_hot = F.col("__rows") * HOT_SHARE >= F.greatest(total, F.lit(HOT_SHARE * 1000))
     names = list(aggs)
     hot = per_key.where(is_hot).select(

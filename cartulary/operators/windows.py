@@ -65,7 +65,7 @@ def games_behind(df: DataFrame, group: Sequence[str], wins: str, losses: str, or
 def nth_occurrence(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column],
                    ordinal: str = "ordinal", total: str = "n_total") -> DataFrame:
     """Ordinal of a row among its key's rows, with the key's total."""
-    return attach_totals(numbered(df, keys, bucket, order, ordinal), keys, {total: F.count(F.lit(1))})
+    return numbered(df, keys, bucket, order, ordinal, total)
 
 
 def rank_contiguity(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:

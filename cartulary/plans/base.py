@@ -6,6 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
+TEXT_HEAVY = ("documents", "pages", "conversations")  # long texts: the work is per row, not per byte read
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -17,7 +21,8 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(table) if name in TEXT_HEAVY else table
 
     def values(self, rows: str, schema: str) -> DataFrame:
         """A curated table written out in the query."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text
 from ..operators import reconcile, resolve
+from ..session import spread
 from .base import query
 from .summaries import MONEY, month_index
 
@@ -350,7 +351,7 @@ def people(t):
     k = F.col("c_custkey")
     pick = F.element_at(F.array(*map(F.lit, GIVEN)), (k % 8 + 1).cast("int"))
     more = F.element_at(F.array(*map(F.lit, SECOND)), (F.floor(k / 8) % 4 + 1).cast("int"))
-    return (t.customer.select(k.alias("id"), F.concat_ws(" ", "c_mktsegment", F.concat(F.lit("N"), "c_nationkey")).alias("apellidos"),
+    return (spread(t.customer).select(k.alias("id"), F.concat_ws(" ", "c_mktsegment", F.concat(F.lit("N"), "c_nationkey")).alias("apellidos"),
                               F.concat(pick, more).alias("nombre"), F.col("c_mktsegment").alias("seg"))
             .withColumn("name", F.concat_ws(", ", "apellidos", "nombre"))
             .withColumn("nickname", F.when(F.col("id") % 10 == 0, F.concat(F.lit("El "), F.lower("seg")))))
@@ -466,7 +467,7 @@ def extend_spans(t):
 def observations(t):
     """Orders as observations of a name written in seven ways."""
     k = F.col("o_orderkey") % 7
-    o = (t.orders.select("o_orderkey", F.col("o_custkey").alias("id"), month_index("o_orderdate").alias("m"), F.col("o_orderpriority").alias("club"))
+    o = (spread(t.orders).select("o_orderkey", F.col("o_custkey").alias("id"), month_index("o_orderdate").alias("m"), F.col("o_orderpriority").alias("club"))
          .join(people(t), "id"))
     first = F.substring_index("nombre", " ", 1)
     raw = (F.when(k == 0, F.col("name")).when(k == 1, F.concat_ws(" ", "nombre", "apellidos"))

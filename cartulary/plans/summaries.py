@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..operators import aggregates, windows
 from ..operators.skew import top_k
+from ..session import written
 from .base import query
 
 MONEY = "decimal(18,2)"
@@ -77,8 +78,8 @@ WITH {GAMES}, n AS (SELECT season, count(*) AS n FROM g GROUP BY season),
 FROM a UNION ALL SELECT * FROM b WHERE season NOT IN (SELECT season FROM a)
 """)
 def precedence_totals(t):
-    played = aggregates.standings_from_games(games(t), "season", "team_a", "score_a", "team_b", "score_b").select(
-        "season", "team", "wins", "losses")
+    played = written(aggregates.standings_from_games(games(t), "season", "team_a", "score_a", "team_b", "score_b").select(
+        "season", "team", "wins", "losses"))
     listed = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
               .groupBy(F.year("o_orderdate").alias("season"), F.col("c_nationkey").alias("team"))
               .agg(F.count("*").alias("wins")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,3 +44,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the files outlive the executors that wrote them."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a written table in the shared folder, for results that several branches read.
+
+    Unlike a cache it survives lost executors, and its file sizes let Catalyst choose the joins after it.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table over at least as many tasks as there are cores.
+
+    For CPU-heavy row work on few or unsplittable files; a table that already has
+    enough partitions is returned as it is, so nothing is shuffled at scale.
+    Filters and column selection still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
