@@ -91,9 +91,9 @@ def sort_order(column: str, kind: str, descending: bool = False) -> Column:
     return c.desc_nulls_last() if descending else c.asc_nulls_first()
 
 
-def numbered_sort(df: DataFrame, bucket: Column, order: Sequence[Column], name: str = "position") -> DataFrame:
+def numbered_sort(df: DataFrame, buckets: Column | Sequence[Column], order: Sequence[Column], name: str = "position") -> DataFrame:
     """Row positions of the sorted table, without sorting it in one task."""
-    return numbered(df, [], bucket, order, name)
+    return numbered(df, [], buckets, order, name)
 
 
 def page(df: DataFrame, order: Sequence[Column], offset: int, size: int, total: str = "n_total") -> DataFrame:

@@ -36,32 +36,45 @@ def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int = 1, rank_c
     return out if rank_col else out.drop(name)
 
 
-def running(df: DataFrame, keys: Keys, bucket: Column, order: Sequence[Column],
+def _levels(df: DataFrame, buckets: Column | Sequence[Column]) -> tuple[DataFrame, list[str]]:
+    cols = [buckets] if isinstance(buckets, Column) else list(buckets)
+    names = [f"__b{i}" for i in range(len(cols))]
+    return df.withColumns(dict(zip(names, cols, strict=True))), names
+
+
+def running(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[Column],
             sums: Mapping[str, Column], overall: Mapping[str, str] | None = None) -> DataFrame:
     """Running totals per key in `order`, computed bucket by bucket.
 
-    `bucket` must not decrease along `order`; rows of one key spread over its
-    buckets, and only the per-bucket totals are ordered per key. `overall` names
-    columns for the key's whole total of a sum, which the bucket totals give for free.
+    `buckets` goes from coarse to fine (say day, then id range) and must not decrease
+    along `order`. Rows of one key spread over its finest buckets; each coarser level
+    only orders the totals of the level below, so neither a hot key nor a hot day
+    meets in one task. `overall` names columns for the key's whole total of a sum.
     """
-    base = df.withColumn("__b", bucket)
-    totals = base.groupBy(*keys, "__b").agg(*[F.sum(v).alias(f"__t_{n}") for n, v in sums.items()])
-    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    starts = totals.select(
-        *keys, "__b", *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__s_{n}") for n in sums],
-        *[F.sum(f"__t_{n}").over(whole).alias(name) for name, n in (overall or {}).items()])
-    inside = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = null_safe(base, starts, [*keys, "__b"])
+    base, levels = _levels(df, buckets)
+    totals = base.groupBy(*keys, *levels).agg(*[F.sum(v).alias(f"__t_{n}") for n, v in sums.items()])
+    starts = totals.select(*keys, *levels)
+    for i, level in enumerate(levels):
+        at = [*keys, *levels[:i + 1]]
+        size = totals if i + 1 == len(levels) else totals.groupBy(*at).agg(*[F.sum(f"__t_{n}").alias(f"__t_{n}") for n in sums])
+        whole = Window.partitionBy(*keys, *levels[:i])
+        before = whole.orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        prefix = size.select(
+            *at, *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__s{i}_{n}") for n in sums],
+            *([F.sum(f"__t_{n}").over(whole).alias(name) for name, n in (overall or {}).items()] if i == 0 else []))
+        starts = prefix if len(levels) == 1 else null_safe(starts, prefix, at)
+    inside = Window.partitionBy(*keys, *levels).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = null_safe(base, starts, [*keys, *levels])
     for n, v in sums.items():
-        out = out.withColumn(n, F.col(f"__s_{n}") + F.coalesce(F.sum(v).over(inside), F.lit(0)))
-    return out.drop("__b", *[f"__s_{n}" for n in sums])
+        start = sum((F.col(f"__s{i}_{n}") for i in range(1, len(levels))), F.col(f"__s0_{n}"))
+        out = out.withColumn(n, start + F.coalesce(F.sum(v).over(inside), F.lit(0)))
+    return out.drop(*levels, *[f"__s{i}_{n}" for i in range(len(levels)) for n in sums])
 
 
-def numbered(df: DataFrame, keys: Keys, bucket: Column, order: Sequence[Column], name: str = "ordinal",
+def numbered(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[Column], name: str = "ordinal",
              total: str | None = None) -> DataFrame:
     """Position 1..n of each row in its key (or, with no keys, in the table), and n when `total` names it."""
-    return running(df, keys, bucket, order, {name: F.lit(1).cast("long")}, {total: name} if total else None)
+    return running(df, keys, buckets, order, {name: F.lit(1).cast("long")}, {total: name} if total else None)
 
 
 def attach_totals(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> DataFrame:
@@ -89,14 +102,24 @@ def day_counts(df: DataFrame, keys: Keys, day: str, aggs: Mapping[str, Column])
     return df.groupBy(*keys, day).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
-def fill_down(df: DataFrame, keys: Keys, bucket: Column, order: Sequence[str], value: str, name: str) -> DataFrame:
-    """Last known value carried down each key in `order`, bucket by bucket like `running`."""
-    base = df.withColumn("__b", bucket)
-    last = base.where(F.col(value).isNotNull()).groupBy(*keys, "__b").agg(F.max_by(value, F.struct(*order)).alias("__last"))
-    spine = base.select(*keys, "__b").distinct()
-    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = null_safe(spine, last, [*keys, "__b"]).select(
-        *keys, "__b", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
-    inside = Window.partitionBy(*keys, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (null_safe(base, carry, [*keys, "__b"])
-            .withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(inside), "__carry")).drop("__b", "__carry"))
+def fill_down(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[str], value: str,
+              name: str) -> DataFrame:
+    """Last known value carried down each key in `order`, level by level like `running`."""
+    base, levels = _levels(df, buckets)
+    last = base.groupBy(*keys, *levels).agg(
+        F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("__last"))
+    starts = last.select(*keys, *levels)
+    for i, level in enumerate(levels):
+        at = [*keys, *levels[:i + 1]]
+        if i + 1 < len(levels):
+            finer = F.struct(*[F.col(c) for c in levels[i + 1:]])
+            size = last.groupBy(*at).agg(F.max_by("__last", F.when(F.col("__last").isNotNull(), finer)).alias("__last"))
+        else:
+            size = last
+        before = Window.partitionBy(*keys, *levels[:i]).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        starts = null_safe(starts, size.select(*at, F.last("__last", ignorenulls=True).over(before).alias(f"__c{i}")), at)
+    carry = [F.col(f"__c{i}") for i in reversed(range(len(levels)))]
+    inside = Window.partitionBy(*keys, *levels).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (null_safe(base, starts, [*keys, *levels])
+            .withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(inside), *carry))
+            .drop(*levels, *[f"__c{i}" for i in range(len(levels))]))

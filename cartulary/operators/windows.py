@@ -47,7 +47,9 @@ def shared_rank(df: DataFrame, measure: str, name: str = "place") -> DataFrame:
     per = df.groupBy(measure).agg(F.count("*").cast("long").alias("__n"))
     from .skew import running
 
-    bucket = -F.floor(F.log2(F.greatest(F.abs(F.col(measure).cast("double")), F.lit(1.0))) * F.signum(measure))
+    # 64 buckets per doubling of the measure, ordered like the measure itself
+    size = F.floor(F.log2(F.greatest(F.abs(F.col(measure).cast("double")), F.lit(1.0))) * 64)
+    bucket = -size * F.signum(F.col(measure).cast("double"))
     ranked = running(per, [], bucket, [F.col(measure).desc()], {"__upto": F.col("__n")})
     places = ranked.select(measure, (F.col("__upto") - F.col("__n") + 1).alias(name))
     return df.join(places, measure, "left")
@@ -62,10 +64,10 @@ def games_behind(df: DataFrame, group: Sequence[str], wins: str, losses: str, or
             .drop("__lw", "__ll"))
 
 
-def nth_occurrence(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column],
+def nth_occurrence(df: DataFrame, keys: Sequence[str], buckets: Column | Sequence[Column], order: Sequence[Column],
                    ordinal: str = "ordinal", total: str = "n_total") -> DataFrame:
     """Ordinal of a row among its key's rows, with the key's total."""
-    return numbered(df, keys, bucket, order, ordinal, total)
+    return numbered(df, keys, buckets, order, ordinal, total)
 
 
 def rank_contiguity(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:

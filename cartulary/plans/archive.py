@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..operators import quality
-from ..operators.reconcile import table_digest
 from ..operators.skew import fill_down
 from ..session import ensure_checkpoint_dir
 from ..sources import pages as pg
 from ..sources import tables as tb
 from ..streaming import ingest
 from .base import query
+from .summaries import ID_RANGE
 
 HOST = "lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1))"
 
@@ -127,7 +127,7 @@ SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IG
 """)
 def fill_down_groups(t):
     e = t.events.select("event_id", "user_id", "ts", F.when(F.col("event_type") == "signup", F.col("event_id")).alias("mark"))
-    return fill_down(e, ["user_id"], F.col("ts").cast("date"), ["ts", "event_id"], "mark", "group_label").select("event_id", "group_label")
+    return fill_down(e, ["user_id"], [F.col("ts").cast("date"), F.date_trunc("minute", "ts")], ["ts", "event_id"], "mark", "group_label").select("event_id", "group_label")
 
 
 # --- publishing and logs -----------------------------------------------------
@@ -141,7 +141,8 @@ FROM n GROUP BY o_custkey, (rn - 1) // 8
 """)
 def publish_customer_docs(t):
     o = t.orders.withColumn("pri", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")))
-    return tb.publish_entities(o, "o_custkey", ["o_orderkey", "o_orderstatus", "pri"], F.trunc("o_orderdate", "month"),
+    return tb.publish_entities(o, "o_custkey", ["o_orderkey", "o_orderstatus", "pri"],
+                               [F.col("o_orderdate"), F.floor(F.col("o_orderkey") / ID_RANGE)],
                                [F.col("o_orderdate"), F.col("o_orderkey")], 8)
 
 
@@ -155,20 +156,50 @@ def upsert_orders_log(t):
     return tb.upsert_log(old, new, ["o_orderkey"])
 
 
+SECTIONS = """
+SELECT {e} AS entity, '{n}' AS section, CAST((rn - 1) // 50 AS INT) AS part, '{{"count":' || count(*) || ',"entity":' || {e} || ',"part":' || (rn - 1) // 50 || ',"rows":[' ||
+  string_agg({row}, ',' ORDER BY rn) || ']}}' AS doc FROM ({src}) GROUP BY {e}, (rn - 1) // 50"""
+
+
+@query("publish_nation_sections", SECTIONS.format(
+    e="c_nationkey", n="customers", row="""'{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}'""",
+    src="SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer") + " UNION ALL " + SECTIONS.format(
+    e="s_nationkey", n="suppliers", row="""'{"s_suppkey":' || s_suppkey || '}'""",
+    src="SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS rn FROM supplier"))
+def publish_nation_sections(t):
+    return tb.publish_sections({
+        "customers": tb.Section(t.customer.withColumnRenamed("c_nationkey", "entity"), ["c_custkey", "c_mktsegment"],
+                                F.floor(F.col("c_custkey") / ID_RANGE), [F.col("c_custkey")]),
+        "suppliers": tb.Section(t.supplier.withColumnRenamed("s_nationkey", "entity"), ["s_suppkey"],
+                                F.floor(F.col("s_suppkey") / ID_RANGE), [F.col("s_suppkey")]),
+    }, "entity", 50)
+
+
 MANIFEST = ("customer", "nation", "region", "supplier")
 _COLS = {"customer": "c_acctbal c_custkey c_mktsegment c_name c_nationkey", "nation": "n_name n_nationkey n_regionkey",
          "region": "r_name r_regionkey", "supplier": "s_acctbal s_name s_nationkey s_suppkey"}
 
 
-@query("table_manifest", " UNION ALL ".join(f"""
+TABLE_ROWS = " UNION ALL ".join(f"""
 SELECT '{x}' AS table_name, count(*) AS n_rows, bit_xor(('0x' || substr(d, 1, 15))::BIGINT) AS xor_1, sum(('0x' || substr(d, 16, 12))::BIGINT)::VARCHAR AS sum_2
-FROM (SELECT sha256(to_json({{{', '.join(f"'{c}': {c}" for c in _COLS[x].split())}}})::VARCHAR) AS d FROM {x})""" for x in MANIFEST))
+FROM (SELECT sha256(to_json({{{', '.join(f"'{c}': {c}" for c in _COLS[x].split())}}})::VARCHAR) AS d FROM {x})""" for x in MANIFEST)
+
+
+def manifest_tables(t):
+    return {x: getattr(t, x) for x in MANIFEST}
+
+
+@query("table_manifest", TABLE_ROWS)
 def table_manifest(t):
-    from functools import reduce
+    return tb.manifest(manifest_tables(t))
 
-    parts = [table_digest(getattr(t, x)).select(F.lit(x).alias("table_name"), "n_rows", "xor_1", F.col("sum_2").cast("string").alias("sum_2"))
-             for x in MANIFEST]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+
+@query("archive_version", f"""
+WITH m AS ({TABLE_ROWS})
+SELECT sha256('rev-1|' || string_agg(table_name || ':' || n_rows || ':' || xor_1 || ':' || sum_2, '|' ORDER BY table_name)) AS version, sum(n_rows)::BIGINT AS n_rows FROM m
+""")
+def archive_version(t):
+    return tb.version(tb.manifest(manifest_tables(t)), "rev-1")
 
 
 # --- checks --------------------------------------------------------------------

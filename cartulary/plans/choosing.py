@@ -251,10 +251,9 @@ SELECT doc_id, quality, n_chars, row_number() OVER (ORDER BY quality ASC NULLS F
 """)
 def sorted_nulls(t):
     rows = t.documents.select("doc_id", "n_chars").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
-    bucket = F.struct(F.coalesce("quality", F.lit(-1)).alias("q"),
-                      (-F.floor(F.col("n_chars") / 64)).alias("n"))
+    buckets = [F.coalesce("quality", F.lit(-1)), -F.floor(F.col("n_chars") / 64)]
     order = [select.sort_order("quality", "number"), select.sort_order("n_chars", "number", True), F.col("doc_id")]
-    return select.numbered_sort(rows, bucket, order)
+    return select.numbered_sort(rows, buckets, order)
 
 
 @query("page_orders", """
@@ -335,3 +334,13 @@ def fill_gaps(t):
     base = t.orders.where(F.col("o_orderkey") % 3 == 0).select("o_orderkey", F.col("o_orderstatus").alias("label"))
     more = t.orders.where(F.col("o_orderkey") % 2 == 0).select("o_orderkey", F.col("o_orderpriority").alias("label"))
     return sets.fill_gaps(base, more, ["o_orderkey"], value="label")
+
+
+@query("key_gaps", """
+SELECT o_orderkey AS k, 'left_only' AS side FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 25)
+UNION ALL SELECT DISTINCT l_orderkey, 'right_only' FROM lineitem WHERE l_quantity > 25 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+""")
+def key_gaps(t):
+    ledger = t.orders.select(F.col("o_orderkey").alias("k"))
+    lines = t.lineitem.where(F.col("l_quantity") > 25).select(F.col("l_orderkey").alias("k")).distinct()
+    return sets.key_differences(ledger, lines, ["k"])

@@ -11,6 +11,7 @@ from ..session import written
 from .base import query
 
 MONEY = "decimal(18,2)"
+ID_RANGE = 65536  # rows one numbering bucket can hold, as ids are unique
 
 
 def month_index(c):
@@ -338,7 +339,7 @@ SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY
 """)
 def nth_order(t):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return windows.nth_occurrence(o, ["o_custkey"], F.trunc("o_orderdate", "month"),
+    return windows.nth_occurrence(o, ["o_custkey"], [F.col("o_orderdate"), F.floor(F.col("o_orderkey") / ID_RANGE)],
                                   [F.col("o_orderdate"), F.col("o_orderkey")]).drop("o_orderdate")
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.reconcile import table_digest
 from ..operators.skew import numbered, top_k
 
 CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "encoding": "UTF-8", "nullValue": "", "emptyValue": ""}
@@ -54,14 +57,14 @@ def listing_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select("file", "row_no", *[F.try_element_at("fields", F.lit(n)).alias(n) for n in names])
 
 
-def publish_entities(df: DataFrame, entity: str, fields: Sequence[str], bucket: Column, order: Sequence[Column],
-                     size: int = 1000) -> DataFrame:
+def publish_entities(df: DataFrame, entity: str, fields: Sequence[str], buckets: Column | Sequence[Column],
+                     order: Sequence[Column], size: int = 1000) -> DataFrame:
     """One nested JSON record per entity, its rows sorted, in parts of `size` rows.
 
     An entity with very many rows becomes several parts, so no record is unbounded and
     none is cut. Keys are sorted, unknown values stay null.
     """
-    n = numbered(df, [entity], bucket, order, "__n")
+    n = numbered(df, [entity], buckets, order, "__n")
     rows = n.select(entity, F.floor((F.col("__n") - 1) / size).cast("int").alias("part"), "__n",
                     F.struct(*[F.col(f) for f in sorted(fields)]).alias("r"))
     packed = rows.groupBy(entity, "part").agg(F.sort_array(F.collect_list(F.struct("__n", "r"))).alias("__a"))
@@ -69,6 +72,35 @@ def publish_entities(df: DataFrame, entity: str, fields: Sequence[str], bucket:
     return packed.select(entity, "part", F.to_json(body, {"ignoreNullFields": "false"}).alias("doc"))
 
 
+class Section(NamedTuple):
+    rows: DataFrame
+    fields: Sequence[str]
+    buckets: Column | Sequence[Column]
+    order: Sequence[Column]
+
+
+def publish_sections(sections: Mapping[str, Section], entity: str, size: int = 1000) -> DataFrame:
+    """The full record of an entity (career, observations, box scores, ...) as one document per section and part."""
+    parts = [publish_entities(s.rows, entity, s.fields, s.buckets, s.order, size)
+             .select(entity, F.lit(name).alias("section"), "part", "doc") for name, s in sections.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row count and content digest of every table."""
+    parts = [table_digest(df).select(F.lit(name).alias("table_name"), "n_rows", "xor_1", F.col("sum_2").cast("string").alias("sum_2"))
+             for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def version(manifest_rows: DataFrame, revision: str) -> DataFrame:
+    """One version for the whole archive: it changes with any row of any table and with the build revision."""
+    line = F.concat_ws(":", "table_name", "n_rows", "xor_1", "sum_2")
+    return manifest_rows.agg(
+        F.sha2(F.concat(F.lit(revision + "|"), F.array_join(F.sort_array(F.collect_list(line)), "|")), 256).alias("version"),
+        F.sum("n_rows").alias("n_rows"))
+
+
 def upsert_log(old: DataFrame, new: DataFrame, keys: Sequence[str], tie: Sequence[Column] = ()) -> DataFrame:
     """History log: what was logged stays, the newer batch wins per key. Needs a `batch` column on neither side."""
     both = old.withColumn("__batch", F.lit(0)).unionByName(new.withColumn("__batch", F.lit(1)), allowMissingColumns=True)
