@@ -16,8 +16,8 @@ def standings_from_games(games: DataFrame, season: str, team_a: str, score_a: st
         F.struct(F.col(team_a).alias("team"), (F.col(score_a) > F.col(score_b)).alias("won")),
         F.struct(F.col(team_b).alias("team"), (F.col(score_b) > F.col(score_a)).alias("won")))
     table = (games.where(F.col(score_a).isNotNull() & F.col(score_b).isNotNull())
-             .select(season, F.explode(sides).alias("s")).groupBy(season, "s.team")
-             .agg(F.count_if("s.won").alias("wins"), F.count_if(~F.col("s.won")).alias("losses")))
+             .select(season, F.explode(sides).alias("__s")).groupBy(season, "__s.team")
+             .agg(F.count_if("__s.won").alias("wins"), F.count_if(~F.col("__s.won")).alias("losses")))
     order = Window.partitionBy(season).orderBy(
         (F.col("wins") / (F.col("wins") + F.col("losses"))).desc(), F.col("wins").desc(), "team")
     return table.withColumn("position", F.row_number().over(order))
@@ -105,10 +105,10 @@ def compact_ranges(df: DataFrame, keys: Sequence[str], number: str, name: str =
     w = Window.partitionBy(*keys).orderBy(number)
     islands = (df.select(*keys, number).distinct()
                .withColumn("__g", F.col(number) - F.row_number().over(w))
-               .groupBy(*keys, "__g").agg(F.min(number).alias("a"), F.max(number).alias("b")))
-    label = F.when(F.col("a") == F.col("b"), F.col("a").cast("string")).otherwise(F.concat_ws("-", "a", "b"))
+               .groupBy(*keys, "__g").agg(F.min(number).alias("__a"), F.max(number).alias("__b")))
+    label = F.when(F.col("__a") == F.col("__b"), F.col("__a").cast("string")).otherwise(F.concat_ws("-", "__a", "__b"))
     return (islands.groupBy(*keys)
-            .agg(F.sort_array(F.collect_list(F.struct("a", label.alias("t")))).alias("__r"), F.count("*").alias("n_ranges"))
+            .agg(F.sort_array(F.collect_list(F.struct("__a", label.alias("t")))).alias("__r"), F.count("*").alias("n_ranges"))
             .withColumn(name, F.array_join(F.transform("__r", lambda r: r["t"]), ", ")).drop("__r"))
 
 
@@ -116,8 +116,8 @@ def title_summary(finals: DataFrame, period: str, winner: str, runner_up: str) -
     """Titles, finals lost, win share, last title and drought per club. One row per period goes in."""
     sides = (finals.select(period, F.explode(F.array(
         F.struct(F.col(winner).alias("club"), F.lit(True).alias("won")),
-        F.struct(F.col(runner_up).alias("club"), F.lit(False).alias("won")))).alias("s"))
-        .select(period, "s.*").where(F.col("club").isNotNull()))
+        F.struct(F.col(runner_up).alias("club"), F.lit(False).alias("won")))).alias("__s"))
+        .select(period, "__s.*").where(F.col("club").isNotNull()))
     latest = finals.agg(F.max(period)).scalar()
     return (sides.groupBy("club")
             .agg(F.count_if("won").alias("titles"), F.count_if(~F.col("won")).alias("finals_lost"),

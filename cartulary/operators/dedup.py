@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import attach_totals, null_safe, top_k
+from .skew import attach_totals, top_k
 
 
 class Latest(NamedTuple):
@@ -24,14 +24,16 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str], compar
     never gathered into one row.
     """
     known = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in compared])
-    variants = df.groupBy(*keys, *compared).agg(F.count("*").alias("n_captures"))
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    newest = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("__x"))
-    counts = variants.groupBy(*keys).agg(
-        F.sum("n_captures").alias("n_captures"), F.count_if(known).alias("n_variants"))
-    latest = (null_safe(newest.select(*keys, "__x.*"), counts, keys)
+    rest = [c for c in df.columns if c not in keys and c not in order and c not in compared]
+    # newest row and count per distinct value first; the keys are then folded from those
+    values = df.groupBy(*keys, *compared).agg(
+        F.max(F.struct(*order, *rest)).alias("__x"), F.count("*").alias("n_captures"))
+    latest = (values.groupBy(*keys)
+              .agg(F.max(F.struct("__x", *compared)).alias("__y"), F.sum("n_captures").alias("n_captures"),
+                   F.count_if(known).alias("n_variants"))
+              .select(*keys, "__y.__x.*", *[F.col(f"__y.{c}") for c in compared], "n_captures", "n_variants")
               .withColumn("confidence", F.when(F.col("n_variants") > 1, "disputed").otherwise("single-source")))
-    return Latest(latest, variants)
+    return Latest(latest, values.drop("__x"))
 
 
 def latest_batch(df: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:

@@ -106,12 +106,12 @@ def family_shape_candidates(obs: DataFrame, canon: DataFrame, obs_id: str, ident
     equi key; the canonical side is reduced to one row per key first.
     """
     stats = family_build(canon, [ident], family, given).groupBy("__f", "__g").agg(
-        F.count("*").alias("n"), F.min(ident).alias("lo"), F.max(ident).alias("hi"))
+        F.count("*").alias("__n"), F.min(ident).alias("__lo"), F.max(ident).alias("__hi"))
     per = (family_probe(obs, [obs_id], family, given).join(stats, ["__f", "__g"]).groupBy(obs_id)
-           .agg(F.sum("n").alias("n_candidates"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+           .agg(F.sum("__n").alias("n_candidates"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")))
     return (obs.join(per, obs_id, "left")
             .withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0).cast("long")))
-            .withColumn("candidate_id", F.when(F.col("lo") == F.col("hi"), F.col("lo"))).drop("lo", "hi"))
+            .withColumn("candidate_id", F.when(F.col("__lo") == F.col("__hi"), F.col("__lo"))).drop("__lo", "__hi"))
 
 
 def name_splits(tokens: Column) -> Column:
@@ -133,8 +133,8 @@ def span_corroboration(obs: DataFrame, candidates: DataFrame, key: str, period:
     one, num = F.lit(1).cast("long"), F.col(ident).cast("decimal(38,0)")
     steps = (candidates.select(key, F.explode(F.array(
         F.struct((F.col(lo) - slack).alias("__p"), one.alias("__n"), num.alias("__i")),
-        F.struct((F.col(hi) + slack + 1).alias("__p"), (-one).alias("__n"), (-num).alias("__i")))).alias("s"))
-        .select(key, "s.*").groupBy(key, "__p").agg(F.sum("__n").alias("__n"), F.sum("__i").alias("__i")))
+        F.struct((F.col(hi) + slack + 1).alias("__p"), (-one).alias("__n"), (-num).alias("__i")))).alias("__s"))
+        .select(key, "__s.*").groupBy(key, "__p").agg(F.sum("__n").alias("__n"), F.sum("__i").alias("__i")))
     asked = obs.select(key, F.col(period).alias("__p")).distinct().withColumn("__ask", F.lit(True))
     both = steps.withColumn("__ask", F.lit(False)).unionByName(
         asked.withColumns({"__n": F.lit(0).cast("long"), "__i": F.lit(0).cast("decimal(38,0)")}),

@@ -66,8 +66,8 @@ def reconcile_two(first: DataFrame, second: DataFrame, keys: Sequence[str], slot
                  .select(*keys, F.explode(F.array(*[F.struct(
                      F.lit(s).alias("slot"), F.col(f"__x_{s}").alias("x"),
                      F.col(f"{s}_{a_name}").cast("string").alias("value_a"),
-                     F.col(f"{s}_{b_name}").cast("string").alias("value_b")) for s in slots])).alias("c"))
-                 .where("c.x").select(*keys, "c.slot", "c.value_a", "c.value_b"))
+                     F.col(f"{s}_{b_name}").cast("string").alias("value_b")) for s in slots])).alias("__c"))
+                 .where("__c.x").select(*keys, "__c.slot", "__c.value_a", "__c.value_b"))
     return Reconciled(rows, conflicts)
 
 

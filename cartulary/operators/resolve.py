@@ -57,7 +57,7 @@ def alias_table(canon: DataFrame, ident: str, name: str, family: str, given: str
         kinds += [("paternal_surname", comma(s, giv)), ("given_first_only", F.when(first != giv, comma(s, first))),
                   ("initial", comma(s, F.concat(F.substring(first, 1, 1), F.lit("."))))]
     packed = F.array(*[F.struct(F.lit(k).alias("alias_type"), squish(a).alias("alias")) for k, a in kinds])
-    out = (canon.select(ident, F.explode(packed).alias("a")).select(ident, "a.alias_type", "a.alias")
+    out = (canon.select(ident, F.explode(packed).alias("__a")).select(ident, "__a.alias_type", "__a.alias")
            .where(F.col("alias") != "").withColumn("normalized_alias", normalize_name("alias")))
     return out.groupBy(ident, "normalized_alias", "alias_type").agg(F.min("alias").alias("alias"))
 
@@ -138,7 +138,7 @@ def fill_empty(spine: DataFrame, source: DataFrame, key: str, fields: Sequence[s
     rows = both.select(*[F.coalesce(F.col(c), F.col(f"__s_{c}")).alias(c) if c in fields else F.col(c) for c in spine.columns])
     packed = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("kept"),
                                 F.col(f"__s_{f}").cast("string").alias("offered")) for f in fields])
-    long = both.select(key, F.explode(packed).alias("x")).select(key, "x.*").where(F.col("offered").isNotNull())
+    long = both.select(key, F.explode(packed).alias("__x")).select(key, "__x.*").where(F.col("offered").isNotNull())
     return Filled(rows, long.where(F.col("kept").isNull()).select(key, "field", F.col("offered").alias("value")),
                   long.where(F.col("kept") != F.col("offered")), source.join(spine, key, "left_anti"))
 
@@ -241,10 +241,12 @@ def resolve_observations(obs: DataFrame, index: DataFrame, spans: DataFrame, car
 
     weaker = F.array_compact(F.array(key("clip_a", "a", "clip_alias"), key("clip_k", "k", "clip_name"),
                                      key("trunc", "t", "trunc_key"), key("surname", "s", "surname_key")))
-    rest = (out.where(F.col("ckey").isNull()).select(row_id, period, club, F.explode(weaker).alias("k"))
-            .select(row_id, period, club, "k.tag", "k.ckey").join(sizes.select("ckey"), "ckey", "left_semi"))
+    rest = (out.where(F.col("ckey").isNull()).select(row_id, period, club, F.explode(weaker).alias("__k"))
+            .select(row_id, period, club, "__k.tag", "__k.ckey").join(sizes.select("ckey"), "ckey", "left_semi"))
     asked = (out.where(F.col("ckey").isNotNull()).select(row_id, period, club, F.lit("main").alias("tag"), "ckey")
              .unionByName(rest))
+    # keys nobody asks for (most prefixes) leave before the index meets spans and careers
+    index = written(index.join(asked.select("ckey").distinct(), "ckey", "left_semi"))
     spanned = index.join(spans, ident).select("ckey", ident, "lo", "hi")
     asked = span_corroboration(asked, spanned, "ckey", period, ident, "lo", "hi")
     near = (career.where(F.col(club).isNotNull()).select(ident, club, F.explode(F.sequence(F.col(period) - 1, F.col(period) + 1)).alias(period))
@@ -298,30 +300,30 @@ def match_tiers(obs: DataFrame, canon: DataFrame, row_id: str, ident: str, prior
     probe = family_probe(obs, [row_id, "exact_birth", "approx_birth"])
     build = family_build(canon, [ident, "birth_year"])
     sizes = build.groupBy("__f", "__g").agg(
-        F.count("*").alias("n"), F.count_if(F.col("birth_year").isNull()).alias("n_blank"), F.min(ident).alias("lo"),
-        F.min(F.when(F.col("birth_year").isNull(), F.col(ident))).alias("lo_blank"))
+        F.count("*").alias("__n"), F.count_if(F.col("birth_year").isNull()).alias("__n_blank"), F.min(ident).alias("__lo"),
+        F.min(F.when(F.col("birth_year").isNull(), F.col(ident))).alias("__lo_blank"))
     by_year = build.where(F.col("birth_year").isNotNull()).groupBy("__f", "__g", "birth_year").agg(
-        F.count("*").alias("n_agree"), F.min(ident).alias("lo_agree"))
+        F.count("*").alias("__n_agree"), F.min(ident).alias("__lo_agree"))
     years = F.when(F.col("exact_birth").isNotNull(), F.array("exact_birth")).when(
         F.col("approx_birth").isNotNull(), F.array(F.col("approx_birth") - 1, F.col("approx_birth"), F.col("approx_birth") + 1))
     agree = (probe.withColumn("birth_year", F.explode(years)).join(by_year, ["__f", "__g", "birth_year"])
-             .groupBy(row_id).agg(F.sum("n_agree").alias("n_agree"), F.min("lo_agree").alias("lo_agree")))
+             .groupBy(row_id).agg(F.sum("__n_agree").alias("__n_agree"), F.min("__lo_agree").alias("__lo_agree")))
     total = (probe.join(sizes, ["__f", "__g"]).groupBy(row_id)
-             .agg(F.sum("n").alias("n"), F.sum("n_blank").alias("n_blank"), F.min("lo").alias("lo"), F.min("lo_blank").alias("lo_blank")))
-    out = obs.join(total, row_id, "left").join(agree, row_id, "left").fillna(0, ["n", "n_blank", "n_agree"])
+             .agg(F.sum("__n").alias("__n"), F.sum("__n_blank").alias("__n_blank"), F.min("__lo").alias("__lo"), F.min("__lo_blank").alias("__lo_blank")))
+    out = obs.join(total, row_id, "left").join(agree, row_id, "left").fillna(0, ["__n", "__n_blank", "__n_agree"])
     silent = F.col("exact_birth").isNull() & F.col("approx_birth").isNull()
-    against = F.col("n") - F.col("n_blank") - F.col("n_agree")
-    tier = (F.when(F.col("n") == 0, "5_no_canonical_match")
-            .when(silent & (F.col("n") == 1), "3_no_birth_data_name_shape").when(silent, "4_ambiguous_multi_candidate")
-            .when((F.col("n_agree") == 1) & F.col("exact_birth").isNotNull(), "1_exact_birth_confirmed")
-            .when(F.col("n_agree") == 1, "2_approx_birth_confirmed")
-            .when(F.col("n_agree") > 1, "4_ambiguous_multi_candidate")
-            .when((F.col("n_blank") == 1) & (against == 0), "3_no_birth_data_name_shape")
-            .when(F.col("n_blank") > 0, "4_ambiguous_multi_candidate").otherwise("5_no_canonical_match"))
-    proposed = (F.when(F.col("tier").startswith("1") | F.col("tier").startswith("2"), F.col("lo_agree"))
-                .when(F.col("tier").startswith("3"), F.when(silent, F.col("lo")).otherwise(F.col("lo_blank"))))
+    against = F.col("__n") - F.col("__n_blank") - F.col("__n_agree")
+    tier = (F.when(F.col("__n") == 0, "5_no_canonical_match")
+            .when(silent & (F.col("__n") == 1), "3_no_birth_data_name_shape").when(silent, "4_ambiguous_multi_candidate")
+            .when((F.col("__n_agree") == 1) & F.col("exact_birth").isNotNull(), "1_exact_birth_confirmed")
+            .when(F.col("__n_agree") == 1, "2_approx_birth_confirmed")
+            .when(F.col("__n_agree") > 1, "4_ambiguous_multi_candidate")
+            .when((F.col("__n_blank") == 1) & (against == 0), "3_no_birth_data_name_shape")
+            .when(F.col("__n_blank") > 0, "4_ambiguous_multi_candidate").otherwise("5_no_canonical_match"))
+    proposed = (F.when(F.col("tier").startswith("1") | F.col("tier").startswith("2"), F.col("__lo_agree"))
+                .when(F.col("tier").startswith("3"), F.when(silent, F.col("__lo")).otherwise(F.col("__lo_blank"))))
     out = out.withColumn("tier", tier).withColumn("candidate_id", proposed).select(
-        *obs.columns, "tier", "candidate_id", F.col("n").alias("n_candidates"))
+        *obs.columns, "tier", "candidate_id", F.col("__n").alias("n_candidates"))
     if prior is not None:
         out = out.join(prior.select(row_id, "disposition"), row_id, "left")
     return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,23 @@ def dataset_query(df: DataFrame, order: Sequence[Column], year: str | None = Non
     return out if limit is None else out.orderBy(*order).limit(limit)
 
 
+class Dataset(NamedTuple):
+    """A named dataset of the query form: its rows, full order, and which columns hold year and club."""
+
+    rows: DataFrame
+    order: Sequence[Column]
+    year: str | None = None
+    club_columns: Sequence[str] = ()
+
+
+def query_named(datasets: Mapping[str, Dataset], name: str, **filters) -> DataFrame:
+    """`dataset_query` over a dataset picked by name; an unknown name is an error that lists the known ones."""
+    if name not in datasets:
+        raise KeyError(f"no dataset {name!r}; there are {sorted(datasets)}")
+    d = datasets[name]
+    return dataset_query(d.rows, d.order, year=d.year, club_columns=d.club_columns, **filters)
+
+
 def token_search(df: DataFrame, columns: Sequence[str], words: str) -> DataFrame:
     """Every word of the query occurs somewhere in the folded text."""
     folded = search_fold(F.concat_ws(" ", *columns))

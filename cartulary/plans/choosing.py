@@ -58,9 +58,8 @@ def qb_seasons(t):
     rows = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
             .select("o_orderkey", "c_name", "c_mktsegment",
                     F.when(F.col("o_orderkey") % 11 != 0, F.year("o_orderdate")).alias("season")))
-    return select.dataset_query(
-        rows, [F.col("season").desc_nulls_last(), F.col("o_orderkey")], year="season", year_from=1997, year_to=1998,
-        club="Mach", club_columns=["c_mktsegment"], contains="#0000001", limit=50)
+    datasets = {"orders": select.Dataset(rows, [F.col("season").desc_nulls_last(), F.col("o_orderkey")], "season", ["c_mktsegment"])}
+    return select.query_named(datasets, "orders", year_from=1997, year_to=1998, club="Mach", contains="#0000001", limit=50)
 
 
 @query("search_parts", """

@@ -92,13 +92,13 @@ def candidate_parts(t):
     return joins.family_shape_candidates(obs, canon, "obs_id", "id").select("obs_id", "n_candidates", "candidate_id")
 
 
-@query("corroborated_events", """
+@query("corroborated_orders", """
 WITH c AS (SELECT user_id, user_id % 40 AS k, min(ts::DATE) - 1 AS lo, max(ts::DATE) + 1 AS hi FROM events
    WHERE event_type = 'signup' GROUP BY ALL)
 SELECT event_id, count(c.user_id) AS n_in_span, CASE WHEN count(c.user_id) = 1 THEN min(c.user_id) END AS survivor_id
 FROM events e LEFT JOIN c ON e.user_id % 40 = c.k AND e.ts::DATE BETWEEN lo AND hi WHERE event_type = 'error' GROUP BY event_id
 """)
-def corroborated_events(t):
+def corroborated_orders(t):
     day = F.unix_date(F.col("ts").cast("date")).alias("day")
     rows = t.events.select("event_id", "user_id", "event_type", (F.col("user_id") % 40).alias("name_key"), day)
     spans = (rows.where(F.col("event_type") == "signup").groupBy("name_key", "user_id")
@@ -219,17 +219,28 @@ def criteria_grid(t):
         {"finished": F.col("f"), "urgent": F.col("u"), "big_order": F.col("big")}, "c_custkey")
 
 
-@query("comparable_customers", """
-WITH c AS (SELECT c_custkey, c_nationkey AS nation, CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer)
-SELECT a.c_custkey, a.nation, a.cents,
+COMPARABLE = """
+WITH c AS (SELECT {k}, {n} AS nation, CAST(round({v} * 100) AS BIGINT) AS cents FROM {t})
+SELECT a.{k}, a.nation, a.cents,
   count(b.cents) FILTER (WHERE a.cents > b.cents AND a.cents - b.cents >= 100 AND (a.cents - b.cents) * 50 >= a.cents) AS n_below,
   count(b.cents) FILTER (WHERE b.cents > a.cents AND b.cents - a.cents >= 100 AND (b.cents - a.cents) * 50 >= b.cents) AS n_above
 FROM c a JOIN c b USING (nation) GROUP BY ALL
-""")
+"""
+
+
+def _comparable(df, ident, nation, balance):
+    c = df.select(ident, F.col(nation).alias("nation"), F.round(F.col(balance) * 100).cast("long").alias("cents"))
+    return joins.comparable_counts(c, "nation", "cents", ident)
+
+
+@query("comparable_suppliers", COMPARABLE.format(k="s_suppkey", n="s_nationkey", v="s_acctbal", t="supplier"))
+def comparable_suppliers(t):
+    return _comparable(t.supplier, "s_suppkey", "s_nationkey", "s_acctbal")
+
+
+@query("comparable_customers", COMPARABLE.format(k="c_custkey", n="c_nationkey", v="c_acctbal", t="customer"))
 def comparable_customers(t):
-    c = t.customer.select("c_custkey", F.col("c_nationkey").alias("nation"),
-                          F.round(F.col("c_acctbal") * 100).cast("long").alias("cents"))
-    return joins.comparable_counts(c, "nation", "cents", "c_custkey")
+    return _comparable(t.customer, "c_custkey", "c_nationkey", "c_acctbal")
 
 
 @query("customers_with_urgent", """

@@ -21,9 +21,9 @@ def _headers_and_lines(t):
               .select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("state"),
                       F.floor(F.col("o_totalprice") / 100000).alias("band")))
     lines = (t.lineitem.groupBy(F.col("l_orderkey").alias("order_key"))
-             .agg(F.min("l_linestatus").alias("lo"), F.max("l_linestatus").alias("hi"),
+             .agg(F.bool_and(F.col("l_linestatus") == "F").alias("done"), F.bool_and(F.col("l_linestatus") == "O").alias("open"),
                   F.floor(F.sum(F.col("l_extendedprice").cast(MONEY)) / 100000).cast("long").alias("band"))
-             .select("order_key", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise("P").alias("state"), "band"))
+             .select("order_key", F.when(F.col("done"), "F").when(F.col("open"), "O").otherwise("P").alias("state"), "band"))
     return header, lines
 
 

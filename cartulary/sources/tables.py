@@ -66,9 +66,9 @@ def publish_entities(df: DataFrame, entity: str, fields: Sequence[str], buckets:
     """
     n = numbered(df, [entity], buckets, order, "__n")
     rows = n.select(entity, F.floor((F.col("__n") - 1) / size).cast("int").alias("part"), "__n",
-                    F.struct(*[F.col(f) for f in sorted(fields)]).alias("r"))
-    packed = rows.groupBy(entity, "part").agg(F.sort_array(F.collect_list(F.struct("__n", "r"))).alias("__a"))
-    body = F.struct(F.size("__a").alias("count"), F.col(entity), "part", F.transform("__a", lambda x: x["r"]).alias("rows"))
+                    F.struct(*[F.col(f) for f in sorted(fields)]).alias("__r"))
+    packed = rows.groupBy(entity, "part").agg(F.sort_array(F.collect_list(F.struct("__n", "__r"))).alias("__a"))
+    body = F.struct(F.size("__a").alias("count"), F.col(entity), "part", F.transform("__a", lambda x: x["__r"]).alias("rows"))
     return packed.select(entity, "part", F.to_json(body, {"ignoreNullFields": "false"}).alias("doc"))
 
 

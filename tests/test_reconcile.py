@@ -10,14 +10,14 @@ from cartulary.operators import reconcile
 
 CAREER = "pid long, season int, team string, games int, points int, source string, url string"
 LEDGER = [
-    (1, 2005, "Rayos, Rio", 20, 300, "ficha", "u1"), (1, 2005, "RIO", 20, 300, "jug", "j1"),          # equal twin: folded
-    (2, 2005, "Rayos, Rio", 20, 300, "ficha", "u2"), (2, 2005, "RIO", 20, 301, "jug", "j2"),          # differing twin: conflict
-    (3, 2005, "Rayos, Rio", 9, 90, "ficha", "u3"), (3, 2005, "Osos, Rio", 9, 90, "jug", "j3"),        # two named clubs: never
-    (4, 2005, "Rayos, Rio", None, None, "ficha", "u4"), (4, 2005, "RIO", None, None, "jug", "j4"),    # unknown = unknown
-    (5, 2005, "Rayos, Rio", 0, 0, "ficha", "u5"), (5, 2005, "RIO", None, None, "jug", "j5"),          # unknown is not zero
-    (6, 2005, "Rayos, Rio", 9, 90, "ficha", "u6"), (6, 2005, "Osos, Mar", 9, 90, "jug", "j6"),        # trade, equal stats: other city
-    (7, 2005, "RIO", 9, 90, "jug", "j7"), (7, 2005, "Rayos, Rio", 9, 90, "jug", "j8"),                # one source: never
-    (8, 2005, "RIO", 5, 50, "ficha", "u8"), (8, 2005, "Osos, Rio", 5, 50, "jug", "j9"),               # bare city names no club
+    (1, 2005, "Rayos, Rio", 20, 300, "main", "u1"), (1, 2005, "RIO", 20, 300, "extra", "j1"),          # equal twin: folded
+    (2, 2005, "Rayos, Rio", 20, 300, "main", "u2"), (2, 2005, "RIO", 20, 301, "extra", "j2"),          # differing twin: conflict
+    (3, 2005, "Rayos, Rio", 9, 90, "main", "u3"), (3, 2005, "Osos, Rio", 9, 90, "extra", "j3"),        # two named clubs: never
+    (4, 2005, "Rayos, Rio", None, None, "main", "u4"), (4, 2005, "RIO", None, None, "extra", "j4"),    # unknown = unknown
+    (5, 2005, "Rayos, Rio", 0, 0, "main", "u5"), (5, 2005, "RIO", None, None, "extra", "j5"),          # unknown is not zero
+    (6, 2005, "Rayos, Rio", 9, 90, "main", "u6"), (6, 2005, "Osos, Mar", 9, 90, "extra", "j6"),        # trade, equal stats: other city
+    (7, 2005, "RIO", 9, 90, "extra", "j7"), (7, 2005, "Rayos, Rio", 9, 90, "extra", "j8"),                # one source: never
+    (8, 2005, "RIO", 5, 50, "main", "u8"), (8, 2005, "Osos, Rio", 5, 50, "extra", "j9"),               # bare city names no club
 ]
 
 
@@ -26,7 +26,7 @@ def nick():
 
 
 def fold(df):
-    return reconcile.fold_cross_source(df, "pid", "season", "team", ["games", "points"], "source", "jug", nick())
+    return reconcile.fold_cross_source(df, "pid", "season", "team", ["games", "points"], "source", "extra", nick())
 
 
 @pytest.fixture(scope="module")
@@ -51,25 +51,25 @@ def test_fold_ignores_input_order_and_is_idempotent(spark, ledger):
 
 
 def test_season_totals(spark):
-    data = [(1, 2005, 10, 100, "ficha"), (1, 2005, 5, 40, "ficha"), (1, 2005, 15, 140, "jug"),      # the sum
-            (2, 2005, 10, 100, "ficha"), (2, 2005, 5, 40, "ficha"), (2, 2005, 15, 141, "jug"),      # only games equal
-            (3, 2005, 15, 140, "ficha"), (3, 2005, 15, 140, "jug"),                                 # one row only
-            (4, 2005, 15, 140, "ficha"), (4, 2005, 0, 0, "ficha"), (4, 2005, 15, 140, "jug"),       # equals a single row
-            (5, 2005, 10, 100, "ficha"), (5, 2005, None, 40, "ficha"), (5, 2005, 10, 140, "jug")]   # a blank figure
+    data = [(1, 2005, 10, 100, "main"), (1, 2005, 5, 40, "main"), (1, 2005, 15, 140, "extra"),      # the sum
+            (2, 2005, 10, 100, "main"), (2, 2005, 5, 40, "main"), (2, 2005, 15, 141, "extra"),      # only games equal
+            (3, 2005, 15, 140, "main"), (3, 2005, 15, 140, "extra"),                                 # one row only
+            (4, 2005, 15, 140, "main"), (4, 2005, 0, 0, "main"), (4, 2005, 15, 140, "extra"),       # equals a single row
+            (5, 2005, 10, 100, "main"), (5, 2005, None, 40, "main"), (5, 2005, 10, 140, "extra")]   # a blank figure
     df = spark.createDataFrame(data, "pid int, season int, games int, points int, source string")
-    s = reconcile.fold_totals(df, ["pid", "season"], ["games", "points"], "source", "ficha", "jug")
+    s = reconcile.fold_totals(df, ["pid", "season"], ["games", "points"], "source", "main", "extra")
     assert rows(s.dropped, "pid", "n_parts") == [(1, 2)]
     assert s.kept.count() == len(data) - 1
-    again = reconcile.fold_totals(s.kept, ["pid", "season"], ["games", "points"], "source", "ficha", "jug")
+    again = reconcile.fold_totals(s.kept, ["pid", "season"], ["games", "points"], "source", "main", "extra")
     assert again.dropped.count() == 0
 
 
 def test_listed_rows_need_the_full_key_and_the_second_source(spark):
-    df = spark.createDataFrame([(1, 2005, "A", None, "jug"), (1, 2005, "A", 3, "jug"), (1, 2005, "A", None, "ficha")],
+    df = spark.createDataFrame([(1, 2005, "A", None, "extra"), (1, 2005, "A", 3, "extra"), (1, 2005, "A", None, "main")],
                                "pid int, season int, team string, games int, source string")
     listed = spark.createDataFrame([(1, 2005, "A", None, "e1"), (9, 2005, "A", 1, "e2")], "pid int, season int, team string, games int, evidence string")
-    d = reconcile.drop_listed(df, listed, ["pid", "season", "team", "games"], F.col("source") == "jug")
-    assert rows(d.dropped, "source", "evidence") == [("jug", "e1")]
+    d = reconcile.drop_listed(df, listed, ["pid", "season", "team", "games"], F.col("source") == "extra")
+    assert rows(d.dropped, "source", "evidence") == [("extra", "e1")]
     assert d.kept.count() == 2 and rows(d.stale, "evidence") == [("e2",)]
 
 

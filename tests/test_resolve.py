@@ -157,11 +157,11 @@ def test_merges_drop_only_identical_moved_rows(spark):
 
 
 def test_merge_then_fold(spark):
-    df = spark.createDataFrame([(1, 2005, "Rayos, Rio", 9, 90, "ficha"), (2, 2005, "RIO", 9, 90, "jug"), (2, 2005, "Osos, Rio", 9, 90, "jug")],
+    df = spark.createDataFrame([(1, 2005, "Rayos, Rio", 9, 90, "main"), (2, 2005, "RIO", 9, 90, "extra"), (2, 2005, "Osos, Rio", 9, 90, "extra")],
                                "id long, season int, team string, games int, points int, source string")
     dead = spark.createDataFrame([(2, 1)], "retired_id long, survivor_id long")
     nick = F.when(F.col("team").contains(","), F.substring_index("team", ",", 1)).otherwise("")
-    merged, folded = resolve.merge_then_fold(df, dead, "id", "season", "team", ["games", "points"], "source", "jug", nick)
+    merged, folded = resolve.merge_then_fold(df, dead, "id", "season", "team", ["games", "points"], "source", "extra", nick)
     # both second-source rows sit in the survivor's city with equal figures: the second is identical, the first is folded
     assert merged.rows.count() + merged.dropped.count() == 3
     assert folded.kept.count() + folded.merged.count() == merged.rows.count()
