@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Keys = Sequence[str]
-HOT_SHARE = 1000  # a key is hot when it holds at least 1/HOT_SHARE of the rows
+HOT_SHARE = 1000  # totals: a key is hot when it holds at least 1/HOT_SHARE of the rows
+HOT_ROWS = 1_000_000  # ordering: a key with fewer rows is sorted by one task as it is
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Keys, how: str = "left") -> DataFrame:
@@ -23,8 +24,7 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Keys, how: str = "left")
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int = 1, rank_col: str | None = None,
-          ties: bool = False) -> DataFrame:
+def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int = 1, rank_col: str | None = None) -> DataFrame:
     """First k rows per key in a full order.
 
     Catalyst turns the filtered rank into a group limit on the map side, so a hot
@@ -32,26 +32,32 @@ def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int = 1, rank_c
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     name = rank_col or "__rank"
-    out = df.withColumn(name, (F.rank() if ties else F.row_number()).over(w)).where(F.col(name) <= k)
+    out = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
     return out if rank_col else out.drop(name)
 
 
-def _levels(df: DataFrame, buckets: Column | Sequence[Column]) -> tuple[DataFrame, list[str]]:
+def _levels(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], hot_rows: int) -> tuple[DataFrame, list[str]]:
+    """Bucket columns for the keys that need them; a key with few rows is one bucket (all NULL)."""
     cols = [buckets] if isinstance(buckets, Column) else list(buckets)
     names = [f"__b{i}" for i in range(len(cols))]
-    return df.withColumns(dict(zip(names, cols, strict=True))), names
+    if not keys:
+        return df.withColumns(dict(zip(names, cols, strict=True))), names
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") >= hot_rows)
+           .select(*keys, F.lit(True).alias("__hot")))
+    marked = null_safe(df, hot, keys)
+    return marked.withColumns({n: F.when(F.col("__hot"), c) for n, c in zip(names, cols, strict=True)}).drop("__hot"), names
 
 
 def running(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[Column],
-            sums: Mapping[str, Column], overall: Mapping[str, str] | None = None) -> DataFrame:
+            sums: Mapping[str, Column], overall: Mapping[str, str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Running totals per key in `order`, computed bucket by bucket.
 
     `buckets` goes from coarse to fine (say day, then id range) and must not decrease
-    along `order`. Rows of one key spread over its finest buckets; each coarser level
-    only orders the totals of the level below, so neither a hot key nor a hot day
-    meets in one task. `overall` names columns for the key's whole total of a sum.
+    along `order`. A key with `hot_rows` rows or more spreads over its finest buckets;
+    each coarser level only orders the totals of the level below, so neither a hot key
+    nor a hot day meets in one task. `overall` names columns for the key's whole total.
     """
-    base, levels = _levels(df, buckets)
+    base, levels = _levels(df, keys, buckets, hot_rows)
     totals = base.groupBy(*keys, *levels).agg(*[F.sum(v).alias(f"__t_{n}") for n, v in sums.items()])
     starts = totals.select(*keys, *levels)
     for i, level in enumerate(levels):
@@ -72,9 +78,9 @@ def running(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order
 
 
 def numbered(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[Column], name: str = "ordinal",
-             total: str | None = None) -> DataFrame:
+             total: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Position 1..n of each row in its key (or, with no keys, in the table), and n when `total` names it."""
-    return running(df, keys, buckets, order, {name: F.lit(1).cast("long")}, {total: name} if total else None)
+    return running(df, keys, buckets, order, {name: F.lit(1).cast("long")}, {total: name} if total else None, hot_rows)
 
 
 def attach_totals(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> DataFrame:
@@ -97,15 +103,10 @@ def attach_totals(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> Data
     return out.select(*df.columns, *[F.coalesce(f"__h_{n}", n).alias(n) for n in names])
 
 
-def day_counts(df: DataFrame, keys: Keys, day: str, aggs: Mapping[str, Column]) -> DataFrame:
-    """One row per key and day: the grain every date-tolerance join works on."""
-    return df.groupBy(*keys, day).agg(*[a.alias(n) for n, a in aggs.items()])
-
-
 def fill_down(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[str], value: str,
-              name: str) -> DataFrame:
+              name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Last known value carried down each key in `order`, level by level like `running`."""
-    base, levels = _levels(df, buckets)
+    base, levels = _levels(df, keys, buckets, hot_rows)
     last = base.groupBy(*keys, *levels).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("__last"))
     starts = last.select(*keys, *levels)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..operators import quality
 from ..operators.skew import fill_down
-from ..session import ensure_checkpoint_dir
+from ..session import shared_folder
 from ..sources import pages as pg
 from ..sources import tables as tb
 from ..streaming import ingest
@@ -318,7 +318,7 @@ def quality_report(t):
 # --- streams -----------------------------------------------------------------
 
 def _stream_folders(spark):
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     return f"{root}/ledger", f"{root}/progress"
 
 

@@ -1,4 +1,4 @@
-"""Session set-up and the shared checkpoint folder."""
+"""Session set-up and the shared folder for interim tables."""
 
 from __future__ import annotations
 
@@ -25,25 +25,15 @@ def build_session(app: str = "cartulary", cores: str | int = "*") -> SparkSessio
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a scratch one only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the one the cluster names, a scratch one only for a local session without it."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="cartulary-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
+        named = tempfile.mkdtemp(prefix="cartulary-")
         spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the files outlive the executors that wrote them."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return named.rstrip("/")
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -52,7 +42,7 @@ def written(df: DataFrame) -> DataFrame:
     Unlike a cache it survives lost executors, and its file sizes let Catalyst choose the joins after it.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

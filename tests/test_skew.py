@@ -20,11 +20,11 @@ def hot(spark):
     return data, spark.createDataFrame(data, "id long, key string, day int, v long").repartition(8)
 
 
-@pytest.mark.parametrize("levels", [1, 2, 3])
-def test_numbered_is_exact(hot, levels):
+@pytest.mark.parametrize("levels,hot_rows", [(1, 1000), (2, 1000), (3, 1000), (3, 1), (2, 10**9)])
+def test_numbered_is_exact(hot, levels, hot_rows):
     data, df = hot
     buckets = [F.floor(F.col("day") / 30), F.col("day"), F.floor(F.col("id") / 100)][:levels]
-    out = skew.numbered(df, ["key"], buckets, [F.col("day"), F.col("id")], "n", "total").collect()
+    out = skew.numbered(df, ["key"], buckets, [F.col("day"), F.col("id")], "n", "total", hot_rows).collect()
     want = defaultdict(list)
     for i, k, d, _ in sorted(data, key=lambda r: (r[2], r[0])):
         want[k].append(i)
@@ -50,12 +50,12 @@ def test_attach_totals_takes_the_hot_path_and_keeps_every_row(hot):
     assert all(r.s == s[r.key] and r.m == m[r.key] for r in out)
 
 
-@pytest.mark.parametrize("levels", [1, 2])
-def test_fill_down_crosses_buckets(hot, levels):
+@pytest.mark.parametrize("levels,hot_rows", [(1, 1000), (2, 1000), (2, 1), (1, 10**9)])
+def test_fill_down_crosses_buckets(hot, levels, hot_rows):
     data, df = hot
     buckets = [F.floor(F.col("day") / 20), F.col("day")][:levels]
     marked = df.withColumn("mark", F.when(F.col("id") % 7 == 0, F.col("id")))
-    out = {r.id: r.label for r in skew.fill_down(marked, ["key"], buckets, ["day", "id"], "mark", "label").collect()}
+    out = {r.id: r.label for r in skew.fill_down(marked, ["key"], buckets, ["day", "id"], "mark", "label", hot_rows).collect()}
     last = {}
     for i, k, _, _ in sorted(data, key=lambda r: (r[2], r[0])):
         if i % 7 == 0:
