@@ -324,14 +324,14 @@ def diff_snapshots(t):
 
 
 @query("fill_gaps", """
-SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus ELSE o_orderpriority END AS label,
-  CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 AND o_orderstatus <> o_orderpriority THEN o_orderpriority END AS footnote,
-  CASE WHEN o_orderkey % 3 = 0 THEN 'base' ELSE 'addition' END AS origin
-FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderstatus ELSE o_orderpriority END AS label,
+  CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS footnote,
+  CASE WHEN o_orderstatus = 'F' THEN 'base' ELSE 'addition' END AS origin
+FROM orders
 """)
 def fill_gaps(t):
-    base = t.orders.where(F.col("o_orderkey") % 3 == 0).select("o_orderkey", F.col("o_orderstatus").alias("label"))
-    more = t.orders.where(F.col("o_orderkey") % 2 == 0).select("o_orderkey", F.col("o_orderpriority").alias("label"))
+    base = t.orders.where(F.col("o_orderstatus") == "F").select("o_orderkey", F.col("o_orderstatus").alias("label"))
+    more = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("label"))
     return sets.fill_gaps(base, more, ["o_orderkey"], value="label")
 
 

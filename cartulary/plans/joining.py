@@ -70,9 +70,9 @@ def unique_names(t):
 
 @query("candidate_parts", """
 WITH canon AS (SELECT p_partkey AS id, p_brand AS given,
-   CASE WHEN p_partkey % 4 = 0 THEN p_name ELSE p_name || ' ' || lower(p_type) END AS fam FROM part WHERE p_partkey % 2 = 0),
+   CASE WHEN p_partkey % 4 = 0 THEN p_name ELSE p_name || ' ' || lower(p_type) END AS fam FROM part),
  obs AS (SELECT p_partkey AS obs_id, p_brand AS given,
-   CASE WHEN p_partkey % 4 = 1 THEN p_name ELSE p_name || ' ' || lower(p_type) || ' jr' END AS fam FROM part WHERE p_partkey % 2 = 1)
+   CASE WHEN p_partkey % 4 = 1 THEN p_name ELSE p_name || ' ' || lower(p_type) || ' jr' END AS fam FROM part)
 SELECT obs_id, count(id) AS n_candidates, CASE WHEN count(id) = 1 THEN min(id) END AS candidate_id
 FROM obs LEFT JOIN canon ON obs.given = canon.given AND (starts_with(obs.fam || ' ', canon.fam || ' ')
   OR starts_with(canon.fam || ' ', obs.fam || ' ')) GROUP BY obs_id
@@ -81,11 +81,11 @@ def candidate_parts(t):
     words = text.name_tokens(F.col("fam"))
     long_name = F.concat_ws(" ", "p_name", F.lower("p_type"))
     k = F.col("p_partkey") % 4
-    canon = (t.part.where(F.col("p_partkey") % 2 == 0)
+    canon = (t.part
              .select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("given"),
                      F.when(k == 0, F.col("p_name")).otherwise(long_name).alias("fam"))
              .withColumn("family", words))
-    obs = (t.part.where(F.col("p_partkey") % 2 == 1)
+    obs = (t.part
            .select(F.col("p_partkey").alias("obs_id"), F.col("p_brand").alias("given"),
                    F.when(k == 1, F.col("p_name")).otherwise(F.concat(long_name, F.lit(" jr"))).alias("fam"))
            .withColumn("family", words))
@@ -109,19 +109,19 @@ def corroborated_orders(t):
 
 
 @query("near_month_check", """
-WITH o AS (SELECT o_orderkey, o_custkey AS id, year(o_orderdate) * 12 + month(o_orderdate) AS m,
+WITH o AS (SELECT o_orderkey, o_orderstatus = 'F' AS done, o_custkey AS id, year(o_orderdate) * 12 + month(o_orderdate) AS m,
   CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderpriority END AS club FROM orders),
- b AS (SELECT * FROM o WHERE o_orderkey % 2 = 0 AND club IS NOT NULL)
+ b AS (SELECT * FROM o WHERE done AND club IS NOT NULL)
 SELECT o_orderkey, CASE WHEN club IS NULL THEN 'no_obs_club'
   WHEN EXISTS (FROM b WHERE b.id = o.id AND abs(b.m - o.m) <= 1 AND b.club = o.club) THEN 'confirms'
   WHEN EXISTS (FROM b WHERE b.id = o.id AND abs(b.m - o.m) <= 1) THEN 'contradicts' ELSE 'no_career_club' END AS club_check
-FROM o WHERE o_orderkey % 2 = 1
+FROM o WHERE NOT done
 """)
 def near_month_check(t):
     m = (F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("m")
-    rows = t.orders.select("o_orderkey", F.col("o_custkey").alias("id"), m,
+    rows = t.orders.select("o_orderkey", "o_orderstatus", F.col("o_custkey").alias("id"), m,
                            F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderpriority")).alias("club"))
-    return (joins.near_club_check(rows.where("o_orderkey % 2 = 1"), rows.where("o_orderkey % 2 = 0"), "id", "m", "club")
+    return (joins.near_club_check(rows.where("o_orderstatus <> 'F'"), rows.where("o_orderstatus = 'F'"), "id", "m", "club")
             .select("o_orderkey", "club_check"))
 
 

@@ -543,9 +543,9 @@ def resolve_obs(t):
 
 
 @query("match_tiers", """
-WITH c AS (SELECT p_partkey AS id, p_name AS fam, p_brand AS g, CASE WHEN p_size % 5 > 0 THEN 1950 + p_size END AS byr FROM part WHERE p_partkey % 2 = 0),
+WITH c AS (SELECT p_partkey AS id, p_name AS fam, p_brand AS g, CASE WHEN p_size % 5 > 0 THEN 1950 + p_size END AS byr FROM part),
  o AS (SELECT p_partkey AS oid, p_name || CASE WHEN p_partkey % 3 = 0 THEN ' ' || lower(p_type) ELSE '' END AS fam, p_brand AS g,
-   CASE WHEN p_partkey % 6 < 2 THEN 1950 + p_size END AS ex, CASE WHEN p_partkey % 6 IN (2, 3) THEN 1950 + p_size END AS ap FROM part WHERE p_partkey % 2 = 1),
+   CASE WHEN p_partkey % 6 < 2 THEN 1950 + p_size END AS ex, CASE WHEN p_partkey % 6 IN (2, 3) THEN 1950 + p_size END AS ap FROM part),
  j AS (SELECT oid, ex, ap, count(id) AS n, count(id) FILTER (WHERE byr IS NULL) AS nb, min(id) AS lo, min(id) FILTER (WHERE byr IS NULL) AS lob,
    count(id) FILTER (WHERE byr = ex OR (ex IS NULL AND abs(byr - ap) <= 1)) AS na, min(id) FILTER (WHERE byr = ex OR (ex IS NULL AND abs(byr - ap) <= 1)) AS loa
   FROM o LEFT JOIN c ON c.g = o.g AND (starts_with(o.fam || ' ', c.fam || ' ') OR starts_with(c.fam || ' ', o.fam || ' ')) GROUP BY ALL),
@@ -558,10 +558,10 @@ SELECT oid, tier, n AS n_candidates, CASE tier[1] WHEN '1' THEN loa WHEN '2' THE
 def match_tiers(t):
     k = F.col("p_partkey")
     year = (F.col("p_size") + 1950).cast("int")
-    canon = t.part.where(k % 2 == 0).select(k.alias("id"), text.name_tokens("p_name").alias("family"), F.col("p_brand").alias("given"),
+    canon = t.part.select(k.alias("id"), text.name_tokens("p_name").alias("family"), F.col("p_brand").alias("given"),
                                             F.when(F.col("p_size") % 5 > 0, year).alias("birth_year"))
     fam = F.when(k % 3 == 0, F.concat_ws(" ", "p_name", "p_type")).otherwise(F.col("p_name"))
-    obs = t.part.where(k % 2 == 1).select(k.alias("oid"), text.name_tokens(fam).alias("family"), F.col("p_brand").alias("given"),
+    obs = t.part.select(k.alias("oid"), text.name_tokens(fam).alias("family"), F.col("p_brand").alias("given"),
                                           F.when(k % 6 < 2, year).alias("exact_birth"), F.when((k % 6).isin(2, 3), year).alias("approx_birth"))
     prior = t.part.where(k % 9 == 0).select(k.alias("oid"), F.lit("confirmed_match").alias("disposition"))
     return (resolve.match_tiers(obs, canon, "oid", "id", prior)

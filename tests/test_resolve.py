@@ -211,3 +211,35 @@ def test_override_ranges(spark):
 def test_name_splits(spark):
     out = spark.createDataFrame([("ana maria paz luna",)], "n string").select(F.explode(joins.name_splits(text.name_tokens("n"))).alias("s")).select("s.*")
     assert rows(out) == [("ana", ["luna"]), ("ana", ["maria", "paz", "luna"]), ("ana", ["paz", "luna"])]
+
+
+def test_a_name_half_the_archive_shares(spark):
+    """6,000 observations x 3,000 people of one name: the answer is exact and no pair is formed."""
+    rng = random.Random(11)
+    lo = [rng.randrange(0, 3000) for _ in range(3000)]
+    people = spark.createDataFrame([(i, "Sosa, Ana", "Sosa", "Ana", None) for i in range(3000)] + [(9000, "Paz, Eva", "Paz", "Eva", None)],
+                                   "id long, name string, family string, given string, nickname string")
+    career = spark.createDataFrame([(i, s, "rio") for i, s in enumerate(lo)] + [(9000, 5, "mar")], "id long, season int, club string")
+    spans = career.groupBy("id").agg(F.min("season").alias("lo"), F.max("season").alias("hi"))
+    seasons = [rng.randrange(0, 3200) for _ in range(6000)]
+    obs = spark.createDataFrame([(i, "Sosa, Ana", s, "sol") for i, s in enumerate(seasons)], "oid long, raw string, season int, club string")
+    index = resolve.candidate_index(people, resolve.alias_table(people, "id", "name", "family", "given", "nickname", "given"), "id", "family", "given", "name")
+    titles = spark.createDataFrame([], "name_key string, season int")
+    out = resolve.resolve_observations(resolve.observation_keys(obs, "raw"), index, spans, career, titles, "oid", "id", "season", "club").decided
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    near = {s: [i for i in range(3000) if abs(lo[i] - s) <= 1] for s in set(seasons)}
+    for r in out.collect():
+        fit = near[r.season]
+        assert r.n_candidates == 3000
+        assert r.id == (fit[0] if len(fit) == 1 else None)
+
+
+def test_fold_of_a_hot_player_season(spark):
+    """Thousands of second-source rows of one player, season and city still fold row by row."""
+    first = [(1, 2005, "Rayos, Rio", i, i, "main") for i in range(2000)]
+    second = [(1, 2005, "RIO", i, i + (i % 2), "extra") for i in range(2000)]
+    df = spark.createDataFrame(first + second, "pid long, season int, team string, games int, points int, source string")
+    nick = F.when(F.col("team").contains(","), F.substring_index("team", ",", 1)).otherwise("")
+    f = resolve.fold_cross_source(df, "pid", "season", "team", ["games", "points"], "source", "extra", nick)
+    assert (f.kept.count(), f.merged.count(), f.conflicts.count()) == (3000, 1000, 1000)
