@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac, mixing, packing, sharding, warc
+from . import dac, langid, mixing, packing, sharding, toxicity, warc
 from .common import table
 
 
@@ -31,6 +31,13 @@ def op3_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(langid.fold() % 5 == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -45,6 +52,13 @@ FROM p LEFT JOIN r ON p.d = r.d AND p.n >= 1000
 """
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(langid.fold() % 4 == 2, F.lit(False))
+    content = langid.dictionaries(docs.where(~held_out).select("doc_id", "text", "lang"))
+    return langid.predict(docs.select("doc_id", "text"), content).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     taken = mixed.taken.groupBy("row").agg(F.sum("words").alias("taken"))
@@ -53,6 +67,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_packing": op1_packing, "op2_sharding": op2_sharding, "op3_token_codes": op3_token_codes, "op6_warc": op6_warc, "op10_mixing": op10_mixing,
+    "op1_packing": op1_packing, "op2_sharding": op2_sharding, "op3_token_codes": op3_token_codes, "op4_toxicity": op4_toxicity, "op6_warc": op6_warc,
+    "op7_language": op7_language, "op10_mixing": op10_mixing,
 }
 ORACLES: dict[str, str] = {"op6_warc": OP6_SQL}
