@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac, langid, mixing, packing, sharding, toxicity, warc
+from . import ann, dac, langid, mixing, neardup, packing, sharding, toxicity, warc
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(langid.fold() % 5 == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -59,6 +63,33 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), content).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+OP9_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\x20\x09-\x0D]+'), x -> x <> '') AS t
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 4 THEN [array_to_string(t, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(t) - 3), i -> array_to_string(t[i:i + 3], ' '))) END AS g
+  FROM w),
+k AS (SELECT min(doc_id) AS doc_id, g FROM (SELECT doc_id, list_sort(g) AS g FROM s) GROUP BY g),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM k),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS node, doc_id AS label FROM k UNION SELECT l.b, r.label FROM r JOIN l ON l.a = r.node AND l.b > r.label),
+c AS (SELECT node, min(label) AS label FROM r GROUP BY node)
+SELECT s.doc_id, len(s.g) AS n_shingles, CASE WHEN len(s.g) = 0 THEN s.doc_id ELSE c.label END AS component_id,
+       len(s.g) = 0 OR c.label = s.doc_id AS kept
+FROM s JOIN k ON list_sort(s.g) = k.g JOIN c ON c.node = k.doc_id
+"""
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     taken = mixed.taken.groupBy("row").agg(F.sum("words").alias("taken"))
@@ -67,7 +98,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_packing": op1_packing, "op2_sharding": op2_sharding, "op3_token_codes": op3_token_codes, "op4_toxicity": op4_toxicity, "op6_warc": op6_warc,
-    "op7_language": op7_language, "op10_mixing": op10_mixing,
+    "op1_packing": op1_packing, "op2_sharding": op2_sharding, "op3_token_codes": op3_token_codes, "op4_toxicity": op4_toxicity, "op5_neighbours": op5_neighbours, "op6_warc": op6_warc,
+    "op7_language": op7_language, "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing,
 }
-ORACLES: dict[str, str] = {"op6_warc": OP6_SQL}
+ORACLES: dict[str, str] = {"op6_warc": OP6_SQL, "op9_near_duplicates": OP9_SQL}
