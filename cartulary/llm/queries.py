@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, dac, langid, mixing, neardup, packing, sharding, toxicity, warc
+from . import ann, dac, iblt, langid, mixing, neardup, packing, sharding, toxicity, warc
 from .common import table
 
 
@@ -63,6 +63,17 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), content).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op8_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = iblt.with_next(table(spark, sf_dir, "documents")).withColumn("edited", iblt.edited(F.col("text"), F.col("next_text")))
+    keys = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                       *[iblt.digests(F.col(c)).alias(k) for c, k in (("text", "own"), ("edited", "other"), ("next_text", "next"))])
+    compared = iblt.with_difference(iblt.with_difference(keys, "own", "other", "changed"), "own", "next", "apart")
+    return compared.select(
+        "doc_id", "n_chars", "edited_sha256", iblt.fingerprint(F.col("own")).alias("fingerprint"),
+        iblt.fingerprint(F.col("other")).alias("edited_fingerprint"),
+        iblt.likeness("own", "other", "changed").alias("near_edited"), iblt.likeness("own", "next", "apart").alias("near_next"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -71,11 +82,11 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                             '[\x20\x09-\x0D]+'), x -> x <> '') AS t
+                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS t
   FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 4 THEN [array_to_string(t, ' ')]
-    ELSE list_distinct(list_transform(generate_series(1, len(t) - 3), i -> array_to_string(t[i:i + 3], ' '))) END AS g
+    ELSE list_distinct(list_transform(generate_series(1, len(t) - 3), lambda i: array_to_string(t[i:i + 3], ' '))) END AS g
   FROM w),
 k AS (SELECT min(doc_id) AS doc_id, g FROM (SELECT doc_id, list_sort(g) AS g FROM s) GROUP BY g),
 e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM k),
@@ -99,6 +110,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing, "op2_sharding": op2_sharding, "op3_token_codes": op3_token_codes, "op4_toxicity": op4_toxicity, "op5_neighbours": op5_neighbours, "op6_warc": op6_warc,
-    "op7_language": op7_language, "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing,
+    "op7_language": op7_language, "op8_paragraph_sketch": op8_paragraph_sketch,
+    "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing,
 }
 ORACLES: dict[str, str] = {"op6_warc": OP6_SQL, "op9_near_duplicates": OP9_SQL}
