@@ -1,6 +1,6 @@
 """Document fingerprints that tell two versions' differing paragraphs: invertible Bloom lookup sketches.
 
-A text is its set of paragraph digests (lines, cut at sentence ends). A sketch hashes each digest into one
+A text is its set of paragraph digests (lines, long ones cut at some of their sentence ends). A sketch hashes each digest into one
 cell of each of three tables; a cell holds a count, the XOR of its digests and the XOR of their checks. Two
 sketches subtract cell by cell: what both texts hold cancels. A cell left with a single digest (its check
 agrees) gives that digest away; taking it out of its other cells frees further ones (peeling). When cells
@@ -20,136 +20,96 @@ a table is its own next; an empty table gives no row.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TABLES = 3
 BASE_CELLS = 8  # of each table of a fingerprint
-BLOCK_CELLS = 6  # of each table of a block
+BLOCK_CELLS = 4  # of each table of a block
 BLOCK_DIGESTS = 6  # a block is made for about so many
-ROUNDS = 6
+ROUNDS = 4
 SPLITS = 2  # times a failing block is split in four
-PIECE_ENDS = r"\n+|(?<=[.!?])\s+"
-
-
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+LONG_LINE = 300
+CUTS = r"(?<=[.!?])\s+(?=[A-H])"  # places in a long line, told by the text there alone: edits elsewhere leave them
 
 
 def digests(text: Column) -> Column:
-    """The set of paragraph digests, sorted."""
-    parts = F.filter(F.split(F.coalesce(text, F.lit("")), PIECE_ENDS), lambda p: p != "")
-    return F.array_sort(F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p))))
-
-
-def _check(key: Column) -> Column:
-    return F.xxhash64(key, F.lit(91)).bitwiseAND(F.lit(0xFFFFFFFF))
-
-
-def _places(key: Column, cells: int, salt: int) -> Column:
-    h = F.xxhash64(key, F.lit(salt))
-    return F.array(*[(F.pmod(F.shiftright(h, 16 * t), F.lit(cells)) + t * cells).cast("int") for t in range(TABLES)])
-
-
-def _cell(n: Column, k: Column, c: Column) -> Column:
-    return F.struct(n.cast("int").alias("n"), k.cast("long").alias("k"), c.cast("long").alias("c"))
+    """The set of paragraph digests, sorted: lines, the long ones cut at some of their sentence ends."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+    parts = F.flatten(F.transform(lines, lambda p: F.when(F.length(p) > LONG_LINE, F.split(p, CUTS)).otherwise(F.array(p))))
+    return F.array_sort(F.array_distinct(F.transform(F.filter(parts, lambda p: p != ""), lambda p: F.xxhash64(p))))
 
 
-def sketch(keys: Column, cells: int, salt: int) -> Column:
-    """Cells of the three tables, one after the other."""
-    marked = F.transform(keys, lambda k: F.struct(k.alias("k"), _check(k).alias("c"), _places(k, cells, salt).alias("p")))
+NONE = "cast(array() as array<bigint>)"
+ZERO = "named_struct('n', 0, 'k', 0L, 'c', 0L)"
 
-    def cell(marks: Column, i: Column) -> Column:
-        return F.aggregate(F.filter(marks, lambda m: F.array_contains(m["p"], i)), _cell(F.lit(0), F.lit(0), F.lit(0)),
-                           lambda a, m: _cell(a["n"] + 1, a["k"].bitwiseXOR(m["k"]), a["c"].bitwiseXOR(m["c"])))
 
-    return _with(marked, lambda marks: F.transform(F.sequence(F.lit(0), F.lit(TABLES * cells - 1)), lambda i: cell(marks, i)))
+def _once(value: str, name: str, use: str) -> str:
+    """SQL for `use` of a value that is worked out once under a name."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
 
 
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["k"].bitwiseXOR(y["k"]), x["c"].bitwiseXOR(y["c"])))
+def _check(key: str) -> str:
+    return f"(xxhash64({key}, 91) & 4294967295L)"
 
 
-def peel(difference: Column, cells: int, salt: int) -> Column:
-    """(ok, found): the digests given away, and whether every cell is empty then."""
+def _places(key: str, cells: int, salt: int) -> str:
+    return ", ".join(f"cast(pmod(shiftright(xxhash64({key}, {salt}), {16 * t}), {cells}L) as int) as p{t}" for t in range(TABLES))
 
-    def alone(c: Column) -> Column:
-        return (F.abs(c["n"]) == 1) & (c["c"] == _check(c["k"]))
 
-    def without(state: Column, single: Column) -> Column:
-        cleared = F.transform(state["cells"], lambda c, i: F.aggregate(
-            F.filter(single, lambda s: F.array_contains(s["p"], i)), _cell(c["n"], c["k"], c["c"]),
-            lambda a, s: _cell(a["n"] - s["n"], a["k"].bitwiseXOR(s["k"]), a["c"].bitwiseXOR(s["c"]))))
-        return F.struct(cleared.alias("cells"), F.concat(state["found"], F.transform(single, lambda s: s["k"])).alias("found"))
+def _sketch(keys: str, cells: int, salt: int) -> str:
+    """A struct of the tables t0, t1, t2, each an array of cells (n, k, c)."""
+    marked = f"transform({keys}, k -> struct(k as k, {_check('k')} as c, {_places('k', cells, salt)}))"
+    tables = ", ".join(
+        f"transform(sequence(0, {cells - 1}), i -> aggregate(filter(ms, x -> x.p{t} = i), {ZERO}, "
+        f"(y, x) -> named_struct('n', y.n + 1, 'k', y.k ^ x.k, 'c', y.c ^ x.c))) as t{t}" for t in range(TABLES))
+    return _once(marked, "ms", f"struct({tables})")
 
-    def step(state: Column, _: Column) -> Column:
-        single = F.array_distinct(F.transform(F.filter(state["cells"], alone), lambda c: F.struct(
-            c["k"].alias("k"), c["n"].alias("n"), c["c"].alias("c"), _places(c["k"], cells, salt).alias("p"))))
-        return _with(single, lambda s: F.when(F.size(s) == 0, state).otherwise(without(state, s)))
 
-    start = F.struct(difference.alias("cells"), F.array().cast("array<bigint>").alias("found"))
-    return _with(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step), lambda s: F.struct(
-        F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["k"] == 0)).alias("ok"), s["found"].alias("found")))
+def _compared(a: str, b: str, cells: int, salt: int) -> str:
+    """(ok, found): subtract two sketches and peel: the digests given away, and whether every cell is empty then."""
+    less = "(x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c)"
+    start = _once(f"struct({_sketch(a, cells, salt)} as sa, {_sketch(b, cells, salt)} as sb)", "two", "struct(" + ", ".join(
+        f"zip_with(two.sa.t{t}, two.sb.t{t}, {less}) as t{t}" for t in range(TABLES)) + f", {NONE} as found)")
+    every = "concat(" + ", ".join(f"st.t{t}" for t in range(TABLES)) + ")"
+    alone = (f"array_distinct(transform(filter({every}, c -> abs(c.n) = 1 and c.c = {_check('c.k')}), "
+             f"c -> struct(c.k as k, c.n as n, c.c as c, {_places('c.k', cells, salt)})))")
+    without = ", ".join(
+        f"transform(st.t{t}, (c, i) -> aggregate(filter(ones, o -> o.p{t} = i), c, "
+        f"(y, o) -> named_struct('n', y.n - o.n, 'k', y.k ^ o.k, 'c', y.c ^ o.c))) as t{t}" for t in range(TABLES))
+    step = _once(alone, "ones", f"if(size(ones) = 0, st, struct({without}, concat(st.found, transform(ones, o -> o.k)) as found))")
+    done = "forall(" + every.replace("st.", "pd.") + ", c -> c.n = 0 and c.k = 0)"
+    return _once(f"aggregate(sequence(1, {ROUNDS}), {start}, (st, turn) -> {step})", "pd", f"struct({done} as ok, pd.found as found)")
 
 
-def _compared(a: Column, b: Column, cells: int, salt: int) -> Column:
-    return peel(subtract(sketch(a, cells, salt), sketch(b, cells, salt)), cells, salt)
-
-
-def _split(keys: Column, bits: Column) -> Column:
-    """Digests by their leading hash bits, in two steps so that the work grows with the root of the blocks."""
-    high = F.floor(bits / 2).cast("int")
-    low = bits - high
-
-    def chosen(some: Column, shift: int, count: Column, i: Column) -> Column:
-        return F.filter(some, lambda k: F.pmod(F.shiftright(k, shift), count) == i)
-
-    def upto(b: Column) -> Column:
-        return F.sequence(F.lit(0), F.pow(F.lit(2.0), b).cast("int") - 1)
-
-    return F.flatten(F.transform(upto(high), lambda i: _with(
-        chosen(keys, 40, F.pow(F.lit(2.0), high).cast("long"), i),
-        lambda some: F.transform(upto(low), lambda j: chosen(some, 20, F.pow(F.lit(2.0), low).cast("long"), j)))))
-
-
-NONE = "array<bigint>"
+def _split(keys: str, bits: str) -> str:
+    """Digests by their hash bits, in two steps so that the work grows with the root of the number of blocks."""
+    high, low = f"shiftleft(1, {bits} div 2)", f"shiftleft(1, {bits} - {bits} div 2)"
+    return (f"flatten(transform(sequence(0, cast({high} as int) - 1), i -> "
+            + _once(f"filter({keys}, k -> pmod(shiftright(k, 40), {high}) = i)", "some",
+                    f"transform(sequence(0, cast({low} as int) - 1), j -> filter(some, k -> pmod(shiftright(k, 20), {low}) = j))") + "))")
 
 
 def with_difference(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """Adds the paragraph digests that only one of two columns of sorted digest sets holds."""
-    empty = F.array().cast(NONE)
-    nothing = F.struct(F.lit(True).alias("ok"), empty.alias("found"))
-    too_many = F.abs(F.size(a) - F.size(b)) > TABLES * BASE_CELLS  # the counts alone say that the base sketch is too small
-    out = df.withColumn(f"{name}_0", F.when(F.col(a) == F.col(b), nothing).when(too_many, F.struct(F.lit(False).alias("ok"), empty.alias("found")))
-                        .otherwise(_compared(F.col(a), F.col(b), BASE_CELLS, 1)))
-    bits = F.greatest(F.ceil(F.log2(F.greatest(F.size(a) + F.size(b), F.lit(1)) / BLOCK_DIGESTS)), F.lit(0)).cast("int")
-    out = out.withColumn(f"{name}_n", bits)
-    blocks = F.when(F.col(f"{name}_0.ok"), F.array().cast(f"array<struct<a:{NONE},b:{NONE}>>")).otherwise(
-        F.zip_with(_split(F.col(a), F.col(f"{name}_n")), _split(F.col(b), F.col(f"{name}_n")), lambda x, y: F.struct(x.alias("a"), y.alias("b"))))
-    found = [F.when(F.col(f"{name}_0.ok"), F.col(f"{name}_0.found")).otherwise(empty)]
-    added = [f"{name}_0", f"{name}_n"]
-
-    def tried(salt: int) -> Callable[[Column], Column]:
-        return lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), F.when(p["a"] == p["b"], nothing).otherwise(
-            _compared(p["a"], p["b"], BLOCK_CELLS, salt)).alias("r"))
-
-    def parts(salt: int) -> Callable[[Column], Column]:
-        def part(p: Column, i: Column) -> Column:
-            own = [F.filter(p[s], lambda k: F.pmod(F.xxhash64(k, F.lit(salt)), F.lit(4)) == i).alias(s) for s in ("a", "b")]
-            return F.struct(*own)
-        return lambda p: F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: part(p, i))
-
+    same, failed = f"struct(true as ok, {NONE} as found)", f"struct(false as ok, {NONE} as found)"
+    too_many = f"abs(size({a}) - size({b})) > {TABLES * BASE_CELLS}"  # the counts alone say that the base sketch is too small
+    base, bits = f"{name}_0", f"{name}_n"
+    out = df.withColumns({
+        base: F.expr(f"case when {a} = {b} then {same} when {too_many} then {failed} else {_compared(a, b, BASE_CELLS, 1)} end"),
+        bits: F.expr(f"cast(greatest(ceil(log2(greatest(size({a}) + size({b}), 1) / {BLOCK_DIGESTS})), 0) as int)")})
+    blocks = (f"if({base}.ok, cast(array() as array<struct<a: array<bigint>, b: array<bigint>>>), "
+              f"zip_with({_split(a, bits)}, {_split(b, bits)}, (x, y) -> struct(x as a, y as b)))")
+    found, added = [f"if({base}.ok, {base}.found, {NONE})"], [base, bits]
     for turn in range(SPLITS + 1):
-        this = f"{name}_{turn + 1}"
-        out = out.withColumn(this, F.transform(blocks, tried(11 + 2 * turn)))
+        this, salt = f"{name}_{turn + 1}", 11 + 2 * turn
+        out = out.withColumn(this, F.expr(f"transform({blocks}, p -> struct(p.a as a, p.b as b, if(p.a = p.b, {same}, {_compared('p.a', 'p.b', BLOCK_CELLS, salt)}) as r))"))
         added.append(this)
-        found.append(F.flatten(F.transform(F.filter(this, lambda p: p["r"]["ok"]), lambda p: p["r"]["found"])))
-        blocks = F.flatten(F.transform(F.filter(this, lambda p: ~p["r"]["ok"]), parts(12 + 2 * turn)))
-    found.append(F.flatten(F.transform(blocks, lambda p: F.concat(F.array_except(p["a"], p["b"]), F.array_except(p["b"], p["a"])))))
-    return out.withColumn(name, F.concat(*found)).drop(*added)
+        found.append(f"flatten(transform(filter({this}, p -> p.r.ok), p -> p.r.found))")
+        part = ", ".join(f"filter(p.{s}, k -> pmod(xxhash64(k, {salt + 1}), 4) = i) as {s}" for s in ("a", "b"))
+        blocks = f"flatten(transform(filter({this}, p -> not p.r.ok), p -> transform(sequence(0, 3), i -> struct({part}))))"
+    found.append(f"flatten(transform({blocks}, p -> concat(array_except(p.a, p.b), array_except(p.b, p.a))))")
+    return out.withColumn(name, F.expr(f"concat({', '.join(found)})")).drop(*added)
 
 
 def likeness(a: str, b: str, difference: str) -> Column:
@@ -158,10 +118,11 @@ def likeness(a: str, b: str, difference: str) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise((both - differing) / (both + differing))
 
 
-def fingerprint(keys: Column) -> Column:
+def fingerprint(keys: str) -> Column:
     """The base sketch as text: count, digests and checks of each cell in hexadecimal."""
-    return F.concat_ws("", F.transform(sketch(keys, BASE_CELLS, 1), lambda c: F.concat(
-        F.lpad(F.hex(c["n"]), 4, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["c"]), 8, "0"))))
+    every = "concat(" + ", ".join(f"sk.t{t}" for t in range(TABLES)) + ")"
+    text = f"concat_ws('', transform({every}, c -> concat(lpad(hex(c.n), 4, '0'), lpad(hex(c.k), 16, '0'), lpad(hex(c.c), 8, '0'))))"
+    return F.expr(_once(_sketch(keys, BASE_CELLS, 1), "sk", text))
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 4 << 20) -> DataFrame:

@@ -24,6 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 WORDS = re.compile(r"[^\W\d_]+")
 LEVEL = 3
@@ -69,11 +70,11 @@ class Classifier:
 _CLASSIFIERS: dict[int, Classifier] = {}
 
 
-def predict(docs: DataFrame, content: Mapping[str, bytes], margin: float = 0.004) -> DataFrame:
-    """Every column of `docs`, with lang_pred, score, margin and rejected."""
-    schema = docs.schema
-    added = "lang_pred string, score double, margin double, rejected boolean"
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "margin", "rejected")]
+def predict(docs: DataFrame, content: Mapping[str, bytes], margin: float = 0.004, prefix: str = "") -> DataFrame:
+    """Every column of `docs`, with lang_pred, score, margin and rejected (named with `prefix`; a column of such a name gives way)."""
+    names = [f"{prefix}{n}" for n in ("lang_pred", "score", "margin", "rejected")]
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+    text = next(i for i, c in enumerate(kept) if c.lower() == "text")
     version = hash(tuple(sorted(content.items())))
 
     def run(batches):
@@ -82,13 +83,13 @@ def predict(docs: DataFrame, content: Mapping[str, bytes], margin: float = 0.004
             _CLASSIFIERS[version] = Classifier(content)
         classifier = _CLASSIFIERS[version]
         for batch in batches:
-            found = [classifier.predict(t) for t in batch.column("text").to_pylist()]
+            found = [classifier.predict(t) for t in batch.column(text).to_pylist()]
             cols = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
             cols.append(pa.array([lang == UNKNOWN or m < margin for lang, _, m in found], pa.bool_()))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + cols, names=[*kept, *("lang_pred", "score", "margin", "rejected")])
+            yield pa.RecordBatch.from_arrays(batch.columns + cols, names=[*kept, *names])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name in kept)
-    return docs.select(*kept).mapInArrow(run, f"{fields}, {added}")
+    fields = StructType([docs.schema[c] for c in kept] + [StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), DoubleType(), BooleanType()), strict=True)])
+    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, fields)
 
 
 def fold(doc_id: str = "doc_id"):

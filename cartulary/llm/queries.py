@@ -69,8 +69,8 @@ def op8_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
                        *[iblt.digests(F.col(c)).alias(k) for c, k in (("text", "own"), ("edited", "other"), ("next_text", "next"))])
     compared = iblt.with_difference(iblt.with_difference(keys, "own", "other", "changed"), "own", "next", "apart")
     return compared.select(
-        "doc_id", "n_chars", "edited_sha256", iblt.fingerprint(F.col("own")).alias("fingerprint"),
-        iblt.fingerprint(F.col("other")).alias("edited_fingerprint"),
+        "doc_id", "n_chars", "edited_sha256", iblt.fingerprint("own").alias("fingerprint"),
+        iblt.fingerprint("other").alias("edited_fingerprint"),
         iblt.likeness("own", "other", "changed").alias("near_edited"), iblt.likeness("own", "next", "apart").alias("near_next"))
 
 
