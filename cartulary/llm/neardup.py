@@ -117,15 +117,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, chunks:
     def sizes_fit(a: str, b: str) -> Column:
         return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
+    def close() -> Column:
+        """Signatures `s` and `t` differ in at most `distance` symbols."""
+        return sum(((F.substring("s", 2 * i + 1, 2) == F.substring("t", 2 * i + 1, 2)).cast("int") for i in range(symbols)), F.lit(0)) >= symbols - distance
+
     def within(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose signatures differ in at most `distance` symbols."""
         s = entries.select("node", "signature")
-        equal = F.lit(0)
-        for i in range(symbols):
-            equal = equal + (F.substring("s", 2 * i + 1, 2) == F.substring("t", 2 * i + 1, 2)).cast("int")
         return (pairs.join(s.select(F.col("node").alias("a"), F.col("signature").alias("s")), "a")
                 .join(s.select(F.col("node").alias("b"), F.col("signature").alias("t")), "b")
-                .where(equal >= symbols - distance).select("a", "b"))
+                .where(close()).select("a", "b"))
 
     first = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     stars = (keys.join(first.select("key", F.col("first.node").alias("b"), F.col("first.n").alias("m")), "key")
@@ -137,11 +138,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, chunks:
     placed = (keys.join(first.select("key"), "key", "left_semi").join(clusters, "node", "left")
               .select("key", "node", "n", F.coalesce("label", "node").alias("label")))
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    left = keep(placed.join(open_keys, "key", "left_semi"))
-    right = left.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-    across = (left.join(right, "key").where((F.col("node") > F.col("b")) & (F.col("label") != F.col("other")) & sizes_fit("n", "m"))
-              .select(F.col("node").alias("a"), "b").distinct())
-    merged = keep(within(across))
+    left = keep(placed.join(open_keys, "key", "left_semi").join(entries.select("node", F.col("signature").alias("s")), "node"))
+    right = left.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("s").alias("t"))
+    merged = keep(left.join(right, (left["key"] == right["key"]) & (F.col("node") > F.col("b")) & (F.col("label") != F.col("other")) & sizes_fit("n", "m") & close())
+                  .select(F.col("node").alias("a"), "b").distinct())
     if not merged.isEmpty():
         clusters = keep(components(edges.unionByName(merged)))
 
