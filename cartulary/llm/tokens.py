@@ -6,7 +6,7 @@ from array import array
 
 import pyarrow as pa
 
-REMEMBERED = 600_000  # words kept per worker; beyond it the memory starts anew, results are the same
+REMEMBERED = 1_200_000  # words kept per worker; beyond it the memory starts anew, results are the same
 END_ID = 1
 
 
@@ -63,13 +63,16 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known = {}
         known, cut = self.known, [self._pieces(t) for t in texts]
-        new: set[str] = set()
-        for pieces in cut:
-            if pieces is not None:
-                new.update(pieces)
-        self._learn(new.difference(known))
+        found = [None if pieces is None else list(map(known.get, pieces)) for pieces in cut]
+        holes = [[i for i, ids in enumerate(f) if ids is None] if f is not None and None in f else () for f in found]
+        self._learn({p[i] for p, h in zip(cut, holes, strict=True) for i in h})
         whole = iter(self._ids([t for t, p in zip(texts, cut, strict=True) if p is None]))
-        return [next(whole) if p is None else b"".join(map(known.__getitem__, p)) for p in cut]
+        out = []
+        for pieces, ids, hole in zip(cut, found, holes, strict=True):
+            for i in hole:
+                ids[i] = known[pieces[i]]
+            out.append(next(whole) if ids is None else b"".join(ids))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
