@@ -6,7 +6,7 @@ from array import array
 
 import pyarrow as pa
 
-REMEMBERED = 1_200_000  # words kept per worker; beyond it the memory starts anew, results are the same
+REMEMBERED = 150_000  # words after which a worker starts a new memory, taking from the last one what it meets again
 END_ID = 1
 
 
@@ -37,13 +37,17 @@ class Encoder:
         self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.spaced = self._ids(["a b"]) != self._ids(["a  b"])
         self.known: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str], model=None) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in (model or self.model).encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: set[str]) -> None:
         """Ids of new pieces: plain words at once, a word with a mark after it from its two halves, the rest in full."""
-        known = self.known
+        known, last = self.known, self.last
+        again = {p: last[p] for p in pieces if p in last}
+        known.update(again)
+        pieces = pieces - again.keys()
         ended = {p for p in pieces if p[-1:] in MARKS and _wordlike(p[:-1])}
         words = {p for p in pieces if p not in ended and _wordlike(p)} | {p[:-1] for p in ended if p[:-1] not in known}
         rest = (pieces - ended - words) | {m for m in MARKS if m not in known}
@@ -61,7 +65,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known = {}
+            self.last, self.known = self.known, {}
         known, cut = self.known, [self._pieces(t) for t in texts]
         found = [None if pieces is None else list(map(known.get, pieces)) for pieces in cut]
         holes = [[i for i, ids in enumerate(f) if ids is None] if f is not None and None in f else () for f in found]
