@@ -134,8 +134,8 @@ def write(docs: DataFrame, tokenizer: str, folder: str, file_tokens: int = 1 <<
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, 128):
+                batch = whole.slice(at, 128)
                 part = batch.column(2)[0].as_py()
                 for doc, tokens in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(texts_of(batch.column(1))), strict=True):
                     ids.append(doc)

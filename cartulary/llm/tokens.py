@@ -6,7 +6,7 @@ from array import array
 
 import pyarrow as pa
 
-REMEMBERED = 150_000  # words after which a worker starts a new memory, taking from the last one what it meets again
+REMEMBERED = 250_000  # words after which a worker starts a new memory, taking from the last one what it meets again
 END_ID = 1
 
 
@@ -30,17 +30,21 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.model, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        for m in (self.model, self.letters):
-            m.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = Tokenizer.from_file(path)
+        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         # letters alone are one piece for either vocabulary, so nothing need look for borders in them
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.borders, self.letters = self.model.pre_tokenizer, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.spaced = self._ids(["a b"]) != self._ids(["a  b"])
         self.known: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str], model=None) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in (model or self.model).encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str], plain: bool = False) -> list[bytes]:
+        """Ids of each text; `plain` texts are single pieces. A few thousand at a time: results take far more room than ids."""
+        self.model.pre_tokenizer = self.letters if plain else self.borders
+        out: list[bytes] = []
+        for at in range(0, len(texts), 2048):
+            out += [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(texts[at:at + 2048], add_special_tokens=False)]
+        return out
 
     def _learn(self, pieces: set[str]) -> None:
         """Ids of new pieces: plain words at once, a word with a mark after it from its two halves, the rest in full."""
@@ -51,8 +55,8 @@ class Encoder:
         ended = {p for p in pieces if p[-1:] in MARKS and _wordlike(p[:-1])}
         words = {p for p in pieces if p not in ended and _wordlike(p)} | {p[:-1] for p in ended if p[:-1] not in known}
         rest = (pieces - ended - words) | {m for m in MARKS if m not in known}
-        for some, model in ((list(words), self.letters), (list(rest), self.model)):
-            known.update(zip(some, self._ids(some, model), strict=True))
+        for some, plain in ((list(words), True), (list(rest), False)):
+            known.update(zip(some, self._ids(some, plain), strict=True))
         known.update((p, known[p[:-1]] + known[p[-1]]) for p in ended)
 
     def _pieces(self, text: str) -> list[str] | None:
