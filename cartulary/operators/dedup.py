@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import attach_totals, top_k
+from .skew import attach_totals, null_safe, top_k
 
 
 class Latest(NamedTuple):
@@ -41,8 +41,8 @@ def latest_batch(df: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:
 
     The join key holds the capture time too, so a hot group is already spread by time.
     """
-    newest = df.groupBy(*keys).agg(F.max(stamp).alias(stamp))
-    return df.join(newest, [*keys, stamp], "left_semi")
+    newest = df.groupBy(*keys).agg(F.max(stamp).alias(stamp)).withColumn("__newest", F.lit(True))
+    return null_safe(df, newest, [*keys, stamp]).where("__newest").drop("__newest")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

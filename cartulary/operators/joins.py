@@ -44,11 +44,19 @@ def invalid_ranges(ranges: DataFrame, key: str, start: str, end: str, value: str
 
 
 def dated_override(df: DataFrame, ranges: DataFrame, key: str, period: str, start: str, end: str, value: str,
-                   name: str, horizon: int = 2100) -> DataFrame:
-    """Value of the range the period falls in. Ranges open into one row per period, so this is an equi join."""
-    per = ranges.select(
-        F.col(key), F.explode(F.sequence(F.col(start), F.coalesce(F.col(end), F.lit(horizon)))).alias(period),
-        F.col(value).alias(name))
+                   name: str) -> DataFrame:
+    """Value of the range the period falls in; a range without an end is open. Ranges of a key do not overlap.
+
+    The asked (key, period) pairs and the range starts form one line per key; the last start at or before a
+    period is its range, and the end is tested afterwards.
+    """
+    starts = ranges.where(F.col(start).isNotNull()).select(F.col(key), F.col(start).alias(period), F.lit(0).alias("__ask"),
+                           F.struct(F.col(end).alias("e"), F.col(value).alias("v")).alias("__range"))
+    asks = df.where(F.col(key).isNotNull() & F.col(period).isNotNull()).select(key, period).distinct().select(
+        key, period, F.lit(1).alias("__ask"), F.lit(None).cast(starts.schema["__range"].dataType).alias("__range"))
+    w = Window.partitionBy(key).orderBy(period, "__ask").rowsBetween(Window.unboundedPreceding, 0)
+    per = (starts.unionByName(asks).withColumn("__last", F.last("__range", ignorenulls=True).over(w)).where("__ask = 1")
+           .select(key, period, F.when(F.col("__last.e").isNull() | (F.col("__last.e") >= F.col(period)), F.col("__last.v")).alias(name)))
     return df.join(per, [key, period], "left")
 
 
@@ -185,10 +193,11 @@ def date_tolerance(left: DataFrame, right: DataFrame, keys: Sequence[str], day:
 def attach_or_synthesise(rows: DataFrame, facts: DataFrame, keys: Sequence[str], row_id: str,
                          prefer: Sequence[Column], fact_columns: Sequence[str]) -> DataFrame:
     """Facts (one per key) go to the best row of their key; a fact without a row becomes a row."""
-    matched = rows.join(facts, list(keys))
+    matched = null_safe(rows, facts, list(keys), "inner")
     best = top_k(matched, keys, [*[p.desc_nulls_last() for p in prefer], F.col(row_id)]).select(row_id, *fact_columns)
     attached = rows.join(best, row_id, "left").withColumn("origin", F.lit("row"))
-    new = facts.join(rows.select(*keys).distinct(), list(keys), "left_anti").withColumn("origin", F.lit("fact_only"))
+    held = rows.select(*keys).distinct().withColumn("__held", F.lit(True))
+    new = null_safe(facts, held, list(keys)).where(F.col("__held").isNull()).withColumn("origin", F.lit("fact_only"))
     return attached.unionByName(new.select(*keys, *fact_columns, "origin"), allowMissingColumns=True)
 
 
@@ -241,23 +250,27 @@ def comparable_counts(df: DataFrame, group: str, value: str, ident: str, least:
     """For each row: others of its group at least max(`least`, 2 % of the larger) away.
 
     Integer values (cents). Counting is by running totals over the distinct values of a
-    group, cut into value ranges of `width`; no pair is formed.
+    group, cut into value ranges of `width`; no pair is formed. An unknown value is compared with
+    nothing: its row keeps NULL counts and counts for no other.
     """
     v = F.col(value)
     up = F.greatest(v + least, F.when(v > 0, F.ceil(v * 50 / F.lit(49))).otherwise(v + least)).cast("long")
     down = (v - F.greatest(F.lit(least), F.ceil(v * 2 / F.lit(100)))).cast("long")
-    points = df.groupBy(group, F.col(value).cast("long").alias("__v")).agg(F.count("*").alias("__n"))
-    asks = (df.select(group, F.explode(F.array(up - 1, down)).alias("__v")).distinct()
+    known = df.where(v.isNotNull())
+    points = known.groupBy(group, F.col(value).cast("long").alias("__v")).agg(F.count("*").alias("__n"))
+    asks = (known.select(group, F.explode(F.array(up - 1, down)).alias("__v")).distinct()
             .withColumn("__n", F.lit(0).cast("long")))
     both = points.unionByName(asks).groupBy(group, "__v").agg(F.sum("__n").alias("__n"))
     cum = running(both, [group], F.floor(F.col("__v") / width), [F.col("__v")], {"__upto": F.col("__n")}).select(
         group, "__v", "__upto")
-    size = df.groupBy(group).agg(F.count("*").alias("__all"))
+    size = known.groupBy(group).agg(F.count("*").alias("__all"))
     below = cum.select(group, F.col("__v").alias("__down"), F.col("__upto").alias("n_below"))
     above = cum.select(group, F.col("__v").alias("__up"), F.col("__upto").alias("__not_above"))
-    return (df.withColumns({"__down": down, "__up": (up - 1).cast("long")})
-            .join(below, [group, "__down"]).join(above, [group, "__up"]).join(size, group)
-            .withColumn("n_above", F.col("__all") - F.col("__not_above"))
+    asked = df.withColumns({"__down": down, "__up": (up - 1).cast("long")})
+    for counts, keys in ((below, [group, "__down"]), (above, [group, "__up"]), (size, [group])):
+        asked = null_safe(asked, counts, keys)
+    return (asked.withColumn("n_below", F.when(v.isNotNull(), F.col("n_below")))
+            .withColumn("__all", F.when(v.isNotNull(), F.col("__all"))).withColumn("n_above", F.col("__all") - F.col("__not_above"))
             .drop("__down", "__up", "__all", "__not_above"))
 
 

@@ -125,7 +125,7 @@ def fold_cross_source(df: DataFrame, ident: str, period: str, team: str, stats:
     """
     columns = df.columns
     row = written(df.withColumns({"__city": city_token(team), "__fr": F.coalesce(franchise, F.lit(""))}))
-    base = row.where(F.col(source) != second)
+    base = row.where(~F.col(source).eqNullSafe(second))  # a row of unknown source is nobody's repeat
     extra = row.where(F.col(source) == second)
     key = [ident, period, "__city"]
     twin = F.min(F.struct(*[F.col(c) for c in columns if c not in (ident, period)])).alias("__twin")

@@ -132,15 +132,24 @@ class Filled(NamedTuple):
 
 
 def fill_empty(spine: DataFrame, source: DataFrame, key: str, fields: Sequence[str]) -> Filled:
-    """Fill only empty fields, never overwrite; disagreements and unmatched rows are reported."""
-    offer = source.groupBy(key).agg(*[F.max(f).alias(f"__s_{f}") for f in fields])
+    """Fill only empty fields, never overwrite; disagreements and unmatched rows are reported.
+
+    Offers for one key that disagree fill nothing: the smallest and the largest are reported as conflicts.
+    """
+    offer = source.groupBy(key).agg(*[F.min(f).alias(f"__l_{f}") for f in fields], *[F.max(f).alias(f"__h_{f}") for f in fields])
+    offer = offer.select(key, *[F.when(F.col(f"__l_{f}") == F.col(f"__h_{f}"), F.col(f"__h_{f}")).alias(f"__s_{f}") for f in fields],
+                         *[F.when(F.col(f"__l_{f}") != F.col(f"__h_{f}"), F.array(f"__l_{f}", f"__h_{f}")).alias(f"__d_{f}") for f in fields])
     both = spine.join(offer, key, "left")
     rows = both.select(*[F.coalesce(F.col(c), F.col(f"__s_{c}")).alias(c) if c in fields else F.col(c) for c in spine.columns])
     packed = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("kept"),
                                 F.col(f"__s_{f}").cast("string").alias("offered")) for f in fields])
     long = both.select(key, F.explode(packed).alias("__x")).select(key, "__x.*").where(F.col("offered").isNotNull())
+    disputed = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("kept"),
+                                  F.transform(f"__d_{f}", lambda x: x.cast("string")).alias("offered")) for f in fields])
+    several = (both.select(key, F.explode(disputed).alias("__x")).select(key, "__x.field", "__x.kept", F.explode("__x.offered").alias("offered"))
+               .where(F.col("kept").isNull() | (F.col("kept") != F.col("offered"))))
     return Filled(rows, long.where(F.col("kept").isNull()).select(key, "field", F.col("offered").alias("value")),
-                  long.where(F.col("kept") != F.col("offered")), source.join(spine, key, "left_anti"))
+                  long.where(F.col("kept") != F.col("offered")).unionByName(several), source.join(spine, key, "left_anti"))
 
 
 def seed_spans(canon: DataFrame, attested: DataFrame, index: DataFrame, ident: str, key: str, period: str,

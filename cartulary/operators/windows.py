@@ -39,12 +39,12 @@ def holder_streaks(df: DataFrame, scope: Sequence[str], period: str, holder: str
 
 
 def shared_rank(df: DataFrame, measure: str, name: str = "place") -> DataFrame:
-    """Equal measures share a place: 1, 2, 2, 4.
+    """Equal measures share a place: 1, 2, 2, 4. A row without a measure has no place and moves nobody.
 
     Places are worked out on the distinct measures (bucketed by size of the measure),
     so no task sees the whole table.
     """
-    per = df.groupBy(measure).agg(F.count("*").cast("long").alias("__n"))
+    per = df.where(F.col(measure).isNotNull()).groupBy(measure).agg(F.count("*").cast("long").alias("__n"))
     from .skew import running
 
     # 64 buckets per doubling of the measure, ordered like the measure itself

@@ -40,7 +40,7 @@ def page_elements(t):
 
 @query("page_links", r"""
 SELECT page_id, CAST(i - 1 AS INT) AS position, x[i] AS link
-FROM (SELECT page_id, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1) AS x FROM pages))
+FROM (SELECT page_id, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT page_id, list_transform(regexp_extract_all(html, '(?i)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1), lambda l: regexp_replace(l, '^["'']|["'']$', '', 'g')) AS x FROM pages))
 """)
 def page_links(t):
     return pg.page_links(t.pages, "page_id", "html")
@@ -48,7 +48,7 @@ def page_links(t):
 
 @query("linked_ids", r"""
 SELECT page_id, count(*) AS n_links, count(DISTINCT regexp_extract(link, '^/([A-Za-z]+)$', 1)) AS n_ids
-FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*href="([^"]*)"', 1)) AS link FROM pages)
+FROM (SELECT page_id, unnest(list_transform(regexp_extract_all(html, '(?i)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1), lambda l: regexp_replace(l, '^["'']|["'']$', '', 'g'))) AS link FROM pages)
 WHERE regexp_matches(link, '^/([A-Za-z]+)$') GROUP BY page_id
 """)
 def linked_ids(t):

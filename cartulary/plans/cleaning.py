@@ -291,8 +291,8 @@ def display_names(t):
 
 @query("fuzzy_parts", r"""
 SELECT damage, count(*) AS n_pairs, count(*) FILTER (WHERE
-   levenshtein(a, b) <= 2 OR (split_part(a, ' ', 1) = split_part(b, ' ', 1)
-     AND levenshtein(split_part(a, ' ', 2), split_part(b, ' ', 2)) <= 1)) AS n_match
+   levenshtein(split_part(a, ' ', 1), split_part(b, ' ', 1)) <= 2
+     AND levenshtein(split_part(a, ' ', 2), split_part(b, ' ', 2)) <= 1) AS n_match
 FROM (SELECT p_partkey % 4 AS damage, lower(p_name) AS a, CASE p_partkey % 4
    WHEN 0 THEN p_name WHEN 1 THEN p_name[1:length(p_name) - 1] WHEN 2 THEN 'xx' || p_name ELSE 'yyy' || p_name || 'z' END AS b
   FROM part) GROUP BY damage

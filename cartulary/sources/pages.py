@@ -43,7 +43,7 @@ def decode_page(content: Str) -> Column:
     raw = _col(content)
     as_text = raw.cast("string")
     latin = F.decode(raw, "iso-8859-1")
-    head = F.lower(F.substring(latin, 1, 4096))
+    head = F.lower(latin)
     undefined = latin.rlike("[\\x81\\x8d\\x8f\\x90\\x9d]")
     return (F.when(F.is_valid_utf8(as_text), as_text)
             .when(head.contains("utf-8") | head.contains("utf8"), F.make_valid_utf8(as_text))
@@ -301,7 +301,7 @@ def leader_lines(df: DataFrame, line: str) -> DataFrame:
         F.when(ok, "").otherwise("unparsed").alias("parse_flag"))
 
 
-def career_lines(df: DataFrame, text: str, keys: Sequence[str], first: int = 1929, last: int = 2030) -> DataFrame:
+def career_lines(df: DataFrame, text: str, keys: Sequence[str], first: int = 1929) -> DataFrame:
     """ "YEAR TEAM figures..." runs of a page text. A full row ends in an average after games and points;
     a shorter one keeps its season and team with both figures unknown."""
     row = r"(\d{4}\s+[A-ZÑÁÉÍÓÚ.\- ]+?\s+(?=\d).+?)(?=\s+\d{4}\s+[A-ZÑ]|\z)"
@@ -310,7 +310,7 @@ def career_lines(df: DataFrame, text: str, keys: Sequence[str], first: int = 192
            .withColumn("team_raw", squish(F.regexp_extract("l", r"^\d{4}\s+([A-ZÑÁÉÍÓÚ.\- ]+?)\s+(?=\d)", 1)))
            .withColumn("t", F.regexp_extract_all(F.regexp_replace("l", r"^\d{4}\s+[A-ZÑÁÉÍÓÚ.\- ]+?\s+(?=\d)", ""),
                                                  F.lit(r"(\d+\.\d+|\d+%|\d+)"), F.lit(1)))
-           .where(F.col("season").between(first, last)))
+           .where(F.col("season") >= first))  # an earlier number is no season: there was no league
     full = (F.size("t") >= 3) & F.try_element_at("t", F.lit(-1)).rlike(r"^\d+\.\d+$")
 
     def figure(i):
@@ -329,8 +329,9 @@ def list_items(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def page_links(pages: DataFrame, key: str, html: str) -> DataFrame:
-    links = F.regexp_extract_all(html, F.lit(r"""(?i)<a\s[^>]*href="([^"]*)\""""), F.lit(1))
-    return pages.select(key, F.posexplode(links).alias("position", "link"))
+    """Targets of links: quoted twice, once or not at all."""
+    links = F.regexp_extract_all(html, F.lit(r"""(?i)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""), F.lit(1))
+    return pages.select(key, F.posexplode(links).alias("position", "link")).withColumn("link", F.regexp_replace("link", r"""^["']|["']$""", ""))
 
 
 def link_ids(links: DataFrame, pattern: str, name: str = "entity_id") -> DataFrame:

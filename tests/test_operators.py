@@ -164,3 +164,8 @@ def test_no_day_falls_back_to_month_then_to_five(spark):
     assert rows(questions.on_this_day(df, "d", 3, 4, "2001-01-01", [F.col("i")]), "i", "match") == [(4, "day")]
     assert questions.on_this_day(df, "d", 3, 30, "2001-01-01", [F.col("i")]).count() == 8
     assert rows(questions.on_this_day(df, "d", 5, 1, "2001-01-01", [F.col("i")]), "i", "match") == [(i, "first") for i in range(1, 6)]
+
+
+def test_groups_without_key_keep_their_newest_batch(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "k string, ts int")
+    assert rows(dedup.latest_batch(df, ["k"], "ts")) == [(None, 2), ("a", 1)]

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cartulary.plans import base
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -39,7 +40,7 @@ def test_same_rows(spark, duck, name):
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(base.QUERIES) == set(base.ORACLES)
 
 
 def test_entry(spark):

@@ -113,3 +113,13 @@ def test_score_falls_back_to_the_parts(spark):
     p = spark.createDataFrame([("g1", 1), ("g2", 40), ("g2", 41), ("g3", 5), ("g3", None)], "g string, pts int")
     assert rows(pg.coalesced_score(t, p, "g", "total", "pts"), "g", "score", "score_source") == [
         ("g1", 80, "stated"), ("g2", 81, "summed"), ("g3", None, "unknown"), ("g4", None, "unknown")]
+
+
+def test_links_of_every_quoting(spark):
+    df = spark.createDataFrame([(1, """<a class=x href='/one'>1</a><a href="/two">2</a><A HREF=/three>3</a>""")], "k int, html string")
+    assert [r["link"] for r in pg.page_links(df, "k", "html").orderBy("position").collect()] == ["/one", "/two", "/three"]
+
+
+def test_late_career_rows_stay(spark):
+    df = spark.createDataFrame([(1, "2031 RIO ALTO 28 400 14.3")], "k int, t string")
+    assert [r["season"] for r in pg.career_lines(df, "t", ["k"]).collect()] == [2031]

@@ -144,3 +144,10 @@ def test_lineage_and_overlay(spark):
     cur = spark.createDataFrame([(1, 1930, [1950], "kept"), (2, 1940, [], "kept")], "k int, founded int, won array<int>, color string")
     built = spark.createDataFrame([(1, 1931, [1949, 1950])], "k int, founded int, won array<int>")
     assert rows(reconcile.overlay_facts(cur, built, "k", ["founded"], ["won"])) == [(1, 1931, [1949, 1950], "kept"), (2, 1940, [], "kept")]
+
+
+def test_rows_of_unknown_source_stay(spark):
+    df = spark.createDataFrame([(1, 2000, "rio", 5, 50, None), (1, 2000, "rio", 5, 50, "extra"), (2, 2000, "mar", 1, 2, None)],
+                               "pid int, season int, team string, games int, points int, source string")
+    out = reconcile.fold_cross_source(df, "pid", "season", "team", ["games", "points"], "source", "extra", nick())
+    assert out.kept.count() == 2 and out.merged.count() == 1 and out.conflicts.count() == 0

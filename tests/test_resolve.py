@@ -243,3 +243,18 @@ def test_fold_of_a_hot_player_season(spark):
     nick = F.when(F.col("team").contains(","), F.substring_index("team", ",", 1)).otherwise("")
     f = resolve.fold_cross_source(df, "pid", "season", "team", ["games", "points"], "source", "extra", nick)
     assert (f.kept.count(), f.merged.count(), f.conflicts.count()) == (3000, 1000, 1000)
+
+
+def test_open_ranges_have_no_last_year(spark):
+    q = spark.createDataFrame([("mar", 2150), ("mar", 1990), ("mar", None), (None, 2150)], "city string, season int")
+    ranges = spark.createDataFrame([("mar", 2000, None, "x"), ("mar", 1980, 1985, "y")], "city string, s int, e int, f string")
+    assert rows(joins.dated_override(q, ranges, "city", "season", "s", "e", "f", "fid")) == [
+        (None, 2150, None), ("mar", None, None), ("mar", 1990, None), ("mar", 2150, "x")]
+
+
+def test_disagreeing_offers_fill_nothing(spark):
+    spine = spark.createDataFrame([(1, None), (2, "a"), (3, None)], "id int, city string")
+    offers = spark.createDataFrame([(1, "x"), (1, "y"), (2, "b"), (3, "z")], "id int, city string")
+    out = resolve.fill_empty(spine, offers, "id", ["city"])
+    assert rows(out.rows) == [(1, None), (2, "a"), (3, "z")] and rows(out.filled) == [(3, "city", "z")]
+    assert rows(out.conflicts) == [(1, "city", None, "x"), (1, "city", None, "y"), (2, "city", "a", "b")]

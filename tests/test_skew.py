@@ -125,3 +125,14 @@ def test_top_k_limits_before_the_shuffle(hot):
     plan = skew.top_k(hot[1], ["key"], [F.col("v").desc(), F.col("id")], 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_unknown_measures_have_no_place(spark):
+    df = spark.createDataFrame([(10,), (5,), (None,), (None,), (5,)], "m int")
+    assert sorted(((r["m"], r["place"]) for r in windows.shared_rank(df, "m").collect()), key=str) == [(10, 1), (5, 2), (5, 2), (None, None), (None, None)]
+
+
+def test_unknown_values_are_compared_with_nothing(spark):
+    df = spark.createDataFrame([(1, "g", 100), (2, "g", None), (3, "g", 500)], "id int, grp string, v long")
+    got = {r["id"]: (r["n_below"], r["n_above"]) for r in joins.comparable_counts(df, "grp", "v", "id").collect()}
+    assert got == {1: (0, 1), 2: (None, None), 3: (1, 0)}
