@@ -4,10 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__  # noqa: F401  registers the queries
+from cartulary.plans import base
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = base.QUERIES
 PYTHON = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroups")
 
 
