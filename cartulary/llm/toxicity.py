@@ -9,7 +9,8 @@ the counts have not seen, turns them into a score.
 
 Words are counted once a text, over all labelled texts of the learning folds; they are hashed to `BUCKETS`,
 which bounds the model at any size of the corpus. The continuation count is a 64-bit sketch of the previous
-words, joined by OR. Labels join the texts by id; a bitmap of fixed size drops most unlabelled texts before.
+words, joined by OR. Labels join the texts by id; a bitmap of fixed size drops most unlabelled texts before
+they are hashed, and only the hashes are shuffled.
 
 Defined results: NULL or empty text has no evidence and gets the curve's value at 0; without labels of both
 classes every score is 0; repeated rows are scored alike; labels that disagree for one id count as toxic.
@@ -65,27 +66,23 @@ class Model:
 
 def labelled_words(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> DataFrame:
     """Kept: fold, toxic, words (hashes) of every labelled text outside the held-out fold."""
-    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
-    words = (known.select(bit.alias("b")).groupBy(F.expr("b div 64").cast("int").alias("at"))
+    filled = (known.select(bit.alias("b")).groupBy(F.expr("b div 64").cast("int").alias("at"))
              .agg(F.bit_or(F.expr("shiftleft(1L, b % 64)")).alias("bits")).collect())  # at most FILTER_BITS / 64 rows
     bitmap = np.zeros(FILTER_BITS // 64, np.uint64)
-    for r in words:
+    for r in filled:
         bitmap[r["at"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
 
-    @F.pandas_udf("boolean")
-    def maybe(b: pd.Series) -> pd.Series:
-        i = b.to_numpy(np.int64)
-        return pd.Series((bitmap[i // 64] >> (i % 64).astype(np.uint64)) & np.uint64(1) == 1)
-
-    fold = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds).cast("int")
-    texts = docs.where("doc_id is not null").select("doc_id", "text", fold.alias("fold")).where(F.col("fold") != held_out).where(maybe(bit))
-
     def work(batch: pa.RecordBatch):
-        yield {"fold": batch.column(0), "toxic": batch.column(1), "words": [hashed(t).tobytes() for t in batch.column(2).to_pylist()]}
+        i = batch.column("bit").to_numpy().astype(np.int64)
+        some = batch.filter(pa.array((bitmap[i // 64] >> (i % 64).astype(np.uint64)) & np.uint64(1) == 1))
+        yield {"doc_id": some.column("doc_id"), "fold": some.column("fold"), "words": [hashed(t).tobytes() for t in some.column("text").to_pylist()]}
 
-    joined = texts.join(known, "doc_id").select("fold", (F.col("toxic") > 0).cast("int").alias("toxic"), "text")
-    return keep(arrow_rows(joined, work, "fold int, toxic int, words binary"))
+    fold = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds).cast("int")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text", fold.alias("fold"), bit.alias("bit"))
+    words = arrow_rows(texts.where(F.col("fold") != held_out), work, "doc_id long, fold int, words binary")
+    return keep(words.join(known, "doc_id").select("fold", (F.col("toxic") > 0).cast("int").alias("toxic"), "words"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> Model:
