@@ -20,12 +20,12 @@ HOST = "lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1))"
 
 
 @query("pages_with_meta", f"""
-WITH h AS (SELECT {HOST} AS host, count(*) AS n_pages, min(page_id) AS first_page FROM pages WHERE url LIKE 'https:%' GROUP BY 1)
+WITH h AS (SELECT {HOST} AS host, count(*) AS n_pages, min(page_id) AS first_page FROM pages GROUP BY 1)
 SELECT page_id, h.host, n_pages, first_page, md5(html) AS digest FROM pages JOIN h ON h.host = {HOST}
 """)
 def pages_with_meta(t):
     p = t.pages.withColumn("host", urls.host("url"))
-    meta = p.where(F.col("url").startswith("https:")).groupBy("host").agg(F.count("*").alias("n_pages"), F.min("page_id").alias("first_page"))
+    meta = p.groupBy("host").agg(F.count("*").alias("n_pages"), F.min("page_id").alias("first_page"))
     return pg.pages_with_context(p, meta, "host").select("page_id", "host", "n_pages", "first_page", F.md5("html").alias("digest"))
 
 
@@ -258,12 +258,13 @@ def check_rates(t):
 
 
 @query("check_exclusive", """
-WITH a AS (SELECT DISTINCT doc_id FROM labels), b AS (SELECT doc_id FROM documents WHERE n_chars > 2000)
+WITH a AS (SELECT DISTINCT doc_id FROM labels), b AS (SELECT DISTINCT CASE WHEN n_chars > 2000 THEN doc_id ELSE -doc_id - 1 END AS doc_id FROM documents)
 SELECT 'labelled or long' AS check_name, (SELECT count(*) FROM (FROM a UNION FROM b)) AS n_checked, (SELECT count(*) FROM (FROM a INTERSECT FROM b)) AS n_failed,
   ((SELECT count(*) FROM (FROM a INTERSECT FROM b)) = 0)::INT AS passed
 """)
 def check_exclusive(t):
-    return _int_passed(quality.check_exclusive(t.labels, t.documents.where(F.col("n_chars") > 2000), "labelled or long", ["doc_id"]))
+    doc = F.when(F.col("n_chars") > 2000, F.col("doc_id")).otherwise(-F.col("doc_id") - 1)
+    return _int_passed(quality.check_exclusive(t.labels, t.documents.select(doc.alias("doc_id")), "labelled or long", ["doc_id"]))
 
 
 @query("check_totals", """

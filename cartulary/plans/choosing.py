@@ -163,13 +163,13 @@ def first_order(t):
 
 @query("fullest_doc", r"""
 WITH d AS (SELECT doc_id, lang, n_chars, source,
-  substr(trim(regexp_replace(strip_accents(lower(text)), '[«»"''.]', '', 'g')), 1, 4) AS head FROM documents)
-SELECT lang, head, doc_id, n_chars FROM d
-QUALIFY row_number() OVER (PARTITION BY lang, head ORDER BY n_chars DESC, doc_id) = 1
+  md5(trim(regexp_replace(strip_accents(lower(text)), '[«»"''.]', '', 'g'))) AS folded FROM documents)
+SELECT lang, folded, doc_id, n_chars FROM d
+QUALIFY row_number() OVER (PARTITION BY lang, folded ORDER BY n_chars DESC, doc_id) = 1
 """)
 def fullest_doc(t):
-    d = t.documents.select("lang", F.substring(text.search_fold("text"), 1, 4).alias("head"), "doc_id", "n_chars")
-    return dedup.keep_fullest(d, ["lang", "head"], [F.col("n_chars")], [F.col("doc_id")])
+    d = t.documents.select("lang", F.md5(text.search_fold("text")).alias("folded"), "doc_id", "n_chars")
+    return dedup.keep_fullest(d, ["lang", "folded"], [F.col("n_chars")], [F.col("doc_id")])
 
 
 @query("top_lineitem", """
@@ -278,12 +278,12 @@ def recent_orders(t):
 
 @query("union_names", """
 SELECT source_id, name, segment, brand, count(*) AS n FROM (
-  SELECT 'customer' AS source_id, substr(c_name, 1, 16) AS name, c_mktsegment AS segment, NULL AS brand FROM customer
+  SELECT 'customer' AS source_id, c_name AS name, c_mktsegment AS segment, NULL AS brand FROM customer
   UNION ALL SELECT 'part', p_name, NULL, p_brand FROM part) GROUP BY ALL
 """)
 def union_names(t):
     u = sets.union_sources({
-        "customer": t.customer.select(F.substring("c_name", 1, 16).alias("name"), F.col("c_mktsegment").alias("segment")),
+        "customer": t.customer.select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")),
         "part": t.part.select(F.col("p_name").alias("name"), F.col("p_brand").alias("brand"))})
     return u.groupBy("source_id", "name", "segment", "brand").agg(F.count("*").alias("n"))
 
@@ -336,10 +336,12 @@ def fill_gaps(t):
 
 
 @query("key_gaps", """
-SELECT o_orderkey AS k, 'left_only' AS side FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 25)
-UNION ALL SELECT DISTINCT l_orderkey, 'right_only' FROM lineitem WHERE l_quantity > 25 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+WITH l AS (SELECT DISTINCT CASE WHEN l_quantity > 25 THEN l_orderkey ELSE -l_orderkey - 1 END AS k FROM lineitem)
+SELECT o_orderkey AS k, 'left_only' AS side FROM orders WHERE o_orderkey NOT IN (FROM l)
+UNION ALL SELECT k, 'right_only' FROM l WHERE k NOT IN (SELECT o_orderkey FROM orders)
 """)
 def key_gaps(t):
     ledger = t.orders.select(F.col("o_orderkey").alias("k"))
-    lines = t.lineitem.where(F.col("l_quantity") > 25).select(F.col("l_orderkey").alias("k")).distinct()
+    k = F.when(F.col("l_quantity") > 25, F.col("l_orderkey")).otherwise(-F.col("l_orderkey") - 1)
+    lines = t.lineitem.select(k.alias("k")).distinct()
     return sets.key_differences(ledger, lines, ["k"])

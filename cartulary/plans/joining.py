@@ -94,16 +94,17 @@ def candidate_parts(t):
 
 @query("corroborated_orders", """
 WITH c AS (SELECT user_id, user_id % 40 AS k, min(ts::DATE) - 1 AS lo, max(ts::DATE) + 1 AS hi FROM events
-   WHERE event_type = 'signup' GROUP BY ALL)
+   WHERE event_type IN ('signup', 'purchase') GROUP BY ALL)
 SELECT event_id, count(c.user_id) AS n_in_span, CASE WHEN count(c.user_id) = 1 THEN min(c.user_id) END AS survivor_id
-FROM events e LEFT JOIN c ON e.user_id % 40 = c.k AND e.ts::DATE BETWEEN lo AND hi WHERE event_type = 'error' GROUP BY event_id
+FROM events e LEFT JOIN c ON e.user_id % 40 = c.k AND e.ts::DATE BETWEEN lo AND hi WHERE event_type NOT IN ('signup', 'purchase') GROUP BY event_id
 """)
 def corroborated_orders(t):
     day = F.unix_date(F.col("ts").cast("date")).alias("day")
     rows = t.events.select("event_id", "user_id", "event_type", (F.col("user_id") % 40).alias("name_key"), day)
-    spans = (rows.where(F.col("event_type") == "signup").groupBy("name_key", "user_id")
+    career = F.col("event_type").isin("signup", "purchase")
+    spans = (rows.where(career).groupBy("name_key", "user_id")
              .agg(F.min("day").alias("lo"), F.max("day").alias("hi")))
-    obs = rows.where(F.col("event_type") == "error").select("event_id", "name_key", "day")
+    obs = rows.where(~career).select("event_id", "name_key", "day")
     return (joins.span_corroboration(obs, spans, "name_key", "day", "user_id", "lo", "hi")
             .select("event_id", "n_in_span", "survivor_id"))
 
@@ -140,7 +141,7 @@ def orders_within_7_days(t):
 
 
 @query("attach_labels", """
-WITH d AS (SELECT doc_id, lang, source, n_chars FROM documents WHERE lang <> 'de'),
+WITH d AS (SELECT doc_id, CASE lang WHEN 'de' THEN 'deu' ELSE lang END AS lang, source, n_chars FROM documents),
  f AS (SELECT lang, source, max(n_chars) AS longest, count(quality) AS n_labelled
    FROM documents LEFT JOIN labels USING (doc_id) GROUP BY ALL),
  b AS (SELECT doc_id, f.longest, f.n_labelled FROM d JOIN f USING (lang, source)
@@ -152,7 +153,8 @@ def attach_labels(t):
     docs = t.documents.select("doc_id", "lang", "source", "n_chars")
     facts = (docs.join(t.labels.select("doc_id", "quality"), "doc_id", "left").groupBy("lang", "source")
              .agg(F.max("n_chars").alias("longest"), F.count("quality").alias("n_labelled")))
-    return joins.attach_or_synthesise(docs.where(F.col("lang") != "de"), facts, ["lang", "source"], "doc_id",
+    listed = docs.withColumn("lang", F.when(F.col("lang") == "de", "deu").otherwise(F.col("lang")))
+    return joins.attach_or_synthesise(listed, facts, ["lang", "source"], "doc_id",
                                       [F.col("n_chars") == F.col("longest")], ["longest", "n_labelled"]).drop("n_chars")
 
 
@@ -244,21 +246,18 @@ def comparable_customers(t):
 
 
 @query("customers_with_urgent", """
-SELECT c_custkey, CAST(EXISTS (FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT'
-  AND o_totalprice > 300000) AS INT) AS has_urgent FROM customer
+SELECT c_custkey, CAST(EXISTS (FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') AS INT) AS has_urgent FROM customer
 """)
 def customers_with_urgent(t):
-    urgent = (t.orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 300000))
-              .select(F.col("o_custkey").alias("c_custkey")))
+    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"))
     return (joins.flag_semi(t.customer.select("c_custkey"), urgent, "c_custkey", "has_urgent")
             .withColumn("has_urgent", F.col("has_urgent").cast("int")))
 
 
 @query("missing_days", """
-WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_totalprice > 480000)
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
 SELECT strftime(day, '%Y-%m-%d') AS day FROM (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM d)
 WHERE day NOT IN (FROM d)
 """)
 def missing_days(t):
-    big = t.orders.where(F.col("o_totalprice") > 480000)
-    return joins.missing_periods(big, "o_orderdate").select(F.date_format("day", "yyyy-MM-dd").alias("day"))
+    return joins.missing_periods(t.orders, "o_orderdate").select(F.date_format("day", "yyyy-MM-dd").alias("day"))

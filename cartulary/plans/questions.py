@@ -124,16 +124,18 @@ FOLD = "trim(regexp_replace(strip_accents(lower({c})), '[«»\"''.]', '', 'g'))"
 @query("mentions", f"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array({FOLD.format(c='text')}, '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM documents),
  b AS (SELECT item_id, list_filter(regexp_split_to_array({FOLD.format(c='text')}, '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM benchmark),
- n AS (SELECT g, min(e) AS e FROM (SELECT array_to_string(w[1:k], ' ') AS g, item_id AS e FROM b, (VALUES (1), (2), (3)) v(k) WHERE len(w) >= k) GROUP BY g),
- h AS (SELECT DISTINCT doc_id, g, e FROM w JOIN n ON contains(' ' || array_to_string(w, ' ') || ' ', ' ' || g || ' '))
+ gw AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w), (VALUES (1), (2), (3)) v(k) WHERE i + k - 1 <= len(w)),
+ n AS (SELECT array_to_string(w[i:i + k - 1], ' ') AS g, min(item_id) AS e FROM (SELECT item_id, w, unnest(range(1, len(w) + 1)) AS i FROM b), (VALUES (1), (2), (3)) v(k) WHERE i + k - 1 <= len(w) GROUP BY 1),
+ h AS (SELECT doc_id, g, e FROM gw JOIN n USING (g))
 SELECT doc_id, count(*) AS n_names, arg_max(g, struct_pack(a := length(g), b := g)) AS longest_name, arg_max(e, struct_pack(a := length(g), b := g)) AS entity_id
 FROM h GROUP BY doc_id
 """)
 def mentions(t):
     words = F.filter(F.split(q.search_fold("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    names = (t.benchmark.select("item_id", words.alias("w"))
-             .select("item_id", F.explode(F.sequence(F.lit(1), F.least(F.lit(3), F.size("w")))).alias("k"), "w")
-             .select("item_id", F.array_join(F.slice("w", F.lit(1), F.col("k")), " ").alias("name")))
+    names = (t.benchmark.select("item_id", words.alias("w")).where(F.size("w") > 0)
+             .select("item_id", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("i"))
+             .select("item_id", "w", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(3), F.size("w") - F.col("i") + 1))).alias("k"))
+             .select("item_id", F.array_join(F.slice("w", F.col("i"), F.col("k")), " ").alias("name")))
     return q.mentions(t.documents, "doc_id", "text", names, "name", "item_id", 3)
 
 
@@ -142,7 +144,7 @@ FRAGMENTS = ("small ring 2", "ed ring 17", "blue ring", "ring 2", "hot", "Small
 
 @query("fragment_match", f"""
 WITH f(fragment) AS (VALUES {', '.join(f"('{x.lower()}')" for x in FRAGMENTS)}),
- n AS (SELECT p_name || ' ' || p_brand[7:] AS name, min(p_partkey) AS id FROM part GROUP BY 1),
+ n AS (SELECT p_name || ' ' || split_part(p_brand, '#', 2) AS name, min(p_partkey) AS id FROM part GROUP BY 1),
  h AS (SELECT fragment, count(*) FILTER (WHERE name = fragment) AS n_exact, count(*) FILTER (WHERE starts_with(name, fragment)) AS n_prefix, count(*) AS n_inside,
    min(id) FILTER (WHERE name = fragment) AS e, min(id) FILTER (WHERE starts_with(name, fragment)) AS p, min(id) AS s
   FROM f JOIN n ON contains(name, fragment) GROUP BY 1)
@@ -151,7 +153,7 @@ SELECT fragment, n_exact, n_prefix, n_inside, CASE WHEN n_exact = 1 THEN 'exact'
   CASE WHEN n_exact = 1 THEN e WHEN n_exact > 1 THEN NULL WHEN n_prefix = 1 THEN p WHEN n_inside = 1 THEN s END AS entity_id FROM h
 """)
 def fragment_match(t):
-    names = t.part.groupBy(F.concat(F.col("p_name"), F.lit(" "), F.substring("p_brand", 7, 9)).alias("name")).agg(F.min("p_partkey").alias("id"))
+    names = t.part.groupBy(F.concat(F.col("p_name"), F.lit(" "), F.substring_index("p_brand", "#", -1)).alias("name")).agg(F.min("p_partkey").alias("id"))
     return q.fragment_match(names, "name", "id", FRAGMENTS)
 
 

@@ -17,9 +17,8 @@ from .summaries import MONEY, month_index
 
 def _headers_and_lines(t):
     """Order status and price band as the header states them, and as the lines imply them."""
-    header = (t.orders.where(F.col("o_totalprice") > 20000)
-              .select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("state"),
-                      F.floor(F.col("o_totalprice") / 100000).alias("band")))
+    header = t.orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("state"),
+                             F.floor(F.col("o_totalprice") / 100000).alias("band"))
     lines = (t.lineitem.groupBy(F.col("l_orderkey").alias("order_key"))
              .agg(F.bool_and(F.col("l_linestatus") == "F").alias("done"), F.bool_and(F.col("l_linestatus") == "O").alias("open"),
                   F.floor(F.sum(F.col("l_extendedprice").cast(MONEY)) / 100000).cast("long").alias("band"))
@@ -27,8 +26,7 @@ def _headers_and_lines(t):
     return header, lines
 
 
-HEADER_LINES = """h AS (SELECT o_orderkey AS k, o_orderstatus AS state, CAST(floor(o_totalprice / 100000) AS BIGINT) AS band FROM orders
-   WHERE o_totalprice > 20000),
+HEADER_LINES = """h AS (SELECT o_orderkey AS k, o_orderstatus AS state, CAST(floor(o_totalprice / 100000) AS BIGINT) AS band FROM orders),
  l AS (SELECT l_orderkey AS k, CASE WHEN min(l_linestatus) = max(l_linestatus) THEN min(l_linestatus) ELSE 'P' END AS state,
    CAST(floor(sum(CAST(l_extendedprice AS DECIMAL(18,2))) / 100000) AS BIGINT) AS band FROM lineitem GROUP BY 1),
  j AS (SELECT coalesce(h.k, l.k) AS k, h.state AS state_header, l.state AS state_lines, h.band AS band_header, l.band AS band_lines,
@@ -98,9 +96,11 @@ def reconcile_conflicts(t):
 
 @query("reconcile_three", """
 WITH w(c, n) AS (VALUES ('F', 'finished'), ('O', 'open'), ('P', 'pending'), ('R', 'returned'), ('A', 'accepted'), ('N', 'none')),
- a AS (SELECT o_orderkey AS k, n FROM orders JOIN w ON o_orderstatus = c WHERE o_totalprice > 50000),
- b AS (SELECT l_orderkey AS k, n FROM (SELECT l_orderkey, min(l_linestatus) AS s FROM lineitem WHERE l_discount < 0.05 GROUP BY 1) JOIN w ON s = c),
- d AS (SELECT l_orderkey AS k, n FROM (SELECT l_orderkey, max(l_linestatus) AS s FROM lineitem WHERE l_tax > 0.02 GROUP BY 1) JOIN w ON s = c),
+ a AS (SELECT o_orderkey AS k, n FROM orders JOIN w ON o_orderstatus = c),
+ b AS (SELECT CASE WHEN m % 3 = 0 THEN -l_orderkey - 1 ELSE l_orderkey END AS k, n
+   FROM (SELECT l_orderkey, min(l_linestatus) AS s, count(*) AS m FROM lineitem GROUP BY 1) JOIN w ON s = c),
+ d AS (SELECT CASE WHEN m % 4 = 0 THEN -l_orderkey - 1 ELSE l_orderkey END AS k, n
+   FROM (SELECT l_orderkey, max(l_linestatus) AS s, count(*) AS m FROM lineitem GROUP BY 1) JOIN w ON s = c),
  j AS (SELECT coalesce(a.k, b.k, d.k) AS k, a.n AS an, b.n AS bn, d.n AS dn FROM a FULL JOIN b ON a.k = b.k FULL JOIN d ON coalesce(a.k, b.k) = d.k),
  e AS (SELECT *, (an IS NOT NULL)::INT + (bn IS NOT NULL)::INT + (dn IS NOT NULL)::INT AS p FROM j)
 SELECT agreement, count(*) AS n_orders FROM (SELECT CASE WHEN k IN (5, 6) THEN 'dual_metric'
@@ -114,12 +114,14 @@ def reconcile_three(t):
     def word(c):
         return reduce(lambda e, kv: F.when(F.col(c) == kv[0], kv[1]).otherwise(e), words.items(), F.lit(None))
 
-    a = t.orders.where(F.col("o_totalprice") > 50000).select(
-        F.col("o_orderkey").alias("k"), F.concat(F.lit("Ana "), word("o_orderstatus")).alias("name"))
-    b = (t.lineitem.where(F.col("l_discount") < 0.05).groupBy(F.col("l_orderkey").alias("k")).agg(F.min("l_linestatus").alias("s"))
-         .select("k", F.concat(F.upper(word("s")), F.lit(", Ana")).alias("name")))
-    d = (t.lineitem.where(F.col("l_tax") > 0.02).groupBy(F.col("l_orderkey").alias("k")).agg(F.max("l_linestatus").alias("s"))
-         .select("k", F.concat(word("s"), F.lit(", Ana M.")).alias("name")))
+    def key(n):
+        """The order's key, but one that nobody else has where its line count is a multiple of n."""
+        return F.when(F.col("m") % n == 0, -F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey")).alias("k")
+
+    a = t.orders.select(F.col("o_orderkey").alias("k"), F.concat(F.lit("Ana "), word("o_orderstatus")).alias("name"))
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.min("l_linestatus").alias("low"), F.max("l_linestatus").alias("high"), F.count("*").alias("m"))
+    b = lines.select(key(3), F.concat(F.upper(word("low")), F.lit(", Ana")).alias("name"))
+    d = lines.select(key(4), F.concat(word("high"), F.lit(", Ana M.")).alias("name"))
     dual = t.values("(5L), (6L)", "k")
     out = reconcile.reconcile_three({"header": (a, "name"), "first": (b, "name"), "last": (d, "name")}, "k", dual)
     return out.groupBy("agreement").agg(F.count("*").alias("n_orders"))
@@ -293,14 +295,15 @@ def overlay_repair(t):
 
 
 @query("diff_two_lists", """
-WITH a AS (SELECT c_custkey AS k, c_mktsegment AS v FROM customer WHERE c_acctbal > -500),
+WITH a AS (SELECT CASE WHEN c_acctbal > -500 THEN c_custkey ELSE -c_custkey - 1 END AS k, c_mktsegment AS v FROM customer),
  b AS (SELECT o_custkey AS k, CASE WHEN max(o_totalprice) > 495000 THEN 'TOP' ELSE any_value(c_mktsegment) END AS v
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
 SELECT coalesce(a.k, b.k) AS k, a.v AS value_a, b.v AS value_b, CASE WHEN b.v IS NULL THEN 'only_a' WHEN a.v IS NULL THEN 'only_b' ELSE 'differs' END AS status
 FROM a FULL JOIN b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v
 """)
 def diff_two_lists(t):
-    a = t.customer.where(F.col("c_acctbal") > -500).select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("v"))
+    k = F.when(F.col("c_acctbal") > -500, F.col("c_custkey")).otherwise(-F.col("c_custkey") - 1)
+    a = t.customer.select(k.alias("k"), F.col("c_mktsegment").alias("v"))
     top = t.orders.groupBy("o_custkey").agg(F.max("o_totalprice").alias("top"))
     b = (top.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
          .select(F.col("o_custkey").alias("k"), F.when(F.col("top") > 495000, "TOP").otherwise(F.col("c_mktsegment")).alias("v")))
@@ -309,14 +312,13 @@ def diff_two_lists(t):
 
 @query("overlay_facts", """
 WITH b AS (SELECT l_partkey AS p_partkey, max(CAST(l_quantity AS INT)) AS p_size, list(DISTINCT year(l_shipdate) ORDER BY year(l_shipdate)) AS seasons
-  FROM lineitem WHERE l_quantity > 45 AND l_discount = 0.1 GROUP BY 1)
+  FROM lineitem GROUP BY 1)
 SELECT p_partkey, p_brand, coalesce(b.p_size, p.p_size) AS p_size,
   array_to_string(list_sort(list_distinct(list_concat([1994, 1997], coalesce(seasons, [])))), ',') AS seasons FROM part p LEFT JOIN b USING (p_partkey)
 """)
 def overlay_facts(t):
     curated = t.part.select("p_partkey", "p_brand", "p_size", F.array(F.lit(1994), F.lit(1997)).alias("seasons"))
-    built = (t.lineitem.where((F.col("l_quantity") > 45) & (F.col("l_discount") == 0.1))
-             .groupBy(F.col("l_partkey").alias("p_partkey"))
+    built = (t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey"))
              .agg(F.max(F.col("l_quantity").cast("int")).alias("p_size"), F.sort_array(F.collect_set(F.year("l_shipdate"))).alias("seasons")))
     out = reconcile.overlay_facts(curated, built, "p_partkey", ["p_size"], ["seasons"])
     return out.withColumn("seasons", F.array_join("seasons", ","))
@@ -329,15 +331,15 @@ def overlay_facts(t):
 WITH d AS (SELECT o_custkey AS id, arg_max(o_orderpriority, struct_pack(a := o_orderdate, b := o_orderkey)) AS priority,
    arg_min(CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END, struct_pack(a := o_orderdate, b := o_orderkey)) FILTER (WHERE o_orderstatus <> 'P') AS first_state
   FROM orders GROUP BY 1)
-SELECT id, first_state, CASE WHEN c_acctbal > 0 THEN c_mktsegment ELSE priority END AS priority, CAST(c_acctbal > 0 AS INT) AS has_profile
-FROM d JOIN customer ON c_custkey = id
+SELECT id, first_state, coalesce(c_mktsegment, priority) AS priority, (c_custkey IS NOT NULL)::INT AS has_profile
+FROM d LEFT JOIN customer ON id = CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey - 1 END
 """)
 def canonical_customer(t):
     stamp = F.struct("o_orderdate", "o_orderkey").alias("stamp")
     directory = t.orders.select(F.col("o_custkey").alias("id"), stamp, F.col("o_orderpriority").alias("priority"),
                                 F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).otherwise("").alias("first_state"))
-    profiles = t.customer.where(F.col("c_acctbal") > 0).select(
-        F.col("c_custkey").alias("id"), F.lit(1).alias("stamp"), F.col("c_mktsegment").alias("priority"))
+    profiles = t.customer.select(
+        F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).otherwise(-F.col("c_custkey") - 1).alias("id"), F.lit(1).alias("stamp"), F.col("c_mktsegment").alias("priority"))
     return (resolve.canonical_entities(directory, profiles, "id", "stamp", ["priority"], ["first_state"])
             .withColumn("has_profile", F.col("has_profile").cast("int")))
 
@@ -446,7 +448,7 @@ def enrich_mint_review(t):
 
 @query("extend_spans", """
 WITH c AS (SELECT c_custkey AS id, c_nationkey || c_mktsegment || floor(c_acctbal / 200)::INT AS k FROM customer),
- sp AS (SELECT o_custkey AS id, min(year(o_orderdate)) AS f, max(year(o_orderdate)) AS l FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
+ sp AS (SELECT o_custkey AS id, min(year(o_orderdate)) AS f, max(year(o_orderdate)) AS l FROM orders GROUP BY 1),
  u AS (SELECT k, min(id) AS id FROM c GROUP BY k HAVING count(*) = 1),
  att AS (SELECT u.id, min(year(l_shipdate)) AS lo, max(year(l_shipdate)) AS hi FROM lineitem JOIN orders ON l_orderkey = o_orderkey
    JOIN c ON o_custkey = c.id JOIN u ON u.k = c.k GROUP BY 1)
@@ -456,7 +458,7 @@ FROM c LEFT JOIN sp USING (id) LEFT JOIN att USING (id)
 def extend_spans(t):
     key = F.concat(F.col("c_nationkey"), F.col("c_mktsegment"), F.floor(F.col("c_acctbal") / 200))
     c = t.customer.select(F.col("c_custkey").alias("id"), key.alias("k"))
-    spans = (t.orders.where(F.col("o_orderstatus") == "P").groupBy(F.col("o_custkey").alias("id"))
+    spans = (t.orders.groupBy(F.col("o_custkey").alias("id"))
              .agg(F.min(F.year("o_orderdate")).alias("first_season"), F.max(F.year("o_orderdate")).alias("last_season")))
     attested = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("id"))
                 .select("k", F.year("l_shipdate").alias("season")))
@@ -478,8 +480,8 @@ def observations(t):
 
 
 def career_index(t):
-    lines = (t.orders.where((F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")) & (F.col("o_orderstatus") == "F"))
-             .select(F.col("o_custkey").alias("id"), month_index("o_orderdate").alias("m"), F.col("o_orderpriority").alias("club")))
+    known = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("o_orderstatus") == "F")
+    lines = (t.orders.select(F.when(known, F.col("o_custkey")).otherwise(-F.col("o_custkey") - 1).alias("id"), month_index("o_orderdate").alias("m"), F.col("o_orderpriority").alias("club")))
     spans = lines.groupBy("id").agg(F.min("m").alias("lo"), F.max("m").alias("hi"))
     return lines, spans
 
@@ -491,12 +493,12 @@ RESOLVE = f"""{PEOPLE}, ob AS (SELECT o_orderkey, year(o_orderdate) * 12 + month
    FROM orders JOIN pp ON id = o_custkey),
  obs AS (SELECT *, {TOKENS.format(c='a')} AS tk FROM ob),
  ak AS (SELECT DISTINCT id, a FROM al), tk AS (SELECT DISTINCT id, {TOKENS.format(c='a')} AS tk FROM al),
- cr AS (SELECT o_custkey AS id, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS m, o_orderpriority AS club FROM orders
-   WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'F'),
+ cr AS (SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'F' THEN o_custkey ELSE -o_custkey - 1 END AS id,
+   year(o_orderdate) * 12 + month(o_orderdate) - 1 AS m, o_orderpriority AS club FROM orders),
  sp AS (SELECT id, min(m) - 1 AS lo, max(m) + 1 AS hi FROM cr GROUP BY id),
  near AS (SELECT DISTINCT id, club, unnest([m - 1, m, m + 1]) AS m FROM cr),
- tt AS (SELECT DISTINCT {TOKENS.format(c="fam || ' ' || giv")} AS tk, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS m FROM orders JOIN pp ON id = o_custkey
-   WHERE o_totalprice > 450000),
+ tt AS (SELECT DISTINCT {TOKENS.format(c="fam || ' ' || giv")} AS tk,
+   (year(o_orderdate) * 12 + month(o_orderdate) - 1) * CASE WHEN o_totalprice > 450000 THEN 1 ELSE -1 END AS m FROM orders JOIN pp ON id = o_custkey),
  c1 AS (SELECT o_orderkey, id FROM obs JOIN ak USING (a)),
  cand AS (FROM c1 UNION ALL SELECT o_orderkey, id FROM obs JOIN tk USING (tk) WHERE o_orderkey NOT IN (SELECT o_orderkey FROM c1)),
  clip AS (SELECT o_orderkey, pp.id FROM obs JOIN pp ON v = 6 AND obs.fam = pp.fam AND obs.giv = pp.giv),
@@ -535,8 +537,8 @@ def resolve_obs(t):
     p = people(t)
     index = resolve.candidate_index(p, aliases(t), "id", "apellidos", "nombre", "name")
     lines, spans = career_index(t)
-    titles = (t.orders.where(F.col("o_totalprice") > 450000).join(p, F.col("o_custkey") == F.col("id"))
-              .select(text.token_sort_key("name").alias("name_key"), month_index("o_orderdate").alias("m")))
+    month = month_index("o_orderdate") * F.when(F.col("o_totalprice") > 450000, 1).otherwise(-1)
+    titles = t.orders.join(p, F.col("o_custkey") == F.col("id")).select(text.token_sort_key("name").alias("name_key"), month.alias("m"))
     obs = resolve.observation_keys(observations(t), "raw")
     out = resolve.resolve_observations(obs, index, spans, lines, titles, "o_orderkey", "id", "m", "club").decided
     return out.select("o_orderkey", "outcome", "id", "n_candidates", "club_check")
@@ -571,7 +573,7 @@ def match_tiers(t):
 @query("promote_rows", """
 WITH m AS (SELECT l_orderkey AS season, l_partkey, min(l_suppkey) AS lo, max(l_suppkey) AS hi FROM lineitem GROUP BY ALL),
  c AS (SELECT season, l_partkey, CASE WHEN lo % 10 = 0 THEN lo + 1 ELSE lo END AS id FROM m WHERE lo <> hi),
- r AS (SELECT c.*, o_orderpriority FROM c JOIN orders ON o_orderkey = season WHERE o_orderstatus <> 'P')
+ r AS (SELECT c.*, o_orderpriority FROM c JOIN orders ON season = CASE WHEN o_orderstatus <> 'P' THEN o_orderkey ELSE -o_orderkey - 1 END)
 SELECT 'promoted' AS part, count(*) AS n_rows, sum(id)::BIGINT AS id_sum FROM r
 UNION ALL SELECT 'untraced', count(*), sum(id)::BIGINT FROM c WHERE season IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
 UNION ALL SELECT 'duplicates', count(*), NULL FROM (SELECT 1 FROM r GROUP BY id, season HAVING count(*) > 1)
@@ -581,7 +583,8 @@ def promote_rows(t):
          .agg(F.min("l_suppkey").alias("lo"), F.max("l_suppkey").alias("hi"))
          .select("season", "l_partkey", F.array("hi", "lo").alias("candidate_ids"),
                  F.when(F.col("lo") != F.col("hi"), "confirmed_match").otherwise("no_match").alias("disposition")))
-    raw = t.orders.where(F.col("o_orderstatus") != "P").select(F.col("o_orderkey").alias("season"), "o_orderpriority")
+    season = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(-F.col("o_orderkey") - 1)
+    raw = t.orders.select(season.alias("season"), "o_orderpriority")
     dead = t.supplier.where(F.col("s_suppkey") % 10 == 0).select(F.col("s_suppkey").alias("retired_id"), (F.col("s_suppkey") + 1).alias("survivor_id"))
     p = resolve.promote_confirmed(m, raw, ["season"], "id", ["id", "season"], dead)
 
