@@ -17,8 +17,17 @@ from ..session import shared_folder
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: what the contracts call a word
 
 
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package wherever the session was started (a cluster gets it by --py-files)."""
+    """Lets Python workers import this package wherever the session was started (a cluster gets it by --py-files).
+
+    Rows go to them in small batches, as texts are long: the session's Arrow batches become at most these.
+    """
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(rows, ARROW_ROWS) if rows > 0 else ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(p for p in (root, env.get("PYTHONPATH")) if p)
@@ -74,6 +83,7 @@ def arrow_rows(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]],
             for at in range(0, whole.num_rows, batch):
                 for columns in work(whole.slice(at, batch)):
                     yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in target], schema=target)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return df.mapInArrow(run, schema)
 

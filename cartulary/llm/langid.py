@@ -26,9 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+from .common import arrow_rows
+
 WORDS = re.compile(r"[^\W\d_]+")
 LEVEL = 3
 BLOCK = 1000
+SALTS = 32
 UNKNOWN = "und"
 
 
@@ -38,12 +41,23 @@ def reduced(text: str | None) -> bytes:
 
 def dictionaries(labelled: DataFrame, sample_rows: int = 400, sample_chars: int = 1000, dictionary_bytes: int = 128 << 10) -> dict[str, bytes]:
     """Raw content for each language from (doc_id, text, lang)."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample = (labelled.where("lang is not null and text is not null").withColumn("__n", F.row_number().over(first))
-              .where(F.col("__n") <= sample_rows).select("lang", "__n", "text"))
+    known = labelled.where("lang is not null and text is not null").withColumn("__h", F.xxhash64("doc_id"))
+    low = known.select("lang", "__h", F.pmod("__h", F.lit(SALTS)).alias("__salt"))
+    for keys in (("lang", "__salt"), ("lang",)):  # hashes only; a language of any size is spread first
+        low = low.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("__h"))).where(F.col("__n") <= sample_rows)
+    last = low.groupBy("lang").agg(F.max("__h").alias("__last"))
+    order = Window.partitionBy("lang").orderBy("__h", "doc_id", F.xxhash64("text"))
+    sample = (known.join(F.broadcast(last), "lang").where("__h <= __last")  # one row for each language
+              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_rows))
+    sample = sample.select("lang", "n", "text")
+
+    def work(batch: pa.RecordBatch):
+        yield {"lang": batch.column(0), "n": batch.column(1), "part": [reduced(t)[:sample_chars] for t in batch.column(2).to_pylist()]}
+
+    parts = arrow_rows(sample, work, "lang string, n int, part binary").collect()  # sample_rows of sample_chars for each language
     of: dict[str, list[bytes]] = {}
-    for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["__n"])):  # sample_rows for each language
-        of.setdefault(r["lang"], []).append(reduced(r["text"])[:sample_chars])
+    for r in sorted(parts, key=lambda r: (r["lang"], r["n"])):
+        of.setdefault(r["lang"], []).append(bytes(r["part"]))
     return {lang: b" ".join(parts)[:dictionary_bytes] for lang, parts in of.items() if any(parts)}
 
 

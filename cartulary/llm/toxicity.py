@@ -69,10 +69,9 @@ def labelled_words(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
     filled = (known.select(bit.alias("b")).groupBy(F.expr("b div 64").cast("int").alias("at"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, b % 64)")).alias("bits")).collect())  # at most FILTER_BITS / 64 rows
+             .agg(F.bit_or(F.expr("shiftleft(1L, b % 64)")).alias("bits")).toArrow())  # at most FILTER_BITS / 64 rows
     bitmap = np.zeros(FILTER_BITS // 64, np.uint64)
-    for r in filled:
-        bitmap[r["at"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
+    bitmap[filled["at"].to_numpy()] = filled["bits"].to_numpy().view(np.uint64)
 
     def work(batch: pa.RecordBatch):
         i = batch.column("bit").to_numpy().astype(np.int64)
@@ -105,26 +104,24 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -
             yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(n[0, b]), pa.array(n[1, b]), pa.array(left[b].view(np.int64))],
                                              names=["bucket", "ordinary", "toxic", "left"])
 
-    counted = (rows.where(F.col("fold") != last).select("toxic", "words").mapInArrow(count, "bucket int, ordinary long, toxic long, left long")
-               .groupBy("bucket").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"), F.bit_or("left").alias("left"))
-               .toPandas())  # at most BUCKETS rows
-    n = np.zeros((2, BUCKETS))
-    contexts = np.zeros(BUCKETS)
-    at = counted["bucket"].to_numpy()
-    n[0, at], n[1, at] = counted["ordinary"], counted["toxic"]
-    contexts[at] = np.bitwise_count(counted["left"].to_numpy(np.int64).view(np.uint64))
-    if not n[0].any() or not n[1].any():
-        return Model(np.zeros(BUCKETS), None)
-    shared = SHARED * contexts / max(contexts.sum(), 1) + FLOOR / n.sum()
-    ratio = np.subtract(*[np.log(np.maximum(n[c] - DISCOUNT, 0) / n[c].sum() + shared) for c in (1, 0)])
+    counted = keep(rows.where(F.col("fold") != last).select("toxic", "words").mapInArrow(count, "bucket int, ordinary long, toxic long, left long")
+                   .groupBy("bucket").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"), F.bit_count(F.bit_or("left")).alias("contexts")))
+    ratio = np.zeros(BUCKETS, np.float32)  # a bucket without counts speaks for neither class
+    total = counted.agg(*[F.sum(c).alias(c) for c in ("ordinary", "toxic", "contexts")]).first()
+    if not total["ordinary"] or not total["toxic"]:
+        return Model(ratio, None)
+    shared = F.col("contexts") * (SHARED / max(total["contexts"], 1)) + FLOOR / (total["ordinary"] + total["toxic"])
+    toxic, ordinary = (F.log(F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / total[c] + shared) for c in ("toxic", "ordinary"))
+    found = counted.select("bucket", (toxic - ordinary).cast("float").alias("ratio")).toArrow()  # at most BUCKETS rows of 8 bytes
+    ratio[found["bucket"].to_numpy()] = found["ratio"].to_numpy()
 
     def features(batch: pa.RecordBatch):
         found = [evidence(np.frombuffer(w, np.uint32), ratio) for w in batch.column(1).to_pylist()]
         yield {"toxic": batch.column(0), "whole": [f[0] for f in found], "passage": [f[1] for f in found]}
 
     seen = (arrow_rows(rows.where(F.col("fold") == last).select("toxic", "words").orderBy(F.xxhash64("words")).limit(FITTED_ROWS), features,
-                       "toxic int, whole double, passage double").toPandas())
-    return Model(ratio.astype(np.float32), _curve(seen[["whole", "passage"]].to_numpy(), seen["toxic"].to_numpy(float)))
+                       "toxic int, whole double, passage double").toArrow())
+    return Model(ratio, _curve(np.c_[seen["whole"].to_numpy(), seen["passage"].to_numpy()], seen["toxic"].to_numpy().astype(float)))
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray | None:
