@@ -1,6 +1,7 @@
 """Document fingerprints that tell two versions' differing paragraphs: invertible Bloom lookup sketches.
 
-A text is its set of paragraph digests (lines, long ones cut at some of their sentence ends). A sketch hashes each digest into one
+A text is its set of paragraph digests (lines cut at every sentence end; longer pieces at word borders told by
+the two words there, so that edits elsewhere leave them). A sketch hashes each digest into one
 cell of each of three tables; a cell holds a count, the XOR of its digests and the XOR of their checks. Two
 sketches subtract cell by cell: what both texts hold cancels. A cell left with a single digest (its check
 agrees) gives that digest away; taking it out of its other cells frees further ones (peeling). When cells
@@ -25,19 +26,30 @@ from pyspark.sql import functions as F
 
 TABLES = 3
 BASE_CELLS = 8  # of each table of a fingerprint
-BLOCK_CELLS = 4  # of each table of a block
+BLOCK_CELLS = 6  # of each table of a block
 BLOCK_DIGESTS = 6  # a block is made for about so many
-ROUNDS = 4
+ROUNDS = 6
 SPLITS = 2  # times a failing block is split in four
-LONG_LINE = 300
-CUTS = r"(?<=[.!?])\s+(?=[A-H])"  # places in a long line, told by the text there alone: edits elsewhere leave them
+PIECE_ENDS = r"\n+|(?<=[.!?])\s+|(?<=[。！？])"
+LONG_PIECE = 120  # characters
+WORD_ENDS = r"(?<=\s)(?=\S)|(?<=[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}])"  # scripts without spaces: every character
+BORDER_WORDS = 8  # words of a part of a long piece, on average
+
+
+def _long_parts(piece: Column) -> Column:
+    """Digests of the parts of a long piece, cut where the hash of two neighbouring words says so."""
+    at = lambda ws, i: F.pmod(F.xxhash64(F.trim(F.get(ws, i - 2)), F.trim(F.get(ws, i - 1))), F.lit(BORDER_WORDS)) == 0
+    starts = lambda ws: F.filter(F.sequence(F.lit(1), F.size(ws)), lambda i: (i == 1) | at(ws, i))
+    cut = lambda ws, st: F.transform(st, lambda s, n: F.xxhash64(F.slice(ws, s, F.coalesce(F.get(st, n + 1), F.size(ws) + 1) - s)))
+    once = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
+    return once(F.split(piece, WORD_ENDS), lambda ws: once(starts(ws), lambda st: cut(ws, st)))
 
 
 def digests(text: Column) -> Column:
-    """The set of paragraph digests, sorted: lines, the long ones cut at some of their sentence ends."""
-    lines = F.split(F.coalesce(text, F.lit("")), "\n")
-    parts = F.flatten(F.transform(lines, lambda p: F.when(F.length(p) > LONG_LINE, F.split(p, CUTS)).otherwise(F.array(p))))
-    return F.array_sort(F.array_distinct(F.transform(F.filter(parts, lambda p: p != ""), lambda p: F.xxhash64(p))))
+    """The set of paragraph digests, sorted: lines cut at sentence ends, what is still long at some word borders."""
+    pieces = F.filter(F.split(F.coalesce(text, F.lit("")), PIECE_ENDS), lambda p: p != "")
+    parts = F.transform(pieces, lambda p: F.when(F.length(p) > LONG_PIECE, _long_parts(p)).otherwise(F.array(F.xxhash64(p))))
+    return F.array_sort(F.array_distinct(F.flatten(parts)))
 
 
 NONE = "cast(array() as array<bigint>)"
