@@ -37,18 +37,23 @@ def preferred_source(sources: Sequence[DataFrame], scope: Sequence[str], complet
 
 
 def inferred_lineups(box: DataFrame, game: Sequence[str], team: Sequence[str], member: str, measure: str,
-                     points: str, size: int = 5, min_games: int = 15, min_resolved: float = 0.6) -> DataFrame:
+                     points: str, size: int = 5, min_games: int = 15, min_resolved: float = 0.6, raw: str | None = None) -> DataFrame:
     """Members most often among the top `size` of a game, per team, with support floors.
 
+    With the column of the members' raw names, unresolved members are ranked as 'raw:' and that name, and only
+    games with `size` rows count, as in the reference; without it unresolved members have no name to be ranked by.
     The reference breaks ties by input order; rows have none here, so the member id does.
     """
-    starters = top_k(box.where(F.col(measure).isNotNull()), [*game, *team],
-                     [F.col(measure).desc(), F.col(member).asc_nulls_last()], size)
-    support = (starters.groupBy(*team, *game).agg(F.count("*").alias("__s"), F.count(member).alias("__r"))
-               .groupBy(*team).agg(F.count("*").alias("n_games"), F.sum("__s").alias("__s"), F.sum("__r").alias("__r"))
+    order = [F.col(measure).desc(), F.col(member).asc_nulls_last(), *([F.col(raw)] if raw else [])]
+    starters = top_k(box.where(F.col(measure).isNotNull()), [*game, *team], order, size)
+    if raw:
+        starters = starters.withColumn("__n", F.count("*").over(Window.partitionBy(*game, *team))).where(F.col("__n") == size)
+    held = starters.groupBy(*team, *game).agg(F.count("*").alias("__s"), F.count(member).alias("__r"))
+    support = (held.groupBy(*team).agg(F.count("*").alias("n_games"), F.sum("__s").alias("__s"), F.sum("__r").alias("__r"))
                .where((F.col("n_games") >= min_games) & (F.col("__r") >= F.col("__s") * min_resolved))
                .withColumn("resolved_share", F.col("__r") / F.col("__s")).drop("__s", "__r"))
-    freq = (starters.where(F.col(member).isNotNull()).groupBy(*team, member)
+    who = F.coalesce(F.col(member).cast("string"), F.concat(F.lit("raw:"), raw)) if raw else F.col(member)
+    freq = (starters.withColumn(member, who).where(F.col(member).isNotNull()).groupBy(*team, member)
             .agg(F.count("*").alias("n_starts"), F.avg(points).alias("mean_points")))
     best = top_k(freq, team, [F.col("n_starts").desc(), F.col(member)], size, rank_col="slot")
     return best.join(support, list(team))
