@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, dac, iblt, langid, mixing, neardup, packing, sharding, toxicity, warc
+from . import ann, dac, iblt, langid, mixing, neardup, packing, phrases, sharding, toxicity, warc
 from .common import table
 
 
@@ -108,9 +108,41 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, covered_percent=50)
+    return phrases.top(found, 2000).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+OP13_SQL = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS t FROM p),
+o AS (SELECT lang, t, k, unnest(generate_series(1, len(t) - k + 1)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k)),
+f AS (SELECT lang, t[i:i + k - 1] AS g, k, count(*)::HUGEINT AS n FROM o GROUP BY ALL),
+total AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+halves AS (
+  SELECT lang, g, n AS a, k1, g[1:k1] AS gl, g[k1 + 1:] AS gr FROM (SELECT lang, g, n, unnest(generate_series(1, k - 1)) AS k1 FROM f WHERE k > 1 AND n >= 10)),
+cut AS (
+  SELECT h.lang, h.g, h.a, h.k1, x.n AS l, y.n AS r, (1000000 * h.a * h.a) // (x.n * y.n) AS score
+  FROM halves h JOIN f x ON x.lang = h.lang AND x.g = h.gl JOIN f y ON y.lang = h.lang AND y.g = h.gr),
+weakest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k1) = 1),
+longer AS (
+  SELECT lang, s AS g, max(n) AS n FROM (SELECT lang, unnest([g[1:2], g[2:3]]) AS s, n FROM f WHERE k = 3 AND n >= 10) GROUP BY lang, s),
+ranked AS (
+  SELECT c.lang, array_to_string(c.g, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, array_to_string(c.g, ' ')) AS rank
+  FROM weakest c LEFT JOIN longer b ON b.lang = c.lang AND b.g = c.g
+  WHERE b.n IS NULL OR 100 * b.n < 50 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, total.n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing, "op2_sharding": op2_sharding, "op3_token_codes": op3_token_codes, "op4_toxicity": op4_toxicity, "op5_neighbours": op5_neighbours, "op6_warc": op6_warc,
     "op7_language": op7_language, "op8_paragraph_sketch": op8_paragraph_sketch,
-    "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing,
+    "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing, "op13_phrases": op13_phrases,
 }
-ORACLES: dict[str, str] = {"op6_warc": OP6_SQL, "op9_near_duplicates": OP9_SQL}
+ORACLES: dict[str, str] = {"op6_warc": OP6_SQL, "op9_near_duplicates": OP9_SQL, "op13_phrases": OP13_SQL}
