@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, dac, iblt, langid, mixing, neardup, packing, phrases, sharding, toxicity, warc
+from . import ann, dac, iblt, langid, mixing, neardup, packing, phrases, quality, sharding, toxicity, warc, whitening
 from .common import table
 
 
@@ -108,6 +108,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, error, _ = whitening.whiten(table(spark, sf_dir, "embeddings"), wanted=8)
+    return rows.select(F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "whitened", "explained",
+                       F.lit(error).alias("identity_error"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrases.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, covered_percent=50)
     return phrases.top(found, 2000).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
@@ -143,6 +155,6 @@ FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing, "op2_sharding": op2_sharding, "op3_token_codes": op3_token_codes, "op4_toxicity": op4_toxicity, "op5_neighbours": op5_neighbours, "op6_warc": op6_warc,
     "op7_language": op7_language, "op8_paragraph_sketch": op8_paragraph_sketch,
-    "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing, "op13_phrases": op13_phrases,
+    "op9_near_duplicates": op9_near_duplicates, "op10_mixing": op10_mixing, "op11_quality": op11_quality, "op12_whitening": op12_whitening, "op13_phrases": op13_phrases,
 }
 ORACLES: dict[str, str] = {"op6_warc": OP6_SQL, "op9_near_duplicates": OP9_SQL, "op13_phrases": OP13_SQL}
