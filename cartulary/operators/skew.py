@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 Keys = Sequence[str]
 HOT_SHARE = 1000  # totals: a key is hot when it holds at least 1/HOT_SHARE of the rows
-HOT_ROWS = 1_000_000  # ordering: a key with fewer rows is sorted by one task as it is
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Keys, how: str = "left") -> DataFrame:
@@ -36,51 +35,49 @@ def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int = 1, rank_c
     return out if rank_col else out.drop(name)
 
 
-def _levels(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], hot_rows: int) -> tuple[DataFrame, list[str]]:
-    """Bucket columns for the keys that need them; a key with few rows is one bucket (all NULL)."""
-    cols = [buckets] if isinstance(buckets, Column) else list(buckets)
-    names = [f"__b{i}" for i in range(len(cols))]
-    if not keys:
-        return df.withColumns(dict(zip(names, cols, strict=True))), names
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") >= hot_rows)
-           .select(*keys, F.lit(True).alias("__hot")))
-    marked = null_safe(df, hot, keys)
-    return marked.withColumns({n: F.when(F.col("__hot"), c) for n, c in zip(names, cols, strict=True)}).drop("__hot"), names
-
-
 def running(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[Column],
-            sums: Mapping[str, Column], overall: Mapping[str, str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Running totals per key in `order`, computed bucket by bucket.
-
-    `buckets` goes from coarse to fine (say day, then id range) and must not decrease
-    along `order`. A key with `hot_rows` rows or more spreads over its finest buckets;
-    each coarser level only orders the totals of the level below, so neither a hot key
-    nor a hot day meets in one task. `overall` names columns for the key's whole total.
+            sums: Mapping[str, Column], overall: Mapping[str, str] | None = None, carries: Mapping[str, str] | None = None) -> DataFrame:
+    """Running totals per key in `order`, and for each of `carries` (name: column) its last known value so far.
+
+    `buckets` goes from coarse to fine (say day, then id range) and must not decrease along `order`. Every key spreads
+    over its finest buckets; each coarser level only orders the totals of the level below, so neither a hot key nor a hot
+    day meets in one task, and a key's size changes nothing in the plan. The input is read twice: once for the totals of
+    its buckets, once for its rows, which are shuffled by key and bucket and stay there. `overall` names columns for the
+    key's whole total.
     """
-    base, levels = _levels(df, keys, buckets, hot_rows)
-    totals = base.groupBy(*keys, *levels).agg(*[F.sum(v).alias(f"__t_{n}") for n, v in sums.items()])
+    carries = carries or {}
+    cols = [buckets] if isinstance(buckets, Column) else list(buckets)
+    levels = [f"__b{i}" for i in range(len(cols))]
+    base = df.withColumns(dict(zip(levels, cols, strict=True)))
+    at_row = F.struct(*order)
+    totals = base.groupBy(*keys, *levels).agg(
+        F.count(F.lit(1)).alias("__rows"), *[F.sum(v).alias(f"__t_{n}") for n, v in sums.items()],
+        *[F.max_by(v, F.when(F.col(v).isNotNull(), at_row)).alias(f"__c_{n}") for n, v in carries.items()])
     starts = totals.select(*keys, *levels)
     for i, level in enumerate(levels):
-        at = [*keys, *levels[:i + 1]]
-        size = totals if i + 1 == len(levels) else totals.groupBy(*at).agg(*[F.sum(f"__t_{n}").alias(f"__t_{n}") for n in sums])
+        at, finer = [*keys, *levels[:i + 1]], levels[i + 1:]
+        size = totals if not finer else totals.groupBy(*at).agg(
+            F.sum("__rows").alias("__rows"), *[F.sum(f"__t_{n}").alias(f"__t_{n}") for n in sums],
+            *[F.max_by(f"__c_{n}", F.when(F.col(f"__c_{n}").isNotNull(), F.struct(*finer))).alias(f"__c_{n}") for n in carries])
         whole = Window.partitionBy(*keys, *levels[:i])
         before = whole.orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
         prefix = size.select(
             *at, *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__s{i}_{n}") for n in sums],
+            *[F.last(f"__c_{n}", ignorenulls=True).over(before).alias(f"__l{i}_{n}") for n in carries],
             *([F.sum(f"__t_{n}").over(whole).alias(name) for name, n in (overall or {}).items()] if i == 0 else []))
         starts = prefix if len(levels) == 1 else null_safe(starts, prefix, at)
     inside = Window.partitionBy(*keys, *levels).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    depth = range(len(levels))
     out = null_safe(base, starts, [*keys, *levels])
-    for n, v in sums.items():
-        start = sum((F.col(f"__s{i}_{n}") for i in range(1, len(levels))), F.col(f"__s0_{n}"))
-        out = out.withColumn(n, start + F.coalesce(F.sum(v).over(inside), F.lit(0)))
-    return out.drop(*levels, *[f"__s{i}_{n}" for i in range(len(levels)) for n in sums])
+    new = {n: sum((F.col(f"__s{i}_{n}") for i in depth[1:]), F.col(f"__s0_{n}")) + F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in sums.items()}
+    new |= {n: F.coalesce(F.last(v, ignorenulls=True).over(inside), *[F.col(f"__l{i}_{n}") for i in reversed(depth)]) for n, v in carries.items()}
+    return out.withColumns(new).drop(*levels, *[f"__s{i}_{n}" for i in depth for n in sums], *[f"__l{i}_{n}" for i in depth for n in carries])
 
 
 def numbered(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[Column], name: str = "ordinal",
-             total: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+             total: str | None = None) -> DataFrame:
     """Position 1..n of each row in its key (or, with no keys, in the table), and n when `total` names it."""
-    return running(df, keys, buckets, order, {name: F.lit(1).cast("long")}, {total: name} if total else None, hot_rows)
+    return running(df, keys, buckets, order, {name: F.lit(1).cast("long")}, {total: name} if total else None)
 
 
 def attach_totals(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> DataFrame:
@@ -91,7 +88,7 @@ def attach_totals(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> Data
     hash instead of meeting in one task.
     """
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *[a.alias(n) for n, a in aggs.items()])
-    total = df.agg(F.count(F.lit(1)).alias("all")).scalar()
+    total = per_key.agg(F.sum("__rows").alias("all")).scalar()  # the same exchange again, not the rows
     is_hot = F.col("__rows") * HOT_SHARE >= F.greatest(total, F.lit(HOT_SHARE * 1000))
     names = list(aggs)
     hot = per_key.where(is_hot).select(
@@ -103,24 +100,6 @@ def attach_totals(df: DataFrame, keys: Keys, aggs: Mapping[str, Column]) -> Data
     return out.select(*df.columns, *[F.coalesce(f"__h_{n}", n).alias(n) for n in names])
 
 
-def fill_down(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[str], value: str,
-              name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Last known value carried down each key in `order`, level by level like `running`."""
-    base, levels = _levels(df, keys, buckets, hot_rows)
-    last = base.groupBy(*keys, *levels).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("__last"))
-    starts = last.select(*keys, *levels)
-    for i, level in enumerate(levels):
-        at = [*keys, *levels[:i + 1]]
-        if i + 1 < len(levels):
-            finer = F.struct(*[F.col(c) for c in levels[i + 1:]])
-            size = last.groupBy(*at).agg(F.max_by("__last", F.when(F.col("__last").isNotNull(), finer)).alias("__last"))
-        else:
-            size = last
-        before = Window.partitionBy(*keys, *levels[:i]).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-        starts = null_safe(starts, size.select(*at, F.last("__last", ignorenulls=True).over(before).alias(f"__c{i}")), at)
-    carry = [F.col(f"__c{i}") for i in reversed(range(len(levels)))]
-    inside = Window.partitionBy(*keys, *levels).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (null_safe(base, starts, [*keys, *levels])
-            .withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(inside), *carry))
-            .drop(*levels, *[f"__c{i}" for i in range(len(levels))]))
+def fill_down(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Last known value carried down each key in `order`, bucket by bucket like `running`."""
+    return running(df, keys, buckets, [F.col(c) for c in order], {}, carries={name: value})

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls
@@ -79,16 +79,27 @@ def decode_mixed_pages(df: DataFrame, key: str, content: str, name: str = "html"
 
 # --- tables ----------------------------------------------------------------
 
+# fixed values: what HTML allows a cell to span
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+GRID_CELLS = 1 << 20  # cells of one table after repeating; beyond it the spans of that table are not repeated
+HEAD_ROWS = 4  # rows at the top of a table that may be its header, at most
+_FIGURE = re.compile(r"[#$]?[-+]?\d[\d.,:%/()\-]*")
+_SECTIONS = ("div", "section", "article", "form")
+
+
 class _TableReader(HTMLParser):
     """Cells of every table of one page; tags the page forgot to close are closed by the next one."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tables, self.open = [], []
+        self.tables, self.open, self.sections = [], [], []
 
     def handle_starttag(self, tag, attrs):
+        if tag in _SECTIONS:
+            self.sections.append((tag, dict(attrs).get("id") or ""))
         if tag == "table":
-            self.tables.append({"rows": [], "head": []})
+            named = dict(attrs)
+            self.tables.append({"rows": [], "head": [], "kind": named.get("class") or "", "section": "/".join(i for _, i in self.sections if i)})
             self.open.append({"t": self.tables[-1], "row": None, "cell": None, "thead": False})
         elif self.open:
             o = self.open[-1]
@@ -101,13 +112,19 @@ class _TableReader(HTMLParser):
                 self._end_cell(o)
                 if o["row"] is None:
                     o["row"], o["all_th"] = [], True
-                spans = {k: int(v) for k, v in attrs if k in ("colspan", "rowspan") and v and v.isdigit()}
-                o["cell"] = {"text": [], "col": spans.get("colspan", 1), "down": spans.get("rowspan", 1)}
+                spans = {k: int(v) for k, v in attrs if k in ("colspan", "rowspan") and v and v.isdecimal()}
+                o["cell"] = {"text": [], "col": spans.get("colspan", 1), "down": spans.get("rowspan", 1), "link": None, "alt": None}
                 o["all_th"] = o["all_th"] and tag == "th"
             elif tag == "br" and o["cell"]:
                 o["cell"]["text"].append(" ")
+            elif tag in ("a", "img") and o["cell"]:
+                what, attr = ("link", "href") if tag == "a" else ("alt", "alt")
+                o["cell"][what] = o["cell"][what] or dict(attrs).get(attr)
 
     def handle_endtag(self, tag):
+        if tag in _SECTIONS and any(t == tag for t, _ in self.sections):
+            while self.sections.pop()[0] != tag:
+                pass
         if not self.open:
             return
         o = self.open[-1]
@@ -127,67 +144,155 @@ class _TableReader(HTMLParser):
             self.open[-1]["cell"]["text"].append(data)
 
     def _end_cell(self, o):
-        if o["cell"]:
-            text = " ".join("".join(o["cell"]["text"]).split())
-            o["row"].append((text, max(o["cell"]["col"], 1), max(o["cell"]["down"], 1)))
+        c = o["cell"]
+        if c:
+            o["row"].append(((" ".join("".join(c["text"]).split()), c["link"], c["alt"]), max(c["col"], 1), max(c["down"], 1)))
             o["cell"] = None
 
     def _end_row(self, o):
         self._end_cell(o)
         if o["row"]:
-            is_head = o["thead"] or (o["all_th"] and not o["t"]["rows"] and not o["t"]["head"])
+            is_head = o["thead"] or (o["all_th"] and not o["t"]["rows"])
             o["t"]["head" if is_head else "rows"].append(o["row"])
         o["row"] = None
 
 
-def _spread(rows: list) -> list[list[str]]:
+def _spread(rows: list, repeat: bool = True) -> list[list[tuple]]:
     """Repeat cells over their column and row spans."""
     out, hanging = [], {}
     for row in rows:
         line, cells = [], iter(row)
         while True:
             if len(line) in hanging:
-                text, left = hanging.pop(len(line))
+                cell, left = hanging.pop(len(line))
                 if left > 1:
-                    hanging[len(line)] = (text, left - 1)
-                line.append(text)
+                    hanging[len(line)] = (cell, left - 1)
+                line.append(cell)
                 continue
             cell = next(cells, None)
             if cell is None:
                 break
-            for _ in range(cell[1]):
-                if cell[2] > 1:
-                    hanging[len(line)] = (cell[0], cell[2] - 1)
-                line.append(cell[0])
+            content, wide, down = cell if repeat else (cell[0], 1, 1)
+            for _ in range(min(wide, MOST_COLUMNS)):
+                if down > 1:
+                    hanging[len(line)] = (content, min(down, MOST_ROWS) - 1)
+                line.append(content)
         out.append(line)
     return out
 
 
-def _page_tables(html: str):
+def _too_wide(rows: list) -> bool:
+    """Whether repeating would make more cells than a table may have: a row holds at most what it and the rows above span."""
+    total = hanging = 0
+    for row in rows:
+        wide = sum(min(c[1], MOST_COLUMNS) for c in row)
+        total += wide + hanging
+        hanging += sum(min(c[1], MOST_COLUMNS) for c in row if c[2] > 1)
+        if total > GRID_CELLS:
+            return True
+    return False
+
+
+def _mostly_figures(row: list[tuple]) -> bool:
+    known = [c[0] for c in row if c[0]]
+    return 2 * sum(bool(_FIGURE.fullmatch(t)) for t in known) >= max(len(known), 1)
+
+
+def _head_of(rows: list[list[tuple]]) -> int:
+    """How many leading rows name the columns of a table that marks none: those above its first row of figures."""
+    first = next((i for i, r in enumerate(rows) if any(c[0] for c in r) and _mostly_figures(r)), None)
+    return 0 if len(rows) < 2 or first == 0 else 1 if first is None or first > HEAD_ROWS else first
+
+
+def _page_tables(html: str) -> Iterator[dict]:
+    """Each table: no, kind, section, head (marked header rows), rows (cells as text, link, alt), clipped (a span was not followed)."""
     reader = _TableReader()
     reader.feed(html or "")
     reader.close()
     for o in reader.open:
         reader._end_row(o)
     for no, t in enumerate(reader.tables):
-        head = _spread(t["head"])
-        for row_no, cells in enumerate(_spread(t["rows"])):
-            yield no, row_no, (head[-1] if head else []), cells
+        wide = _too_wide(t["head"] + t["rows"])
+        clipped = wide or any(c[1] > MOST_COLUMNS or c[2] > MOST_ROWS for r in t["head"] + t["rows"] for c in r)
+        yield {"no": no, "kind": t["kind"], "section": t["section"], "head": _spread(t["head"], not wide), "rows": _spread(t["rows"], not wide), "clipped": clipped}
 
 
-def extract_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(page, table_no, row_no, header, cells) for every row of every table. Pages without a table never reach Python."""
-    key_type = dict(pages.dtypes)[key]
+def _rows_of_pages(pages: DataFrame, key: str, html: str, schema: str, rows) -> DataFrame:
+    """`rows` of every table of every page, a frame a batch. Pages without a table never reach Python."""
+    columns = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for k, h in zip(b[key], b[html], strict=True):
-                rows = [(k, *r) for r in _page_tables(h)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=[key, "table_no", "row_no", "header", "cells"])
+            yield pd.DataFrame([(k, *r) for k, h in zip(b[key], b[html], strict=True) for t in _page_tables(h) for r in rows(t)], columns=[key, *columns])
+
+    return pages.where(F.col(html).rlike("(?i)<table")).select(key, html).mapInPandas(run, f"{key} {dict(pages.dtypes)[key]}, {schema}")
+
+
+def extract_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(page, table_no, row_no, header, cells) for every row of every table."""
+
+    def rows(t: dict):
+        head = [c[0] for c in t["head"][-1]] if t["head"] else []
+        for i, cells in enumerate(t["rows"]):
+            yield t["no"], i, head, [c[0] for c in cells]
+
+    return _rows_of_pages(pages, key, html, "table_no int, row_no int, header array<string>, cells array<string>", rows)
 
-    return (pages.where(F.col(html).rlike("(?i)<table")).select(key, html)
-            .mapInPandas(run, f"{key} {key_type}, table_no int, row_no int, header array<string>, cells array<string>"))
+
+def extract_grids(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """Rows of every table under its whole header: `head` holds all header rows, top first, marked ones or (where a table
+    marks none) the leading rows above its first row of figures; `n_rows` counts the rows below. Cells come with the first
+    link and picture text inside them, tables with their class and the ids of the sections around them. `clipped` says
+    that a span beyond HTML's limits, or a table beyond GRID_CELLS, was not repeated in full."""
+
+    def rows(t: dict):
+        head, body = t["head"], t["rows"]
+        if not head:
+            n = _head_of(body)
+            head, body = body[:n], body[n:]
+        names = [[c[0] for c in r] for r in head]
+        for i, cells in enumerate(body):
+            text, links, alts = (list(x) for x in zip(*cells, strict=True)) if cells else ([], [], [])
+            yield t["no"], i, len(body), t["kind"], t["section"], names, text, links, alts, t["clipped"]
+
+    return _rows_of_pages(pages, key, html, "table_no int, row_no int, n_rows int, kind string, section string, head array<array<string>>, "
+                          "cells array<string>, links array<string>, alts array<string>, clipped boolean", rows)
+
+
+def caption(head: Str = "head") -> Column:
+    """Texts of header rows that run across the whole table, joined."""
+    across = F.filter(_col(head), lambda r: (F.size(r) > 1) & (F.size(F.array_distinct(r)) == 1))
+    return F.array_join(F.transform(across, lambda r: squish(F.get(r, 0))), " ")
+
+
+def column_paths(head: Str = "head") -> Column:
+    """The header tree, one array of labels a column from the top down: a label over several columns belongs to each,
+    one over several rows counts once, rows that run across the whole table name no column."""
+    naming = F.filter(_col(head), lambda r: ~((F.size(r) > 1) & (F.size(F.array_distinct(r)) == 1)))
+    width = F.array_max(F.transform(naming, lambda r: F.size(r)))
+
+    def path(i):
+        labels = F.filter(F.transform(naming, lambda r: squish(F.coalesce(F.get(r, i), F.lit("")))), lambda x: x != "")
+        return F.filter(labels, lambda x, at: (at == 0) | (x != F.get(labels, at - 1)))
+
+    return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), path)).otherwise(F.array().cast("array<array<string>>"))
+
+
+def named_cells(grid: DataFrame, labels: Mapping[str, tuple[str, int]], paths: str = "paths", cells: str = "cells") -> DataFrame:
+    """Cells by the last label of their column's path, or its labels joined by " / ", and which of several equal ones (from 1).
+    A column the table lacks is NULL, so columns may move, and new ones may come between."""
+    zipped = F.transform(paths, lambda p, i: F.struct(F.try_element_at(p, F.lit(-1)).alias("leaf"), F.array_join(p, " / ").alias("path"), F.get(cells, i).alias("cell")))
+    out = grid.withColumn("__z", F.when(F.size(paths) > 0, zipped))
+
+    def cell(label, nth):
+        return F.get(F.filter("__z", lambda z: (z["leaf"] == label) | (z["path"] == label)), nth - 1)["cell"]
+
+    return out.select("*", *[cell(label, nth).alias(name) for name, (label, nth) in labels.items()]).drop("__z")
+
+
+def first_table(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of each page's first table among these."""
+    return rows.withColumn("__first", F.min("table_no").over(Window.partitionBy(key))).where("table_no = __first").drop("__first")
 
 
 def first_row_as_header(cells: DataFrame, key: str) -> DataFrame:
@@ -242,8 +347,6 @@ def labelled_cells(cells: DataFrame, labels: Mapping[str, str], header: str = "h
 
 def divider_groups(rows: DataFrame, keys: Sequence[str], order: str, is_divider: Column, label: Column) -> DataFrame:
     """Rows under a divider row carry its label; the dividers go. One page's table is one small group."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (rows.withColumn("group_label", F.last(F.when(is_divider, label), ignorenulls=True).over(w))
             .where(~F.coalesce(is_divider, F.lit(False))))
