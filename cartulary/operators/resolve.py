@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_name, squish, token_sort_key
@@ -398,15 +398,14 @@ def apply_merges(df: DataFrame, tombstones: DataFrame, ident: str, same: Sequenc
     has, or to an earlier moved one, is dropped and logged; untouched rows never are."""
     t = tombstones.select(F.col("retired_id").alias(ident), F.col("survivor_id").alias("__to"))
     out = df.join(t, ident, "left")
-    stay = out.where(F.col("__to").isNull()).drop("__to").withColumn("retired_id", F.lit(None).cast(dict(df.dtypes)[ident]))
+    stay = out.where(F.col("__to").isNull()).select(*df.columns)
     moved = out.where(F.col("__to").isNotNull()).withColumn("retired_id", F.col(ident)).withColumn(ident, F.col("__to")).drop("__to")
     key = [ident, *same]
     held = stay.select(*key).distinct().withColumn("__held", F.lit(True))
-    marked = null_safe(moved, held, key)
-    fresh = marked.where(F.col("__held").isNull()).drop("__held")
-    firsts = top_k(fresh, key, [*order, F.col("retired_id"), F.xxhash64(*df.columns)])
-    dropped = moved.exceptAll(firsts.select(*moved.columns))
-    return Merged(stay.unionByName(firsts).select(*df.columns), dropped)
+    turn = Window.partitionBy(*key).orderBy(*order, F.col("retired_id"), F.xxhash64(*df.columns))
+    ranked = null_safe(moved.withColumn("__turn", F.row_number().over(turn)), held, key)
+    first = F.col("__held").isNull() & (F.col("__turn") == 1)
+    return Merged(stay.unionByName(ranked.where(first).select(*df.columns)), ranked.where(~first).drop("__held", "__turn"))
 
 
 def remap_id_lists(df: DataFrame, tombstones: DataFrame, row_id: str, column: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..operators import reconcile, resolve
+from ..operators import fuzzy, merges, reconcile, resolve
 from ..session import spread
 from .base import query
 from .summaries import MONEY, month_index
@@ -612,3 +613,97 @@ def apply_merges(t):
     kept = m.rows.groupBy("season").agg(F.count("*").alias("n_rows"), F.sum("id").alias("id_sum")).withColumn("part", F.lit("kept"))
     gone = m.dropped.groupBy("season").agg(F.count("*").alias("n_rows")).withColumn("part", F.lit("dropped"))
     return kept.unionByName(gone, allowMissingColumns=True)
+
+
+# --- one merge over all tables -----------------------------------------------------
+
+RETIRED = """SELECT c_custkey AS k, CASE WHEN c_custkey % 400 = 12 OR c_custkey % 400 = 13 THEN c_custkey - 1 WHEN c_custkey % 400 = 11 OR c_custkey % 20 = 7 OR c_custkey % 40 = 8 THEN c_custkey + 1 END AS s FROM customer"""
+
+
+def _merge_inputs(t):
+    """Decisions with chains of two, cycles and a lead into one; five tables that name customers, each under another rule."""
+    c, k = t.customer, F.col("c_custkey")
+    decisions = c.select(k.alias("retired_id"), F.when((k % 400 == 12) | (k % 400 == 13), k - 1).when((k % 400 == 11) | (k % 20 == 7) | (k % 40 == 8), k + 1).alias("survivor_id"))
+    named = c.select(k.alias("id"), F.col("c_name").alias("name"))
+    alias = named.select("id", F.col("name").alias("alias"), F.lit("canonical").alias("alias_type")).unionByName(
+        c.select(k.alias("id"), F.col("c_mktsegment").alias("alias"), F.lit("segment").alias("alias_type")))
+    facts = t.orders.select(F.col("o_custkey").alias("id"), F.year("o_orderdate").alias("season"), F.col("o_orderpriority").alias("team"))
+    roster = facts.where("id % 3 = 0 OR id % 20 = 7").distinct().select("id", "season", "team", F.lit("?").alias("name"))
+    bios = c.where(k % 2 == 1).select(k.alias("id"), F.col("c_mktsegment").alias("text"))
+    queue = t.orders.select("o_orderkey", F.array(F.col("o_custkey"), F.col("o_custkey") + 1, F.col("o_custkey") + 2).alias("candidates"))
+    tables = {"canonical": (named, merges.Rule("canonical", "id", name="name")), "aliases": (alias, merges.Rule("alias", "id", ["alias", "alias_type"])),
+              "career": (facts, merges.Rule("facts", "id", ["season", "team"])), "roster": (roster, merges.Rule("one", "id", ["season", "team"], name="name")),
+              "bios": (bios, merges.Rule("one", "id")), "queue": (queue, merges.Rule("move", lists=["candidates"]))}
+    return decisions, tables
+
+
+MERGED = f"""
+d AS ({RETIRED}), ok AS (SELECT k, s FROM d WHERE s IS NOT NULL AND k % 400 NOT IN (11, 12, 13)),
+m AS (SELECT a.k, coalesce(b.s, a.s) AS s FROM ok a LEFT JOIN ok b ON b.k = a.s),
+al AS (SELECT c_custkey AS id, c_name AS alias, 'canonical' AS kind FROM customer UNION ALL SELECT c_custkey, c_mktsegment, 'segment' FROM customer),
+al2 AS (SELECT coalesce(s, id) AS id, alias, CASE WHEN s IS NOT NULL AND kind = 'canonical' THEN 'merged_name' ELSE kind END AS kind, s IS NOT NULL AS mv FROM al LEFT JOIN m ON k = id),
+al3 AS (SELECT id FROM (SELECT *, row_number() OVER (PARTITION BY id, alias, kind ORDER BY mv) AS n FROM al2) WHERE NOT mv OR n = 1),
+f AS (SELECT o_custkey AS id, year(o_orderdate) AS season, o_orderpriority AS team FROM orders),
+f2 AS (SELECT coalesce(s, id) AS id, season, team, s IS NOT NULL AS mv FROM f LEFT JOIN m ON k = id),
+f3 AS (SELECT id FROM (SELECT *, row_number() OVER (PARTITION BY id, season, team ORDER BY mv) AS n FROM f2) WHERE NOT mv OR n = 1),
+r AS (SELECT DISTINCT id, season, team FROM f WHERE id % 3 = 0 OR id % 20 = 7),
+r2 AS (SELECT coalesce(s, id) AS id, season, team, s IS NOT NULL AS mv FROM r LEFT JOIN m ON k = id),
+r3 AS (SELECT *, count(*) OVER (PARTITION BY id, season, team) AS n FROM r2),
+b2 AS (SELECT coalesce(s, c_custkey) AS id, s IS NOT NULL AS mv FROM customer LEFT JOIN m ON k = c_custkey WHERE c_custkey % 2 = 1),
+b3 AS (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM b2),
+q AS (SELECT o_orderkey, list_distinct(list_transform([o_custkey, o_custkey + 1, o_custkey + 2], lambda x: x)) AS l FROM orders),
+q2 AS (SELECT o_orderkey, unnest(l) AS x FROM q), q3 AS (SELECT DISTINCT o_orderkey, coalesce(s, x) AS x FROM q2 LEFT JOIN m ON k = x)
+"""
+
+
+@query("merge_all_tables", f"""
+WITH {MERGED}
+SELECT 'canonical' AS part, count(*) AS n_rows, sum(c_custkey)::BIGINT AS id_sum FROM customer WHERE c_custkey NOT IN (SELECT k FROM m)
+UNION ALL SELECT 'aliases', count(*), sum(id)::BIGINT FROM al3 UNION ALL SELECT 'career', count(*), sum(id)::BIGINT FROM f3
+UNION ALL SELECT 'roster', count(*), sum(id)::BIGINT FROM r3 WHERE NOT mv OR n = 1 UNION ALL SELECT 'bios', count(*), sum(id)::BIGINT FROM b3 WHERE NOT mv OR n = 1
+UNION ALL SELECT 'queue', count(*), sum(x)::BIGINT FROM q3
+UNION ALL SELECT 'roster renamed', count(*), sum(id)::BIGINT FROM r3 WHERE mv AND n = 1
+UNION ALL SELECT 'clashes', (SELECT count(*) FROM r3 WHERE mv AND n > 1) + (SELECT count(*) FROM b3 WHERE mv AND n > 1),
+  ((SELECT coalesce(sum(id), 0) FROM r3 WHERE mv AND n > 1) + (SELECT coalesce(sum(id), 0) FROM b3 WHERE mv AND n > 1))::BIGINT
+UNION ALL SELECT 'cyclic', count(*), sum(k)::BIGINT FROM d WHERE k % 400 IN (11, 12, 13)
+UNION ALL SELECT 'dropped', (SELECT count(*) FROM al2) - (SELECT count(*) FROM al3) + (SELECT count(*) FROM f2) - (SELECT count(*) FROM f3), NULL
+""")
+def merge_all_tables(t):
+    decisions, tables = _merge_inputs(t)
+    chains = merges.resolve_chains(decisions)
+    done = merges.merge_tables(tables, chains.survivors)
+
+    def part(label, df, ident="id"):
+        return df.agg(F.lit(label).alias("part"), F.count(F.lit(1)).alias("n_rows"), F.sum(ident).cast("long").alias("id_sum"))
+
+    parts = [part(n, done.tables[n]) for n in ("canonical", "aliases", "career", "roster", "bios")]
+    parts += [part("queue", done.tables["queue"].select(F.explode("candidates").alias("id"))), part("roster renamed", done.tables["roster"].where("name <> '?'")),
+              part("clashes", done.clashes, "survivor_id"), part("cyclic", chains.cyclic, "retired_id"),
+              done.dropped.agg(F.lit("dropped").alias("part"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.lit(None).cast("long").alias("id_sum"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# --- close spellings of all names ---------------------------------------------------
+
+SPELT = """SELECT p_partkey AS k, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN left(p_name, length(p_name) - 1) WHEN 2 THEN concat('xx', p_name)
+  WHEN 3 THEN concat(chr(CAST(97 + p_partkey % 23 AS INT)), chr(CAST(97 + p_partkey % 26 AS INT)), chr(CAST(97 + p_partkey % 19 AS INT)), p_name, chr(CAST(97 + p_partkey % 17 AS INT)), chr(CAST(97 + p_partkey % 7 AS INT))) ELSE concat('johny', substr(p_name, strpos(p_name, ' '))) END AS name FROM part
+  UNION ALL SELECT p_partkey, concat('johnny', substr(p_name, strpos(p_name, ' '))) FROM part WHERE p_partkey % 50 = 0 UNION ALL SELECT p_partkey, concat('pachin', substr(p_name, strpos(p_name, ' '))) FROM part WHERE p_partkey % 50 = 1
+  UNION ALL SELECT p_partkey, concat('Juan', substr(p_name, strpos(p_name, ' '))) FROM part WHERE p_partkey % 50 = 2"""
+
+
+@query("close_spellings", f"""
+WITH n AS (SELECT lower(name) AS name FROM ({SPELT})), s AS (SELECT DISTINCT split_part(name, ' ', 1) AS g, split_part(name, ' ', -1) AS f FROM n),
+p AS (SELECT a.g || ' ' || a.f AS a, b.g || ' ' || b.f AS b FROM s a JOIN s b ON a.g || ' ' || a.f < b.g || ' ' || b.f
+  WHERE levenshtein(a.f, b.f) <= 1 AND (levenshtein(a.g, b.g) <= 2 OR (a.g || '>' || b.g) IN ('johny>johnny', 'johnny>johny', 'pachin>juan', 'juan>pachin', 'teo>teofilo', 'teofilo>teo'))),
+e AS (SELECT a AS x, b AS y FROM p UNION ALL SELECT b, a FROM p)
+SELECT g || ' ' || f AS spelling, count(y) AS n_close, min(y) AS first_close, any_value(c) AS n_members
+FROM s LEFT JOIN e ON x = g || ' ' || f JOIN (SELECT split_part(name, ' ', 1) || ' ' || split_part(name, ' ', -1) AS z, count(*) AS c FROM n GROUP BY 1) ON z = g || ' ' || f GROUP BY g, f
+""")
+def close_spellings(t):
+    t.part.createOrReplaceTempView("part")
+    found = fuzzy.fuzzy_pairs(t.spark.sql(SPELT.replace("strpos(p_name, ' ')", "instr(p_name, ' ')")), "k", "name")
+    both = found.pairs.select(F.col("a").alias("spelling"), F.col("b").alias("y")).unionAll(found.pairs.select(F.col("b").alias("spelling"), F.col("a").alias("y")))
+    close = both.groupBy("spelling").agg(F.count("y").alias("n_close"), F.min("y").alias("first_close"))
+    members = found.members.groupBy("spelling").agg(F.count(F.lit(1)).alias("n_members"))
+    return (found.spellings.select("spelling").join(close, "spelling", "left").join(members, "spelling")
+            .select("spelling", F.coalesce("n_close", F.lit(0).cast("long")).alias("n_close"), "first_close", "n_members"))
