@@ -37,26 +37,27 @@ def preferred_source(sources: Sequence[DataFrame], scope: Sequence[str], complet
 
 
 def inferred_lineups(box: DataFrame, game: Sequence[str], team: Sequence[str], member: str, measure: str,
-                     points: str, size: int = 5, min_games: int = 15, min_resolved: float = 0.6, raw: str | None = None) -> DataFrame:
+                     points: str, raw: str, size: int = 5, min_games: int = 15, min_resolved: float = 0.6, known: Column | None = None) -> DataFrame:
     """Members most often among the top `size` of a game, per team, with support floors.
 
-    With the column of the members' raw names, unresolved members are ranked as 'raw:' and that name, and only
-    games with `size` rows count, as in the reference; without it unresolved members have no name to be ranked by.
-    The reference breaks ties by input order; rows have none here, so the member id does.
+    Only games with `size` rows count. A member without an id is ranked as 'raw:' and the raw name. A seat is resolved when
+    its member has an id and `known` holds (say, that the position is on file); a team needs `min_games` games and
+    `min_resolved` of its seats. `n_resolved` counts the resolved members of the line-up itself. The reference breaks ties by
+    input order; rows have none here, so the id does, then the raw name.
     """
-    order = [F.col(measure).desc(), F.col(member).asc_nulls_last(), *([F.col(raw)] if raw else [])]
-    starters = top_k(box.where(F.col(measure).isNotNull()), [*game, *team], order, size)
-    if raw:
-        starters = starters.withColumn("__n", F.count("*").over(Window.partitionBy(*game, *team))).where(F.col("__n") == size)
-    held = starters.groupBy(*team, *game).agg(F.count("*").alias("__s"), F.count(member).alias("__r"))
-    support = (held.groupBy(*team).agg(F.count("*").alias("n_games"), F.sum("__s").alias("__s"), F.sum("__r").alias("__r"))
-               .where((F.col("n_games") >= min_games) & (F.col("__r") >= F.col("__s") * min_resolved))
-               .withColumn("resolved_share", F.col("__r") / F.col("__s")).drop("__s", "__r"))
-    who = F.coalesce(F.col(member).cast("string"), F.concat(F.lit("raw:"), raw)) if raw else F.col(member)
-    freq = (starters.withColumn(member, who).where(F.col(member).isNotNull()).groupBy(*team, member)
-            .agg(F.count("*").alias("n_starts"), F.avg(points).alias("mean_points")))
-    best = top_k(freq, team, [F.col("n_starts").desc(), F.col(member)], size, rank_col="slot")
-    return best.join(support, list(team))
+    who = F.coalesce(F.col(member).cast("string"), F.concat(F.lit("raw:"), F.coalesce(F.col(raw), F.lit(""))))
+    resolved = F.col(member).isNotNull() & F.coalesce(F.lit(True) if known is None else known, F.lit(False))
+    seats = box.where(F.col(measure).isNotNull()).withColumns({"__who": who, "__ok": resolved})
+    starters = top_k(seats, [*game, *team], [F.col(measure).desc(), F.col(member).asc_nulls_last(), F.col("__who")], size)
+    whole = Window.partitionBy(*game, *team)  # at most `size` rows
+    starters = starters.withColumn("__n", F.count("*").over(whole)).where(F.col("__n") == size)
+    support = (starters.groupBy(*team).agg((F.count("*") / size).cast("long").alias("n_games"), F.avg(F.col("__ok").cast("int")).alias("resolved_share"),
+                                           F.count("*").alias("__s"), F.count_if("__ok").alias("__r"))
+               .where((F.col("n_games") >= min_games) & (F.col("__r") >= F.col("__s") * min_resolved)).drop("__s", "__r"))
+    freq = starters.groupBy(*team, "__who").agg(F.count("*").alias("n_starts"), F.avg(F.coalesce(points, F.lit(0))).alias("mean_points"), F.bool_or("__ok").alias("__ok"))
+    best = top_k(freq, team, [F.col("n_starts").desc(), F.col("__who")], size, rank_col="slot")
+    in_team = Window.partitionBy(*team)  # at most `size` rows
+    return (best.withColumn("n_resolved", F.count_if("__ok").over(in_team)).drop("__ok").withColumnRenamed("__who", member).join(support, list(team)))
 
 
 def tracked_matrix(df: DataFrame, period: str, category: str, categories: Sequence[str], has_data: Column) -> DataFrame:

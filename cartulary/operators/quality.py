@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..sources.tables import VersionedTable
 from .sets import snapshot_diff
 
 RESULT = ["check_name", "n_checked", "n_failed", "passed"]
@@ -103,25 +103,31 @@ def suite(*checks: DataFrame) -> DataFrame:
 
 
 class Refresh(NamedTuple):
-    published: bool
+    passed: bool
+    path: str           # the candidate, written and checked; nobody reads it until the caller switches to it
+    n_rows: int
     results: DataFrame  # one row per check
-    changes: DataFrame  # added / removed / changed keys against the version in use
+    changes: DataFrame  # added / removed / changed keys against the rows in use
 
 
-def gated_refresh(table: VersionedTable, build: DataFrame, checks: Callable[[DataFrame], DataFrame],
-                  keys: Sequence[str], apply: bool = True) -> Refresh:
-    """Stage the new version, check it and compare it; swap only when every check passes.
+def gated_refresh(build: DataFrame, folder: str, keys: Sequence[str], rules: Mapping[str, Column], checks: Callable[[DataFrame], DataFrame] | None = None,
+                  current: DataFrame | None = None, least: int = 1) -> Refresh:
+    """Write a candidate, audit it, and say whether it may replace the rows in use.
 
-    Only the number of failed checks reaches the driver.
+    `rules` are counted while the candidate is written, in the same pass; what needs more than one row (`checks`, unique keys)
+    reads what was written. The candidate is a new folder under `folder`: the caller switches to `path` if it passed, and
+    a failed one is left for inspection. Only counts reach the driver. `least` rows are needed, so an empty build never passes.
     """
+    seen = Observation()
+    bad = {f"r{i}": F.count_if(~F.coalesce(c, F.lit(False))) for i, c in enumerate(rules.values())}
+    path = f"{folder.rstrip('/')}/candidate-{uuid.uuid4().hex}"
+    build.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in bad.items()]).write.parquet(path)
+    counts = seen.get
+    n = counts["n"]
     spark = build.sparkSession
-    old = table.read()
-    staged = table.stage(build)
-    fresh = spark.read.parquet(staged)
-    results = checks(fresh)
-    before = old if old is not None else fresh.limit(0)
-    changes = snapshot_diff(before, fresh, keys)
-    n_failed = results.where(~F.coalesce("passed", F.lit(False))).count()
-    if apply and n_failed == 0:
-        table.publish(staged)
-    return Refresh(apply and n_failed == 0, results, changes)
+    observed = [("rows", n, max(least - n, 0), n >= least), *[(name, n, counts[f"r{i}"], counts[f"r{i}"] == 0) for i, name in enumerate(rules)]]
+    fresh = spark.read.schema(build.schema).parquet(path)
+    parts = [spark.createDataFrame(observed, "check_name string, n_checked long, n_failed long, passed boolean"), check_unique(fresh, "unique " + ", ".join(keys), keys)]
+    results = suite(*parts, *([checks(fresh)] if checks else []))
+    failed = results.where(~F.coalesce("passed", F.lit(False))).count()
+    return Refresh(failed == 0, path, n, results, snapshot_diff(current if current is not None else fresh.limit(0), fresh, keys))

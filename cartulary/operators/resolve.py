@@ -16,7 +16,7 @@ from ..functions.text import normalize_name, squish, token_sort_key
 from .joins import date_tolerance, family_build, family_probe, near_club_check, span_corroboration
 from .reconcile import Folded, fold_cross_source
 from ..session import written
-from .skew import null_safe, numbered, top_k
+from .skew import null_safe, ranged, top_k
 
 
 def canonical_entities(directory: DataFrame, profiles: DataFrame, key: str, stamp: str,
@@ -117,7 +117,7 @@ def enrich_mint_review(second: DataFrame, canon: DataFrame, row_id: str, ident:
     cols = [*second.columns, "tier", ident]
     s = written(s.select(*cols))
     order = [F.col("name_key"), F.col("birth_date").asc_nulls_first(), F.col(row_id)]
-    minted = numbered(s.where(F.col("tier") == "mint").select(*cols), [], [F.substring("name_key", 1, 3), F.col("name_key"), F.col("birth_date")], order, "__no")
+    minted = ranged(s.where(F.col("tier") == "mint").select(*cols), order, {"__no": F.lit(1).cast("long")})
     minted = minted.withColumn(ident, F.lit(mint_base) + F.col("__no")).select(*cols)
     enriched = s.where(F.col("tier").isin("bridge", "exact", "family_shape")).select(*cols)
     review = s.where(F.col("tier") == "review").select(*cols)

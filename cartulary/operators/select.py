@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import search_fold
-from .skew import numbered
+from .skew import ranged
 
 
 def project_typed(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
@@ -109,9 +109,9 @@ def sort_order(column: str, kind: str, descending: bool = False) -> Column:
     return c.desc_nulls_last() if descending else c.asc_nulls_first()
 
 
-def numbered_sort(df: DataFrame, buckets: Column | Sequence[Column], order: Sequence[Column], name: str = "position") -> DataFrame:
-    """Row positions of the sorted table, without sorting it in one task."""
-    return numbered(df, [], buckets, order, name)
+def numbered_sort(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """Row positions of the sorted table, without sorting it in one task. `order` must tell any two rows apart."""
+    return ranged(df, order, {name: F.lit(1).cast("long")})
 
 
 def page(df: DataFrame, order: Sequence[Column], offset: int, size: int, total: str = "n_total") -> DataFrame:

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 Keys = Sequence[str]
 HOT_SHARE = 1000  # totals: a key is hot when it holds at least 1/HOT_SHARE of the rows
 
@@ -74,9 +76,26 @@ def running(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order
     return out.withColumns(new).drop(*levels, *[f"__s{i}_{n}" for i in depth for n in sums], *[f"__l{i}_{n}" for i in depth for n in carries])
 
 
+def ranged(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
+    """Running totals over the whole table in a full order, over ranges whose borders come from the data.
+
+    Spark samples the order's own values for the borders, so ranges are of like size whatever the values are, and a value
+    that many rows share is split by what comes after it in the order. The rows are written in their ranges once; a range's
+    totals are one row, and what goes before each range is added to the running totals inside it.
+    """
+    out = written(df.withColumns({f"__v_{n}": v for n, v in sums.items()}).repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    totals = out.groupBy("__part").agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in sums])
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("__part", *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__s_{n}") for n in sums])
+    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    new = {n: F.col(f"__s_{n}") + F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0)) for n in sums}
+    return (out.join(F.broadcast(starts), "__part").withColumns(new)  # one row for each range
+            .select(*df.columns, *sums))
+
+
 def numbered(df: DataFrame, keys: Keys, buckets: Column | Sequence[Column], order: Sequence[Column], name: str = "ordinal",
              total: str | None = None) -> DataFrame:
-    """Position 1..n of each row in its key (or, with no keys, in the table), and n when `total` names it."""
+    """Position 1..n of each row in its key, and n when `total` names it. For positions in a whole table, `ranged` needs no buckets."""
     return running(df, keys, buckets, order, {name: F.lit(1).cast("long")}, {total: name} if total else None)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import attach_totals, numbered, top_k  # noqa: F401
+from .skew import attach_totals, numbered, ranged, top_k  # noqa: F401
 
 
 def change_from_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -41,16 +41,10 @@ def holder_streaks(df: DataFrame, scope: Sequence[str], period: str, holder: str
 def shared_rank(df: DataFrame, measure: str, name: str = "place") -> DataFrame:
     """Equal measures share a place: 1, 2, 2, 4. A row without a measure has no place and moves nobody.
 
-    Places are worked out on the distinct measures (bucketed by size of the measure),
-    so no task sees the whole table.
+    Places are worked out on the distinct measures, in ranges of their own values, so no task sees the whole table.
     """
     per = df.where(F.col(measure).isNotNull()).groupBy(measure).agg(F.count("*").cast("long").alias("__n"))
-    from .skew import running
-
-    # 64 buckets per doubling of the measure, ordered like the measure itself
-    size = F.floor(F.log2(F.greatest(F.abs(F.col(measure).cast("double")), F.lit(1.0))) * 64)
-    bucket = -size * F.signum(F.col(measure).cast("double"))
-    ranked = running(per, [], bucket, [F.col(measure).desc()], {"__upto": F.col("__n")})
+    ranked = ranged(per, [F.col(measure).desc()], {"__upto": F.col("__n")})
     places = ranked.select(measure, (F.col("__upto") - F.col("__n") + 1).alias(name))
     return df.join(places, measure, "left")
 

@@ -10,6 +10,7 @@ from ..functions import urls
 from ..operators import quality
 from ..operators.skew import fill_down
 from ..session import shared_folder
+from ..sources import manifests as mf
 from ..sources import pages as pg
 from ..sources import tables as tb
 from ..streaming import ingest
@@ -175,23 +176,36 @@ def publish_nation_sections(t):
     }, "entity", 50)
 
 
-MANIFEST = ("customer", "nation", "region", "supplier")
-_COLS = {"customer": "c_acctbal c_custkey c_mktsegment c_name c_nationkey", "nation": "n_name n_nationkey n_regionkey",
-         "region": "r_name r_regionkey", "supplier": "s_acctbal s_name s_nationkey s_suppkey"}
+#: Columns of all tables and how SQL writes their values: i whole numbers, s texts, d doubles, t times, a lists of floats.
+LAYOUT = {
+    "region": "r_name:s r_regionkey:i", "nation": "n_name:s n_nationkey:i n_regionkey:i", "customer": "c_acctbal:d c_custkey:i c_mktsegment:s c_name:s c_nationkey:i",
+    "supplier": "s_acctbal:d s_name:s s_nationkey:i s_suppkey:i", "part": "p_brand:s p_name:s p_partkey:i p_retailprice:d p_size:i p_type:s",
+    "orders": "o_custkey:i o_orderdate:t o_orderkey:i o_orderpriority:s o_orderstatus:s o_totalprice:d",
+    "lineitem": "l_discount:d l_extendedprice:d l_linenumber:i l_linestatus:s l_orderkey:i l_partkey:i l_quantity:d l_returnflag:s l_shipdate:t l_suppkey:i l_tax:d",
+    "events": "event_id:i event_type:s props:s ts:t user_id:i value:d", "documents": "doc_id:i lang:s n_chars:i source:s text:s", "embeddings": "embedding:a label:i vec_id:i",
+    "pages": "html:s page_id:i url:s", "benchmark": "item_id:i text:s", "labels": "doc_id:i quality:i toxic:i", "conversations": "conv_id:i role:s text:s turn:i"}
+_DOUBLE = "floor({0})::BIGINT || '.' || floor(({0} - floor({0})) * 4503599627370496)::BIGINT"
+_SHOWN = {"i": "{0}::VARCHAR", "s": "{0}", "d": _DOUBLE, "t": "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')",
+          "a": "'[' || array_to_string(list_transform({0}, lambda y: strlen(" + _DOUBLE.format("y::DOUBLE") + ") || ':' || " + _DOUBLE.format("y::DOUBLE") + "), ',') || ']'"}
+
+
+def _row(columns: str) -> str:
+    parts = [(c, _SHOWN[k].format(c)) for c, k in (x.split(":") for x in columns.split())]
+    return " || ".join(f"'{c}=' || CASE WHEN {c} IS NULL THEN '~' ELSE strlen({v}) || ':' || ({v}) END" for c, v in parts)
 
 
 TABLE_ROWS = " UNION ALL ".join(f"""
 SELECT '{x}' AS table_name, count(*) AS n_rows, bit_xor(('0x' || substr(d, 1, 15))::BIGINT) AS xor_1, sum(('0x' || substr(d, 16, 12))::BIGINT)::VARCHAR AS sum_2
-FROM (SELECT sha256(to_json({{{', '.join(f"'{c}': {c}" for c in _COLS[x].split())}}})::VARCHAR) AS d FROM {x})""" for x in MANIFEST)
+FROM (SELECT sha256({_row(columns)}) AS d FROM {x})""" for x, columns in LAYOUT.items())
 
 
-def manifest_tables(t):
-    return {x: getattr(t, x) for x in MANIFEST}
+def manifest_of(t):
+    return mf.table_manifest(mf.file_digests(t.spark, {x: f"{t.sf_dir}/{x}.parquet" for x in LAYOUT}))
 
 
 @query("table_manifest", TABLE_ROWS)
 def table_manifest(t):
-    return tb.manifest(manifest_tables(t))
+    return manifest_of(t)
 
 
 @query("archive_version", f"""
@@ -199,7 +213,7 @@ WITH m AS ({TABLE_ROWS})
 SELECT sha256('rev-1|' || string_agg(table_name || ':' || n_rows || ':' || xor_1 || ':' || sum_2, '|' ORDER BY table_name)) AS version, sum(n_rows)::BIGINT AS n_rows FROM m
 """)
 def archive_version(t):
-    return tb.version(tb.manifest(manifest_tables(t)), "rev-1")
+    return tb.version(manifest_of(t), "rev-1")
 
 
 # --- checks --------------------------------------------------------------------
@@ -269,7 +283,8 @@ def check_exclusive(t):
 
 @query("check_totals", """
 WITH l AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)
-SELECT 'lines per order' AS check_name, count(*) AS n_checked, count(*) FILTER (WHERE n IS NULL OR n <> o_orderkey % 8) AS n_failed, 0 AS passed
+SELECT 'lines per order' AS check_name, count(*) AS n_checked, count(*) FILTER (WHERE n IS NULL OR n <> o_orderkey % 8) AS n_failed,
+  (count(*) FILTER (WHERE n IS NULL OR n <> o_orderkey % 8) = 0)::INT AS passed
 FROM orders FULL JOIN l ON l_orderkey = o_orderkey
 """)
 def check_totals(t):
@@ -280,7 +295,7 @@ def check_totals(t):
 
 @query("check_published", """
 SELECT 'orders copy' AS check_name, (SELECT count(DISTINCT (o_orderkey, o_custkey)) FROM orders) + (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS n_checked,
-  2 * (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS n_failed, 0 AS passed
+  2 * (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS n_failed, ((SELECT count(*) FROM orders WHERE o_orderstatus = 'P') = 0)::INT AS passed
 """)
 def check_published(t):
     a = t.orders.select("o_orderkey", "o_custkey")
@@ -316,6 +331,38 @@ def quality_report(t):
         quality.scan_text(t.conversations, ["text"], {"damaged": quality.DAMAGED})))
 
 
+REFRESH_RULES = {"priority": "regexp_matches(o_orderpriority, '^[1-5]-')", "price": "o_totalprice < 499000"}
+
+
+@query("refresh_orders", """
+SELECT check_name, n_checked, n_failed, (n_failed = 0)::INT AS passed FROM (
+  SELECT 'rows' AS check_name, count(*) AS n_checked, 0 AS n_failed FROM orders UNION ALL
+  SELECT 'unique o_orderkey', count(DISTINCT o_orderkey), 0 FROM orders UNION ALL """ + " UNION ALL ".join(
+    f"SELECT '{n}', count(*), count(*) FILTER (WHERE NOT {c}) FROM orders" for n, c in REFRESH_RULES.items()) + """ UNION ALL
+  SELECT 'change: added', count(*), 0 FROM orders WHERE o_orderstatus = 'P' UNION ALL
+  SELECT 'change: changed', count(*), 0 FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 10 = 0)
+""")
+def refresh_orders(t):
+    o = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    old = o.where("o_orderstatus <> 'P'").withColumn("o_totalprice", F.when((F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 10 == 0), -1.0).otherwise(F.col("o_totalprice")))
+    done = quality.gated_refresh(o, f"{shared_folder(t.spark)}/refresh", ["o_orderkey"], {
+        "priority": F.col("o_orderpriority").rlike("^[1-5]-"), "price": F.col("o_totalprice") < 499000}, current=old)
+    changes = done.changes.groupBy("change").agg(F.count("*").alias("n_checked")).select(
+        F.concat(F.lit("change: "), "change").alias("check_name"), "n_checked", F.lit(0).cast("long").alias("n_failed"), F.lit(True).alias("passed"))
+    return _int_passed(done.results.unionByName(changes))
+
+
+@query("decode_mixed_bytes", """
+SELECT doc_id, md5(text) AS text_md5, length(text) AS n FROM documents
+""")
+def decode_mixed_bytes(t):
+    """Every other line of a document was typed in windows-1252; a page of both is read back whole."""
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.when(i % 2 == 1, F.encode(x, "iso-8859-1")).otherwise(F.encode(x, "utf-8")))
+    raw = F.aggregate(lines, F.lit(None).cast("binary"), lambda a, b: F.when(a.isNull(), b).otherwise(F.concat(a, F.encode(F.lit("\n"), "utf-8"), b)))
+    s = t.documents.select("doc_id", pg.decode_mixed(raw).alias("x"))
+    return s.select("doc_id", F.md5("x").alias("text_md5"), F.length("x").cast("long").alias("n"))
+
+
 # --- streams -----------------------------------------------------------------
 
 def _stream_folders(spark):

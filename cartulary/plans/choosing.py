@@ -250,9 +250,8 @@ SELECT doc_id, quality, n_chars, row_number() OVER (ORDER BY quality ASC NULLS F
 """)
 def sorted_nulls(t):
     rows = t.documents.select("doc_id", "n_chars").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
-    buckets = [F.coalesce("quality", F.lit(-1)), -F.floor(F.col("n_chars") / 64)]
     order = [select.sort_order("quality", "number"), select.sort_order("n_chars", "number", True), F.col("doc_id")]
-    return select.numbered_sort(rows, buckets, order)
+    return select.numbered_sort(rows, order)
 
 
 @query("page_orders", """

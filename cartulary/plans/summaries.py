@@ -91,26 +91,26 @@ def precedence_totals(t):
 
 
 @query("top5_lines", """
-WITH b AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) - 1 AS game, p_brand AS team,
+WITH b AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) - 1 AS game, p_brand AS team, p_name || ' ' || p_partkey AS raw, p_size > 3 AS known,
    CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_partkey END AS member, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
    l_quantity AS points FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
- m AS (SELECT game, team, member, max(price) AS price, CAST(max(points) AS INT) AS points FROM b GROUP BY ALL),
- t5 AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY game, team ORDER BY price DESC, member NULLS LAST) <= 5),
- sup AS (SELECT team, count(DISTINCT game) AS n_games, count(member) / count(*) AS share FROM t5 GROUP BY team
-  HAVING count(DISTINCT game) >= 15 AND count(member) >= count(*) * 0.6),
- f AS (SELECT team, member, count(*) AS n_starts, avg(points) AS mean_points FROM t5 WHERE member IS NOT NULL GROUP BY ALL)
-SELECT team, member, n_starts, round(mean_points, 4) AS mean_points, n_games, round(share, 6) AS resolved_share,
-  CAST(row_number() OVER (PARTITION BY team ORDER BY n_starts DESC, member) AS INT) AS slot
-FROM f JOIN sup USING (team) QUALIFY slot <= 5
+ m AS (SELECT game, team, raw, known, member, coalesce(member::VARCHAR, 'raw:' || raw) AS who, max(price) AS price, CAST(max(points) AS INT) AS points FROM b GROUP BY ALL),
+ t5 AS (SELECT *, member IS NOT NULL AND known AS ok FROM m QUALIFY row_number() OVER (PARTITION BY game, team ORDER BY price DESC, member NULLS LAST, who) <= 5),
+ w AS (SELECT * FROM t5 QUALIFY count(*) OVER (PARTITION BY game, team) = 5),
+ sup AS (SELECT team, count(DISTINCT game) AS n_games, avg(ok::INT) AS share FROM w GROUP BY team HAVING count(DISTINCT game) >= 15 AND count(*) FILTER (WHERE ok) >= count(*) * 0.6),
+ f AS (SELECT team, who, bool_or(ok) AS ok, count(*) AS n_starts, avg(points) AS mean_points FROM w GROUP BY ALL),
+ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY team ORDER BY n_starts DESC, who) AS INT) AS slot FROM f QUALIFY slot <= 5)
+SELECT team, who AS member, n_starts, round(mean_points, 4) AS mean_points, n_games, round(share, 6) AS resolved_share, slot,
+  count(*) FILTER (WHERE ok) OVER (PARTITION BY team) AS n_resolved FROM r JOIN sup USING (team)
 """)
 def top5_lines(t):
     box = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
            .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-           .groupBy(month_index("o_orderdate").alias("game"), F.col("p_brand").alias("team"),
-                    F.when(F.col("p_partkey") % 10 != 0, F.col("p_partkey")).alias("member"))
+           .groupBy(month_index("o_orderdate").alias("game"), F.col("p_brand").alias("team"), F.concat_ws(" ", "p_name", "p_partkey").alias("raw"),
+                    (F.col("p_size") > 3).alias("known"), F.when(F.col("p_partkey") % 10 != 0, F.col("p_partkey")).alias("member"))
            .agg(F.max(F.col("l_extendedprice").cast(MONEY)).alias("price"),
                 F.max("l_quantity").cast("int").alias("points")))
-    return (aggregates.inferred_lineups(box, ["game"], ["team"], "member", "price", "points")
+    return (aggregates.inferred_lineups(box, ["game"], ["team"], "member", "price", "points", "raw", known=F.col("known"))
             .withColumns({"mean_points": F.round("mean_points", 4), "resolved_share": F.round("resolved_share", 6)}))
 
 

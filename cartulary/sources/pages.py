@@ -1,12 +1,10 @@
 """Archived pages to rows, as distributed jobs.
 
-Python runs only inside `mapInPandas`, for the two things Spark has no expression
-for: splitting HTML into table cells and decoding bytes of mixed encodings.
+Python runs only inside `mapInPandas`, for the one thing Spark has no expression for: splitting HTML into table cells.
 """
 
 from __future__ import annotations
 
-import codecs
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
@@ -51,30 +49,28 @@ def decode_page(content: Str) -> Column:
             .when(~undefined, F.translate(latin, CP1252_TO, CP1252_FROM)).otherwise(latin))
 
 
-def _windows_byte(error: UnicodeError) -> tuple[str, int]:
-    """What is no UTF-8 inside a page of mixed encodings was typed in windows-1252."""
-    return error.object[error.start:error.end].decode("cp1252", "replace"), error.end
+# fixed values: the byte runs that are characters in UTF-8, written as latin-1 characters
+_TAIL = r"[\x80-\xBF]"
+_WIDE = "|".join((rf"[\xC2-\xDF]{_TAIL}", rf"\xE0[\xA0-\xBF]{_TAIL}", rf"[\xE1-\xEC\xEE\xEF]{_TAIL}{{2}}", rf"\xED[\x80-\x9F]{_TAIL}",
+                  rf"\xF0[\x90-\xBF]{_TAIL}{{2}}", rf"[\xF1-\xF3]{_TAIL}{{3}}", rf"\xF4[\x80-\x8F]{_TAIL}{{2}}"))
+_BYTE_RUNS = rf"[\x00-\x7F]+|(?:{_WIDE}){{1,200}}|[\x80-\xFF]"  # a run of wide characters is bounded: the pattern recurses over it
+_NO_WINDOWS = "\x81\x8d\x8f\x90\x9d"  # fixed value: bytes windows-1252 leaves undefined
 
 
-codecs.register_error("cartulary.windows", _windows_byte)
+def decode_mixed(content: Str) -> Column:
+    """Bytes that mix encodings: what is UTF-8 as UTF-8, every other byte as windows-1252, an undefined one as U+FFFD.
 
-
-def _decode_mixed(raw: bytes) -> str:
-    return raw.decode("utf-8", "cartulary.windows")
+    All expressions: bytes as latin-1 characters, cut into runs by a pattern, each run decoded or translated.
+    """
+    latin = F.decode(_col(content), "iso-8859-1")
+    run = F.transform(F.regexp_extract_all(latin, F.lit(_BYTE_RUNS), F.lit(0)), lambda r: F.when(
+        F.length(r) > 1, F.decode(F.encode(r, "iso-8859-1"), "utf-8")).otherwise(F.translate(r, CP1252_TO + _NO_WINDOWS, CP1252_FROM + "\uFFFD" * len(_NO_WINDOWS))))
+    whole = _col(content).cast("string")
+    return F.when(F.is_valid_utf8(whole), whole).otherwise(F.array_join(run, ""))
 
 
 def decode_mixed_pages(df: DataFrame, key: str, content: str, name: str = "html") -> DataFrame:
-    """Pages that mix encodings, decoded byte run by byte run. Clean UTF-8 pages never reach Python."""
-    as_text = F.col(content).cast("string")
-    clean = df.where(F.is_valid_utf8(as_text)).select(key, as_text.alias(name))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({key: b[key], name: [_decode_mixed(bytes(x)) for x in b[content]]})
-
-    key_type = dict(df.dtypes)[key]
-    mixed = df.where(~F.is_valid_utf8(as_text)).select(key, content).mapInPandas(run, f"{key} {key_type}, {name} string")
-    return clean.unionByName(mixed)
+    return df.select(key, decode_mixed(content).alias(name))
 
 
 # --- tables ----------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.reconcile import table_digest
 from ..operators.skew import numbered, top_k
+from . import splits
 
 CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "encoding": "UTF-8", "nullValue": "", "emptyValue": ""}
 
@@ -22,7 +23,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).options(**CSV).csv(path)
+    return splits.read_csv(spark, path, schema, CSV)
 
 
 def write_table(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[Column], sep: str = ",",
@@ -47,10 +48,9 @@ def overwrite_subtree(df: DataFrame, path: str, partition: Sequence[str]) -> Non
 
 def read_capture_listing(spark: SparkSession, path: str) -> DataFrame:
     """Archive index files, each `[header, row, row, ...]`, as (file, row_no, fields map)."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    rows = raw.select("file", F.from_json("value", "array<array<string>>").alias("a"))
-    return (rows.select("file", F.get("a", F.lit(0)).alias("h"), F.posexplode("a").alias("row_no", "r"))
-            .where("row_no > 0").select("file", "row_no", F.map_from_arrays("h", "r").alias("fields")))
+    rows = splits.listing_rows(spark, path)
+    heads = rows.where("row_no = 0").select("file", F.col("cells").alias("__h"))
+    return rows.where("row_no > 0").join(heads, "file").select("file", "row_no", F.map_from_arrays("__h", "cells").alias("fields"))
 
 
 def listing_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -105,35 +105,3 @@ def upsert_log(old: DataFrame, new: DataFrame, keys: Sequence[str], tie: Sequenc
     """History log: what was logged stays, the newer batch wins per key. Needs a `batch` column on neither side."""
     both = old.withColumn("__batch", F.lit(0)).unionByName(new.withColumn("__batch", F.lit(1)), allowMissingColumns=True)
     return top_k(both, keys, [F.col("__batch").desc(), *tie]).drop("__batch")
-
-
-class VersionedTable:
-    """A table folder whose readers follow a pointer, so a rebuild never overwrites what is being read."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _version(self) -> int:
-        marks = self._fs.globStatus(self._path(f"{self.root}/_current-*"))
-        return max([int(m.getPath().getName().rsplit("-", 1)[1]) for m in marks or []], default=0)
-
-    def current_path(self) -> str | None:
-        v = self._version()
-        return f"{self.root}/v{v}" if v else None
-
-    def read(self) -> DataFrame | None:
-        path = self.current_path()
-        return self.spark.read.parquet(path) if path else None
-
-    def stage(self, df: DataFrame) -> str:
-        """Write the next version; nobody sees it yet."""
-        path = f"{self.root}/v{self._version() + 1}"
-        df.write.mode("overwrite").parquet(path)
-        return path
-
-    def publish(self, staged: str) -> None:
-        """One empty marker file is created: the swap either happened or it did not."""
-        v = int(staged.rsplit("v", 1)[1])
-        self._fs.createNewFile(self._path(f"{self.root}/_current-{v}"))

@@ -90,21 +90,24 @@ def orders(spark, n, bad=False):
 
 
 def test_gated_refresh(spark, tmp_path):
-    table = tb.VersionedTable(spark, f"{tmp_path}/orders")
+    rules = {"state": quality.required("state")}
 
-    def checks(df):
-        return quality.suite(quality.check_rules(df, {"state": quality.required("state")}), quality.check_unique(df, "id", ["id"]))
+    def more(df):
+        return quality.check_rules(df, {"id": F.col("id") >= 0})
 
-    dry = quality.gated_refresh(table, orders(spark, 3), checks, ["id"], apply=False)
-    assert not dry.published and table.read() is None
-    first = quality.gated_refresh(table, orders(spark, 3), checks, ["id"])
-    assert first.published and table.read().count() == 3
+    first = quality.gated_refresh(orders(spark, 3), f"{tmp_path}/orders", ["id"], rules, more)
+    assert first.passed and first.n_rows == 3 and spark.read.parquet(first.path).count() == 3
     assert rows(first.changes.groupBy("change").count()) == [("added", 3)]
-    blocked = quality.gated_refresh(table, orders(spark, 9, bad=True), checks, ["id"])
-    assert not blocked.published and table.read().count() == 3
+    assert rows(first.results, "check_name", "n_checked", "n_failed", "passed") == [("id", 3, 0, True), ("rows", 3, 0, True), ("state", 3, 0, True), ("unique id", 3, 0, True)]
+    current = spark.read.parquet(first.path)
+    blocked = quality.gated_refresh(orders(spark, 9, bad=True), f"{tmp_path}/orders", ["id"], rules, current=current)
+    assert not blocked.passed and blocked.path != first.path and current.count() == 3
     assert rows(blocked.results.where("NOT passed"), "check_name", "n_failed") == [("state", 1)]
-    grown = quality.gated_refresh(table, orders(spark, 4), checks, ["id"])
-    assert grown.published and table.read().count() == 4 and rows(grown.changes) == [(3, "added")]
+    grown = quality.gated_refresh(orders(spark, 4), f"{tmp_path}/orders", ["id"], rules, current=current)
+    assert grown.passed and rows(grown.changes) == [(3, "added")]
+    assert not quality.gated_refresh(orders(spark, 0), f"{tmp_path}/orders", ["id"], rules).passed
+    twice = orders(spark, 2).unionByName(orders(spark, 1))
+    assert rows(quality.gated_refresh(twice, f"{tmp_path}/orders", ["id"], {}).results.where("NOT passed"), "check_name", "n_failed") == [("unique id", 1)]
 
 
 def test_checks(spark):
