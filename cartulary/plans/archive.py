@@ -13,7 +13,7 @@ from ..session import shared_folder
 from ..sources import manifests as mf
 from ..sources import pages as pg
 from ..sources import tables as tb
-from ..streaming import ingest
+from ..streaming import ingest, state
 from .base import query
 from .summaries import ID_RANGE
 
@@ -379,8 +379,9 @@ def stream_dedup_events(t):
     ledger, progress = _stream_folders(t.spark)
     s = (ingest.file_stream(t.spark, t.sf_dir, t.events.schema, "events.parquet")
          .withColumn("digest", F.sha2(F.concat_ws("|", "event_type", "props"), 256)))
-    ingest.ingest_captures(s.select("digest", "event_id", "ts"), "digest", "event_id", "ts", ledger, progress)
-    out = ingest.captures(t.spark, ledger, "digest", "event_id", "ts")
+    updates = state.first_updates(s, "digest", "event_id", "ts")
+    state.keep_updates(updates, ledger, progress)
+    out = state.answers(t.spark, ledger, ["digest"], updates.schema)
     return out.select("digest", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("first_seen"), "n_captures")
 
 
@@ -393,5 +394,7 @@ def stream_latest_wins(t):
     ledger, progress = _stream_folders(t.spark)
     s = ingest.file_stream(t.spark, t.sf_dir, t.events.schema, "events.parquet").withColumn("band", F.floor(F.col("value") / 10))
     keys = ["user_id", "event_type"]
-    ingest.ingest_observations(s, keys, ["band"], ["ts", "event_id"], ledger, progress)
-    return ingest.latest_observations(t.spark, ledger, keys, ["band"]).drop("newest")
+    updates = state.latest_updates(s, keys, ["band"], ["ts", "event_id"])
+    state.keep_updates(updates, ledger, progress)
+    out = state.answers(t.spark, ledger, keys, updates.schema)
+    return out.select(*keys, "band", "n_captures", "n_variants", F.when(F.col("n_variants") > 1, "disputed").otherwise("single-source").alias("confidence"))

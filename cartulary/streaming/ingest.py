@@ -26,11 +26,11 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return reader.load(folder)
 
 
-def _run(stream: DataFrame, reduce_batch: Callable[[DataFrame], DataFrame], ledger: str, checkpoint: str) -> None:
+def _run(stream: DataFrame, reduce_batch: Callable[[DataFrame], DataFrame], ledger: str, checkpoint: str, mode: str = "append") -> None:
     def write(batch: DataFrame, batch_id: int) -> None:
         reduce_batch(batch).write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
 
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
