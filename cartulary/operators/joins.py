@@ -246,18 +246,21 @@ def criteria_grid(df: DataFrame, row_criteria: Mapping[str, Column], col_criteri
             .groupBy("row_criterion", "col_criterion").agg(F.count("*").alias("n_entities")))
 
 
-def comparable_counts(df: DataFrame, group: str, value: str, ident: str, least: int = 100, width: int = 10000) -> DataFrame:
+def comparable_counts(df: DataFrame, group: str, value: str, ident: str, least: int = 100, width: int = 10000, agrees: Column | None = None) -> DataFrame:
     """For each row: others of its group at least max(`least`, 2 % of the larger) away.
 
+    A row for which `agrees` does not hold (say, its rate is not its total over its games, see `rate_agrees`) is compared
+    with nothing, like one of unknown value.
+
     Integer values (cents). Counting is by running totals over the distinct values of a
     group, cut into value ranges of `width`; no pair is formed. An unknown value is compared with
     nothing: its row keeps NULL counts and counts for no other.
     """
-    v = F.col(value)
+    v = F.col(value) if agrees is None else F.when(agrees, F.col(value))
     up = F.greatest(v + least, F.when(v > 0, F.ceil(v * 50 / F.lit(49))).otherwise(v + least)).cast("long")
     down = (v - F.greatest(F.lit(least), F.ceil(v * 2 / F.lit(100)))).cast("long")
     known = df.where(v.isNotNull())
-    points = known.groupBy(group, F.col(value).cast("long").alias("__v")).agg(F.count("*").alias("__n"))
+    points = known.groupBy(group, v.cast("long").alias("__v")).agg(F.count("*").alias("__n"))
     asks = (known.select(group, F.explode(F.array(up - 1, down)).alias("__v")).distinct()
             .withColumn("__n", F.lit(0).cast("long")))
     both = points.unionByName(asks).groupBy(group, "__v").agg(F.sum("__n").alias("__n"))
@@ -274,6 +277,11 @@ def comparable_counts(df: DataFrame, group: str, value: str, ident: str, least:
             .drop("__down", "__up", "__all", "__not_above"))
 
 
+def rate_agrees(total: str, games: str, rate: str, most: float = 0.15) -> Column:
+    """Whether a listed rate is the total over the games, within `most`; an unknown figure agrees with nothing."""
+    return F.coalesce((F.col(games) != 0) & (F.abs(F.try_divide(F.col(total), F.col(games)) - F.col(rate)) <= most), F.lit(False))
+
+
 def flag_semi(df: DataFrame, others: DataFrame, key: str, name: str) -> DataFrame:
     """Does the key occur among the others (leaders, disputed rows)?"""
     marks = others.select(key).distinct().withColumn("__hit", F.lit(True))

@@ -48,6 +48,23 @@ def check_reference(df: DataFrame, name: str, key: str, target: DataFrame, targe
     return _result(keys.join(hit, "__k", "left"), name, F.sum("__n"), F.sum(F.when(bad, F.col("__n"))))
 
 
+def check_references(df: DataFrame, targets: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """`check_reference` of several keys of one table, read once: check name -> (key, target, key of the target).
+
+    The keys of all checks are counted in one grouping before they meet their targets.
+    """
+    pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(k).cast("string").alias("__k")) for n, (k, _, _) in targets.items()])
+    keys = df.select(F.explode(pairs).alias("p")).select("p.*").where("__k IS NOT NULL").groupBy("check_name", "__k").agg(F.count(F.lit(1)).alias("__n"))
+    hits = reduce(DataFrame.unionAll, [t.select(F.lit(n).alias("check_name"), F.col(k).cast("string").alias("__k"), F.lit(True).alias("__hit")).distinct()
+                                       for n, (_, t, k) in targets.items()])
+    found = keys.join(hits, ["check_name", "__k"], "left").groupBy("check_name").agg(
+        F.sum("__n").alias("n_checked"), F.coalesce(F.sum(F.when(F.col("__hit").isNull(), F.col("__n"))), F.lit(0)).alias("n_failed"))
+    names = df.sparkSession.createDataFrame([(n,) for n in targets], "check_name string")
+    zero = F.lit(0).cast("long")
+    return (names.join(found, "check_name", "left").select("check_name", F.coalesce("n_checked", zero).alias("n_checked"), F.coalesce("n_failed", zero).alias("n_failed"))
+            .withColumn("passed", F.col("n_failed") == 0))
+
+
 def check_rates(df: DataFrame, rates: Mapping[str, tuple[Column, float, float]]) -> DataFrame:
     """Share of rows with a property against [lo, hi]; n_failed counts the rows outside the property."""
     one = df.agg(F.count("*").alias("__n"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(f"__{i}")

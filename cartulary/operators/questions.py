@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import NGram
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,10 +84,13 @@ def mentions(texts: DataFrame, ident: str, text: str, names: DataFrame, name: st
     meet the names in an equi join, so the cost does not grow with texts x names.
     """
     words = F.filter(F.split(search_fold(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    rows = texts.select(ident, words.alias("__w1"))
-    for n in range(2, most_words + 1):
-        rows = NGram(n=n, inputCol="__w1", outputCol=f"__w{n}").transform(rows)
-    groups = F.array_distinct(F.concat(*[F.col(f"__w{n}") for n in range(1, most_words + 1)]))
+    rows = texts.select(ident, words.alias("__w")).withColumn("__size", F.size("__w"))
+
+    def of(n):
+        at = F.when(F.col("__size") >= n, F.sequence(F.lit(1), F.col("__size") - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.col("__w") if n == 1 else F.transform(at, lambda i: F.concat_ws(" ", *[F.element_at("__w", i + k) for k in range(n)]))
+
+    groups = F.array_distinct(F.concat(*[of(n) for n in range(1, most_words + 1)]))
     grams = rows.select(ident, F.explode(groups).alias("__g"))
     known = names.select(F.array_join(F.filter(F.split(search_fold(name), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " ").alias("__g"),
                          F.col(name_id).alias("entity_id")).where("__g <> ''").groupBy("__g").agg(F.min("entity_id").alias("entity_id"))

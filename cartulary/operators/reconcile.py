@@ -19,19 +19,22 @@ from .skew import null_safe
 class Reconciled(NamedTuple):
     rows: DataFrame
     conflicts: DataFrame
+    repeated: DataFrame  # source, keys, n_rows: keys with several rows, whose rows pair up; should be empty
 
 
 def reconcile_two(first: DataFrame, second: DataFrame, keys: Sequence[str], slots: Sequence[str],
                   no_result: str | None = None, resolutions: DataFrame | None = None,
-                  names: tuple[str, str] = ("first", "second")) -> Reconciled:
-    """Full outer join of two sources with one row per key each.
+                  names: tuple[str, str] = ("first", "second"), carry: Sequence[str] = ()) -> Reconciled:
+    """Full outer join of two sources with one row per key each; keys that have more are in `repeated`, and NULL keys never meet.
+
+    `carry` columns of the first source stay beside the result.
 
     status: agree / conflict / <name>_only / no_result. A conflicting slot stays empty,
     the other slots keep their value. `resolutions` (slot, keys, value, confidence) are
     curated and supersede what the comparison finds.
     """
     a_name, b_name = names
-    a = first.select(*[F.col(k).alias(f"__a_{k}") for k in keys], *[F.col(s).alias(f"{s}_{a_name}") for s in slots],
+    a = first.select(*[F.col(k).alias(f"__a_{k}") for k in keys], *carry, *[F.col(s).alias(f"{s}_{a_name}") for s in slots],
                      F.lit(True).alias("__has_a"))
     b = second.select(*[F.col(k).alias(f"__b_{k}") for k in keys], *[F.col(s).alias(f"{s}_{b_name}") for s in slots],
                       (F.col(no_result) if no_result else F.lit(False)).alias("__none"), F.lit(True).alias("__has_b"))
@@ -60,7 +63,7 @@ def reconcile_two(first: DataFrame, second: DataFrame, keys: Sequence[str], slot
     chosen = {s: F.when((F.col("status") != "no_result") & ~F.col(f"__x_{s}"),
                         F.coalesce(F.col(f"__r_{s}"), F.col(f"{s}_{a_name}").cast("string"),
                                    F.col(f"{s}_{b_name}").cast("string"))) for s in slots}
-    rows = out.select(*keys, *[c.alias(s) for s, c in chosen.items()],
+    rows = out.select(*keys, *carry, *[c.alias(s) for s, c in chosen.items()],
                       *[f"{s}_{n}" for s in slots for n in names], "status", "confidence")
     conflicts = (out.where((F.col("status") == "conflict"))
                  .select(*keys, F.explode(F.array(*[F.struct(
@@ -68,7 +71,9 @@ def reconcile_two(first: DataFrame, second: DataFrame, keys: Sequence[str], slot
                      F.col(f"{s}_{a_name}").cast("string").alias("value_a"),
                      F.col(f"{s}_{b_name}").cast("string").alias("value_b")) for s in slots])).alias("__c"))
                  .where("__c.x").select(*keys, "__c.slot", "__c.value_a", "__c.value_b"))
-    return Reconciled(rows, conflicts)
+    repeated = [df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1").select(F.lit(n).alias("source"), *keys, "n_rows")
+                for n, df in zip(names, (first, second), strict=True)]
+    return Reconciled(rows, conflicts, repeated[0].unionByName(repeated[1]))
 
 
 def last_name(c: str | Column) -> Column:
@@ -77,14 +82,20 @@ def last_name(c: str | Column) -> Column:
     return F.when(s.contains(","), F.regexp_extract(s, "^([^ ,]*)", 1)).otherwise(F.substring_index(s, " ", -1))
 
 
-def reconcile_three(sources: Mapping[str, tuple[DataFrame, str]], key: str, dual_keys: DataFrame | None = None,
-                    same: Column | None = None) -> DataFrame:
-    """Agreement of the family names present. A key listed in `dual_keys` records both
-    metrics side by side and is no conflict."""
-    out = None
-    for name, (df, col) in sources.items():
-        part = df.select(F.col(key), F.nullif(F.col(col).cast("string"), F.lit("")).alias(name))
-        out = part if out is None else out.join(part, key, "full_outer")
+def reconcile_three(sources: Mapping[str, tuple[DataFrame, str]], key: str, dual_keys: DataFrame | None = None) -> DataFrame:
+    """`reconcile_named` of one table for each source: (table, column of the name)."""
+    parts = [df.select(key, F.lit(n).alias("source"), F.col(col).cast("string").alias("name")) for n, (df, col) in sources.items()]
+    return reconcile_named(reduce(DataFrame.unionByName, parts), key, list(sources), dual_keys)
+
+
+def reconcile_named(rows: DataFrame, key: str, sources: Sequence[str], dual_keys: DataFrame | None = None) -> DataFrame:
+    """Agreement of the family names the sources give each key, from rows (key, source, name), in one aggregation.
+
+    A source that names a key more than once counts by its smallest name. A key listed in `dual_keys` records both metrics
+    side by side and is no conflict. Rows of unknown key are one key.
+    """
+    named = F.nullif(F.col("name"), F.lit(""))
+    out = rows.groupBy(key).agg(*[F.min(F.when(F.col("source") == n, named)).alias(n) for n in sources])
     present = F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in sorted(sources)]))
     lasts = F.array_distinct(F.array_compact(F.array(*[last_name(n) for n in sources])))
     out = out.withColumns({"__p": present, "__l": lasts})

@@ -256,9 +256,8 @@ SELECT check_name, n_checked, n_failed, (n_failed = 0)::INT AS passed FROM (
 def check_fk(t):
     junk = t.documents.where(F.col("n_chars") < 50).select("doc_id")
     return _int_passed(quality.suite(
-        quality.check_reference(t.lineitem, "line to order", "l_orderkey", t.orders, "o_orderkey"),
-        quality.check_reference(t.lineitem, "line to part", "l_partkey", t.part, "p_partkey"),
-        quality.check_reference(t.lineitem, "line to supplier", "l_suppkey", t.supplier, "s_suppkey"),
+        quality.check_references(t.lineitem, {"line to order": ("l_orderkey", t.orders, "o_orderkey"), "line to part": ("l_partkey", t.part, "p_partkey"),
+                                              "line to supplier": ("l_suppkey", t.supplier, "s_suppkey")}),
         quality.check_reference(t.orders, "order has lines", "o_orderkey", t.lineitem, "l_orderkey"),
         quality.check_reference(t.labels, "no label on junk", "doc_id", junk, "doc_id", forbidden=True)))
 

@@ -295,3 +295,42 @@ SELECT page, CASE WHEN women THEN 'wrong_subject' WHEN template IS NOT NULL THEN
 """)
 def roster_page_status(t):
     return rosters.read_rosters(roster_pages(t), "page", "html", "season").pages
+
+
+# --- page text: labelled blocks, leader lines, career lines ---------------------------
+
+@query("profile_blocks", """
+SELECT c_custkey, c_name AS nombre, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS lugar_de_nacimiento, CASE WHEN c_custkey % 4 > 0 THEN 'Equipo ' || c_nationkey END AS equipo FROM customer
+""")
+def profile_blocks(t):
+    body = F.expr("""concat('<p>Nombre:  ', c_name, '</p><b>Lugar de nacimiento</b> ', CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment ELSE '' END,
+      CASE WHEN c_custkey % 4 > 0 THEN concat(' <i>Equipo:</i> Equipo ', c_nationkey) ELSE '' END)""")
+    blocks = pg.labelled_blocks(pg.strip_tags(body), ["Nombre", "Lugar de nacimiento", "Equipo"])
+    return t.customer.select("c_custkey", blocks.alias("b")).select("c_custkey", "b.*")
+
+
+@query("leader_line_rows", """
+SELECT p_partkey, CASE WHEN p_partkey % 7 > 0 THEN (p_partkey % 40 + 1)::INT END AS rank, CASE WHEN p_partkey % 7 > 0 THEN p_name END AS player_raw, CASE WHEN p_partkey % 7 > 0 THEN 'Rio' END AS club_raw,
+  CASE WHEN p_partkey % 7 > 0 THEN p_size END AS games, CASE WHEN p_partkey % 7 > 0 THEN 3 * p_size END::INT AS total, CASE WHEN p_partkey % 7 > 0 THEN 3.5::DOUBLE END AS prom,
+  CASE WHEN p_partkey % 7 > 0 THEN '' ELSE 'unparsed' END AS parse_flag FROM part
+""")
+def leader_line_rows(t):
+    line = F.expr("""CASE WHEN p_partkey % 7 > 0 THEN concat('  ', p_partkey % 40 + 1, '. ', p_name, '   (Rio) ', p_size, '  ', 2 * p_size, ' ', 3 * p_size, '  3.5') ELSE concat('-- ', p_name) END""")
+    out = pg.leader_lines(t.part.select("p_partkey", line.alias("line")), "line")
+    return out.select("p_partkey", "rank", "player_raw", "club_raw", "games", F.try_element_at("figures", F.lit(-1)).alias("total"), "prom", "parse_flag")
+
+
+CAREER_TEXT = """SELECT l_orderkey, l_partkey, l_quantity::INT AS q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) - 1 AS i FROM lineitem"""
+
+
+@query("career_line_rows", f"""
+SELECT l_orderkey, i::INT AS line_no, CASE WHEN l_partkey % 9 = 0 THEN 1900 ELSE 1990 + i END::INT AS season, CASE WHEN l_partkey % 9 = 0 THEN 'rejected' ELSE 'RIO ALTO' END AS team_raw,
+  CASE WHEN l_partkey % 9 > 0 AND l_partkey % 5 > 0 THEN q END AS games, CASE WHEN l_partkey % 9 > 0 AND l_partkey % 5 > 0 THEN 2 * q END::INT AS points FROM ({CAREER_TEXT})
+""")
+def career_line_rows(t):
+    rows = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(_line_struct())).alias("x"))  # lines of one order
+    text = F.expr("""concat('Carrera ', array_join(transform(x, (p, i) -> concat(CASE WHEN p.l_partkey % 9 = 0 THEN 1900 ELSE 1990 + i END, ' RIO  ALTO ',
+      CASE WHEN p.l_partkey % 5 > 0 THEN concat(cast(p.l_quantity as int), ' ', 2 * cast(p.l_quantity as int), ' 2.0') ELSE cast(7 as string) END)), ' '))""")
+    found = pg.career_lines(rows.select("l_orderkey", text.alias("body")), "body", ["l_orderkey"])
+    lost = found.rejected.select("l_orderkey", "line_no", F.lit(1900).alias("season"), F.lit("rejected").alias("team_raw"))
+    return found.rows.select("l_orderkey", "line_no", "season", "team_raw", "games", "points").unionByName(lost, allowMissingColumns=True)

@@ -245,6 +245,24 @@ def comparable_customers(t):
     return _comparable(t.customer, "c_custkey", "c_nationkey", "c_acctbal")
 
 
+LISTED = """o AS (SELECT o_custkey, count(*) AS games, sum(CAST(o_totalprice * 100 AS BIGINT))::BIGINT AS cents FROM orders GROUP BY 1),
+ a AS (SELECT c_custkey, c_nationkey, cents, games, round(cents / games, 1) + CASE WHEN c_custkey % 13 = 0 THEN 0.3 ELSE 0 END AS rate FROM customer JOIN o ON o_custkey = c_custkey),
+ x AS (SELECT c_custkey, c_nationkey AS nation, CASE WHEN abs(cents / games - rate) <= 0.15 THEN cents END AS v FROM a)"""
+
+
+@query("comparable_totals", f"""
+WITH {LISTED}, d AS (SELECT *, v - greatest(100, ceil(v * 2 / 100))::BIGINT AS lo, greatest(v + 100, CASE WHEN v > 0 THEN ceil(v * 50 / 49)::BIGINT ELSE v + 100 END) AS hi FROM x)
+SELECT c_custkey, nation, CASE WHEN v IS NOT NULL THEN (SELECT count(*) FROM x b WHERE b.nation = d.nation AND b.v <= d.lo) END AS n_below,
+  CASE WHEN v IS NOT NULL THEN (SELECT count(*) FROM x b WHERE b.nation = d.nation AND b.v >= d.hi) END AS n_above FROM d
+""")
+def comparable_totals(t):
+    per = t.orders.groupBy("o_custkey").agg(F.count("*").alias("games"), F.sum((F.col("o_totalprice") * 100).cast("decimal(18,0)")).cast("long").alias("cents"))
+    off = F.when(F.col("c_custkey") % 13 == 0, 0.3).otherwise(0.0)
+    rows = (t.customer.join(per, F.col("o_custkey") == F.col("c_custkey"))
+            .select("c_custkey", F.col("c_nationkey").alias("nation"), "cents", "games", (F.round(F.col("cents") / F.col("games"), 1) + off).alias("rate")))
+    return joins.comparable_counts(rows, "nation", "cents", "c_custkey", agrees=joins.rate_agrees("cents", "games", "rate")).select("c_custkey", "nation", "n_below", "n_above")
+
+
 @query("customers_with_urgent", """
 SELECT c_custkey, CAST(EXISTS (FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') AS INT) AS has_urgent FROM customer
 """)

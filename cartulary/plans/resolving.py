@@ -18,7 +18,7 @@ from .summaries import MONEY, month_index
 
 def _headers_and_lines(t):
     """Order status and price band as the header states them, and as the lines imply them."""
-    header = t.orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("state"),
+    header = t.orders.select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("state"), "o_custkey",
                              F.floor(F.col("o_totalprice") / 100000).alias("band"))
     lines = (t.lineitem.groupBy(F.col("l_orderkey").alias("order_key"))
              .agg(F.bool_and(F.col("l_linestatus") == "F").alias("done"), F.bool_and(F.col("l_linestatus") == "O").alias("open"),
@@ -46,14 +46,11 @@ FROM j JOIN orders ON o_orderkey = k JOIN customer ON o_custkey = c_custkey JOIN
 """)
 def reconcile_totals(t):
     header, lines = _headers_and_lines(t)
-    rows = reconcile.reconcile_two(header, lines, ["order_key"], ["state", "band"], names=("header", "lines")).rows
-    place = (t.orders.select(F.col("o_orderkey").alias("order_key"), "o_custkey")
-             .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-             .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-             .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-             .select("order_key", F.col("r_name").alias("region")))
+    rows = reconcile.reconcile_two(header, lines, ["order_key"], ["state", "band"], names=("header", "lines"), carry=["o_custkey"]).rows
+    place = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+             .select("c_custkey", F.col("r_name").alias("region")))
     s = F.col("status")
-    return (rows.join(place, "order_key").groupBy("region")
+    return (rows.join(place, F.col("o_custkey") == F.col("c_custkey")).groupBy("region")
             .agg(F.count("*").alias("n_orders"), F.count_if(s == "agree").alias("n_agree"),
                  F.count_if(s == "conflict").alias("n_conflict"), F.count_if(s == "header_only").alias("n_header_only"),
                  F.count_if(s == "lines_only").alias("n_lines_only"))
@@ -119,12 +116,12 @@ def reconcile_three(t):
         """The order's key, but one that nobody else has where its line count is a multiple of n."""
         return F.when(F.col("m") % n == 0, -F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey")).alias("k")
 
-    a = t.orders.select(F.col("o_orderkey").alias("k"), F.concat(F.lit("Ana "), word("o_orderstatus")).alias("name"))
+    header = t.orders.select(F.col("o_orderkey").alias("k"), F.lit("header").alias("source"), F.concat(F.lit("Ana "), word("o_orderstatus")).alias("name"))
     lines = t.lineitem.groupBy("l_orderkey").agg(F.min("l_linestatus").alias("low"), F.max("l_linestatus").alias("high"), F.count("*").alias("m"))
-    b = lines.select(key(3), F.concat(F.upper(word("low")), F.lit(", Ana")).alias("name"))
-    d = lines.select(key(4), F.concat(word("high"), F.lit(", Ana M.")).alias("name"))
-    dual = t.values("(5L), (6L)", "k")
-    out = reconcile.reconcile_three({"header": (a, "name"), "first": (b, "name"), "last": (d, "name")}, "k", dual)
+    both = F.array(F.struct(key(3), F.lit("first").alias("source"), F.concat(F.upper(word("low")), F.lit(", Ana")).alias("name")),
+                   F.struct(key(4), F.lit("last").alias("source"), F.concat(word("high"), F.lit(", Ana M.")).alias("name")))
+    rows = header.unionByName(lines.select(F.explode(both).alias("r")).select("r.*"))
+    out = reconcile.reconcile_named(rows, "k", ["header", "first", "last"], t.values("(5L), (6L)", "k"))
     return out.groupBy("agreement").agg(F.count("*").alias("n_orders"))
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -402,23 +403,29 @@ def leader_lines(df: DataFrame, line: str) -> DataFrame:
         F.when(ok, "").otherwise("unparsed").alias("parse_flag"))
 
 
-def career_lines(df: DataFrame, text: str, keys: Sequence[str], first: int = 1929) -> DataFrame:
+class CareerLines(NamedTuple):
+    rows: DataFrame
+    rejected: DataFrame  # lines whose number is no season: there was no league yet
+
+
+def career_lines(df: DataFrame, text: str, keys: Sequence[str], first: int = 1929) -> CareerLines:
     """ "YEAR TEAM figures..." runs of a page text. A full row ends in an average after games and points;
-    a shorter one keeps its season and team with both figures unknown."""
+    a shorter one keeps its season and team with both figures unknown. A number before `first` begins no season's row: such
+    lines are the second result."""
     row = r"(\d{4}\s+[A-ZÑÁÉÍÓÚ.\- ]+?\s+(?=\d).+?)(?=\s+\d{4}\s+[A-ZÑ]|\z)"
-    out = (df.select(*keys, F.posexplode(F.regexp_extract_all(text, F.lit(row), F.lit(1))).alias("line_no", "l"))
-           .withColumn("season", F.regexp_extract("l", r"^(\d{4})", 1).try_cast("int"))
-           .withColumn("team_raw", squish(F.regexp_extract("l", r"^\d{4}\s+([A-ZÑÁÉÍÓÚ.\- ]+?)\s+(?=\d)", 1)))
-           .withColumn("t", F.regexp_extract_all(F.regexp_replace("l", r"^\d{4}\s+[A-ZÑÁÉÍÓÚ.\- ]+?\s+(?=\d)", ""),
-                                                 F.lit(r"(\d+\.\d+|\d+%|\d+)"), F.lit(1)))
-           .where(F.col("season") >= first))  # an earlier number is no season: there was no league
+    out = (df.select(*keys, F.posexplode(F.regexp_extract_all(text, F.lit(row), F.lit(1))).alias("line_no", "line"))
+           .withColumn("season", F.regexp_extract("line", r"^(\d{4})", 1).try_cast("int"))
+           .withColumn("team_raw", squish(F.regexp_extract("line", r"^\d{4}\s+([A-ZÑÁÉÍÓÚ.\- ]+?)\s+(?=\d)", 1)))
+           .withColumn("t", F.regexp_extract_all(F.regexp_replace("line", r"^\d{4}\s+[A-ZÑÁÉÍÓÚ.\- ]+?\s+(?=\d)", ""),
+                                                 F.lit(r"(\d+\.\d+|\d+%|\d+)"), F.lit(1))))
     full = (F.size("t") >= 3) & F.try_element_at("t", F.lit(-1)).rlike(r"^\d+\.\d+$")
 
     def figure(i):
         v = F.try_element_at("t", F.lit(i))
         return F.when(full & v.rlike(r"^\d+$"), v.try_cast("int"))
 
-    return out.withColumns({"games": figure(-3), "points": figure(-2)}).drop("l", "t")
+    named = out.withColumns({"games": figure(-3), "points": figure(-2)}).drop("t")
+    return CareerLines(named.where(F.col("season") >= first).drop("line"), named.where(F.col("season") < first).select(*keys, "line_no", "line"))
 
 
 # --- lists, links, routing ---------------------------------------------------

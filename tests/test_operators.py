@@ -62,8 +62,8 @@ def test_lineups_need_support(spark):
     box = [(g, "t", p, 30 - i, 10) for g in range(15) for i, p in enumerate((1, 2, 3, 4, 5, 6))] + [(0, "u", 1, 9, 9)]
     box += [(g, "v", None if i else 1, 30 - i, 10) for g in range(15) for i in range(5)]
     df = spark.createDataFrame(box, "game int, team string, pid int, minutes int, pts int")
-    out = aggregates.inferred_lineups(df, ["game"], ["team"], "pid", "minutes", "pts")
-    assert rows(out, "team", "pid", "n_starts", "slot") == [("t", i, 15, i) for i in range(1, 6)]
+    out = aggregates.inferred_lineups(df.withColumn("name", F.lit("x")), ["game"], ["team"], "pid", "minutes", "pts", "name")
+    assert rows(out, "team", "pid", "n_starts", "slot") == [("t", str(i), 15, i) for i in range(1, 6)]
 
 
 def test_ranges_runs_and_streaks(spark):

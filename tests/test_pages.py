@@ -74,7 +74,8 @@ def test_leader_lines(spark):
 
 def test_career_lines_keep_seasons_without_figures(spark):
     df = spark.createDataFrame([(1, "2004 RIO ALTO 1 2 30% 28 400 14.3 2005 MAR 5 6 1899 VIEJO 1 2 3 4.0")], "k int, t string")
-    assert rows(pg.career_lines(df, "t", ["k"]), "season", "team_raw", "games", "points") == [(2004, "RIO ALTO", 28, 400), (2005, "MAR", None, None)]
+    assert rows(pg.career_lines(df, "t", ["k"]).rows, "season", "team_raw", "games", "points") == [(2004, "RIO ALTO", 28, 400), (2005, "MAR", None, None)]
+    assert rows(pg.career_lines(df, "t", ["k"]).rejected, "k", "line") == [(1, "1899 VIEJO 1 2 3 4.0")]
 
 
 def test_divider_rows_label_what_follows(spark):
@@ -122,4 +123,4 @@ def test_links_of_every_quoting(spark):
 
 def test_late_career_rows_stay(spark):
     df = spark.createDataFrame([(1, "2031 RIO ALTO 28 400 14.3")], "k int, t string")
-    assert [r["season"] for r in pg.career_lines(df, "t", ["k"]).collect()] == [2031]
+    assert [r["season"] for r in pg.career_lines(df, "t", ["k"]).rows.collect()] == [2031]
