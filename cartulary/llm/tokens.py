@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from array import array
 
+import numpy as np
 import pyarrow as pa
 
-REMEMBERED = 250_000  # words after which a worker starts a new memory, taking from the last one what it meets again
+REMEMBERED = 800_000  # words after which a worker starts a new memory, taking from the last one what it meets again
 END_ID = 1
 
 
+JOINED = 256  # plain words encoded as one text
 MARKS = ".,!?;:|"  # one of these after a word and before a blank is a piece of its own
 
 
@@ -34,6 +36,8 @@ class Encoder:
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
         # letters alone are one piece for either vocabulary, so nothing need look for borders in them
         self.borders, self.letters = self.model.pre_tokenizer, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.apart = pre_tokenizers.Sequence([pre_tokenizers.Split(MARKS[0], "isolated"), self.letters])
+        self.mark = self._ids([MARKS[0]])[0]
         self.spaced = self._ids(["a b"]) != self._ids(["a  b"])
         self.known: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
@@ -46,6 +50,21 @@ class Encoder:
             out += [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(texts[at:at + 2048], add_special_tokens=False)]
         return out
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words, many in one text with a mark between them, which no word holds and which is always one id.
+
+        A word then costs what its merges cost, and not a call's result as well.
+        """
+        if len(self.mark) != 4:
+            return self._ids(words, True)
+        self.model.pre_tokenizer = self.apart
+        mark, out = int.from_bytes(self.mark, "little"), []
+        for at in range(0, len(words), JOINED):
+            ids = np.array(self.model.encode_batch_fast([MARKS[0].join(words[at:at + JOINED])], add_special_tokens=False)[0].ids, np.uint32)
+            data, ends = ids.tobytes(), np.flatnonzero(ids == mark) * 4
+            out += map(data.__getitem__, map(slice, [0, *(ends + 4).tolist()], [*ends.tolist(), len(data)]))
+        return out
+
     def _learn(self, pieces: set[str]) -> None:
         """Ids of new pieces: plain words at once, a word with a mark after it from its two halves, the rest in full."""
         known, last = self.known, self.last
@@ -55,8 +74,8 @@ class Encoder:
         ended = {p for p in pieces if p[-1:] in MARKS and _wordlike(p[:-1])}
         words = {p for p in pieces if p not in ended and _wordlike(p)} | {p[:-1] for p in ended if p[:-1] not in known}
         rest = (pieces - ended - words) | {m for m in MARKS if m not in known}
-        for some, plain in ((list(words), True), (list(rest), False)):
-            known.update(zip(some, self._ids(some, plain), strict=True))
+        for some, ids in ((list(words), self._word_ids), (list(rest), self._ids)):
+            known.update(zip(some, ids(some), strict=True))
         known.update((p, known[p[:-1]] + known[p[-1]]) for p in ended)
 
     def _pieces(self, text: str) -> list[str] | None:
