@@ -4,32 +4,44 @@ A text is its set of paragraph digests (lines cut at every sentence end; longer
 the two words there, so that edits elsewhere leave them). A sketch hashes each digest into one
 cell of each of three tables; a cell holds a count, the XOR of its digests and the XOR of their checks. Two
 sketches subtract cell by cell: what both texts hold cancels. A cell left with a single digest (its check
-agrees) gives that digest away; taking it out of its other cells frees further ones (peeling). When cells
-remain, the sketch was too small for the difference: the digests are split by hash into blocks with a sketch
-each, sized for the two texts, and a block that fails again is split further; what still fails after the
-last split is compared digest by digest, so the difference is always whole.
+agrees) gives that digest away; taking it out of its other cells frees further ones (peeling).
 
-The base sketch, of one size for all texts, is the fingerprint. Everything is built-in functions on arrays of
-one row's digests: no Python runs, and nothing is exploded or shuffled for it. The next document's text
-comes through one shuffle into buckets of neighbouring ids, whose first rows also go to the bucket before.
+The base sketch, of one size for all texts, is the fingerprint; it is compared first, inside its row. When
+cells remain there, the sketch was too small for the difference: the digests are split by hash into blocks
+with a larger sketch each, as many as the two texts need, and blocks that fail are made again with twice the
+cells and other hashes until none is left, so the difference is always whole and always peeled. Blocks are
+cells in rows: digests count +1 on one side and -1 on the other, so that the sum of a cell is the subtracted
+cell, and a turn of peeling is one expansion and one aggregation. Rows lie in a table bucketed by where their
+texts were dealt, so none of this is shuffled; a single document is the largest thing that stays together.
+
+Everything is built-in functions: no Python runs. The next document's text comes through one shuffle into
+buckets of neighbouring ids, whose first rows also go to the bucket before.
 
 Defined results: NULL text is empty; an empty text has no digest, and two of them are alike (1); rows with
 NULL ids come first; repeated ids follow each other in the order of a hash of their texts; the only row of
-a table is its own next; an empty table gives no row.
+a table is its own next; an empty table gives no row; a very long text is many digests of one row; columns
+other than id and text are not read.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import keep, new_path
+
 TABLES = 3
 BASE_CELLS = 8  # of each table of a fingerprint
-BLOCK_CELLS = 6  # of each table of a block
-BLOCK_DIGESTS = 6  # a block is made for about so many
+BASE_TRIED = 96  # digests of both texts, beyond which blocks are made at once
+BLOCK_CELLS = 64  # of each table of a block, doubled at every new try
+BLOCK_DIGESTS = 32  # a block is made for about so many
 ROUNDS = 6
-SPLITS = 2  # times a failing block is split in four
+TURNS = 6  # of peeling a block, one table a turn
+BUCKET_BYTES, PART_BYTES, MOST_PARTS = 4 << 20, 32 << 20, 100_000  # Spark takes at most so many buckets of a table
 PIECE_ENDS = r"\n+|(?<=[.!?])\s+|(?<=[。！？])"
 LONG_PIECE = 120  # characters
 WORD_ENDS = r"(?<=\s)(?=\S)|(?<=[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}])"  # scripts without spaces: every character
@@ -94,56 +106,159 @@ def _compared(a: str, b: str, cells: int, salt: int) -> str:
     return _once(f"aggregate(sequence(1, {ROUNDS}), {start}, (st, turn) -> {step})", "pd", f"struct({done} as ok, pd.found as found)")
 
 
-def _split(keys: str, bits: str) -> str:
-    """Digests by their hash bits, in two steps so that the work grows with the root of the number of blocks."""
-    high, low = f"shiftleft(1, {bits} div 2)", f"shiftleft(1, {bits} - {bits} div 2)"
-    return (f"flatten(transform(sequence(0, cast({high} as int) - 1), i -> "
-            + _once(f"filter({keys}, k -> pmod(shiftright(k, 40), {high}) = i)", "some",
-                    f"transform(sequence(0, cast({low} as int) - 1), j -> filter(some, k -> pmod(shiftright(k, 20), {low}) = j))") + "))")
+def _check_of(k: Column) -> Column:
+    return F.xxhash64(k, F.lit(91)).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _place_of(k: Column, t: int, cells: int, salt: int) -> Column:
+    return F.pmod(F.xxhash64(k, F.lit(salt + t)), F.lit(cells).cast("long"))
+
+
+def peeled(members: DataFrame, keys: list[str], cells: int, salt: int, whole: bool = True) -> DataFrame:
+    """Sketches of (keys, unit, k, n: +1 or -1) subtracted and peeled: (keys, unit, place, n, k, c).
+
+    A place is a cell of a table or, behind these, what was given away: one row a digest, or where not `whole`
+    their number alone. A turn looks at one table only, in which a digest has one cell, so it is given away once.
+    A unit and its place are one number `at`: few and short keys.
+    """
+    k, n, c, width = F.col("k"), F.col("n"), F.col("c"), TABLES * cells + 1
+    of = [*keys, "at", *(["given"] if whole else [])]
+    nothing = F.lit(0).cast("long")
+
+    def cell(at: Column, n: Column, k: Column = k, c: Column = c, given: Column = nothing) -> Column:
+        return F.struct(at.alias("at"), n.alias("n"), k.alias("k"), c.alias("c"), *([given.alias("given")] if whole else []))
+
+    def place(t: int) -> Column:
+        return t * cells + _place_of(k, t, cells, salt)
+
+    def summed(df: DataFrame) -> DataFrame:
+        return (df.groupBy(*of).agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
+                .where("n <> 0 or k <> 0 or c <> 0"))
+
+    start = F.col("unit") * width
+    out = summed(members.withColumn("c", _check_of(k)).select(*keys, F.inline(F.array(*[cell(start + place(t), n) for t in range(TABLES)]))))
+    unit = F.col("at") - F.pmod("at", F.lit(width))
+    for turn in range(TURNS):
+        t = turn % TABLES
+        alone = (F.abs(n) == 1) & (F.pmod("at", F.lit(width)) == place(t)) & (c == _check_of(k))
+        own = cell(unit + width - 1, n, given=k) if whole else cell(unit + width - 1, nothing + 1)
+        given = F.array(own, *[cell(unit + place(u), -n) for u in range(TABLES) if u != t])
+        out = summed(out.select(*keys, F.inline(F.when(alone, given).otherwise(F.array(cell(F.col("at"), n, given=F.col("given") if whole else nothing))))))
+    return out.select(*keys, F.floor(F.col("at") / width).alias("unit"), F.pmod("at", F.lit(width)).alias("place"), "n", "k", "c")
+
+
+def bucketed(df: DataFrame, parts: int) -> DataFrame:
+    """The rows as a table of the shared folder, bucketed by `bucket`: later groups of a bucket are not shuffled."""
+    spark, name = df.sparkSession, f"kept_{uuid.uuid4().hex}"
+    (df.repartition(parts, "bucket").write.format("parquet").option("compression", "zstd").option("path", new_path(spark, "kept"))
+     .bucketBy(parts, "bucket").saveAsTable(name))
+    return spark.table(name)
+
+
+def _based(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Adds for each pair what its base sketches give away, NULL where they are too small."""
+    same = f"struct(true as ok, {NONE} as found)"
+    failed = same.replace("true", "false")
+    for name, (a, b) in pairs.items():
+        too_many = f"abs(size({a}) - size({b})) > {TABLES * BASE_CELLS} or size({a}) + size({b}) > {BASE_TRIED}"  # hardly ever large enough
+        got = f"case when {a} = {b} then {same} when {too_many} then {failed} else {_compared(a, b, BASE_CELLS, 1)} end"
+        df = df.withColumn(f"__{name}", F.expr(_once(got, "got", "if(got.ok, got.found, null)")))
+    return df
+
+
+def differences(rows: DataFrame, pairs: Mapping[str, tuple[str, str]], whole: bool = True) -> DataFrame:
+    """(bucket, row, differing, found): of every pair that its base sketches left open, by larger and larger blocks.
+
+    `rows` is a bucketed table of `_based` rows; `found`, an array of digests, only where `whole`. A pair of a row
+    gives one row for each try that settled some of its blocks.
+    """
+    keys, names = ["bucket", "row"], list(pairs)
+    sides = F.array(*[F.when(F.col(f"__{name}").isNull(), F.struct(
+        F.lit(i).cast("long").alias("pair"), F.col(a).alias("a"), F.col(b).alias("b"),
+        F.greatest(F.ceil((F.size(a) + F.size(b)) / BLOCK_DIGESTS), F.lit(1)).cast("long").alias("blocks"))) for i, (name, (a, b)) in enumerate(pairs.items())])
+    left = rows.select(*keys, F.inline(F.filter(sides, lambda s: s.isNotNull())))
+    settled, salt, cells, failing = [], 101, BLOCK_CELLS, None
+    while True:
+        some = left if failing is None else left.join(failing, [*keys, "pair"])
+        block = F.pmod(F.xxhash64("m.k", F.lit(7)), F.col("blocks"))
+        members = some.withColumn("m", F.explode(F.expr("concat(transform(a, k -> struct(k, 1L as n)), transform(b, k -> struct(k, -1L as n)))")))
+        if failing is not None:
+            members = members.where(F.array_contains("again", block))
+        given = F.col("place") == TABLES * cells
+        tables = peeled(members.select(*keys, (block * len(names) + F.col("pair")).alias("unit"), "m.k", "m.n"), keys, cells, salt, whole)
+        blocks = tables.groupBy(*keys, "unit").agg(
+            F.every(given).alias("ok"), F.sum(F.when(given, F.abs("n") if whole else F.col("n"))).alias("differing"),
+            *([F.collect_list(F.when(given, F.col("k"))).alias("found")] if whole else []))
+        of_pair = [F.coalesce(F.sum(F.when(F.col("ok"), F.col("differing"))), F.lit(0)).alias("differing"),
+                   F.collect_list(F.when(~F.col("ok"), F.floor(F.col("unit") / len(names)))).alias("again")]
+        if whole:
+            of_pair.append(F.flatten(F.collect_list(F.when(F.col("ok"), F.col("found")))).alias("found"))
+        turn = keep(blocks.groupBy(*keys, F.pmod("unit", F.lit(len(names))).alias("pair")).agg(*of_pair))
+        settled.append(turn.drop("again"))
+        failing = turn.where(F.size("again") > 0).select(*keys, "pair", "again")
+        if failing.isEmpty():
+            break
+        cells, salt = 2 * cells, salt + TABLES
+    out = settled[0]
+    for more in settled[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def with_differences(df: DataFrame, pairs: Mapping[str, tuple[str, str]], parts: int, whole: bool = True) -> DataFrame:
+    """Adds for each pair of digest sets the digests that only one of them holds (or, unless `whole`, how many).
+
+    `df` has columns `bucket` and `row`, which tell its rows apart; they go.
+    """
+    rows = bucketed(_based(df, pairs), parts)
+    of = lambda name, c: F.when(F.col("pair") == list(pairs).index(name), F.col(c))
+    told = differences(rows, pairs, whole).groupBy("bucket", "row").agg(*[
+        (F.flatten(F.collect_list(of(n, "found"))) if whole else F.sum(of(n, "differing"))).alias(f"__more_{n}") for n in pairs])
+    more = lambda n: F.col(f"__more_{n}")
+    none = F.expr(NONE) if whole else F.lit(0).cast("long")
+    first = lambda n: F.col(f"__{n}") if whole else F.size(f"__{n}").cast("long")
+    out = rows.join(told, ["bucket", "row"], "left").withColumns(
+        {n: F.when(F.col(f"__{n}").isNotNull(), first(n)).otherwise(F.coalesce(more(n), none)) for n in pairs})
+    return out.drop("bucket", "row", *[f"__{n}" for n in pairs], *[f"__more_{n}" for n in pairs])
 
 
 def with_difference(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """Adds the paragraph digests that only one of two columns of sorted digest sets holds."""
-    same, failed = f"struct(true as ok, {NONE} as found)", f"struct(false as ok, {NONE} as found)"
-    too_many = f"abs(size({a}) - size({b})) > {TABLES * BASE_CELLS}"  # the counts alone say that the base sketch is too small
-    base, bits = f"{name}_0", f"{name}_n"
-    out = df.withColumns({
-        base: F.expr(f"case when {a} = {b} then {same} when {too_many} then {failed} else {_compared(a, b, BASE_CELLS, 1)} end"),
-        bits: F.expr(f"cast(greatest(ceil(log2(greatest(size({a}) + size({b}), 1) / {BLOCK_DIGESTS})), 0) as int)")})
-    blocks = (f"if({base}.ok, cast(array() as array<struct<a: array<bigint>, b: array<bigint>>>), "
-              f"zip_with({_split(a, bits)}, {_split(b, bits)}, (x, y) -> struct(x as a, y as b)))")
-    found, added = [f"if({base}.ok, {base}.found, {NONE})"], [base, bits]
-    for turn in range(SPLITS + 1):
-        this, salt = f"{name}_{turn + 1}", 11 + 2 * turn
-        out = out.withColumn(this, F.expr(f"transform({blocks}, p -> struct(p.a as a, p.b as b, if(p.a = p.b, {same}, {_compared('p.a', 'p.b', BLOCK_CELLS, salt)}) as r))"))
-        added.append(this)
-        found.append(f"flatten(transform(filter({this}, p -> p.r.ok), p -> p.r.found))")
-        part = ", ".join(f"filter(p.{s}, k -> pmod(xxhash64(k, {salt + 1}), 4) = i) as {s}" for s in ("a", "b"))
-        blocks = f"flatten(transform(filter({this}, p -> not p.r.ok), p -> transform(sequence(0, 3), i -> struct({part}))))"
-    found.append(f"flatten(transform({blocks}, p -> concat(array_except(p.a, p.b), array_except(p.b, p.a))))")
-    return out.withColumn(name, F.expr(f"concat({', '.join(found)})")).drop(*added)
-
-
-def likeness(a: str, b: str, difference: str) -> Column:
-    """Shared share of the paragraphs of two digest sets, from their sizes and their difference."""
-    both, differing = F.size(a) + F.size(b), F.size(difference)
+    marked = df.withColumns({"bucket": F.spark_partition_id().cast("long"), "row": F.monotonically_increasing_id()})
+    return with_differences(marked, {name: (a, b)}, max(1, df.sparkSession.sparkContext.defaultParallelism))
+
+
+def likeness(a: str, b: str, difference: str | Column) -> Column:
+    """Shared share of the paragraphs of two digest sets, from their sizes and their difference (digests, or their number)."""
+    both = F.size(a) + F.size(b)
+    differing = F.size(difference) if isinstance(difference, str) else difference
     return F.when(both == 0, F.lit(1.0)).otherwise((both - differing) / (both + differing))
 
 
 def fingerprint(keys: str) -> Column:
     """The base sketch as text: count, digests and checks of each cell in hexadecimal."""
     every = "concat(" + ", ".join(f"sk.t{t}" for t in range(TABLES)) + ")"
-    text = f"concat_ws('', transform({every}, c -> concat(lpad(hex(c.n), 4, '0'), lpad(hex(c.k), 16, '0'), lpad(hex(c.c), 8, '0'))))"
+    text = f"concat_ws('', transform({every}, c -> concat(lpad(hex(c.n), 8, '0'), lpad(hex(c.k), 16, '0'), lpad(hex(c.c), 8, '0'))))"
     return F.expr(_once(_sketch(keys, BASE_CELLS, 1), "sk", text))
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 4 << 20) -> DataFrame:
-    """(doc_id, text, next_text): every document with the one that follows in ascending id order, the last with the first."""
+def parts_of(docs: DataFrame, text_col: str = "text") -> int:
+    """Tasks for the texts of a table: one for each PART_BYTES, enough for all cores, no more than a table may have buckets."""
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(text_col).cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
+    return int(min(MOST_PARTS, max(total // PART_BYTES, 2 * docs.sparkSession.sparkContext.defaultParallelism)))
+
+
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, parts: int | None = None) -> DataFrame:
+    """(doc_id, text, next_text): every document with the one that follows in ascending id order, the last with the first.
+
+    With `parts`, also both digest sets (own, next) and where the row lies (bucket, row), dealt to so many tasks.
+    """
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn(
         "__k", F.coalesce("doc_id", F.lit(-(1 << 63))))
     whole = keyed.agg(F.sum(F.octet_length("text").cast("long") + 8).alias("bytes"), F.min("__k").alias("first")).first()
     if whole["first"] is None:
-        return keyed.select("doc_id", "text", F.col("text").alias("next_text"))
+        none = {"own": digests(F.col("text")), "next": digests(F.col("text")), "bucket": F.lit(0).cast("long"), "row": F.lit(0)} if parts else {}
+        return keyed.select("doc_id", "text", F.col("text").alias("next_text")).withColumns(none)
     n = max(1, whole["bytes"] // bucket_bytes)
     cuts = keyed.agg(F.percentile_approx("__k", [i / n for i in range(n)], max(10_000, 10 * n)).alias("cuts")).first()["cuts"]  # one for each bucket
     bounds = sorted({whole["first"], *cuts})
@@ -160,7 +275,12 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     dealt = (found.withColumn("__to", F.explode(F.when(F.array_contains("__sub", F.col("__k")), F.array(here, before)).otherwise(F.array(here))))
              .select("doc_id", "text", "__k", "__to.*", F.xxhash64("text").alias("__tie")))
     order = Window.partitionBy("bucket").orderBy("wrap", "__k", "__tie")
-    return dealt.withColumn("next_text", F.lead("text").over(order)).where(~F.col("guest")).select("doc_id", "text", "next_text")
+    if parts:
+        dealt = dealt.withColumn("bucket", F.col("bucket").cast("long")).repartition(parts, "bucket").withColumn("own", digests(F.col("text")))
+    out = dealt.withColumn("next_text", F.lead("text").over(order))
+    if parts:
+        out = out.withColumn("next", F.lead("own").over(order)).withColumn("row", F.row_number().over(order))
+    return out.where(~F.col("guest")).select("doc_id", "text", "next_text", *(["own", "next", "bucket", "row"] if parts else []))
 
 
 def edited(text: Column, following: Column) -> Column:

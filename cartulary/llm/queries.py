@@ -64,14 +64,16 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = iblt.with_next(table(spark, sf_dir, "documents")).withColumn("edited", iblt.edited(F.col("text"), F.col("next_text")))
-    keys = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       *[iblt.digests(F.col(c)).alias(k) for c, k in (("text", "own"), ("edited", "other"), ("next_text", "next"))])
-    compared = iblt.with_difference(iblt.with_difference(keys, "own", "other", "changed"), "own", "next", "apart")
+    docs = table(spark, sf_dir, "documents")
+    parts = iblt.parts_of(docs)
+    rows = iblt.with_next(docs, parts=parts).withColumn("edited", iblt.edited(F.col("text"), F.col("next_text")))
+    keys = rows.select("bucket", "row", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                       "own", iblt.digests(F.col("edited")).alias("other"), "next")
+    compared = iblt.with_differences(keys, {"changed": ("own", "other"), "apart": ("own", "next")}, parts, whole=False)
     return compared.select(
         "doc_id", "n_chars", "edited_sha256", iblt.fingerprint("own").alias("fingerprint"),
         iblt.fingerprint("other").alias("edited_fingerprint"),
-        iblt.likeness("own", "other", "changed").alias("near_edited"), iblt.likeness("own", "next", "apart").alias("near_next"))
+        iblt.likeness("own", "other", F.col("changed")).alias("near_edited"), iblt.likeness("own", "next", F.col("apart")).alias("near_next"))
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
