@@ -14,10 +14,11 @@ POINTS = {"made_3": 3, "made_2": 2, "made_ft": 1}  # fixed values
 SEQ_RANGE = 4096  # plays of one period that one task orders
 
 
-def with_clock(plays: DataFrame, period: str = "period_raw", clock: str = "clock", regular: int = 4, minutes: int = 10, overtime: int = 5) -> DataFrame:
+def with_clock(plays: DataFrame, period: str = "period_raw", clock: str = "clock", regular: int = 4, minutes: int = 10, overtime: int = 5, run_on: bool = True) -> DataFrame:
     """Adds period (overtimes count on) and elapsed seconds since the start; what cannot be read is NULL.
 
-    The clock counts down within its period; one that shows more than the period has is no clock.
+    The clock counts down within its period; one that shows more than the period has is no clock. Without `run_on` the
+    seconds of every overtime count from the end of the regular time, not from the end of the overtime before it.
     """
     raw = F.upper(squish(period))
     number = F.regexp_extract(raw, r"(\d+)", 1).try_cast("int")
@@ -25,7 +26,9 @@ def with_clock(plays: DataFrame, period: str = "period_raw", clock: str = "clock
     p = F.when(extra, regular + F.coalesce(number, F.lit(1))).otherwise(number)
     left = F.regexp_extract(squish(clock), r"^(\d{1,2}):([0-5]\d)", 1).try_cast("int") * 60 + F.regexp_extract(squish(clock), r"^(\d{1,2}):([0-5]\d)", 2).try_cast("int")
     length = F.when(F.col("period") <= regular, minutes * 60).otherwise(overtime * 60)
-    start = F.least(F.col("period") - 1, F.lit(regular)) * minutes * 60 + F.greatest(F.col("period") - 1 - regular, F.lit(0)) * overtime * 60
+    start = F.least(F.col("period") - 1, F.lit(regular)) * minutes * 60
+    if run_on:
+        start += F.greatest(F.col("period") - 1 - regular, F.lit(0)) * overtime * 60
     return plays.withColumn("period", p).withColumn("elapsed", F.when((left <= length) & (F.col("period") >= 1), start + length - left))
 
 
