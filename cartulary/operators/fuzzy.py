@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import Str, _col, place_lower, within_distance
+from .skew import shuffled
 
 # fixed values: names the archive writes in place of the given name
 NICKNAMES = {"teo": "teofilo", "johny": "johnny", "pachin": "juan"}
@@ -62,10 +63,10 @@ def fuzzy_pairs(names: DataFrame, ident: str, name: str, nicknames: Mapping[str,
     known = F.create_map(*[F.lit(x) for pair in nicknames.items() for x in pair])
     called = F.try_element_at(known, F.col("given"))
     givens = F.array_compact(F.array_distinct(F.concat(deletions("given", given), F.array(called))))
-    keys = spellings.select("spelling", "given", "surname", F.explode(deletions("surname", surname)).alias("__s"), givens.alias("__g"))
-    keys = keys.select("spelling", "given", "surname", F.explode(F.transform("__g", lambda g: F.xxhash64("__s", g))).alias("key")).distinct()
+    hashes = F.flatten(F.transform(deletions("surname", surname), lambda s: F.transform("__g", lambda g: F.xxhash64(s, g))))
+    keys = spellings.withColumn("__g", givens).select("spelling", "given", "surname", F.explode(F.array_distinct(hashes)).alias("key"))
     left = keys.select("key", *[F.col(c).alias(f"a_{c}") for c in ("spelling", "given", "surname")])
     right = keys.select("key", *[F.col(c).alias(f"b_{c}") for c in ("spelling", "given", "surname")])
-    found = left.join(right, "key").where((F.col("a_spelling") < F.col("b_spelling")) & close_names("a_given", "a_surname", "b_given", "b_surname", nicknames, surname, given))
+    found = left.join(shuffled(right), "key").where((F.col("a_spelling") < F.col("b_spelling")) & close_names("a_given", "a_surname", "b_given", "b_surname", nicknames, surname, given))
     pairs = found.select(F.col("a_spelling").alias("a"), F.col("b_spelling").alias("b")).distinct()
     return Pairs(spellings, pairs, members.withColumn("spelling", F.concat_ws(" ", first, last)))

@@ -25,6 +25,12 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Keys, how: str = "left")
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A join side that is never broadcast: exploded keys and per-key totals, which Catalyst takes for as small as the file
+    they come from, though they grow with the rows."""
+    return df.hint("merge")
+
+
 def top_k(df: DataFrame, keys: Keys, order: Sequence[Column], k: int = 1, rank_col: str | None = None) -> DataFrame:
     """First k rows per key in a full order.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text
 from ..operators import fuzzy, merges, reconcile, resolve
+from ..operators.skew import shuffled
 from ..session import spread
 from .base import query
 from .summaries import MONEY, month_index
@@ -699,8 +700,9 @@ FROM s LEFT JOIN e ON x = g || ' ' || f JOIN (SELECT split_part(name, ' ', 1) ||
 def close_spellings(t):
     t.part.createOrReplaceTempView("part")
     found = fuzzy.fuzzy_pairs(t.spark.sql(SPELT.replace("strpos(p_name, ' ')", "instr(p_name, ' ')")), "k", "name")
-    both = found.pairs.select(F.col("a").alias("spelling"), F.col("b").alias("y")).unionAll(found.pairs.select(F.col("b").alias("spelling"), F.col("a").alias("y")))
+    ways = F.array(F.struct(F.col("a").alias("spelling"), F.col("b").alias("y")), F.struct(F.col("b").alias("spelling"), F.col("a").alias("y")))
+    both = found.pairs.select(F.inline(ways))
     close = both.groupBy("spelling").agg(F.count("y").alias("n_close"), F.min("y").alias("first_close"))
     members = found.members.groupBy("spelling").agg(F.count(F.lit(1)).alias("n_members"))
-    return (found.spellings.select("spelling").join(close, "spelling", "left").join(members, "spelling")
+    return (found.spellings.select("spelling").join(shuffled(close), "spelling", "left").join(shuffled(members), "spelling")
             .select("spelling", F.coalesce("n_close", F.lit(0).cast("long")).alias("n_close"), "first_close", "n_members"))

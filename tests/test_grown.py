@@ -36,3 +36,14 @@ def long_orders(tmp_path_factory):
 @pytest.mark.parametrize("name", ["play_events", "court_stretches"])
 def test_games_of_several_overtimes(spark, long_orders, name):
     check(spark, long_orders, name)
+
+
+def joins_of(spark, name, sf="/root/testdata/sf0.001"):
+    text = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    return text.count("BroadcastHashJoin"), text.count("SortMergeJoin")
+
+
+@pytest.mark.parametrize("name,least", [("close_spellings", 3), ("match_tiers", 5), ("candidate_parts", 2)])
+def test_exploded_keys_are_never_broadcast(spark, name, least):
+    broadcast, merged = joins_of(spark, name)
+    assert broadcast == 0 and merged >= least
