@@ -16,7 +16,7 @@ from ..functions.text import normalize_name, squish, token_sort_key
 from .joins import date_tolerance, family_build, family_probe, near_club_check, span_corroboration
 from .reconcile import Folded, fold_cross_source
 from ..session import written
-from .skew import null_safe, ranged, top_k
+from .skew import null_safe, ranged, shuffled, top_k
 
 
 def canonical_entities(directory: DataFrame, profiles: DataFrame, key: str, stamp: str,
@@ -95,15 +95,15 @@ def enrich_mint_review(second: DataFrame, canon: DataFrame, row_id: str, ident:
     # equal years, for pairs in which at least one side has no full date
     any_year = build.groupBy("__f", "__g", "birth_year").agg(
         F.min(ident).alias("__y_any"), F.min(F.when(F.col("birth_date").isNull(), F.col(ident))).alias("__y_undated"))
-    year = (probe.join(any_year, ["__f", "__g", "birth_year"])
+    year = (probe.join(shuffled(any_year), ["__f", "__g", "birth_year"])
             .groupBy("__sid").agg(F.min(F.when(F.col("birth_date").isNull(), F.col("__y_any"))
                                         .otherwise(F.col("__y_undated"))).alias("__year")))
-    shape = (probe.join(build.select("__f", "__g").distinct(), ["__f", "__g"], "left_semi")
+    shape = (probe.join(shuffled(build.select("__f", "__g").distinct()), ["__f", "__g"], "left_semi")
              .select("__sid").distinct().withColumn("__shape", F.lit(True)))
     first_word = F.get("family", 0)
     same_year = (canon.where(F.col("birth_year").isNotNull()).select(first_word.alias("__w"), "birth_year").distinct()
                  .withColumn("__collide", F.lit(True)))
-    s = (s.join(near, "__sid", "left").join(year, "__sid", "left").join(shape, "__sid", "left")
+    s = (s.join(shuffled(near), "__sid", "left").join(shuffled(year), "__sid", "left").join(shuffled(shape), "__sid", "left")
          .withColumn("__w", first_word).join(same_year, ["__w", "birth_year"], "left"))
     by_shape = F.coalesce(F.least("__near", "__year"), F.col("__near"), F.col("__year"))
     collides = F.when(F.col("birth_year").isNotNull(), F.col("__collide")).otherwise(F.col("__shape"))
@@ -315,11 +315,11 @@ def match_tiers(obs: DataFrame, canon: DataFrame, row_id: str, ident: str, prior
         F.count("*").alias("__n_agree"), F.min(ident).alias("__lo_agree"))
     years = F.when(F.col("exact_birth").isNotNull(), F.array("exact_birth")).when(
         F.col("approx_birth").isNotNull(), F.array(F.col("approx_birth") - 1, F.col("approx_birth"), F.col("approx_birth") + 1))
-    agree = (probe.withColumn("birth_year", F.explode(years)).join(by_year, ["__f", "__g", "birth_year"])
+    agree = (probe.withColumn("birth_year", F.explode(years)).join(shuffled(by_year), ["__f", "__g", "birth_year"])
              .groupBy(row_id).agg(F.sum("__n_agree").alias("__n_agree"), F.min("__lo_agree").alias("__lo_agree")))
-    total = (probe.join(sizes, ["__f", "__g"]).groupBy(row_id)
+    total = (probe.join(shuffled(sizes), ["__f", "__g"]).groupBy(row_id)
              .agg(F.sum("__n").alias("__n"), F.sum("__n_blank").alias("__n_blank"), F.min("__lo").alias("__lo"), F.min("__lo_blank").alias("__lo_blank")))
-    out = obs.join(total, row_id, "left").join(agree, row_id, "left").fillna(0, ["__n", "__n_blank", "__n_agree"])
+    out = obs.join(shuffled(total), row_id, "left").join(shuffled(agree), row_id, "left").fillna(0, ["__n", "__n_blank", "__n_agree"])
     silent = F.col("exact_birth").isNull() & F.col("approx_birth").isNull()
     against = F.col("__n") - F.col("__n_blank") - F.col("__n_agree")
     tier = (F.when(F.col("__n") == 0, "5_no_canonical_match")
@@ -334,7 +334,7 @@ def match_tiers(obs: DataFrame, canon: DataFrame, row_id: str, ident: str, prior
     out = out.withColumn("tier", tier).withColumn("candidate_id", proposed).select(
         *obs.columns, "tier", "candidate_id", F.col("__n").alias("n_candidates"))
     if prior is not None:
-        out = out.join(prior.select(row_id, "disposition"), row_id, "left")
+        out = out.join(shuffled(prior.select(row_id, "disposition")), row_id, "left")
     return out
 
 
