@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import attach_totals, null_safe, running, top_k
+from .skew import attach_totals, null_safe, running, shuffled, top_k
 
 
 class Crosswalk(NamedTuple):
@@ -115,9 +115,9 @@ def family_shape_candidates(obs: DataFrame, canon: DataFrame, obs_id: str, ident
     """
     stats = family_build(canon, [ident], family, given).groupBy("__f", "__g").agg(
         F.count("*").alias("__n"), F.min(ident).alias("__lo"), F.max(ident).alias("__hi"))
-    per = (family_probe(obs, [obs_id], family, given).join(stats, ["__f", "__g"]).groupBy(obs_id)
+    per = (family_probe(obs, [obs_id], family, given).join(shuffled(stats), ["__f", "__g"]).groupBy(obs_id)
            .agg(F.sum("__n").alias("n_candidates"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")))
-    return (obs.join(per, obs_id, "left")
+    return (obs.join(shuffled(per), obs_id, "left")
             .withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0).cast("long")))
             .withColumn("candidate_id", F.when(F.col("__lo") == F.col("__hi"), F.col("__lo"))).drop("__lo", "__hi"))
 
