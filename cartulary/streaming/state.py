@@ -1,86 +1,32 @@
 """Answers that a stream keeps: what is known of a key is its state, and a batch only touches the keys it brings.
 
-Each micro-batch is first reduced inside its partitions, so a hot key sends one row for each value and task to its state.
+Each micro-batch is first reduced inside its partitions, so a hot key sends one row a task to its state. The states are the
+buffers of Spark's own streaming aggregations: no row and no key goes through Python.
 The state of a key is small: its newest value and what is needed to tell a dispute. Changed answers are written under the
 batch's own number, so a batch that is run again after a failure replaces itself, and the newest row of a key is its answer.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .ingest import _run
 
 
-def _schema(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
-    return [df.schema[n] for n in names]
-
-
-def _plain(value):
-    """A cell of a frame as a value of its column: missing is None, and what NumPy wraps is taken out."""
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
-        return None
-    return value.to_pydatetime() if isinstance(value, pd.Timestamp) else value.item() if hasattr(value, "item") else value
-
-
-def _rank(order: tuple) -> tuple:
-    """Sorts like Spark's structs: NULL before any value."""
-    return tuple((v is not None, v) if v is not None else (False, 0) for v in order)
-
-
 def latest_updates(stream: DataFrame, keys: Sequence[str], compared: Sequence[str], order: Sequence[str]) -> DataFrame:
     """A row for each key a batch touched: its newest value so far (by `order`), how often it was seen, how many values it had.
 
     Rows without any compared value count as seen but are no value. The state holds a hash for each different value of the
     key, so a dispute is never forgotten; arrival order and batch borders change nothing in the answer.
     """
-    columns = [*keys, *compared, *order]
-    rows = stream.select(*columns)
-    partial = T.StructType([*_schema(rows, columns), T.StructField("n_captures", T.LongType()), T.StructField("value_hash", T.LongType())])
-
-    def reduce_part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            best: dict[tuple, list] = {}
-            for row in f[[*columns, "value_hash"]].itertuples(index=False, name=None):
-                row = tuple(map(_plain, row))
-                key, at = (row[:len(keys)], row[-1]), row[len(keys) + len(compared):-1]
-                held = best.get(key)
-                if held is None:
-                    best[key] = [row, 1]
-                else:
-                    held[1] += 1
-                    if _rank(at) > _rank(held[0][len(keys) + len(compared):-1]):
-                        held[0] = row
-            yield pd.DataFrame([(*row[:-1], n, row[-1]) for row, n in best.values()], columns=partial.fieldNames())
-
-    hashed = F.when(sum((F.col(c).isNotNull().cast("int") for c in compared), F.lit(0)) > 0, F.xxhash64(*compared))
-    small = rows.withColumn("value_hash", hashed).mapInPandas(reduce_part, partial)
-    state = T.StructType([*[T.StructField(f"s_{f.name}", f.dataType) for f in _schema(rows, [*compared, *order])],
-                          T.StructField("n", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
-    out = T.StructType([*_schema(rows, columns), T.StructField("n_captures", T.LongType()), T.StructField("n_variants", T.LongType())])
-
-    def update(key: tuple, frames: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
-        held = kept.get if kept.exists else None
-        value = tuple(_plain(v) for v in held[:-2]) if held else None
-        n, hashes = (held[-2], set(held[-1])) if held else (0, set())
-        for f in frames:
-            for row in f[[*compared, *order, "n_captures", "value_hash"]].itertuples(index=False, name=None):
-                row = tuple(map(_plain, row))
-                n += int(row[-2])
-                if row[-1] is not None:
-                    hashes.add(int(row[-1]))
-                if value is None or _rank(row[len(compared):-2]) > _rank(value[len(compared):]):
-                    value = row[:-2]
-        kept.update((*value, n, sorted(hashes)))
-        yield pd.DataFrame([(*map(_plain, key), *value, n, len(hashes))], columns=out.fieldNames())
-
-    return small.groupBy(*keys).applyInPandasWithState(update, out, state, "update", GroupStateTimeout.NoTimeout)
+    known = sum((F.col(c).isNotNull().cast("int") for c in compared), F.lit(0)) > 0
+    per = stream.groupBy(*keys).agg(F.max(F.struct(*order, *compared)).alias("__x"), F.count(F.lit(1)).alias("n_captures"),
+                                    F.collect_set(F.when(known, F.xxhash64(*compared))).alias("__hashes"))
+    return per.select(*keys, *[F.col(f"__x.{c}").alias(c) for c in (*compared, *order)], "n_captures", F.size("__hashes").cast("long").alias("n_variants"))
 
 
 def first_updates(stream: DataFrame, digest: str, ident: str, stamp: str, relabel: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -88,34 +34,9 @@ def first_updates(stream: DataFrame, digest: str, ident: str, stamp: str, relabe
 
     `relabel` renames captures by their own time before they are told apart, so one that arrives late is labelled like one in time.
     """
-    rows = (stream if relabel is None else relabel(stream)).select(digest, ident, stamp)
-    kind = {f.name: f.dataType for f in rows.schema.fields}
-    fields = [T.StructField(c, kind[c]) for c in (digest, ident, stamp)]
-    out = T.StructType([*fields, T.StructField("n_captures", T.LongType())])
-
-    def earlier(a: tuple | None, b: tuple) -> tuple:
-        return b if a is None or _rank((b[1], b[0])) < _rank((a[1], a[0])) else a
-
-    def reduce_part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            best: dict = {}
-            for d, i, s in f[[digest, ident, stamp]].itertuples(index=False, name=None):
-                d, found = _plain(d), (_plain(i), _plain(s))
-                held = best.get(d)
-                best[d] = (earlier(held and held[0], found), (held[1] if held else 0) + 1)
-            yield pd.DataFrame([(d, *found, n) for d, (found, n) in best.items()], columns=out.fieldNames())
-
-    def update(key: tuple, frames: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
-        held = kept.get if kept.exists else None
-        found, n = (tuple(map(_plain, held[:2])), held[2]) if held else (None, 0)
-        for f in frames:
-            for i, s, m in f[[ident, stamp, "n_captures"]].itertuples(index=False, name=None):
-                found, n = earlier(found, (_plain(i), _plain(s))), n + int(m)
-        kept.update((*found, n))
-        yield pd.DataFrame([(_plain(key[0]), *found, n)], columns=out.fieldNames())
-
-    state = T.StructType([T.StructField("s_ident", kind[ident]), T.StructField("s_stamp", kind[stamp]), T.StructField("n", T.LongType())])
-    return rows.mapInPandas(reduce_part, out).groupBy(digest).applyInPandasWithState(update, out, state, "update", GroupStateTimeout.NoTimeout)
+    rows = stream if relabel is None else relabel(stream)
+    per = rows.groupBy(digest).agg(F.min(F.struct(stamp, ident)).alias("__x"), F.count(F.lit(1)).alias("n_captures"))
+    return per.select(digest, F.col(f"__x.{ident}").alias(ident), F.col(f"__x.{stamp}").alias(stamp), "n_captures")
 
 
 def keep_updates(updates: DataFrame, ledger: str, checkpoint: str) -> None:

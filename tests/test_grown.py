@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cartulary.sources import pages
+from cartulary.streaming import state
 from test_oracle import value
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -47,3 +49,29 @@ def joins_of(spark, name, sf="/root/testdata/sf0.001"):
 def test_exploded_keys_are_never_broadcast(spark, name, least):
     broadcast, merged = joins_of(spark, name)
     assert broadcast == 0 and merged >= least
+
+
+def test_tables_leave_python_in_small_frames():
+    rows = ((1, 0, i, [["a"] * 20] * 3, ["x"] * 20) for i in range(20000))
+    frames = list(pages._frames(rows, ["page", "table_no", "row_no", "head", "cells"]))
+    assert sum(map(len, frames)) == 20000 and max(map(len, frames)) * 80 <= pages.FRAME_CELLS + 80
+    assert [r for f in frames for r in f["row_no"]] == list(range(20000))
+
+
+def test_pages_reach_python_in_small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    df = spark.range(1200).selectExpr("id", "'<table><tr><td>1</table>' AS html")
+    assert pages.extract_tables(df, "id", "html").count() == 1200
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 500
+
+
+def test_header_tree_is_worked_out_once_for_all_branches(spark):
+    plan = QUERIES["modern_results"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" not in plan and "MapInPandas" not in plan
+
+
+def test_streamed_states_stay_out_of_python(spark):
+    s = spark.readStream.format("rate").load().selectExpr("value % 3 AS k", "value AS v", "timestamp AS ts")
+    for updates in (state.latest_updates(s, ["k"], ["v"], ["ts"]), state.first_updates(s, "k", "v", "ts")):
+        plan = updates._jdf.queryExecution().analyzed().toString()
+        assert "Pandas" not in plan and "Python" not in plan
