@@ -47,6 +47,13 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 500, size: int = 4 << 20) -> None:
+    """Long texts go to Python workers in small batches: the session's Arrow batches become at most these."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        held = int(spark.conf.get(f"spark.sql.execution.arrow.{name}").rstrip("bB"))
+        spark.conf.set(f"spark.sql.execution.arrow.{name}", str(min(held, most) if held > 0 else most))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scanned table over at least as many tasks as there are cores.
 

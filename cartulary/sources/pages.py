@@ -6,7 +6,7 @@ Python runs only inside `mapInPandas`, for the one thing Spark has no expression
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..functions.text import CP1252_FROM, CP1252_TO, Str, _col, squish
+from ..session import small_batches
 
 
 # --- raw pages -------------------------------------------------------------
@@ -79,6 +80,7 @@ def decode_mixed_pages(df: DataFrame, key: str, content: str, name: str = "html"
 # fixed values: what HTML allows a cell to span
 MOST_COLUMNS, MOST_ROWS = 1000, 65534
 GRID_CELLS = 1 << 20  # cells of one table after repeating; beyond it the spans of that table are not repeated
+FRAME_CELLS = 1 << 16  # cells that go back from Python at once
 HEAD_ROWS = 4  # rows at the top of a table that may be its header, at most
 _FIGURE = re.compile(r"[#$]?[-+]?\d[\d.,:%/()\-]*")
 _SECTIONS = ("div", "section", "article", "form")
@@ -214,13 +216,27 @@ def _page_tables(html: str) -> Iterator[dict]:
         yield {"no": no, "kind": t["kind"], "section": t["section"], "head": _spread(t["head"], not wide), "rows": _spread(t["rows"], not wide), "clipped": clipped}
 
 
+def _frames(rows: Iterable[tuple], columns: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """Frames of rows; a frame ends when the lists in it hold FRAME_CELLS cells, header cells included, as each row brings its own."""
+    part, n = [], 0
+    for r in rows:
+        part.append(r)
+        n += sum(sum(map(len, x)) if x and isinstance(x[0], list) else len(x) for x in r if isinstance(x, list)) + 1
+        if n >= FRAME_CELLS:
+            yield pd.DataFrame(part, columns=columns)
+            part, n = [], 0
+    if part:
+        yield pd.DataFrame(part, columns=columns)
+
+
 def _rows_of_pages(pages: DataFrame, key: str, html: str, schema: str, rows) -> DataFrame:
-    """`rows` of every table of every page, a frame a batch. Pages without a table never reach Python."""
+    """`rows` of every table of every page, in frames of at most about FRAME_CELLS cells. Pages without a table never reach Python."""
     columns = [c.split()[0] for c in schema.split(", ")]
+    small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([(k, *r) for k, h in zip(b[key], b[html], strict=True) for t in _page_tables(h) for r in rows(t)], columns=[key, *columns])
+            yield from _frames(((k, *r) for k, h in zip(b[key], b[html], strict=True) for t in _page_tables(h) for r in rows(t)), [key, *columns])
 
     return pages.where(F.col(html).rlike("(?i)<table")).select(key, html).mapInPandas(run, f"{key} {dict(pages.dtypes)[key]}, {schema}")
 
@@ -262,17 +278,25 @@ def caption(head: Str = "head") -> Column:
     return F.array_join(F.transform(across, lambda r: squish(F.get(r, 0))), " ")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once a row, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def column_paths(head: Str = "head") -> Column:
     """The header tree, one array of labels a column from the top down: a label over several columns belongs to each,
     one over several rows counts once, rows that run across the whole table name no column."""
     naming = F.filter(_col(head), lambda r: ~((F.size(r) > 1) & (F.size(F.array_distinct(r)) == 1)))
-    width = F.array_max(F.transform(naming, lambda r: F.size(r)))
 
-    def path(i):
-        labels = F.filter(F.transform(naming, lambda r: squish(F.coalesce(F.get(r, i), F.lit("")))), lambda x: x != "")
-        return F.filter(labels, lambda x, at: (at == 0) | (x != F.get(labels, at - 1)))
+    def path(rows, i):
+        labels = F.filter(F.transform(rows, lambda r: squish(F.coalesce(F.get(r, i), F.lit("")))), lambda x: x != "")
+        return _once(labels, lambda known: F.filter(known, lambda x, at: (at == 0) | (x != F.get(known, at - 1))))
+
+    def paths(rows):
+        width = F.array_max(F.transform(rows, lambda r: F.size(r)))
+        return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), lambda i: path(rows, i))).otherwise(F.array().cast("array<array<string>>"))
 
-    return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), path)).otherwise(F.array().cast("array<array<string>>"))
+    return _once(naming, paths)
 
 
 def named_cells(grid: DataFrame, labels: Mapping[str, tuple[str, int]], paths: str = "paths", cells: str = "cells") -> DataFrame:
