@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
 from ..operators.skew import top_k
+from ..session import written
 from .pages import caption, column_paths, divider_groups, first_table, labelled_cells, named_cells
 
 
@@ -122,7 +123,8 @@ def modern_boxes(grid: DataFrame, key: str) -> Games:
     is_box = (width >= MODERN_COLUMNS) & F.array_contains("__leaf", "Name") & F.array_contains("__leaf", "PTS")
     all_labels = F.array_join(F.flatten("head"), " ")
     is_line = width.between(4, 7) & (F.col("n_rows") >= 2) & all_labels.contains("TOTAL") & all_labels.contains("1st")
-    g = g.withColumns({"__box": is_box, "__line": is_line})
+    # four branches read these rows: the header tree is worked out once for all
+    g = written(g.withColumns({"__box": F.coalesce(is_box, F.lit(False)), "__line": F.coalesce(is_line, F.lit(False))}).drop("__leaf", "links", "alts"))
 
     pages = g.groupBy(key).agg(F.min(F.when(F.col("__line"), F.col("table_no"))).alias("__line_no"),
                                F.sort_array(F.collect_set(F.when(F.col("__box"), F.col("table_no")))).alias("__box_nos"))  # tables of one page
