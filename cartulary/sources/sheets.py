@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
-from ..operators.skew import top_k
+from ..operators.skew import shuffled, top_k
 from ..session import written
 from .pages import caption, column_paths, divider_groups, first_table, labelled_cells, named_cells
 
@@ -248,9 +248,9 @@ def team_seasons(grid: DataFrame, key: str, context: list[str], captured: str) -
     g = grid.withColumn("__kind", F.when(title.contains("ACUMULADOS"), "acc").when(title.contains("PROMEDIO POR JUGADOR"), "avg"))
     chosen = g.groupBy(key, *context, captured).agg(*[F.max(F.when(F.col("__kind") == k, F.col("table_no"))).alias(f"__{k}") for k in ("acc", "avg")])
     newest = top_k(chosen.where("__acc IS NOT NULL"), context, [F.desc(captured), F.desc(key)]).select(key, "__acc", "__avg")
-    pages = (chosen.select(key, "__acc").join(newest.select(key, F.lit(True).alias("__new")), key, "left")
+    pages = (chosen.select(key, "__acc").join(shuffled(newest.select(key, F.lit(True).alias("__new"))), key, "left")
              .select(key, F.when(F.col("__new"), "ok").when(F.col("__acc").isNull(), "no table").otherwise("older").alias("status")))
-    rows = g.where("__kind IS NOT NULL").where(F.size("cells") >= TEAM_COLUMNS).join(newest, key)
+    rows = g.where("__kind IS NOT NULL").where(F.size("cells") >= TEAM_COLUMNS).join(shuffled(newest), key)
     name = text.squish(F.get("cells", F.lit(1)))
     averages = (rows.where("__kind = 'avg' AND table_no = __avg").groupBy(key, name.alias("player_raw"))
                 .agg(F.max_by("cells", "row_no").alias("__c"))
@@ -261,5 +261,5 @@ def team_seasons(grid: DataFrame, key: str, context: list[str], captured: str) -
         *[numbers.to_int(F.get("cells", F.lit(i))).alias(c) for c, i in ACCUMULATED.items()],
         *[F.col(f"{n}.{c}") for n, (_, a, m) in PAIRS.items() for c in (a, m)])
     total = (F.lower("player_raw") == "totales") | ((F.col("jersey") == "") & F.lower("player_raw").startswith("total"))
-    return TeamSeasons(full.where(~total & (F.col("player_raw") != "")).join(averages, [key, "player_raw"], "left"),
+    return TeamSeasons(full.where(~total & (F.col("player_raw") != "")).join(shuffled(averages), [key, "player_raw"], "left"),
                        full.where(total).drop("jersey", "player_raw"), pages)
