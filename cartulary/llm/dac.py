@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import keep, new_path, read_file, write_file
+from .common import ARROW_ROWS, keep, new_path, read_file, write_file
 from .tokens import END_ID, encoder, texts_of
 
 MAGIC = b"DACTOK01"
@@ -134,8 +134,8 @@ def write(docs: DataFrame, tokenizer: str, folder: str, file_tokens: int = 1 <<
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for whole in batches:
-            for at in range(0, whole.num_rows, 128):
-                batch = whole.slice(at, 128)
+            for at in range(0, whole.num_rows, ARROW_ROWS):
+                batch = whole.slice(at, ARROW_ROWS)
                 part = batch.column(2)[0].as_py()
                 for doc, tokens in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode(texts_of(batch.column(1))), strict=True):
                     ids.append(doc)

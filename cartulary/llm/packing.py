@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, room: int = 2048, id_col: str = "doc
         yield out
 
     cut = arrow_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), work,
-                     "doc_id long, start long, length long, doc_tokens long, ids binary", 128)
+                     "doc_id long, start long, length long, doc_tokens long, ids binary")
     return keep(cut.withColumn("piece", F.monotonically_increasing_id()))
 
 

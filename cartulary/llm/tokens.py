@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import string
+import unicodedata
 from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-REMEMBERED = 800_000  # words after which a worker starts a new memory, taking from the last one what it meets again
+REMEMBERED = 600_000  # pieces after which a worker starts a new memory, taking from the last one what it meets again
 END_ID = 1
 
 
 JOINED = 256  # plain words encoded as one text
-MARKS = ".,!?;:|"  # one of these after a word and before a blank is a piece of its own
+MARK = "."
+TAILS = string.punctuation.replace("'", "")  # a run of these after a word and before a blank is a piece of its own
 
 
 def _wordlike(piece: str) -> bool:
-    """Letters, with at most one blank before them."""
+    """Letters, with at most one blank before them, that stay letters when a vocabulary normalises them."""
     bare = piece[piece[:1] == " ":]
-    return bare.isalpha() and bare.lower().isalpha()
+    return bare.isalpha() and (bare.isascii() or unicodedata.normalize("NFC", bare).lower().isalpha())
 
 
 class Encoder:
@@ -26,7 +30,8 @@ class Encoder:
 
     A byte-level vocabulary takes a space with the word after it, so a text whose white space is single
     blanks and line breaks is cut before each of them; one that drops white space can be cut at any blank.
-    These cuts are always token borders. Other texts go to the tokenizer whole.
+    These cuts are always token borders. Other texts go to the tokenizer whole. Each different piece of a
+    batch is looked up once.
     """
 
     def __init__(self, path: str):
@@ -34,10 +39,11 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model.model._resize_cache(0)  # it is given hardly any word twice
         # letters alone are one piece for either vocabulary, so nothing need look for borders in them
         self.borders, self.letters = self.model.pre_tokenizer, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.apart = pre_tokenizers.Sequence([pre_tokenizers.Split(MARKS[0], "isolated"), self.letters])
-        self.mark = self._ids([MARKS[0]])[0]
+        self.apart = pre_tokenizers.Sequence([pre_tokenizers.Split(MARK, "isolated"), self.letters])
+        self.mark = self._ids([MARK])[0]
         self.spaced = self._ids(["a b"]) != self._ids(["a  b"])
         self.known: dict[str, bytes] = {}
         self.last: dict[str, bytes] = {}
@@ -60,46 +66,73 @@ class Encoder:
         self.model.pre_tokenizer = self.apart
         mark, out = int.from_bytes(self.mark, "little"), []
         for at in range(0, len(words), JOINED):
-            ids = np.array(self.model.encode_batch_fast([MARKS[0].join(words[at:at + JOINED])], add_special_tokens=False)[0].ids, np.uint32)
+            ids = np.array(self.model.encode_batch_fast([MARK.join(words[at:at + JOINED])], add_special_tokens=False)[0].ids, np.uint32)
             data, ends = ids.tobytes(), np.flatnonzero(ids == mark) * 4
             out += map(data.__getitem__, map(slice, [0, *(ends + 4).tolist()], [*ends.tolist(), len(data)]))
         return out
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Ids of new pieces: plain words at once, a word with a mark after it from its two halves, the rest in full."""
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of new pieces: a word with a line break before it or marks after it from its parts, plain words many at once, the rest in full."""
         known, last = self.known, self.last
-        again = {p: last[p] for p in pieces if p in last}
-        known.update(again)
-        pieces = pieces - again.keys()
-        ended = {p for p in pieces if p[-1:] in MARKS and _wordlike(p[:-1])}
-        words = {p for p in pieces if p not in ended and _wordlike(p)} | {p[:-1] for p in ended if p[:-1] not in known}
-        rest = (pieces - ended - words) | {m for m in MARKS if m not in known}
-        for some, ids in ((list(words), self._word_ids), (list(rest), self._ids)):
-            known.update(zip(some, ids(some), strict=True))
-        known.update((p, known[p[:-1]] + known[p[-1]]) for p in ended)
-
-    def _pieces(self, text: str) -> list[str] | None:
+        words, rest, joined = set(), set(), []
+        for piece in pieces:
+            found = last.get(piece)
+            if found is not None:
+                known[piece] = found
+                continue
+            word = piece.rstrip(TAILS)
+            n, head = len(word), piece[:1] if piece[:1] == "\n" else ""
+            if head:
+                word = word[1:]
+            if not _wordlike(word):
+                rest.add(piece)
+                continue
+            words.add(word)
+            if len(word) < len(piece):
+                rest.update((head, piece[n:]))
+                joined.append((piece, head, word, piece[n:]))
+        for some, ids in ((words, self._word_ids), (rest, self._ids)):
+            new = []
+            for p in some:
+                if p not in known:
+                    found = last.get(p)
+                    if found is None:
+                        new.append(p)
+                    else:
+                        known[p] = found
+            known.update(zip(new, ids(new), strict=True))
+        known.update((piece, known[head] + known[word] + known[tail]) for piece, head, word, tail in joined)
+
+    def _looked_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
+        ids = list(map(self.known.get, pieces))
+        holes = [i for i, found in enumerate(ids) if found is None]
+        self._learn([pieces[i] for i in holes])
+        for i in holes:
+            ids[i] = self.known[pieces[i]]
+        return ids
+
+    def _cut(self, text: str) -> str | None:
+        """The text with its borders marked."""
         if not self.spaced:
-            return text.replace("\n", " ").split(" ")
+            return text.replace("\n", " ")
         joined = text.replace("\n", " ")
         if "  " in joined or not joined.isprintable():  # runs, tabs, other blanks, control characters
             return None
-        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+        return text.replace(" ", "\0 ").replace("\n", "\0\n")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.last, self.known = self.known, {}
-        known, cut = self.known, [self._pieces(t) for t in texts]
-        found = [None if pieces is None else list(map(known.get, pieces)) for pieces in cut]
-        holes = [[i for i, ids in enumerate(f) if ids is None] if f is not None and None in f else () for f in found]
-        self._learn({p[i] for p, h in zip(cut, holes, strict=True) for i in h})
-        whole = iter(self._ids([t for t, p in zip(texts, cut, strict=True) if p is None]))
-        out = []
-        for pieces, ids, hole in zip(cut, found, holes, strict=True):
-            for i in hole:
-                ids[i] = known[pieces[i]]
-            out.append(next(whole) if ids is None else b"".join(ids))
-        return out
+        cut = [self._cut(t) for t in texts]
+        whole = iter(self._ids([t for t, c in zip(texts, cut, strict=True) if c is None]))
+        pieces = pc.split_pattern(pa.array([c for c in cut if c is not None], pa.large_string()), "\0" if self.spaced else " ")
+        each = pieces.flatten().dictionary_encode()
+        ids = pa.array(self._looked_up(each.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(each.indices)
+        _, ends, data = ids.buffers()
+        at = np.frombuffer(ends, np.int64, len(ids) + 1)[pieces.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(pieces) + 1)
+        data, parts = memoryview(data or b""), iter(zip(at, at[1:], strict=False))
+        return [next(whole) if c is None else bytes(data[slice(*next(parts))]) for c in cut]
 
 
 _ENCODERS: dict[str, Encoder] = {}
