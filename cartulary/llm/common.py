@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import suppress
 from pathlib import Path
 
 import pyarrow as pa
@@ -71,6 +74,14 @@ def running_start(df: DataFrame, order: Sequence[str], sizes: Mapping[str, Colum
             .select(*columns, *[(F.col(f"__first_{n}") + F.sum(f"__size_{n}").over(inside) - F.col(f"__size_{n}")).alias(n) for n in sizes]))
 
 
+def give_back() -> None:
+    """Memory that is free in this worker goes back to the system: it goes on to other tasks, beside others of its executor."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with suppress(AttributeError, OSError):  # another C library
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_rows(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]], schema: str, batch: int = 2048) -> DataFrame:
     """Apply `work` to each Arrow batch; it yields dicts of equally long columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -83,7 +94,7 @@ def arrow_rows(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[dict]],
             for at in range(0, whole.num_rows, batch):
                 for columns in work(whole.slice(at, batch)):
                     yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in target], schema=target)
-        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
+        give_back()
 
     return df.mapInArrow(run, schema)
 

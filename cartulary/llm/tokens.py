@@ -25,6 +25,28 @@ def _wordlike(piece: str) -> bool:
     return bare.isalpha() and (bare.isascii() or unicodedata.normalize("NFC", bare).lower().isalpha())
 
 
+class Earlier:
+    """Pieces of an earlier memory and their ids in a quarter of its room, told apart by hash and then by themselves."""
+
+    def __init__(self, known: dict[str, bytes]):
+        hashes = np.fromiter(map(hash, known), np.int64, len(known))
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.pieces, self.ids = (pa.array(x, kind).take(order) for x, kind in ((known.keys(), pa.large_string()), (known.values(), pa.large_binary())))
+
+    def among(self, pieces: list[str]) -> dict[str, bytes]:
+        """Those of `pieces` that are remembered, with their ids."""
+        if not len(self.hashes) or not pieces:
+            return {}
+        hashes = np.fromiter(map(hash, pieces), np.int64, len(pieces))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        alike = np.flatnonzero(self.hashes[at] == hashes)  # of two pieces with one hash the second is learnt again
+        some, at = [pieces[i] for i in alike.tolist()], at[alike]
+        same = pc.equal(self.pieces.take(at), pa.array(some, pa.large_string())).to_numpy(zero_copy_only=False).tolist()
+        ids = self.ids.take(at).to_numpy(zero_copy_only=False).tolist()
+        return {p: i for p, i, ok in zip(some, ids, same, strict=True) if ok}
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes (the byte order of the machines Spark runs on).
 
@@ -46,7 +68,7 @@ class Encoder:
         self.mark = self._ids([MARK])[0]
         self.spaced = self._ids(["a b"]) != self._ids(["a  b"])
         self.known: dict[str, bytes] = {}
-        self.last: dict[str, bytes] = {}
+        self.last = Earlier({})
 
     def _ids(self, texts: list[str], plain: bool = False) -> list[bytes]:
         """Ids of each text; `plain` texts are single pieces. A few thousand at a time: results take far more room than ids."""
@@ -73,12 +95,12 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> None:
         """Ids of new pieces: a word with a line break before it or marks after it from its parts, plain words many at once, the rest in full."""
-        known, last = self.known, self.last
+        known = self.known
+        again = self.last.among(pieces)
+        known.update(again)
         words, rest, joined = set(), set(), []
         for piece in pieces:
-            found = last.get(piece)
-            if found is not None:
-                known[piece] = found
+            if piece in again:
                 continue
             word = piece.rstrip(TAILS)
             n, head = len(word), piece[:1] if piece[:1] == "\n" else ""
@@ -92,14 +114,8 @@ class Encoder:
                 rest.update((head, piece[n:]))
                 joined.append((piece, head, word, piece[n:]))
         for some, ids in ((words, self._word_ids), (rest, self._ids)):
-            new = []
-            for p in some:
-                if p not in known:
-                    found = last.get(p)
-                    if found is None:
-                        new.append(p)
-                    else:
-                        known[p] = found
+            known.update(self.last.among([p for p in some if p not in known]))
+            new = [p for p in some if p not in known]
             known.update(zip(new, ids(new), strict=True))
         known.update((piece, known[head] + known[word] + known[tail]) for piece, head, word, tail in joined)
 
@@ -123,7 +139,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.last, self.known = self.known, {}
+            self.last, self.known = Earlier(self.known), {}
         cut = [self._cut(t) for t in texts]
         whole = iter(self._ids([t for t, c in zip(texts, cut, strict=True) if c is None]))
         pieces = pc.split_pattern(pa.array([c for c in cut if c is not None], pa.large_string()), "\0" if self.spaced else " ")

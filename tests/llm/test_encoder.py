@@ -36,3 +36,11 @@ def test_a_known_word_is_not_encoded_again(name, monkeypatch):
     monkeypatch.setattr(encoder, "_word_ids", lambda words, ids=encoder._word_ids: (given.extend(words), ids(words))[1])
     encoder.encode(["thheednt,%%%\nthheednt$$$ thheednt,%%%\nthheednt,"])
     assert not [g for g in given if "thheednt" in g]
+
+
+def test_an_earlier_memory_gives_only_its_own_pieces():
+    known = {f"word{i}": bytes([i % 251]) * 4 for i in range(1000)}
+    earlier = tokens.Earlier(known)
+    assert earlier.among([*list(known)[::3], "", "strange"]) == {p: known[p] for p in list(known)[::3]}
+    assert tokens.Earlier({}).among(["a"]) == {} and earlier.among([]) == {}
+    assert earlier.pieces.nbytes + earlier.ids.nbytes + earlier.hashes.nbytes < 45 * len(known)
