@@ -41,7 +41,7 @@ BLOCK_CELLS = 64  # of each table of a block, doubled at every new try
 BLOCK_DIGESTS = 32  # a block is made for about so many
 ROUNDS = 6
 TURNS = 6  # of peeling a block, one table a turn
-BUCKET_BYTES, PART_BYTES, MOST_PARTS = 4 << 20, 32 << 20, 100_000  # Spark takes at most so many buckets of a table
+BUCKET_BYTES, PART_BYTES, MOST_PARTS = 1 << 20, 4 << 20, 100_000  # cells take some 50 times a part; Spark takes at most so many buckets of a table
 PIECE_ENDS = r"\n+|(?<=[.!?])\s+|(?<=[。！？])"
 LONG_PIECE = 120  # characters
 WORD_ENDS = r"(?<=\s)(?=\S)|(?<=[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}])"  # scripts without spaces: every character
