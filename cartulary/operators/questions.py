@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,21 +81,28 @@ def records_by_topic(records: DataFrame, text: str, words: Sequence[str]) -> Dat
 def mentions(texts: DataFrame, ident: str, text: str, names: DataFrame, name: str, name_id: str, most_words: int) -> DataFrame:
     """Longest known name in each text, on word borders, over the whole text.
 
-    The text opens into its distinct word groups of up to `most_words` words; those
-    meet the names in an equi join, so the cost does not grow with texts x names.
+    The text opens into its word groups of up to `most_words` words; their hashes meet those of the
+    names in an equi join, so the cost does not grow with texts x names. Only a group whose hash is
+    known is written out and compared, and only these are told apart within a text.
     """
-    words = F.filter(F.split(search_fold(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    rows = texts.select(ident, words.alias("__w")).withColumn("__size", F.size("__w"))
-
-    def of(n):
-        at = F.when(F.col("__size") >= n, F.sequence(F.lit(1), F.col("__size") - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.col("__w") if n == 1 else F.transform(at, lambda i: F.concat_ws(" ", *[F.element_at("__w", i + k) for k in range(n)]))
-
-    groups = F.array_distinct(F.concat(*[of(n) for n in range(1, most_words + 1)]))
-    grams = rows.select(ident, F.explode(groups).alias("__g"))
-    known = names.select(F.array_join(F.filter(F.split(search_fold(name), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " ").alias("__g"),
-                         F.col(name_id).alias("entity_id")).where("__g <> ''").groupBy("__g").agg(F.min("entity_id").alias("entity_id"))
-    hits = grams.join(known, "__g")
+    def words(c: str) -> Column:
+        return F.array_remove(F.split(search_fold(c), r"[^\p{L}\p{N}]+"), "")
+
+    def by_size(of: Callable[[int], Column]) -> Column:
+        return reduce(lambda other, n: F.when(F.col("__k") == n, of(n)).otherwise(other), range(most_words - 1, 0, -1), of(most_words))
+
+    def group(n: int) -> list[Column]:
+        return [F.get("__w", F.col("__at") + i) for i in range(n)]
+
+    starts = F.when(F.size("__w") > 0, F.sequence(F.lit(0), F.size("__w") - 1))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(most_words), F.size("__w") - F.col("__at")))
+    hashed, written = by_size(lambda n: F.xxhash64(*group(n))), by_size(lambda n: F.concat_ws(" ", *group(n)))
+    grams = (texts.select(ident, words(text).alias("__w")).select(ident, "__w", F.explode(starts).alias("__at"))
+             .select(ident, "__w", "__at", F.explode(sizes).alias("__k")).select(ident, hashed.alias("__h"), written.alias("__t")))
+    known = (names.select(words(name).alias("__w"), F.col(name_id).alias("entity_id"), F.lit(0).alias("__at")).withColumn("__k", F.size("__w"))
+             .where(F.col("__k").between(1, most_words)).groupBy(hashed.alias("__known"), written.alias("__g")).agg(F.min("entity_id").alias("entity_id")))
+    same = F.startswith("__t", "__g") & F.startswith("__g", "__t")  # not as an equality: the join's key stays one number
+    hits = grams.join(known, (F.col("__h") == F.col("__known")) & same).groupBy(ident, "__g").agg(F.min("entity_id").alias("entity_id"))
     best = hits.groupBy(ident).agg(F.count("*").alias("n_names"), F.max(F.struct(
         F.length("__g").alias("n"), F.col("__g").alias("g"), F.col("entity_id").alias("e"))).alias("b"))
     return best.select(ident, "n_names", F.col("b.g").alias("longest_name"), F.col("b.e").alias("entity_id"))
