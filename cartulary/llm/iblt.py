@@ -12,7 +12,7 @@ with a larger sketch each, as many as the two texts need, and blocks that fail a
 cells and other hashes until none is left, so the difference is always whole and always peeled. Blocks are
 cells in rows: digests count +1 on one side and -1 on the other, so that the sum of a cell is the subtracted
 cell, and a turn of peeling is one expansion and one aggregation. Rows lie in a table bucketed by where their
-texts were dealt, so none of this is shuffled; a single document is the largest thing that stays together.
+texts were dealt, so neither this nor a new try is shuffled; a single document is the largest thing that stays together.
 
 Everything is built-in functions: no Python runs. The next document's text comes through one shuffle into
 buckets of neighbouring ids, whose first rows also go to the bucket before.
@@ -27,9 +27,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import keep, new_path
@@ -155,21 +156,34 @@ def bucketed(df: DataFrame, parts: int) -> DataFrame:
     return spark.table(name)
 
 
-def _based(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """Adds for each pair what its base sketches give away, NULL where they are too small."""
+@contextmanager
+def joined_in_buckets(spark: SparkSession) -> Iterator[None]:
+    """What is run inside joins tables dealt by `bucket` where they lie, on that column and others, without another shuffle."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _based(df: DataFrame, pairs: Mapping[str, tuple[str, str]], whole: bool = True) -> DataFrame:
+    """Adds for each pair what its base sketches give away (or, unless `whole`, how many), NULL where they are too small."""
+    given = "got.found" if whole else "cast(size(got.found) as bigint)"
     same = f"struct(true as ok, {NONE} as found)"
     failed = same.replace("true", "false")
     for name, (a, b) in pairs.items():
         too_many = f"abs(size({a}) - size({b})) > {TABLES * BASE_CELLS} or size({a}) + size({b}) > {BASE_TRIED}"  # hardly ever large enough
         got = f"case when {a} = {b} then {same} when {too_many} then {failed} else {_compared(a, b, BASE_CELLS, 1)} end"
-        df = df.withColumn(f"__{name}", F.expr(_once(got, "got", "if(got.ok, got.found, null)")))
+        df = df.withColumn(f"__{name}", F.expr(_once(got, "got", f"if(got.ok, {given}, null)")))
     return df
 
 
-def differences(rows: DataFrame, pairs: Mapping[str, tuple[str, str]], whole: bool = True) -> DataFrame:
+def differences(rows: DataFrame, pairs: Mapping[str, tuple[str, str]], parts: int, whole: bool = True) -> DataFrame:
     """(bucket, row, differing, found): of every pair that its base sketches left open, by larger and larger blocks.
 
-    `rows` is a bucketed table of `_based` rows; `found`, an array of digests, only where `whole`. A pair of a row
+    `rows` is a table of `_based` rows in `parts` buckets; `found`, an array of digests, only where `whole`. A pair of a row
     gives one row for each try that settled some of its blocks.
     """
     keys, names = ["bucket", "row"], list(pairs)
@@ -193,9 +207,10 @@ def differences(rows: DataFrame, pairs: Mapping[str, tuple[str, str]], whole: bo
                    F.collect_list(F.when(~F.col("ok"), F.floor(F.col("unit") / len(names)))).alias("again")]
         if whole:
             of_pair.append(F.flatten(F.collect_list(F.when(F.col("ok"), F.col("found")))).alias("found"))
-        turn = keep(blocks.groupBy(*keys, F.pmod("unit", F.lit(len(names))).alias("pair")).agg(*of_pair))
+        with joined_in_buckets(rows.sparkSession):
+            turn = keep(blocks.groupBy(*keys, F.pmod("unit", F.lit(len(names))).alias("pair")).agg(*of_pair))
         settled.append(turn.drop("again"))
-        failing = turn.where(F.size("again") > 0).select(*keys, "pair", "again")
+        failing = turn.where(F.size("again") > 0).select(*keys, "pair", "again").repartition(parts, "bucket")
         if failing.isEmpty():
             break
         cells, salt = 2 * cells, salt + TABLES
@@ -210,15 +225,13 @@ def with_differences(df: DataFrame, pairs: Mapping[str, tuple[str, str]], parts:
 
     `df` has columns `bucket` and `row`, which tell its rows apart; they go.
     """
-    rows = bucketed(_based(df, pairs), parts)
+    rows = bucketed(_based(df, pairs, whole), parts)
     of = lambda name, c: F.when(F.col("pair") == list(pairs).index(name), F.col(c))
-    told = differences(rows, pairs, whole).groupBy("bucket", "row").agg(*[
+    told = differences(rows, pairs, parts, whole).groupBy("bucket", "row").agg(*[
         (F.flatten(F.collect_list(of(n, "found"))) if whole else F.sum(of(n, "differing"))).alias(f"__more_{n}") for n in pairs])
     more = lambda n: F.col(f"__more_{n}")
     none = F.expr(NONE) if whole else F.lit(0).cast("long")
-    first = lambda n: F.col(f"__{n}") if whole else F.size(f"__{n}").cast("long")
-    out = rows.join(told, ["bucket", "row"], "left").withColumns(
-        {n: F.when(F.col(f"__{n}").isNotNull(), first(n)).otherwise(F.coalesce(more(n), none)) for n in pairs})
+    out = rows.join(told, ["bucket", "row"], "left").withColumns({n: F.coalesce(F.col(f"__{n}"), more(n), none) for n in pairs})
     return out.drop("bucket", "row", *[f"__{n}" for n in pairs], *[f"__more_{n}" for n in pairs])
 
 
@@ -228,10 +241,10 @@ def with_difference(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return with_differences(marked, {name: (a, b)}, max(1, df.sparkSession.sparkContext.defaultParallelism))
 
 
-def likeness(a: str, b: str, difference: str | Column) -> Column:
-    """Shared share of the paragraphs of two digest sets, from their sizes and their difference (digests, or their number)."""
-    both = F.size(a) + F.size(b)
-    differing = F.size(difference) if isinstance(difference, str) else difference
+def likeness(a: str | Column, b: str | Column, difference: str | Column) -> Column:
+    """Shared share of the paragraphs of two digest sets, from them and their difference (names of digest columns, or their numbers)."""
+    number = lambda c: F.size(c) if isinstance(c, str) else c
+    both, differing = number(a) + number(b), number(difference)
     return F.when(both == 0, F.lit(1.0)).otherwise((both - differing) / (both + differing))
 
 

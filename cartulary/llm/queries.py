@@ -68,12 +68,12 @@ def op8_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = iblt.parts_of(docs)
     rows = iblt.with_next(docs, parts=parts).withColumn("edited", iblt.edited(F.col("text"), F.col("next_text")))
     keys = rows.select("bucket", "row", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       "own", iblt.digests(F.col("edited")).alias("other"), "next")
+                       "own", iblt.digests(F.col("edited")).alias("other"), "next", F.size("next").alias("n_next"))
     compared = iblt.with_differences(keys, {"changed": ("own", "other"), "apart": ("own", "next")}, parts, whole=False)
     return compared.select(
         "doc_id", "n_chars", "edited_sha256", iblt.fingerprint("own").alias("fingerprint"),
         iblt.fingerprint("other").alias("edited_fingerprint"),
-        iblt.likeness("own", "other", F.col("changed")).alias("near_edited"), iblt.likeness("own", "next", F.col("apart")).alias("near_next"))
+        iblt.likeness("own", "other", F.col("changed")).alias("near_edited"), iblt.likeness(F.size("own"), F.col("n_next"), F.col("apart")).alias("near_next"))
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
