@@ -46,13 +46,17 @@ def new_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """The rows as a written, compressed table in the shared folder.
+#: For rows of some megabytes: sizes are looked at after every row, so that a reader holds one short group of rows and not the whole file.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.block.size": str(8 << 20), "parquet.enable.dictionary": "false"}
+
+
+def keep(df: DataFrame, options: Mapping[str, str] | None = None) -> DataFrame:
+    """The rows as a written, compressed table in the shared folder; `options` of the writer come on top.
 
     Cuts the lineage: a lost executor costs nothing that was kept, and every reader sees the same rows.
     """
     path = new_path(df.sparkSession, "kept")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**{"compression": "zstd", **(options or {})}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

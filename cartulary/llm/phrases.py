@@ -13,6 +13,9 @@ hashed keys of at most `FILTER_BITS` bits; a bit set by two keys only lets rows
 so counts are exact at every size. Words are keyed by a 64-bit hash that is checked to be different for all words of
 a language; should two share one, the shards are counted again under another seed.
 
+A shard is kept as two blobs that Python has compressed, in groups of rows of a few megabytes: the JVM never holds
+more of them at once, however many shards one file or task has.
+
 Defined results: NULL text is empty; NULL language is `und`; repeated rows count each; texts are read whole and no
 shard ends inside one (a text longer than a shard makes a longer shard); an empty table gives no rows; other columns
 are not read, so their names cannot clash.
@@ -31,7 +34,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep
+from ..operators.skew import shuffled
+from .common import LARGE_ROWS, give_back, keep
 
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"  # fixed value: where pieces end
 SHARD_WORDS = 1 << 21  # words a worker holds before it hands its shards on
@@ -46,8 +50,22 @@ _FOLD = bytes(_FOLD)
 _BREAK = BREAKS[:1]
 
 
+def _packed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes) -> pa.Buffer:
+    return pa.decompress(memoryview(blob)[8:], int.from_bytes(blob[:8], "little"), codec="zstd")
+
+
+def _shards_of(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """Language, vocabulary and ids of each shard; one at a time is unpacked."""
+    for lang, words, ids in zip(batch.column("lang"), batch.column("words"), batch.column("ids"), strict=True):
+        yield lang.as_py(), _unpacked(words.as_py()).to_pybytes().split(b"\n"), np.frombuffer(_unpacked(ids.as_py()), np.int32)
+
+
 def shards(docs: DataFrame) -> DataFrame:
-    """Kept: lang, words (the vocabulary; the first entry stands for the end of a piece), ids (int32, one a word, 0 at both ends)."""
+    """Kept: lang, words (the vocabulary, one a line; the first entry stands for the end of a piece), ids (int32, one a word, 0 at both ends), both packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[dict, list]] = {}
@@ -56,9 +74,10 @@ def shards(docs: DataFrame) -> DataFrame:
         def out():
             for lang in list(held):
                 known, ids = held.pop(lang)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]), pa.array([list(known)], pa.list_(pa.binary())), pa.array([np.concatenate([np.zeros(1, np.int32), *ids]).tobytes()])],
-                    names=["lang", "words", "ids"])
+                text = np.concatenate([np.zeros(1, np.int32), *ids]).tobytes()
+                del ids
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (lang, _packed(b"\n".join(known)), _packed(text))], names=["lang", "words", "ids"])
+                del known, text
             pa.default_memory_pool().release_unused()
 
         for batch in batches:
@@ -76,9 +95,10 @@ def shards(docs: DataFrame) -> DataFrame:
                     yield from out()
                     size = 0
         yield from out()
+        give_back()
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return keep(rows.mapInArrow(run, "lang string, words array<binary>, ids binary"))
+    return keep(rows.mapInArrow(run, "lang string, words binary, ids binary"), LARGE_ROWS)
 
 
 class Half:
@@ -93,9 +113,11 @@ class Half:
             key = key << width | np.roll(ids, -i)
             bits += width
         order = np.argsort(key)
+        del key
         self.before = ids[order - 1]
-        self.step = np.empty(n, np.int64)
-        self.step[np.argsort(self.before, kind="stable")] = np.arange(n)
+        del order
+        self.step = np.empty(n, np.int32)  # as everywhere below: a shard has far fewer than 2^31 words
+        self.step[np.argsort(self.before, kind="stable")] = np.arange(n, dtype=np.int32)
 
 
 class Phrases:
@@ -113,10 +135,10 @@ class Index:
 
     def __init__(self, ids: np.ndarray, depth: int):
         self.ahead, self.behind = Half(ids, depth), Half(ids[::-1], depth)
-        times = np.bincount(ids)
-        first = np.r_[0, np.cumsum(times)[:-1]]
+        times = np.bincount(ids).astype(np.int32)
+        first = np.cumsum(times, dtype=np.int32) - times
         self.size = len(ids)
-        self.words = Phrases(np.arange(1, len(times))[:, None], first[1:], first[1:], times[1:])
+        self.words = Phrases(np.arange(1, len(times), dtype=np.int32)[:, None], first[1:], first[1:], times[1:])
 
     def after(self, phrases: Phrases) -> Phrases:
         """Every phrase with every word that follows it somewhere."""
@@ -135,20 +157,22 @@ class Index:
         side: that run is the new interval. In the other half the extensions of a phrase divide its interval in the
         order of the words, the end of a piece first.
         """
-        parent = np.repeat(np.arange(len(n)), n)
-        rows = np.arange(len(parent)) + np.repeat(start - (np.cumsum(n) - n), n)
-        owner = np.full(self.size + 1, -1)
+        parent = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        rows = np.arange(len(parent), dtype=np.int32) + np.repeat(start - (np.cumsum(n, dtype=np.int32) - n), n)
+        owner = np.full(self.size + 1, -1, np.int32)
         word = np.zeros(self.size + 1, half.before.dtype)
         at = half.step[rows]
         owner[at], word[at] = parent, half.before[rows]
-        border = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])])
-        length = np.diff(np.r_[border, self.size + 1])
+        del parent, rows, at
+        border = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])]).astype(np.int32)
+        length = np.diff(np.r_[border, np.int32(self.size + 1)])
         real = owner[border] >= 0
         begin, length, owner, word = border[real], length[real], owner[border[real]], word[border[real]]
+        del border, real
         by_parent = np.lexsort((word, owner))
-        total = np.cumsum(length[by_parent]) - length[by_parent]
+        total = np.cumsum(length[by_parent], dtype=np.int32) - length[by_parent]
         new = np.r_[True, np.diff(owner[by_parent]) != 0][:len(by_parent)]
-        inside = np.empty(len(by_parent), np.int64)
+        inside = np.empty(len(by_parent), np.int32)
         inside[by_parent] = total - np.repeat(total[new], np.diff(np.r_[np.flatnonzero(new), len(by_parent)]))
         some = word > 0
         return (owner[some], word[some]), begin[some], other[owner[some]] + inside[some], length[some]
@@ -198,8 +222,8 @@ def _words(held: DataFrame, seed: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for lang, words, ids in zip(*[batch.column(c).to_pylist() for c in ("lang", "words", "ids")], strict=True):
-                h, n = _hashes(lang, words, seed).view(np.int64), np.bincount(np.frombuffer(ids, np.int32), minlength=len(words))
+            for lang, words, ids in _shards_of(batch):
+                h, n = _hashes(lang, words, seed).view(np.int64), np.bincount(ids, minlength=len(words))
                 for i in range(1, len(words), BATCH_ROWS):
                     part = slice(i, i + BATCH_ROWS)
                     yield pa.RecordBatch.from_arrays(
@@ -217,12 +241,12 @@ def _grown(held: DataFrame, length: int, depth: int, bitmaps: list[np.ndarray],
     def run(batches):
         words = known.value[0]
         for batch in batches:
-            for lang, vocabulary, ids in zip(*[batch.column(c).to_pylist() for c in ("lang", "words", "ids")], strict=True):
+            for lang, vocabulary, ids in _shards_of(batch):
                 h = _hashes(lang, vocabulary, seed)
                 frequent = _known(words, h[:, None])
                 frequent[0] = False
                 new = np.where(frequent, np.cumsum(frequent), 0)  # other words end a piece: no frequent phrase holds one
-                text = new[np.frombuffer(ids, np.int32)].astype(np.int32)
+                text = new.astype(np.int32)[ids]
                 text = text[np.r_[True, (text[1:] != 0) | (text[:-1] != 0)]]
                 h = np.r_[np.zeros(1, np.uint64), h[frequent]]
                 if len(h) == 1:
@@ -238,9 +262,11 @@ def _grown(held: DataFrame, length: int, depth: int, bitmaps: list[np.ndarray],
                 for i in range(0, len(keys), BATCH_ROWS):
                     part = slice(i, i + BATCH_ROWS)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(keys[part])), *[pa.array(np.ascontiguousarray(k)) for k in keys[part].T], pa.array(phrases.n[part])],
+                        [pa.array([lang] * len(keys[part])), *[pa.array(np.ascontiguousarray(k)) for k in keys[part].T], pa.array(phrases.n[part].astype(np.int64))],
                         names=["lang", *names, "n"])
+                del index, phrases, keys
             pa.default_memory_pool().release_unused()
+        give_back()
 
     rows = held.mapInArrow(run, f"lang string, {', '.join(f'{h} long' for h in names)}, n long")
     return rows.repartition("lang", *names).groupBy("lang", *names).agg(F.sum("n").alias("n"))  # a shard names a phrase once
@@ -276,7 +302,8 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, covered_per
     """(lang, words, phrase, a, l, r, n, score) of every phrase of 2 to `longest` words that no longer one covers.
 
     The score is that of the weakest cut in two (ties: the first cut); a phrase is covered when its words lie inside
-    a longer frequent phrase that has at least `covered_percent` of its count.
+    a longer frequent phrase that has at least `covered_percent` of its count. Frequent phrases grow with the rows, and
+    their hashes need far more memory than their files: they are joined by a shuffle, never broadcast.
     """
     _, totals, frequent = phrase_counts(docs, longest, least)
     names = [f"h{i}" for i in range(longest)]
@@ -285,7 +312,7 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, covered_per
         """Count of the words [at, at + size) of each phrase; they are as frequent as the phrase, so they are in the tables."""
         keys = frequent[size - 1].select(F.col("lang").alias("__lang"), *[F.col(f"h{i}").alias(f"__{at + i}") for i in range(size)], F.col("n").alias(name))
         same = [F.col("lang") == F.col("__lang"), *[F.col(f"h{at + i}") == F.col(f"__{at + i}") for i in range(size)]]
-        return phrase.join(keys, reduce(Column.__and__, same)).drop("__lang", *[f"__{at + i}" for i in range(size)])
+        return phrase.join(shuffled(keys), reduce(Column.__and__, same)).drop("__lang", *[f"__{at + i}" for i in range(size)])
 
     scored = []
     for size in range(2, longest + 1):
@@ -301,11 +328,11 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, covered_per
                   for bigger in range(size + 1, longest + 1) for at in range(bigger - size + 1)]
         if longer:
             most = reduce(DataFrame.unionAll, longer).groupBy("lang", *names[:size]).agg(F.max("__n").alias("__n"))
-            rows = (rows.join(most, ["lang", *names[:size]], "left")
+            rows = (rows.join(shuffled(most), ["lang", *names[:size]], "left")
                     .where(F.coalesce(100 * F.col("__n") < covered_percent * F.col("a"), F.lit(True))).drop("__n"))
         for i in range(size):
             word = frequent[0].select("lang", F.col("h0").alias(f"h{i}"), F.decode("word", "UTF-8").alias(f"w{i}"))
-            rows = rows.join(word, ["lang", f"h{i}"])
+            rows = rows.join(shuffled(word), ["lang", f"h{i}"])
         scored.append(rows.select("lang", F.array(*[f"w{i}" for i in range(size)]).alias("words"), "a", "l", "r", "score"))
     return (reduce(DataFrame.unionAll, scored).join(totals, "lang")
             .select("lang", "words", F.array_join("words", " ").alias("phrase"), "a", "l", "r", "n", "score"))

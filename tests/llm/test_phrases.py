@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from cartulary.llm import common, phrases
@@ -68,3 +69,23 @@ def test_a_narrow_filter_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(phrases, "FILTER_BITS", 1 << 7)
     got = phrases.collocations(spark.createDataFrame(rows, "lang string, text string"), 3, 5)
     assert {(r["lang"], r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"]) for r in got.collect()} == plain(rows, 3, 5, 50)
+
+
+def test_shards_are_read_in_short_groups_of_rows(spark, monkeypatch):
+    """Forty shards of 0.6 MB from one task: no reader is given all of them at once."""
+    common.ship(spark)
+    monkeypatch.setattr(phrases, "SHARD_WORDS", 1 << 17)
+    docs = spark.range(0, 2560, 1, 1).selectExpr("'en' AS lang", "array_join(transform(sequence(1, 2048), i -> hex(xxhash64(id, i) & 1048575)), ' ') AS text")
+    held = phrases.shards(docs)
+    files = [pq.ParquetFile(f.removeprefix("file://")) for f in held.inputFiles()]
+    groups = [f.metadata.row_group(i) for f in files for i in range(f.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 40 and max(g.total_byte_size for g in groups) <= 10 << 20
+    words = phrases._words(held, 0)
+    assert words.selectExpr("sum(n)").first()[0] == 2560 * 2048
+
+
+def test_frequent_phrases_are_never_broadcast(spark):
+    common.ship(spark)
+    found = phrases.collocations(spark.createDataFrame(ROWS, "lang string, text string"), 3, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 10 and plan.count("BroadcastHashJoin") <= 1  # the totals: one row for each language
