@@ -24,12 +24,14 @@ def with_clock(plays: DataFrame, period: str = "period_raw", clock: str = "clock
     number = F.regexp_extract(raw, r"(\d+)", 1).try_cast("int")
     extra = raw.rlike(r"^(OT|T\.?E|PR[OÓ]RROGA|SOBRETIEMPO)")
     p = F.when(extra, regular + F.coalesce(number, F.lit(1))).otherwise(number)
-    left = F.regexp_extract(squish(clock), r"^(\d{1,2}):([0-5]\d)", 1).try_cast("int") * 60 + F.regexp_extract(squish(clock), r"^(\d{1,2}):([0-5]\d)", 2).try_cast("int")
+    minute, second = (F.regexp_extract(squish(clock), r"^(\d{1,2}):([0-5]\d)", i).try_cast("int") for i in (1, 2))
+    left = F.col("__left")
     length = F.when(F.col("period") <= regular, minutes * 60).otherwise(overtime * 60)
     start = F.least(F.col("period") - 1, F.lit(regular)) * minutes * 60
     if run_on:
         start += F.greatest(F.col("period") - 1 - regular, F.lit(0)) * overtime * 60
-    return plays.withColumn("period", p).withColumn("elapsed", F.when((left <= length) & (F.col("period") >= 1), start + length - left))
+    timed = plays.withColumns({"period": p, "__left": minute * 60 + second})
+    return timed.withColumn("elapsed", F.when((left <= length) & (F.col("period") >= 1), start + length - left)).drop("__left")
 
 
 def with_running_score(plays: DataFrame, keys: Sequence[str], seq: str = "seq", points: dict[str, int] | None = None) -> DataFrame:
@@ -71,15 +73,17 @@ def court_intervals(plays: DataFrame, keys: Sequence[str], seq: str = "seq") ->
     """
     ends = plays.groupBy(*keys).agg(F.max(seq).alias("__last"), F.max("elapsed").alias("__end"))
     who = [*keys, "team", "player"]
-    w = Window.partitionBy(*who).orderBy(seq, "comes")
-    moves = exchanges(plays, keys, seq).withColumns({"__before": F.lag("comes").over(w)})
-    odd = moves.where(F.col("__before") == F.col("comes")).groupBy(*who).agg(F.count(F.lit(1)).alias("odd"))
+    each = Window.partitionBy(*who)
+    w = each.orderBy(seq, "comes")
+    # one order of each player's moves serves all: what came before, the odd ones, and among the others what comes next
+    moves = exchanges(plays, keys, seq).withColumn("__before", F.lag("comes").over(w))
+    moves = moves.withColumn("odd", F.count_if(F.col("__before") == F.col("comes")).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     real = moves.where(F.col("__before").isNull() | (F.col("__before") != F.col("comes")))
     real = real.withColumns({"__to": F.lead(seq).over(w), "__to_s": F.lead("elapsed").over(w)})
-    on = real.where("comes").select(*who, F.col(seq).alias("from_seq"), F.col("elapsed").alias("from_s"), F.col("__to").alias("to_seq"), F.col("__to_s").alias("to_s"))
-    since = real.where("NOT comes AND __before IS NULL").select(*who, F.lit(0).alias("from_seq"), F.lit(0).alias("from_s"), F.col(seq).alias("to_seq"), F.col("elapsed").alias("to_s"))
-    return (on.unionByName(since).join(ends, list(keys)).join(odd, who, "left")
+    comes = F.col("comes")
+    found = real.where(comes | F.col("__before").isNull()).select(
+        *who, "odd", *[F.when(comes, F.col(c)).otherwise(first).alias(name) for name, c, first in (
+            ("from_seq", seq, F.lit(0)), ("from_s", "elapsed", F.lit(0)), ("to_seq", "__to", F.col(seq)), ("to_s", "__to_s", F.col("elapsed")))])
+    return (found.join(ends, list(keys))
             .select(*who, "from_seq", "from_s", F.coalesce("to_seq", "__last").alias("to_seq"), F.when(F.col("to_seq").isNull(), F.col("__end")).otherwise(F.col("to_s")).alias("to_s"),
-                    F.col("to_seq").isNull().alias("open"), F.coalesce("odd", F.lit(0).cast("long")).alias("odd")))
-
-
+                    F.col("to_seq").isNull().alias("open"), "odd"))

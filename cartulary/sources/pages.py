@@ -1,18 +1,21 @@
 """Archived pages to rows, as distributed jobs.
 
-Python runs only inside `mapInPandas`, for the one thing Spark has no expression for: splitting HTML into table cells.
+Python runs only inside `mapInArrow`, for the one thing Spark has no expression for: splitting HTML into table cells.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from html import unescape
 from html.parser import HTMLParser
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from ..functions import urls
 from ..functions.text import CP1252_FROM, CP1252_TO, Str, _col, squish
@@ -81,10 +84,18 @@ def decode_mixed_pages(df: DataFrame, key: str, content: str, name: str = "html"
 MOST_COLUMNS, MOST_ROWS = 1000, 65534
 GRID_CELLS = 1 << 20  # cells of one table after repeating; beyond it the spans of that table are not repeated
 FRAME_CELLS = 1 << 16  # cells that go back from Python at once
+PART_CELLS = 1 << 12  # cells of a table's rows that stand together in one part
 HEAD_ROWS = 4  # rows at the top of a table that may be its header, at most
 _FIGURE = re.compile(r"[#$]?[-+]?\d[\d.,:%/()\-]*")
 _SECTIONS = ("div", "section", "article", "form")
 
+# fixed values: tags that can be read in one way only, and the elements whose content a parser may not read as tags
+_SPACE = r"[ \t\n\r\f]"
+_ATTRIBUTE = re.compile(rf"""{_SPACE}+([a-zA-Z][a-zA-Z0-9_:-]*)(=(?:"([^"<>]*)"|'([^'<>]*)'|([^\s"'<>=`/]+)))?""")
+_PLAIN = re.compile(rf"""<(?:(/?)([a-zA-Z][a-zA-Z0-9]*)|([a-zA-Z][a-zA-Z0-9]*)((?:{_SPACE}+[a-zA-Z][a-zA-Z0-9_:-]*(?:=(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>=`/]+))?)+)){_SPACE}*>""")
+_BARE = re.compile(rf"(<table(?:{_SPACE}[^<>]*)?>)((?:[^<]*+</?t[dr]>)++[^<]*+)</table>")  # a table of nothing but rows and cells
+_RAW = frozenset("script style textarea title iframe noembed noframes noscript plaintext xmp".split())
+
 
 class _TableReader(HTMLParser):
     """Cells of every table of one page; tags the page forgot to close are closed by the next one."""
@@ -98,7 +109,7 @@ class _TableReader(HTMLParser):
             self.sections.append((tag, dict(attrs).get("id") or ""))
         if tag == "table":
             named = dict(attrs)
-            self.tables.append({"rows": [], "head": [], "kind": named.get("class") or "", "section": "/".join(i for _, i in self.sections if i)})
+            self.tables.append({"rows": [], "head": [], "spans": False, "kind": named.get("class") or "", "section": "/".join(i for _, i in self.sections if i)})
             self.open.append({"t": self.tables[-1], "row": None, "cell": None, "thead": False})
         elif self.open:
             o = self.open[-1]
@@ -112,6 +123,7 @@ class _TableReader(HTMLParser):
                 if o["row"] is None:
                     o["row"], o["all_th"] = [], True
                 spans = {k: int(v) for k, v in attrs if k in ("colspan", "rowspan") and v and v.isdecimal()}
+                o["t"]["spans"] = o["t"]["spans"] or bool(spans)
                 o["cell"] = {"text": [], "col": spans.get("colspan", 1), "down": spans.get("rowspan", 1), "link": None, "alt": None}
                 o["all_th"] = o["all_th"] and tag == "th"
             elif tag == "br" and o["cell"]:
@@ -156,6 +168,68 @@ class _TableReader(HTMLParser):
         o["row"] = None
 
 
+def _plain_tags(html: str) -> list[str | None] | None:
+    """Texts and tags of a page in turn (text, slash, tag, tag with attributes, its attributes, text, ..); None if any of its
+    markup takes more than `_PLAIN` to read."""
+    parts = _PLAIN.split(html)
+    if 5 * html.count("<") + 1 != len(parts):
+        return None
+    return None if any(t and t.lower() in _RAW for k in (2, 3) for t in set(parts[k::5])) else parts
+
+
+def _read_plain(reader: _TableReader, parts: list[str | None]) -> None:
+    """What `reader` makes of the page when it is fed, without HTMLParser; cells without attributes are opened right here."""
+    opened = reader.open
+    names = {t: t.lower() for k in (2, 3) for t in set(parts[k::5]) if t}
+    for text, slash, tag, named, attrs in zip(parts[::5], parts[1::5], parts[2::5], parts[3::5], parts[4::5], strict=False):
+        if text and opened and opened[-1]["cell"]:
+            opened[-1]["cell"]["text"].append(unescape(text) if "&" in text else text)
+        if named:
+            found = _ATTRIBUTE.findall(attrs)
+            reader.handle_starttag(names[named], [(a.lower(), unescape(x + y + z) if rest else None) for a, rest, x, y, z in found])
+            continue
+        tag = names[tag]
+        if slash:
+            reader.handle_endtag(tag)
+        elif tag == "td" and opened:
+            o = opened[-1]
+            if o["cell"]:
+                reader._end_cell(o)
+            if o["row"] is None:
+                o["row"] = []
+            o["all_th"] = False
+            o["cell"] = {"text": [], "col": 1, "down": 1, "link": None, "alt": None}
+        else:
+            reader.handle_starttag(tag, [])
+    if parts[-1]:
+        reader.handle_data(unescape(parts[-1]))
+
+
+def _bare_rows(body: str) -> Iterator[list[tuple]]:
+    """Rows of a table without other tags: a row ends where one begins or ends, and so does a cell."""
+    for line in body.replace("</tr>", "<tr>").split("<tr>"):
+        cells = line.split("<td>")
+        if len(cells) > 1:
+            texts = [x.partition("</td>")[0] for x in cells[1:]]
+            yield [((" ".join((unescape(x) if "&" in x else x).split()), None, None), 1, 1) for x in texts]
+
+
+def _read(html: str) -> _TableReader:
+    """The page's tables; HTMLParser reads what is not plain."""
+    pieces = _BARE.split(html)
+    plain = [_plain_tags(before + tag) for before, tag in zip(pieces[::3], [*pieces[1::3], ""], strict=True)]
+    reader = _TableReader()
+    if None in plain:
+        reader.feed(html)
+        reader.close()
+        return reader
+    for parts, body in zip(plain, [*pieces[2::3], None], strict=True):
+        _read_plain(reader, parts)
+        if body is not None:
+            reader.open.pop()["t"]["rows"] = list(_bare_rows(body))
+    return reader
+
+
 def _spread(rows: list, repeat: bool = True) -> list[list[tuple]]:
     """Repeat cells over their column and row spans."""
     out, hanging = [], {}
@@ -205,40 +279,62 @@ def _head_of(rows: list[list[tuple]]) -> int:
 
 def _page_tables(html: str) -> Iterator[dict]:
     """Each table: no, kind, section, head (marked header rows), rows (cells as text, link, alt), clipped (a span was not followed)."""
-    reader = _TableReader()
-    reader.feed(html or "")
-    reader.close()
+    reader = _read(html or "")
     for o in reader.open:
         reader._end_row(o)
     for no, t in enumerate(reader.tables):
+        if not t["spans"]:
+            head, body = ([[c[0] for c in r] for r in t[k]] for k in ("head", "rows"))
+            yield {"no": no, "kind": t["kind"], "section": t["section"], "head": head, "rows": body, "clipped": sum(map(len, head)) + sum(map(len, body)) > GRID_CELLS}
+            continue
         wide = _too_wide(t["head"] + t["rows"])
         clipped = wide or any(c[1] > MOST_COLUMNS or c[2] > MOST_ROWS for r in t["head"] + t["rows"] for c in r)
         yield {"no": no, "kind": t["kind"], "section": t["section"], "head": _spread(t["head"], not wide), "rows": _spread(t["rows"], not wide), "clipped": clipped}
 
 
-def _frames(rows: Iterable[tuple], columns: Sequence[str]) -> Iterator[pd.DataFrame]:
+class _Frame:
+    """Some rows, read by column."""
+
+    def __init__(self, rows: list[tuple], columns: Sequence[str]):
+        self.rows, self.at = rows, {c: i for i, c in enumerate(columns)}
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, column: str) -> list:
+        i = self.at[column]
+        return [r[i] for r in self.rows]
+
+
+def _frames(rows: Iterable[tuple], columns: Sequence[str]) -> Iterator[_Frame]:
     """Frames of rows; a frame ends when the lists in it hold FRAME_CELLS cells, header cells included, as each row brings its own."""
     part, n = [], 0
     for r in rows:
         part.append(r)
-        n += sum(sum(map(len, x)) if x and isinstance(x[0], list) else len(x) for x in r if isinstance(x, list)) + 1
+        n += 1
+        for x in r:
+            if type(x) is list:
+                n += sum(map(len, x)) if x and type(x[0]) is list else len(x)
         if n >= FRAME_CELLS:
-            yield pd.DataFrame(part, columns=columns)
+            yield _Frame(part, columns)
             part, n = [], 0
     if part:
-        yield pd.DataFrame(part, columns=columns)
+        yield _Frame(part, columns)
 
 
 def _rows_of_pages(pages: DataFrame, key: str, html: str, schema: str, rows) -> DataFrame:
     """`rows` of every table of every page, in frames of at most about FRAME_CELLS cells. Pages without a table never reach Python."""
-    columns = [c.split()[0] for c in schema.split(", ")]
     small_batches(pages.sparkSession)
+    schema = f"{key} {dict(pages.dtypes)[key]}, {schema}"
+    target = to_arrow_schema(_parse_datatype_string(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield from _frames(((k, *r) for k, h in zip(b[key], b[html], strict=True) for t in _page_tables(h) for r in rows(t)), [key, *columns])
+            found = ((k, *r) for k, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for t in _page_tables(h) for r in rows(t))
+            for f in _frames(found, target.names):
+                yield pa.RecordBatch.from_arrays([pa.array(f[c.name], c.type) for c in target], schema=target)
 
-    return pages.where(F.col(html).rlike("(?i)<table")).select(key, html).mapInPandas(run, f"{key} {dict(pages.dtypes)[key]}, {schema}")
+    return pages.where(F.col(html).rlike("(?i)<table")).select(key, html).mapInArrow(run, schema)
 
 
 def extract_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -252,24 +348,41 @@ def extract_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
     return _rows_of_pages(pages, key, html, "table_no int, row_no int, header array<string>, cells array<string>", rows)
 
 
-def extract_grids(pages: DataFrame, key: str, html: str) -> DataFrame:
+def extract_grids(pages: DataFrame, key: str, html: str, parts: bool = False) -> DataFrame:
     """Rows of every table under its whole header: `head` holds all header rows, top first, marked ones or (where a table
     marks none) the leading rows above its first row of figures; `n_rows` counts the rows below. Cells come with the first
     link and picture text inside them, tables with their class and the ids of the sections around them. `clipped` says
-    that a span beyond HTML's limits, or a table beyond GRID_CELLS, was not repeated in full."""
+    that a span beyond HTML's limits, or a table beyond GRID_CELLS, was not repeated in full.
 
-    def rows(t: dict):
+    With `parts` up to about PART_CELLS cells stand together, so that what is worked out from a header is worked out once
+    for many rows: `cells`, `links` and `alts` hold a list for each row, and `row_no` is the place of the first one."""
+
+    def table(t: dict):
         head, body = t["head"], t["rows"]
         if not head:
             n = _head_of(body)
             head, body = body[:n], body[n:]
-        names = [[c[0] for c in r] for r in head]
+        return [[c[0] for c in r] for r in head], body
+
+    def rows(t: dict):
+        names, body = table(t)
         for i, cells in enumerate(body):
             text, links, alts = (list(x) for x in zip(*cells, strict=True)) if cells else ([], [], [])
             yield t["no"], i, len(body), t["kind"], t["section"], names, text, links, alts, t["clipped"]
 
+    def together(t: dict):
+        names, body = table(t)
+        first = n = 0
+        for end, cells in enumerate(body, 1):
+            n += len(cells)
+            if n >= PART_CELLS or end == len(body):
+                part = body[first:end]
+                yield t["no"], first, len(body), t["kind"], t["section"], names, *([[c[i] for c in r] for r in part] for i in range(3)), t["clipped"]
+                first, n = end, 0
+
+    kind = "array<array<string>>" if parts else "array<string>"
     return _rows_of_pages(pages, key, html, "table_no int, row_no int, n_rows int, kind string, section string, head array<array<string>>, "
-                          "cells array<string>, links array<string>, alts array<string>, clipped boolean", rows)
+                          f"cells {kind}, links {kind}, alts {kind}, clipped boolean", together if parts else rows)
 
 
 def caption(head: Str = "head") -> Column:

@@ -164,18 +164,22 @@ def play_rows(grid: DataFrame, key: str, least: int = 5) -> DataFrame:
     """Rows of play-by-play tables, in page order: who did what when, and the score the source states beside it.
 
     The table is told by its first label; its last two labels name the teams. Rows without a description and the captions
-    of a period's start are left out but keep their place in `seq`.
+    of a period's start are left out but keep their place in `seq`. A grid in `parts` has its headers read part by part.
     """
     g = grid.withColumn("paths", column_paths()).withColumn("__leaf", _leaves())
     own = (F.get("__leaf", F.lit(0)) == "Cuarto") & (F.col("n_rows") >= least)
-    cell = [text.squish(F.coalesce(F.get("cells", F.lit(i)), F.lit(""))) for i in range(5)]
-    play = text.play_fields(cell[2])
-    return (first_table(g.where(own), key).where((cell[2] != "") & ~F.lower(cell[2]).startswith("primer |"))
-            .select(key, (F.col("row_no") + 1).alias("seq"), cell[0].alias("period_raw"), cell[1].alias("clock"), cell[2].alias("play_raw"),
-                    play["event_type"].alias("event_type"), play["actor_raw"].alias("actor_raw"), play["team_raw"].alias("team_raw"),
-                    text.squish(F.replace(F.get("__leaf", F.lit(3)), F.lit("Local"))).alias("local_team"),
-                    text.squish(F.regexp_replace(F.get("__leaf", F.lit(4)), "Vistante|Visitante", "")).alias("visit_team"),
-                    numbers.to_int(cell[3]).alias("local_score"), numbers.to_int(cell[4]).alias("visit_score")))
+    teams = {"local_team": text.squish(F.replace(F.get("__leaf", F.lit(3)), F.lit("Local"))),
+             "visit_team": text.squish(F.regexp_replace(F.get("__leaf", F.lit(4)), "Vistante|Visitante", ""))}
+    rows = first_table(g.where(own).select(key, "table_no", "row_no", "cells", *[c.alias(n) for n, c in teams.items()]), key)
+    if dict(grid.dtypes)["cells"] == "array<array<string>>":
+        rows = rows.select(key, "row_no", *teams, F.posexplode("cells").alias("__at", "cells")).withColumn("row_no", F.col("row_no") + F.col("__at"))
+    cell = ["period_raw", "clock", "play_raw", "__local", "__visit"]
+    # each cell is squished once, not once for each pattern it is held against
+    rows = rows.select(key, (F.col("row_no") + 1).alias("seq"), *teams, *[text.squish(F.coalesce(F.get("cells", F.lit(i)), F.lit(""))).alias(n) for i, n in enumerate(cell)])
+    play = text.play_fields("play_raw", squished=True)
+    return (rows.where((F.col("play_raw") != "") & ~F.lower("play_raw").startswith("primer |"))
+            .select(key, "seq", *cell[:3], play["event_type"].alias("event_type"), play["actor_raw"].alias("actor_raw"), play["team_raw"].alias("team_raw"),
+                    *teams, numbers.to_int("__local").alias("local_score"), numbers.to_int("__visit").alias("visit_score")))
 
 
 # --- people and team seasons ---------------------------------------------------

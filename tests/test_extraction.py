@@ -1,5 +1,7 @@
 """Header trees, spans, page families and the cascade on hand-written pages."""
 
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -115,3 +117,44 @@ def test_a_page_that_no_level_completes_is_reported(spark):
     pages = spark.createDataFrame([(1, FLAT.format("Age", "<tr><td>1<td><td>G<td>190<td>20<td>x"), 2010)], "page int, html string, season int")
     found = rosters.read_rosters(pages, "page", "html", "season")
     assert rows(found.pages) == [(1, "no complete rows", None, 0, 1)] and found.rows.count() == 0
+
+
+MARKS = ["<table>", '<table class="k x">', "</table>", "<tr>", "</tr>", "<td>", "<TD>", "<th>", "</td>", "</th>", "<td colspan=2>", "<td rowspan='3'>", '<th colspan="2" rowspan=2>', "<thead>", "</thead>", "<br>",
+         '<a href="/x&amp;y">', "</a>", "<img alt='Ana' src=q>", "<div id=a>", "</div>", "text", " a &amp; b ", "&lt;x", "&nbsp", " \n ", "x  y", "<b >", "<option selected>", '<a href="">', "é", "&am", "<tablex>", "\xa0",
+         "<table><tr><td>a  b<td>&lt;q</tr>c<td>1</td>d</table>"]
+ODD = ["<br/>", "<!-- c -->", "<!--<table><tr><td>c</table>-->", "<script>x<td></script>", "<td colspan = 2>", "<", "< b", "</ td>", "<a href=/x/y>", "<td a='1'b='2'>", "<?php ?>", "<!doctype html>", "</td x>", '<td a="x>y">', '<a title="<table><tr><td>z</table>">', "<td", "</"]
+
+
+def test_plain_pages_read_like_any_other():
+    rng = random.Random(1)
+
+    def state(reader):
+        return reader.tables, [(o["row"], o["cell"], o["thead"], o.get("all_th")) for o in reader.open], reader.sections
+
+    for i in range(4000):
+        marks = rng.choices(MARKS, k=rng.randrange(1, 30)) + rng.choices(ODD, k=i % 3 == 0)
+        rng.shuffle(marks)
+        html = "".join(marks)
+        slow = pg._TableReader()
+        slow.feed(html)
+        slow.close()
+        assert state(pg._read(html)) == state(slow), html
+
+
+def test_plain_pages_do_without_the_slow_parser(monkeypatch):
+    monkeypatch.setattr(pg._TableReader, "feed", None)
+    found = list(pg._page_tables("<p>x<table><tr><td>a<td>b<tr><td>c</table><table class=k><tr><th>d</th></tr><tr><td>e</table>"))
+    assert [[[c[0] for c in r] for r in t["head"] + t["rows"]] for t in found] == [[["a", "b"], ["c"]], [["d"], ["e"]]]
+
+
+
+def test_plays_from_parts_of_tables(spark, monkeypatch):
+    """Tables of several parts, a page with two play tables, one whose table is too short."""
+    monkeypatch.setattr(pg, "PART_CELLS", 12)
+    body = ["".join("<tr><td>" + "<td>".join(x) for x in LINES[n:] * m) for n, m in ((0, 3), (2, 1), (4, 1))]
+    pages = [f"<table><tr><td>Cuarto<td>Tiempo<td>Jugada<td>Local RIO<td>Visitante MAR{b}</table>" for b in (body[0], body[1], body[2])]
+    df = spark.createDataFrame([(0, pages[0]), (1, pages[1] + pages[0]), (2, pages[2])], "page int, html string")
+    grids = [pg.extract_grids(df, "page", "html", parts=p) for p in (False, True)]
+    assert grids[1].count() > 8 and grids[1].selectExpr("sum(size(cells))").first()[0] == grids[0].count()
+    got = [rows(sheets.play_rows(g, "page")) for g in grids]
+    assert got[0] == got[1] and len(got[0]) > 20

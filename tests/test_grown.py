@@ -75,3 +75,10 @@ def test_streamed_states_stay_out_of_python(spark):
     for updates in (state.latest_updates(s, ["k"], ["v"], ["ts"]), state.first_updates(s, "k", "v", "ts")):
         plan = updates._jdf.queryExecution().analyzed().toString()
         assert "Pandas" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("name", ["play_events", "court_stretches"])
+def test_plays_are_told_once_for_all_branches(spark, name):
+    """No branch reads headers or squishes cells again; a player's moves are ordered once."""
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cuarto" not in plan and "array_distinct" not in plan and plan.count("lag(") <= 1
