@@ -109,7 +109,7 @@ class _TableReader(HTMLParser):
             self.sections.append((tag, dict(attrs).get("id") or ""))
         if tag == "table":
             named = dict(attrs)
-            self.tables.append({"rows": [], "head": [], "spans": False, "kind": named.get("class") or "", "section": "/".join(i for _, i in self.sections if i)})
+            self.tables.append({"rows": [], "head": [], "spans": False, "bare": False, "kind": named.get("class") or "", "section": "/".join(i for _, i in self.sections if i)})
             self.open.append({"t": self.tables[-1], "row": None, "cell": None, "thead": False})
         elif self.open:
             o = self.open[-1]
@@ -205,13 +205,16 @@ def _read_plain(reader: _TableReader, parts: list[str | None]) -> None:
         reader.handle_data(unescape(parts[-1]))
 
 
-def _bare_rows(body: str) -> Iterator[list[tuple]]:
-    """Rows of a table without other tags: a row ends where one begins or ends, and so does a cell."""
+def _bare_rows(body: str) -> Iterator[list[str]]:
+    """Texts of a table without other tags: a row ends where one begins or ends, and so does a cell."""
     for line in body.replace("</tr>", "<tr>").split("<tr>"):
         cells = line.split("<td>")
         if len(cells) > 1:
-            texts = [x.partition("</td>")[0] for x in cells[1:]]
-            yield [((" ".join((unescape(x) if "&" in x else x).split()), None, None), 1, 1) for x in texts]
+            if "</td>" in line:
+                cells = [x.partition("</td>")[0] for x in cells]
+            if "&" in line:
+                cells = [unescape(x) for x in cells]
+            yield [" ".join(x.split()) for x in cells[1:]]
 
 
 def _read(html: str) -> _TableReader:
@@ -226,7 +229,7 @@ def _read(html: str) -> _TableReader:
     for parts, body in zip(plain, [*pieces[2::3], None], strict=True):
         _read_plain(reader, parts)
         if body is not None:
-            reader.open.pop()["t"]["rows"] = list(_bare_rows(body))
+            reader.open.pop()["t"].update(bare=True, rows=list(_bare_rows(body)))
     return reader
 
 
@@ -266,30 +269,33 @@ def _too_wide(rows: list) -> bool:
     return False
 
 
-def _mostly_figures(row: list[tuple]) -> bool:
-    known = [c[0] for c in row if c[0]]
+def _mostly_figures(row: list[str]) -> bool:
+    known = [c for c in row if c]
     return 2 * sum(bool(_FIGURE.fullmatch(t)) for t in known) >= max(len(known), 1)
 
 
-def _head_of(rows: list[list[tuple]]) -> int:
+def _head_of(rows: list[list[str]]) -> int:
     """How many leading rows name the columns of a table that marks none: those above its first row of figures."""
-    first = next((i for i, r in enumerate(rows) if any(c[0] for c in r) and _mostly_figures(r)), None)
+    first = next((i for i, r in enumerate(rows) if any(r) and _mostly_figures(r)), None)
     return 0 if len(rows) < 2 or first == 0 else 1 if first is None or first > HEAD_ROWS else first
 
 
 def _page_tables(html: str) -> Iterator[dict]:
-    """Each table: no, kind, section, head (marked header rows), rows (cells as text, link, alt), clipped (a span was not followed)."""
+    """Each table: no, kind, section, head (marked header rows) and rows as texts, links and alts of the rows' cells (None if
+    no cell can have any), clipped (a span was not followed)."""
     reader = _read(html or "")
     for o in reader.open:
         reader._end_row(o)
     for no, t in enumerate(reader.tables):
-        if not t["spans"]:
-            head, body = ([[c[0] for c in r] for r in t[k]] for k in ("head", "rows"))
-            yield {"no": no, "kind": t["kind"], "section": t["section"], "head": head, "rows": body, "clipped": sum(map(len, head)) + sum(map(len, body)) > GRID_CELLS}
+        named = {"no": no, "kind": t["kind"], "section": t["section"]}
+        if t["bare"]:
+            yield {**named, "head": [], "rows": t["rows"], "links": None, "alts": None, "clipped": sum(map(len, t["rows"])) > GRID_CELLS}
             continue
         wide = _too_wide(t["head"] + t["rows"])
         clipped = wide or any(c[1] > MOST_COLUMNS or c[2] > MOST_ROWS for r in t["head"] + t["rows"] for c in r)
-        yield {"no": no, "kind": t["kind"], "section": t["section"], "head": _spread(t["head"], not wide), "rows": _spread(t["rows"], not wide), "clipped": clipped}
+        head, body = ([[c[0] for c in r] for r in t[k]] if not t["spans"] else _spread(t[k], not wide) for k in ("head", "rows"))
+        rows, links, alts = ([[c[i] for c in r] for r in body] for i in range(3))
+        yield {**named, "head": [[c[0] for c in r] for r in head], "rows": rows, "links": links, "alts": alts, "clipped": clipped}
 
 
 class _Frame:
@@ -341,9 +347,9 @@ def extract_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(page, table_no, row_no, header, cells) for every row of every table."""
 
     def rows(t: dict):
-        head = [c[0] for c in t["head"][-1]] if t["head"] else []
+        head = t["head"][-1] if t["head"] else []
         for i, cells in enumerate(t["rows"]):
-            yield t["no"], i, head, [c[0] for c in cells]
+            yield t["no"], i, head, cells
 
     return _rows_of_pages(pages, key, html, "table_no int, row_no int, header array<string>, cells array<string>", rows)
 
@@ -358,26 +364,24 @@ def extract_grids(pages: DataFrame, key: str, html: str, parts: bool = False) ->
     for many rows: `cells`, `links` and `alts` hold a list for each row, and `row_no` is the place of the first one."""
 
     def table(t: dict):
-        head, body = t["head"], t["rows"]
+        head, cells = t["head"], [t["rows"], *(t[k] or [[None] * len(r) for r in t["rows"]] for k in ("links", "alts"))]
         if not head:
-            n = _head_of(body)
-            head, body = body[:n], body[n:]
-        return [[c[0] for c in r] for r in head], body
+            n = _head_of(t["rows"])
+            head, cells = t["rows"][:n], [x[n:] for x in cells]
+        return head, cells
 
     def rows(t: dict):
-        names, body = table(t)
-        for i, cells in enumerate(body):
-            text, links, alts = (list(x) for x in zip(*cells, strict=True)) if cells else ([], [], [])
-            yield t["no"], i, len(body), t["kind"], t["section"], names, text, links, alts, t["clipped"]
+        head, cells = table(t)
+        for i, row in enumerate(zip(*cells, strict=True)):
+            yield t["no"], i, len(cells[0]), t["kind"], t["section"], head, *row, t["clipped"]
 
     def together(t: dict):
-        names, body = table(t)
+        head, cells = table(t)
         first = n = 0
-        for end, cells in enumerate(body, 1):
-            n += len(cells)
-            if n >= PART_CELLS or end == len(body):
-                part = body[first:end]
-                yield t["no"], first, len(body), t["kind"], t["section"], names, *([[c[i] for c in r] for r in part] for i in range(3)), t["clipped"]
+        for end, texts in enumerate(cells[0], 1):
+            n += len(texts)
+            if n >= PART_CELLS or end == len(cells[0]):
+                yield t["no"], first, len(cells[0]), t["kind"], t["section"], head, *(x[first:end] for x in cells), t["clipped"]
                 first, n = end, 0
 
     kind = "array<array<string>>" if parts else "array<string>"
